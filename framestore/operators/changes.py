@@ -6,11 +6,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from framestore.operators.keyed import HIT, any_null, quoted, row_struct, spread_join
 
 ACTION = "_action"
+_CHANGED = "__changed"
 
 
 def default_value(field) -> Column:
@@ -20,6 +21,21 @@ def default_value(field) -> Column:
     return value.cast(field.dataType)
 
 
+@dataclass
+class CountedResult:
+    """A new table image and the observations that fill when it is written."""
+
+    df: DataFrame
+    observations: dict[str, Observation]
+
+    def counts(self) -> tuple[int, int, int]:
+        """Matched, changed and inserted rows. Call it after the write."""
+        found: dict[str, int] = {}
+        for observation in self.observations.values():
+            found.update(observation.get)
+        return tuple(int(found.get(n) or 0) for n in ("rows_matched", "rows_changed", "rows_inserted"))
+
+
 @dataclass
 class Changes:
     """A planned upsert or merge.
@@ -27,7 +43,8 @@ class Changes:
     `keyed` has one row per source key with the values to apply; `new_values(c,
     current)` gives the new value of column `c` of a matched row. `inserts` are
     the new rows with non-NULL keys; `null_key_rows` are the source rows of which
-    those with a NULL key are inserted as well.
+    those with a NULL key are inserted as well. `scratch` are staged tables that can
+    be deleted when the change is done.
     """
 
     target: DataFrame
@@ -39,25 +56,36 @@ class Changes:
     inserts: DataFrame | None
     null_key_rows: DataFrame | None
     delete_unmatched: bool = False
+    scratch: tuple[str, ...] = ()
 
     def matched(self, how: str) -> DataFrame:
         """Target rows joined with the source row of their key; `HIT` is NULL without one."""
         return spread_join(self.target, self.keyed.withColumn(HIT, F.lit(True)), self.keys, how)
 
-    def updated(self) -> DataFrame:
-        """The target rows with the new values of matched rows."""
+    def updated(self, observation: Observation | None = None) -> DataFrame:
+        """The target rows with the new values of matched rows.
+
+        An `observation` receives the number of matched and changed rows while the
+        rows are computed.
+        """
         if self.keyed is None:
             return self.target
         hit = F.col(HIT).isNotNull()
         joined = self.matched("inner" if self.delete_unmatched else "left")
-        columns = []
+        columns, changed = [], F.lit(False)
         for f in self.target.schema:
             if f.name in self.update:
-                value = F.when(hit, self.new_values(f.name, quoted)).otherwise(quoted(f.name))
+                new = self.new_values(f.name, quoted)
+                changed = changed | ~new.eqNullSafe(quoted(f.name))
+                value = F.when(hit, new).otherwise(quoted(f.name))
                 columns.append(value.alias(f.name, metadata=f.metadata))
             else:
                 columns.append(quoted(f.name))
-        return joined.select(*columns)
+        if observation is None:
+            return joined.select(*columns)
+        marked = joined.select(*columns, hit.alias(HIT), (hit & changed).alias(_CHANGED))
+        counts = [F.count_if(HIT).alias("rows_matched"), F.count_if(_CHANGED).alias("rows_changed")]
+        return marked.observe(observation, *counts).drop(HIT, _CHANGED)
 
     def inserted(self) -> DataFrame | None:
         """The new rows in the layout of the target, or None if nothing is ever inserted."""
@@ -77,6 +105,18 @@ class Changes:
         updated, inserted = self.updated(), self.inserted()
         return updated if inserted is None else updated.unionByName(inserted)
 
+    def counted_result(self) -> CountedResult:
+        """The whole table after the change, which counts its changes while it is written."""
+        observations = {}
+        if self.keyed is not None:
+            observations["matched"] = Observation()
+        updated, inserted = self.updated(observations.get("matched")), self.inserted()
+        if inserted is None:
+            return CountedResult(updated, observations)
+        observations["inserted"] = Observation()
+        inserted = inserted.observe(observations["inserted"], F.count("*").alias("rows_inserted"))
+        return CountedResult(updated.unionByName(inserted), observations)
+
     def change_set(self) -> DataFrame:
         """One row per affected row: `_action`, the keys, the `old` and the `new` values.
 

@@ -101,13 +101,15 @@ def upsert_changes(
 
     picks: dict[str, tuple[str, Sequence[str]]] = {}
     extra: list[Column] = []
+    scratch: tuple[str, ...] = ()
     if not insert_only:
         picks["__update"] = ("last", columns.update)
     if not update_only and keys_inserted:
         picks["__insert"] = ("first", columns.insert)
         if chunksize is not None and mode == "sequential":
-            numbered = with_positions(rows, order).df
-            rows = numbered.withColumn(_CHUNK, F.floor(F.col(POSITION) / F.lit(chunksize))).drop(POSITION)
+            positioned = with_positions(rows, order)
+            scratch = (positioned.path,)
+            rows = positioned.df.withColumn(_CHUNK, F.floor(F.col(POSITION) / F.lit(chunksize))).drop(POSITION)
             picks["__insert_last"] = ("last", columns.insert)
             extra = [(F.min(_CHUNK) == F.max(_CHUNK)).alias("__one_chunk")]
     keyed = collapse(rows, columns.keys, picks, order, mode, extra)
@@ -134,6 +136,7 @@ def upsert_changes(
         new_values=lambda c, current: F.col(f"__update.`{c}`"),
         inserts=inserts,
         null_key_rows=null_inserts,
+        scratch=scratch,
     )
 
 
