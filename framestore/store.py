@@ -71,10 +71,16 @@ class TableStore:
     """Tables of one database (schema) of the Spark catalog.
 
     `must_exist` fails with `SourceNotFoundError` if the database is absent;
-    without it the database is created when it is missing.
+    without it the database is created when it is missing, at `location` if given.
     """
 
-    def __init__(self, spark: SparkSession, database: str | None = None, must_exist: bool = False) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        database: str | None = None,
+        must_exist: bool = False,
+        location: str | None = None,
+    ) -> None:
         self.spark = spark
         self.database = None if database is None else check_table_name(database)
         self.foreign_keys = False
@@ -82,7 +88,8 @@ class TableStore:
         if self.database is not None and not spark.catalog.databaseExists(self.database):
             if must_exist:
                 raise SourceNotFoundError(f"Database {database} does not exist", data=database)
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+            where = f" LOCATION '{location}'" if location else ""
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{where}")
 
     # Names and rules ------------------------------------------------------------
 
