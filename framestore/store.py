@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import logging
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -91,6 +92,12 @@ class TableStore:
             where = f" LOCATION '{location}'" if location else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{where}")
 
+    def with_session(self, spark: SparkSession) -> TableStore:
+        """The same store on another session of the application."""
+        other = copy.copy(self)
+        other.spark = spark
+        return other
+
     # Names and rules ------------------------------------------------------------
 
     def qualified(self, table: str, schema: str | None = None) -> str:
@@ -378,11 +385,13 @@ class TableStore:
         on_duplicate: str | None = None,
         insert_only: bool = False,
         dst: str = "raise",
-    ) -> ChangeCounts | DataFrame:
+    ) -> ChangeCounts | DataFrame | None:
         """Update the rows of a table that match `df` on `where_cols`, and insert the others.
 
-        With `dry_run` nothing is written and the change set is returned. See
-        `operators.upsert.upsert_changes` for `order_by` and `on_duplicate`.
+        Returns the counts of the run, taken while the table is written (None if
+        Spark did not report them). With `dry_run` nothing is written and the
+        change set is returned. See `operators.upsert.upsert_changes` for
+        `order_by` and `on_duplicate`.
         """
         check_chunksize(chunksize)
 
@@ -473,7 +482,7 @@ class TableStore:
 
     def _apply(
         self, table: str, source: DataFrame, plan: Callable, dry_run: bool, deletes: bool
-    ) -> ChangeCounts | DataFrame:
+    ) -> ChangeCounts | DataFrame | None:
         name = self.qualified(table)
         if not self.spark.catalog.tableExists(name):
             raise ExecuteStatementError(f"Table {table} does not exist", data=table)
@@ -502,7 +511,8 @@ class TableStore:
             counted = changes.counted_result()
             publish = replace_partitions if some_partitions else replace_rows
             publish(self.spark, name, counted.df)
-            return ChangeCounts(*counted.counts())
+            counts = counted.counts()
+            return None if counts is None else ChangeCounts(*counts)
         except FramestoreError:
             raise
         except Exception as e:

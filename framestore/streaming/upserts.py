@@ -31,9 +31,11 @@ def upsert_stream(
     """
     if not stream.isStreaming:
         raise InvalidInputError("upsert_stream needs a streaming DataFrame")
-    apply = store.merge_df if use_merge else store.upsert_table
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # A micro-batch belongs to a session of its own.
+        batch_store = store.with_session(batch.sparkSession)
+        apply = batch_store.merge_df if use_merge else batch_store.upsert_table
         apply(batch, table, keys, **options)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
