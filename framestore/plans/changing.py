@@ -386,12 +386,13 @@ def merge_changed_only_duplicates(t: Tables):
 @query(
     """
     SELECT c.c_custkey, c.c_acctbal + 1 AS c_acctbal FROM customer c
-    WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
+    WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 450000)
     """
 )
 def merge_delete_unmatched(t: Tables):
     target = t("customer").select("c_custkey", "c_acctbal")
-    active = t("customer").join(t("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    large = t("orders").where("o_totalprice > 450000")
+    active = t("customer").join(large, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
     source = active.select("c_custkey", (F.col("c_acctbal") + 1).alias("c_acctbal"))
     return merge(target, source, "c_custkey", delete_unmatched=True)
 

@@ -116,12 +116,16 @@ def delete_all_rows(t: Tables):
 
 
 @query(
-    "SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)"
+    """
+    SELECT c_custkey, c_name FROM customer c
+    WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 450000)
+    """
 )
 def delete_by_keys(t: Tables):
     store = t.store()
     store.save_df(t("customer").select("c_custkey", "c_name"), "customer")
-    store.delete_rows(t("orders").select(F.col("o_custkey").alias("c_custkey")), "customer", "c_custkey")
+    gone = t("orders").where("o_totalprice > 450000").select(F.col("o_custkey").alias("c_custkey"))
+    store.delete_rows(gone, "customer", "c_custkey")
     return store.load_table("customer")
 
 
