@@ -46,37 +46,48 @@ def is_datetime(field: StructField) -> bool:
     return isinstance(field.dataType, (TimestampType, TimestampNTZType))
 
 
-def _utc_wall(naive: Column, tz: str) -> Column:
-    return F.convert_timezone(F.lit(tz), F.lit("UTC"), naive)
+_DAY_MICROS = 24 * 3600 * 1_000_000
 
 
-def _from_utc(utc: Column, tz: str) -> Column:
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+# With the session zone UTC a naive timestamp and the instant of the same digits have
+# the same microseconds. Spark resolves a constant zone of from_utc_timestamp and
+# to_utc_timestamp once per task, not per row as convert_timezone does.
 
 
-def _instants_around(naive: Column, tz: str) -> tuple[Column, Column]:
-    """UTC times of `naive` with the offsets in force one day before and one day after.
+def _micros(naive: Column) -> Column:
+    return F.unix_micros(naive.cast("timestamp"))
 
-    They differ only close to a clock change, whatever its size.
-    """
-    utc = _utc_wall(naive, tz)
-    found = []
-    for days in (-1, 1):
-        near = utc + F.expr(f"INTERVAL '{days}' DAY")
-        found.append(naive - (_from_utc(near, tz) - near))
-    return found[0], found[1]
+
+def _utc_micros(naive: Column, tz: str) -> Column:
+    return F.unix_micros(F.to_utc_timestamp(naive.cast("timestamp"), tz))
+
+
+def _local_micros(utc_micros: Column, tz: str) -> Column:
+    return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(utc_micros), tz))
+
+
+def _offsets_around(naive: Column, tz: str) -> tuple[Column, Column]:
+    """Offsets from UTC one day before and one day after. They differ only near a clock change."""
+    utc = _utc_micros(naive, tz)
+    before, after = utc - F.lit(_DAY_MICROS), utc + F.lit(_DAY_MICROS)
+    return _local_micros(before, tz) - before, _local_micros(after, tz) - after
+
+
+def _fits(naive: Column, offset: Column, tz: str) -> Column:
+    """True if the local time occurs with this offset."""
+    return _local_micros(_micros(naive) - offset, tz) == _micros(naive)
 
 
 def dst_gap(naive: Column, tz: str) -> Column:
     """True where the local time does not exist (clock set forward)."""
-    before, after = _instants_around(naive, tz)
-    return (before != after) & (_from_utc(before, tz) != naive) & (_from_utc(after, tz) != naive)
+    before, after = _offsets_around(naive, tz)
+    return F.when(before == after, F.lit(False)).otherwise(~_fits(naive, before, tz) & ~_fits(naive, after, tz))
 
 
 def dst_ambiguous(naive: Column, tz: str) -> Column:
     """True where the local time occurs twice (clock set back)."""
-    before, after = _instants_around(naive, tz)
-    return (before != after) & (_from_utc(before, tz) == naive) & (_from_utc(after, tz) == naive)
+    before, after = _offsets_around(naive, tz)
+    return F.when(before == after, F.lit(False)).otherwise(_fits(naive, before, tz) & _fits(naive, after, tz))
 
 
 def localize(naive: Column, tz: str, dst: str = "raise") -> Column:
@@ -87,20 +98,23 @@ def localize(naive: Column, tz: str, dst: str = "raise") -> Column:
     """
     if tz in ("UTC", "Etc/UTC", "GMT"):
         return naive.cast("timestamp")
-    instant = _utc_wall(naive, tz).cast("timestamp")
+    instant = F.to_utc_timestamp(naive.cast("timestamp"), tz)
     if dst == "shift":
         return instant
-    bad = dst_gap(naive, tz) | dst_ambiguous(naive, tz)
+    before, after = _offsets_around(naive, tz)
+    # Away from clock changes the first test decides; near one, exactly one offset must fit.
+    checked = F.when(naive.isNull() | (before == after), instant).when(
+        _fits(naive, before, tz) != _fits(naive, after, tz), instant
+    )
     if dst == "null":
-        return F.when(~bad, instant)
+        return checked
     message = F.concat(F.lit(f"Non-existent or ambiguous local time in {tz}: "), naive.cast("string"))
-    return F.when(bad, F.raise_error(message).cast("timestamp")).otherwise(instant)
+    return checked.otherwise(F.raise_error(message).cast("timestamp"))
 
 
 def wall_clock(instant: Column, tz: str | None) -> Column:
-    """Local time of an instant in zone `tz`, as a naive timestamp."""
-    naive = instant.cast("timestamp_ntz")
-    return naive if tz in (None, "UTC") else _from_utc(naive, tz)
+    """The timestamp whose digits in UTC are the local time of `instant` in zone `tz`."""
+    return instant if tz in (None, "UTC") else F.from_utc_timestamp(instant, tz)
 
 
 def epoch_seconds(col: Column) -> Column:
