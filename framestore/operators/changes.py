@@ -54,7 +54,8 @@ class Changes:
     `keyed` has one row per source key with the values to apply; `new_values(c,
     current)` gives the new value of column `c` of a matched row. `inserts` are
     the new rows with non-NULL keys; `null_key_rows` are the source rows of which
-    those with a NULL key are inserted as well. `scratch` are staged tables that can
+    those with a NULL key are inserted as well. `co_located` says that the target is
+    bucketed by the keys, so that a join on just the keys need not shuffle it. `scratch` are staged tables that can
     be deleted when the change is done.
     """
 
@@ -67,11 +68,15 @@ class Changes:
     inserts: DataFrame | None
     null_key_rows: DataFrame | None
     delete_unmatched: bool = False
+    co_located: bool = False
     scratch: tuple[str, ...] = ()
 
     def matched(self, how: str) -> DataFrame:
         """Target rows joined with the source row of their key; `HIT` is NULL without one."""
-        return spread_join(self.target, self.keyed.withColumn(HIT, F.lit(True)), self.keys, how)
+        keyed = self.keyed.withColumn(HIT, F.lit(True))
+        if self.co_located:
+            return self.target.join(keyed, list(self.keys), how)
+        return spread_join(self.target, keyed, self.keys, how)
 
     def updated(self, observation: Observation | None = None) -> DataFrame:
         """The target rows with the new values of matched rows.

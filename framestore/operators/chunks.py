@@ -58,10 +58,13 @@ class Positioned:
         return self.partitions[i] * _PLACES + position - self.before[i]
 
     def rows(self, start: int, stop: int) -> DataFrame:
-        """The rows at positions `start` up to but without `stop`, as a pushed down range of the scan."""
+        """The rows at positions `start` up to but without `stop`, in order.
+
+        The positions are a range of local ids, which is pushed down to the scan.
+        """
         stop = min(stop, self.n_rows)
         inside = F.col(_LOCAL).between(self._local_id(start), self._local_id(stop - 1))
-        return self.staged.where(inside).drop(_LOCAL)
+        return self.staged.where(inside).orderBy(_LOCAL).drop(_LOCAL)
 
     def delete(self) -> None:
         delete_path(self.staged.sparkSession, self.path)

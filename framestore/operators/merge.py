@@ -46,6 +46,7 @@ def merge_changes(
     nan_as_null: bool = True,
     order_by: str | Sequence[str] | None = None,
     on_duplicate: str | None = None,
+    co_located: bool = False,
 ) -> Changes:
     """What a merge of `source` into `target` changes. Nothing is written.
 
@@ -96,6 +97,7 @@ def merge_changes(
         inserts=new.select(*insert_values).select(*[F.col(f"`{c}`") for c in columns.insert]),
         null_key_rows=rows,
         delete_unmatched=delete_unmatched,
+        co_located=co_located,
     )
 
 

@@ -72,6 +72,7 @@ def upsert_changes(
     nan_as_null: bool = True,
     order_by: str | Sequence[str] | None = None,
     on_duplicate: str | None = None,
+    co_located: bool = False,
 ) -> Changes:
     """What an upsert of `source` into `target` changes. Nothing is written.
 
@@ -80,6 +81,7 @@ def upsert_changes(
     default with `order_by`); without an order a repeated key fails the query
     ('error'), and 'unique' trusts the source and saves the check. With
     `chunksize` and 'sequential' the rows are numbered first, which runs a job.
+    `co_located` says that the target is bucketed by the keys.
     """
     check_chunksize(chunksize)
     if update_only and insert_only:
@@ -136,6 +138,7 @@ def upsert_changes(
         new_values=lambda c, current: F.col(f"__update.`{c}`"),
         inserts=inserts,
         null_key_rows=null_inserts,
+        co_located=co_located,
         scratch=scratch,
     )
 

@@ -251,6 +251,7 @@ class TableStore:
         target_tz: str | None = None,
         method: str | Callable | None = None,
         partition_by: str | Sequence[str] | None = None,
+        bucket_by: tuple[int, str | Sequence[str]] | None = None,
         dst: str = "raise",
     ) -> None:
         """Save `df` to a table, which is created if it is absent.
@@ -262,8 +263,9 @@ class TableStore:
         `index_cols` are the key columns of `df`: `index` False leaves them out and
         `index_label` renames them. `chunksize` limits the rows per file of a
         created or replaced table. `method` may be a function that is called with
-        the row iterator of each partition instead of writing. `partition_by`
-        partitions a table that is created.
+        the row iterator of each partition instead of writing. `partition_by` and
+        `bucket_by` (number of buckets, columns) lay out a table that is created;
+        bucketed by the key columns, later upserts need not shuffle it.
         """
         check_chunksize(chunksize)
         check_choice("if_exists", if_exists, IF_EXISTS)
@@ -286,14 +288,14 @@ class TableStore:
             if callable(method):
                 rows.foreachPartition(method)
             elif not exists:
-                self._create(rows, name, chunksize, partition_by)
+                self._create(rows, name, chunksize, partition_by, bucket_by)
             elif if_exists == "append":
                 self.spark.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {{rows}}", rows=rows)
             elif if_exists == "replace":
                 check_columns(rows.columns, self.spark.table(name).columns, "table")
                 replace_rows(self.spark, name, rows, chunksize)
             else:
-                self._drop_replace(rows, name, chunksize, partition_by)
+                self._drop_replace(rows, name, chunksize, partition_by, bucket_by)
         except FramestoreError as e:
             if isinstance(e, (SaveDataFrameError, InvalidInputError)):
                 raise
@@ -321,19 +323,21 @@ class TableStore:
         existing = self.spark.table(name) if append else None
         enforce(rows, rules, self._parents(rules), existing, self.foreign_keys, SaveDataFrameError)
 
-    def _create(self, rows: DataFrame, name: str, chunksize: int | None, partition_by) -> None:
+    def _create(self, rows: DataFrame, name: str, chunksize: int | None, partition_by, bucket_by) -> None:
         writer = rows.write.format("parquet")
         if chunksize:
             writer = writer.option("maxRecordsPerFile", chunksize)
         if partition_by:
             writer = writer.partitionBy(*as_list(partition_by))
+        if bucket_by:
+            writer = writer.bucketBy(bucket_by[0], *as_list(bucket_by[1]))
         writer.saveAsTable(name)
 
-    def _drop_replace(self, rows: DataFrame, name: str, chunksize: int | None, partition_by) -> None:
+    def _drop_replace(self, rows: DataFrame, name: str, chunksize: int | None, partition_by, bucket_by) -> None:
         # The rows may come from the table itself: write them completely before the drop.
         new = f"{name}__new"
         self.spark.sql(f"DROP TABLE IF EXISTS {new}")
-        self._create(rows, new, chunksize, partition_by)
+        self._create(rows, new, chunksize, partition_by, bucket_by)
         self.spark.sql(f"DROP TABLE {name}")
         self.spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
         self._constraints.pop(name, None)
@@ -395,7 +399,7 @@ class TableStore:
         """
         check_chunksize(chunksize)
 
-        def plan(target: DataFrame, source: DataFrame) -> Changes:
+        def plan(target: DataFrame, source: DataFrame, co_located: bool = False) -> Changes:
             return upsert_changes(
                 target,
                 source,
@@ -409,6 +413,7 @@ class TableStore:
                 nan_as_null=nan_to_none,
                 order_by=order_by,
                 on_duplicate=on_duplicate,
+                co_located=co_located,
             )
 
         source = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
@@ -444,7 +449,7 @@ class TableStore:
         """
         check_chunksize(chunksize)
 
-        def plan(target: DataFrame, source: DataFrame) -> Changes:
+        def plan(target: DataFrame, source: DataFrame, co_located: bool = False) -> Changes:
             return merge_changes(
                 target,
                 source,
@@ -459,6 +464,7 @@ class TableStore:
                 nan_as_null=nan_to_none,
                 order_by=order_by,
                 on_duplicate=on_duplicate,
+                co_located=co_located,
             )
 
         source = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
@@ -505,7 +511,8 @@ class TableStore:
             )
             if some_partitions:
                 target = touched_partitions(target, source, info.partition_columns)
-            changes = plan(target, source)
+            bucketed = bool(info.bucket_columns) and set(info.bucket_columns) == set(outline.keys)
+            changes = plan(target, source, co_located=bucketed)
             scratch += changes.scratch
             self._enforce_changes(name, changes)
             counted = changes.counted_result()
