@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from framestore.operators.keyed import HIT, any_null, quoted, row_struct, spread_join
+from framestore.operators.keyed import HIT, any_null, ident, pick, quoted, row_struct, spread_join
 
 ACTION = "_action"
 _CHANGED = "__changed"
+_NEW = "__new"
 
 
 def default_value(field) -> Column:
@@ -51,8 +52,9 @@ class CountedResult:
 class Changes:
     """A planned upsert or merge.
 
-    `keyed` has one row per source key with the values to apply; `new_values(c,
-    current)` gives the new value of column `c` of a matched row. `inserts` are
+    `keyed` has one row per source key with the values to apply; `new_row` is the
+    struct of new values of a matched row, in SQL over the columns of the target and
+    of `keyed`. `inserts` are
     the new rows with non-NULL keys; `null_key_rows` are the source rows of which
     those with a NULL key are inserted as well. `co_located` says that the target is
     bucketed by the keys, so that a join on just the keys need not shuffle it. `scratch` are staged tables that can
@@ -64,7 +66,7 @@ class Changes:
     keys: Sequence[str]
     update: Sequence[str]
     insert: Sequence[str]
-    new_values: Callable[[str, Callable[[str], Column]], Column]
+    new_row: str
     inserts: DataFrame | None
     null_key_rows: DataFrame | None
     delete_unmatched: bool = False
@@ -86,32 +88,38 @@ class Changes:
         """
         if self.keyed is None:
             return self.target
-        hit = F.col(HIT).isNotNull()
-        joined = self.matched("inner" if self.delete_unmatched else "left")
-        columns, changed = [], F.lit(False)
+        joined = self._with_new_row("inner" if self.delete_unmatched else "left")
+        columns = []
         for f in self.target.schema:
+            name = ident(f.name)
             if f.name in self.update:
-                new = self.new_values(f.name, quoted)
-                changed = changed | ~new.eqNullSafe(quoted(f.name))
-                value = F.when(hit, new).otherwise(quoted(f.name))
-                columns.append(value.alias(f.name, metadata=f.metadata))
-            else:
-                columns.append(quoted(f.name))
+                name = f"CASE WHEN {HIT} IS NOT NULL THEN {_NEW}.{name} ELSE {name} END AS {name}"
+            columns.append(F.expr(name).alias(f.name, metadata=f.metadata) if f.metadata else name)
         if observation is None:
-            return joined.select(*columns)
-        marked = joined.select(*columns, hit.alias(HIT), (hit & changed).alias(_CHANGED))
+            return joined.select(*[F.expr(c) if isinstance(c, str) else c for c in columns])
+        columns += [f"{HIT} IS NOT NULL AS {HIT}", f"{self._differs()} AS {_CHANGED}"]
+        marked = joined.select(*[F.expr(c) if isinstance(c, str) else c for c in columns])
         counts = [F.count_if(HIT).alias("rows_matched"), F.count_if(_CHANGED).alias("rows_changed")]
         return marked.observe(observation, *counts).drop(HIT, _CHANGED)
 
+    def _with_new_row(self, how: str) -> DataFrame:
+        # A column of its own: Spark then computes the struct once per row.
+        return self.matched(how).selectExpr("*", f"CASE WHEN {HIT} IS NOT NULL THEN {self.new_row} END AS {_NEW}")
+
+    def _differs(self) -> str:
+        """True where a matched row gets another value; NULL equals NULL here."""
+        old = ", ".join(ident(c) for c in self.update)
+        return f"({HIT} IS NOT NULL AND NOT ({_NEW} <=> struct({old})))"
+
     def inserted(self) -> DataFrame | None:
         """The new rows in the layout of the target, or None if nothing is ever inserted."""
         if self.inserts is None:
             return None
-        null_rows = self.null_key_rows.where(any_null(self.keys)).select(*[quoted(c) for c in self.insert])
+        null_rows = pick(self.null_key_rows.where(any_null(self.keys)), self.insert)
         rows = self.inserts.unionByName(null_rows)
         return rows.select(
             *[
-                (quoted(f.name) if f.name in self.insert else default_value(f)).alias(f.name, metadata=f.metadata)
+                quoted(f.name) if f.name in self.insert else default_value(f).alias(f.name, metadata=f.metadata)
                 for f in self.target.schema
             ]
         )
@@ -142,25 +150,17 @@ class Changes:
         columns = self.target.columns
         parts = []
         if self.keyed is not None:
-            joined = self.matched("left" if self.delete_unmatched else "inner")
-            new = F.struct(
-                *[
-                    (self.new_values(c, quoted) if c in self.update else quoted(c)).alias(c)
-                    for c in columns
-                ]
-            )
-            joined = joined.select(HIT, row_struct(columns).alias("old"), new.alias("new"))
-            changed = reduce(
-                lambda a, b: a | b,
-                [~F.col(f"new.`{c}`").eqNullSafe(F.col(f"old.`{c}`")) for c in self.update],
-                F.lit(False),
-            )
-            action = (
-                F.when(F.col(HIT).isNull(), "delete").when(changed, "update").otherwise("unchanged").alias(ACTION)
+            joined = self._with_new_row("left" if self.delete_unmatched else "inner")
+            fields = [f"{_NEW}.{ident(c)} AS {ident(c)}" if c in self.update else ident(c) for c in columns]
+            parts.append(
+                joined.selectExpr(
+                    f"CASE WHEN {HIT} IS NULL THEN 'delete' WHEN {self._differs()} THEN 'update' "
+                    f"ELSE 'unchanged' END AS {ACTION}",
+                    *[ident(k) for k in self.keys],
+                    f"struct({', '.join(ident(c) for c in columns)}) AS old",
+                    f"CASE WHEN {HIT} IS NOT NULL THEN struct({', '.join(fields)}) END AS new",
+                )
             )
-            gone = F.when(F.col(HIT).isNotNull(), F.col("new")).alias("new")
-            key_values = [F.col(f"old.`{k}`").alias(k) for k in self.keys]
-            parts.append(joined.select(action, *key_values, "old", gone))
         inserted = self.inserted()
         if inserted is not None:
             new = row_struct(columns)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from framestore.errors import InvalidInputError, TableStoreError
-from framestore.operators.keyed import any_null, quoted, spread_join
+from framestore.operators.keyed import any_null, pick, quoted, spread_join
 from framestore.validation import as_list, check_columns
 
 SAMPLE_ROWS = 20
@@ -109,7 +109,7 @@ def existing_key_violations(df: DataFrame, existing: DataFrame, keys: str | Sequ
     """Keys of `df` that the table `existing` holds already."""
     names = check_columns(as_list(keys), df.columns)
     new_keys = df.select(*[quoted(k) for k in names]).where(~any_null(names)).distinct()
-    return new_keys.join(existing.select(*[quoted(k) for k in names]), names, "left_semi")
+    return new_keys.join(pick(existing, names).distinct(), names, "left_semi")
 
 
 def foreign_key_violations(
@@ -121,7 +121,7 @@ def foreign_key_violations(
     """Child rows whose reference is not NULL and not in the parent."""
     names = check_columns(as_list(columns), child.columns)
     parent_names = check_columns(as_list(parent_columns) or names, parent.columns, "parent")
-    references = parent.select(*[quoted(p).alias(c) for p, c in zip(parent_names, names)])
+    references = parent.select(*[quoted(p).alias(c) for p, c in zip(parent_names, names)]).distinct()
     referring = child.where(~any_null(names))
     return spread_join(referring, references, names, "left_anti").select(*[quoted(c) for c in child.columns])
 
@@ -138,7 +138,7 @@ def orphan_keys(
     """
     names = check_columns(as_list(columns), child.columns)
     parent_names = check_columns(as_list(parent_columns) or names, parent.columns, "parent")
-    references = parent.select(*[quoted(p).alias(c) for p, c in zip(parent_names, names)])
+    references = parent.select(*[quoted(p).alias(c) for p, c in zip(parent_names, names)]).distinct()
     counted = child.where(~any_null(names)).groupBy(*[quoted(c) for c in names]).agg(F.count("*").alias("n_rows"))
     return counted.join(references, names, "left_anti")
 

@@ -16,18 +16,23 @@ a key.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from framestore.operators.keyed import any_null, order_struct, quoted, row_struct, spread_join
+from framestore.operators.keyed import any_null, ident, order_struct, quoted, row_struct, spread_join
 
 _BATCH_ROWS = 4096
 
+# Send the code of this module to the Python workers, which may lack the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _different(a: Any, b: Any) -> bool:
     """SQL ``<>`` is true. NaN equals NaN."""
@@ -124,7 +129,7 @@ def _restore(record: dict[str, Any], names: Sequence[str]) -> Run:
 
 
 def fold_changes(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key with the summary of its source rows, for `fold_values`.
+    """One row per key with the summary of its source rows, for `folded_row`.
 
     `__inserted` holds the values a new key ends with. Keys that occur once take
     a pure SQL path; only the rows of repeated keys pass through Python.
@@ -216,24 +221,15 @@ def _repeated_runs(rows: DataFrame, keys: list[str], columns: list[str], order_b
     )
 
 
-def fold_values(columns: Sequence[str]) -> Callable[[str, Callable[[str], Column]], Column]:
-    """New values of a matched row from the summary of its key."""
-
-    def new_value(c: str, current: Callable[[str], Column]) -> Column:
-        points = []
-        for i, name in enumerate(columns):
-            held, value = current(name), F.col(f"__value.`{name}`")
-            differing = F.coalesce(held != value, F.lit(False))
-            points.append(
-                F.when(held.isNull(), F.lit(None))
-                .when(differing, F.get("__first", F.lit(i)))
-                .otherwise(F.get("__second", F.lit(i)))
-            )
-        places = [p.getField("place") for p in points]
-        first = places[0] if len(places) == 1 else F.least(*places)
-        value = F.lit(None)
-        for point, place in zip(points, places):
-            value = F.when(place == first, point.getField("row").getField(c)).otherwise(value)
-        return F.when(first.isNull(), current(c)).otherwise(value)
-
-    return new_value
+def folded_row(columns: Sequence[str]) -> str:
+    """SQL for the struct of new values of a matched row, from the summary of its key.
+
+    The first place where a column can change the row decides.
+    """
+    points = [
+        f"CASE WHEN {ident(c)} IS NULL THEN NULL WHEN {ident(c)} <> __value.{ident(c)} THEN get(__first, {i}) "
+        f"ELSE get(__second, {i}) END"
+        for i, c in enumerate(columns)
+    ]
+    current = f"struct({', '.join(ident(c) for c in columns)})"
+    return f"coalesce(array_min(array({', '.join(points)})).row, {current})"

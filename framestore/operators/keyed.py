@@ -13,7 +13,6 @@ Three things keep one hot key from ending in one task:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import AtomicType, StructType
@@ -25,23 +24,38 @@ _SPREAD = "__spread"
 _SPREAD_SIZE = 4096
 
 
+def ident(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(ident(name))
 
 
 def any_null(keys: Sequence[str]) -> Column:
     """True where a key column is NULL. Such a row equals no other row."""
-    return reduce(lambda a, b: a | b, [quoted(k).isNull() for k in keys])
+    return F.expr(" OR ".join(f"{ident(k)} IS NULL" for k in keys))
 
 
 def row_struct(columns: Sequence[str]) -> Column:
-    return F.struct(*[quoted(c) for c in columns])
+    return F.expr(f"struct({', '.join(ident(c) for c in columns)})")
+
+
+def pick(df: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:
+    """The columns of `df` with these names, and further SQL expressions."""
+    return df.selectExpr(*[ident(c) for c in columns], *more)
+
+
+def atomic_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
 
 
 def order_struct(order_by: Sequence[str], df: DataFrame) -> Column:
     """The row order as one sortable value; the row hash makes ties deterministic."""
-    atoms = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
-    return F.struct(*[quoted(c) for c in order_by], F.xxhash64(*[quoted(c) for c in atoms]).alias("__tie"))
+    names = ", ".join(ident(c) for c in order_by)
+    atoms = ", ".join(ident(c) for c in atomic_columns(df))
+    return F.expr(f"struct({names}, xxhash64({atoms}) AS __tie)")
 
 
 def align_types(df: DataFrame, schema: StructType) -> DataFrame:
@@ -65,12 +79,13 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     `right` should hold each key once. `how` is 'left', 'inner', 'left_semi' or
     'left_anti'.
     """
-    atoms = [quoted(f.name) for f in left.schema if isinstance(f.dataType, AtomicType)]
-    scattered = F.pmod(F.xxhash64(*atoms), F.lit(_SPREAD_SIZE)).cast("int")
-    left = left.withColumn(_SPREAD, F.when(any_null(keys), scattered).otherwise(F.lit(0)))
+    nulls = " OR ".join(f"{ident(k)} IS NULL" for k in keys)
+    atoms = ", ".join(ident(c) for c in atomic_columns(left))
+    scattered = f"CAST(pmod(xxhash64({atoms}), {_SPREAD_SIZE}) AS INT)"
+    left = left.selectExpr("*", f"CASE WHEN {nulls} THEN {scattered} ELSE 0 END AS {_SPREAD}")
     # Always 0, but not a constant that the optimizer would remove from the join keys.
-    zero = F.pmod(F.xxhash64(*[quoted(k) for k in keys]), F.lit(1)).cast("int")
-    right = right.where(~any_null(keys)).withColumn(_SPREAD, zero)
+    names = ", ".join(ident(k) for k in keys)
+    right = right.where(f"NOT ({nulls})").selectExpr("*", f"CAST(pmod(xxhash64({names}), 1) AS INT) AS {_SPREAD}")
     return left.join(right, [*keys, _SPREAD], how).drop(_SPREAD)
 
 
@@ -80,9 +95,9 @@ def target_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str], small:
     With a small source, only the keys that the source holds survive a semi join
     (broadcast by Spark's own size check), so nothing large is shuffled.
     """
-    wanted = target.select(*[quoted(k) for k in keys]).where(~any_null(keys))
+    wanted = pick(target, keys).where(~any_null(keys))
     if small:
-        wanted = wanted.join(keyed.select(*[quoted(k) for k in keys]), list(keys), "left_semi")
+        wanted = wanted.join(pick(keyed, keys), list(keys), "left_semi")
     return wanted.distinct()
 
 

@@ -9,26 +9,22 @@ differs in the sense of SQL ``<>``: a NULL on either side is no difference.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from framestore.errors import InvalidColumnNameError, InvalidInputError
 from framestore.operators.changes import Changes
-from framestore.operators.fold import fold_values, fold_changes
-from framestore.operators.keyed import collapse, unmatched
+from framestore.operators.fold import fold_changes, folded_row
+from framestore.operators.keyed import collapse, ident, unmatched
 from framestore.operators.upsert import duplicate_mode, prepare_source
 from framestore.session import fits_broadcast
 from framestore.validation import check_chunksize
 
 
-def differs(columns: Sequence[str], left, right, null_safe: bool) -> Column:
-    """True where a column differs between `left(c)` and `right(c)`."""
-    if null_safe:
-        tests = [~left(c).eqNullSafe(right(c)) for c in columns]
-    else:
-        tests = [F.coalesce(left(c) != right(c), F.lit(False)) for c in columns]
-    return reduce(lambda a, b: a | b, tests)
+def last_if_changed(columns: Sequence[str]) -> str:
+    """The struct ``__last`` if one of its values differs from the current one, else the current values."""
+    changed = " OR ".join(f"{ident(c)} <> __last.{ident(c)}" for c in columns)
+    return f"CASE WHEN {changed} THEN __last ELSE struct({', '.join(ident(c) for c in columns)}) END"
 
 
 def merge_changes(
@@ -69,22 +65,12 @@ def merge_changes(
 
     only_changed = not omit_update_where_clause and not null_safe_change
     if only_changed and mode == "sequential":
-        keyed = fold_changes(rows, columns.keys, columns.update, order)
-        new_values = fold_values(columns.update)
-        insert_values = [F.col(f"`{k}`") for k in columns.keys]
-        insert_values += [F.col(f"__inserted.`{c}`").alias(c) for c in columns.update]
+        keyed, end = fold_changes(rows, columns.keys, columns.update, order), "__inserted"
+        new_row = folded_row(columns.update)
     else:
         # A null safe test leaves the row equal to the source either way: the last row counts.
-        keyed = collapse(rows, columns.keys, {"__last": ("last", columns.update)}, order, mode)
-        insert_values = [F.col(f"`{k}`") for k in columns.keys]
-        insert_values += [F.col(f"__last.`{c}`").alias(c) for c in columns.update]
-
-        def new_values(c, current):
-            value = F.col(f"__last.`{c}`")
-            if not only_changed:
-                return value
-            change = differs(columns.update, current, lambda n: F.col(f"__last.`{n}`"), null_safe=False)
-            return F.when(change, value).otherwise(current(c))
+        keyed, end = collapse(rows, columns.keys, {"__last": ("last", columns.update)}, order, mode), "__last"
+        new_row = last_if_changed(columns.update) if only_changed else "__last"
 
     new = unmatched(keyed, target, columns.keys, fits_broadcast(rows), unique_rows=True)
     return Changes(
@@ -93,8 +79,8 @@ def merge_changes(
         keys=columns.keys,
         update=columns.update,
         insert=columns.insert,
-        new_values=new_values,
-        inserts=new.select(*insert_values).select(*[F.col(f"`{c}`") for c in columns.insert]),
+        new_row=new_row,
+        inserts=new.selectExpr(*[ident(c) if c in columns.keys else f"{end}.{ident(c)}" for c in columns.insert]),
         null_key_rows=rows,
         delete_unmatched=delete_unmatched,
         co_located=co_located,

@@ -19,7 +19,7 @@ from framestore.errors import InvalidColumnNameError, InvalidInputError
 from framestore.functions.nulls import nan_to_null
 from framestore.operators.changes import Changes
 from framestore.operators.chunks import POSITION, with_positions
-from framestore.operators.keyed import align_types, collapse, unmatched
+from framestore.operators.keyed import align_types, collapse, pick, unmatched
 from framestore.session import fits_broadcast
 from framestore.validation import ColumnPlan, as_list, check_choice, check_chunksize, check_columns, plan_columns
 
@@ -46,7 +46,7 @@ def prepare_source(
         # Sort by the source values, not by their form after the cast to the target type.
         source = source.select("*", *[F.col(f"`{c}`").alias(f"__order_{c}") for c in order])
         order = [f"__order_{c}" for c in order]
-    rows = source.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns.needed, *order])])
+    rows = pick(source, list(dict.fromkeys([*columns.needed, *order])))
     if nan_as_null:
         rows = nan_to_null(rows)
     return align_types(rows, target.schema), columns, order
@@ -123,19 +123,19 @@ def upsert_changes(
     inserts = null_inserts = None
     if not update_only:
         if keys_inserted:
-            new = unmatched(keyed.select(*columns.keys, "__insert"), target, columns.keys, small, unique_rows=True)
+            new = unmatched(pick(keyed, columns.keys, "__insert"), target, columns.keys, small, unique_rows=True)
             inserts = new.select("__insert.*")
         else:
             # The inserted rows do not carry their keys, so later duplicates never find them.
-            inserts = unmatched(rows, target, columns.keys, small, unique_rows=False).select(*columns.insert)
+            inserts = pick(unmatched(rows, target, columns.keys, small, unique_rows=False), columns.insert)
         null_inserts = rows
     return Changes(
         target=target,
-        keyed=None if insert_only else keyed.select(*columns.keys, "__update"),
+        keyed=None if insert_only else pick(keyed, columns.keys, "__update"),
         keys=columns.keys,
         update=columns.update,
         insert=columns.insert,
-        new_values=lambda c, current: F.col(f"__update.`{c}`"),
+        new_row="__update",
         inserts=inserts,
         null_key_rows=null_inserts,
         co_located=co_located,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -54,6 +55,14 @@ def to_layout(df: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+def balanced(rows: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
+    """Bring the rows of a table partition together, so that it gets few files.
+
+    Adaptive execution splits a large partition over several tasks.
+    """
+    return rows.hint("rebalance", *[quoted(c) for c in partition_columns]) if partition_columns else rows
+
+
 def insert_overwrite(rows: DataFrame, table: str, mode: str) -> None:
     """INSERT OVERWRITE of all ('static') or only the written ('dynamic') partitions."""
     spark, key = rows.sparkSession, "spark.sql.sources.partitionOverwriteMode"
@@ -73,7 +82,7 @@ def replace_rows(spark: SparkSession, table: str, df: DataFrame, max_records_per
     rows = to_layout(df, spark.table(table))
     if info.partition_columns or info.bucket_columns:
         staged, path = stage(rows, "publish")
-        insert_overwrite(staged, table, "static")
+        insert_overwrite(balanced(staged, info.partition_columns), table, "static")
         delete_path(spark, path)
         return
     base = _VERSION_SUFFIX.sub("", info.location)
@@ -89,8 +98,9 @@ def replace_rows(spark: SparkSession, table: str, df: DataFrame, max_records_per
 
 def replace_partitions(spark: SparkSession, table: str, df: DataFrame) -> None:
     """Replace only the partitions that `df` holds rows of. `df` may read the table."""
+    columns = table_info(spark, table).partition_columns
     staged, path = stage(to_layout(df, spark.table(table)), "publish")
-    insert_overwrite(staged, table, "dynamic")
+    insert_overwrite(balanced(staged, columns), table, "dynamic")
     delete_path(spark, path)
 
 

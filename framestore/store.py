@@ -34,6 +34,7 @@ from framestore.operators.params import check_value
 from framestore.operators.upsert import upsert_changes
 from framestore.session import delete_path, stage
 from framestore.sinks.publish import (
+    balanced,
     insert_overwrite,
     replace_partitions,
     replace_rows,
@@ -324,11 +325,12 @@ class TableStore:
         enforce(rows, rules, self._parents(rules), existing, self.foreign_keys, SaveDataFrameError)
 
     def _create(self, rows: DataFrame, name: str, chunksize: int | None, partition_by, bucket_by) -> None:
-        writer = rows.write.format("parquet")
+        names = check_columns(as_list(partition_by), rows.columns)
+        writer = balanced(rows, names).write.format("parquet")
         if chunksize:
             writer = writer.option("maxRecordsPerFile", chunksize)
         if partition_by:
-            writer = writer.partitionBy(*as_list(partition_by))
+            writer = writer.partitionBy(*names)
         if bucket_by:
             writer = writer.bucketBy(bucket_by[0], *as_list(bucket_by[1]))
         writer.saveAsTable(name)
