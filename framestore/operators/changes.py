@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from framestore.operators.chunks import POSITION, with_positions
 from framestore.operators.keyed import HIT, any_null, ident, pick, quoted, row_struct, spread_join
 
 ACTION = "_action"
@@ -57,7 +58,9 @@ class Changes:
     of `keyed`. `inserts` are
     the new rows with non-NULL keys; `null_key_rows` are the source rows of which
     those with a NULL key are inserted as well. `co_located` says that the target is
-    bucketed by the keys, so that a join on just the keys need not shuffle it. `scratch` are staged tables that can
+    bucketed by the keys, so that a join on just the keys need not shuffle it.
+    `auto_key` is a column that inserted rows get a number in, and the number before
+    the first one. `scratch` are staged tables that can
     be deleted when the change is done.
     """
 
@@ -71,7 +74,9 @@ class Changes:
     null_key_rows: DataFrame | None
     delete_unmatched: bool = False
     co_located: bool = False
+    auto_key: tuple[str, int] | None = None
     scratch: tuple[str, ...] = ()
+    _with_numbers: DataFrame | None = None
 
     def matched(self, how: str) -> DataFrame:
         """Target rows joined with the source row of their key; `HIT` is NULL without one."""
@@ -117,13 +122,27 @@ class Changes:
             return None
         null_rows = pick(self.null_key_rows.where(any_null(self.keys)), self.insert)
         rows = self.inserts.unionByName(null_rows)
+        given = list(self.insert)
+        if self.auto_key is not None and self.auto_key[0] not in given:
+            given.append(self.auto_key[0])
+            rows = self._numbered(rows)
         return rows.select(
             *[
-                quoted(f.name) if f.name in self.insert else default_value(f).alias(f.name, metadata=f.metadata)
+                quoted(f.name) if f.name in given else default_value(f).alias(f.name, metadata=f.metadata)
                 for f in self.target.schema
             ]
         )
 
+    def _numbered(self, rows: DataFrame) -> DataFrame:
+        column, last = self.auto_key
+        if self._with_numbers is None:
+            positioned = with_positions(rows)
+            self.scratch += (positioned.path,)
+            key_type = self.target.schema[column].dataType
+            number = (F.col(POSITION) + F.lit(last + 1)).cast(key_type)
+            self._with_numbers = positioned.df.withColumn(column, number).drop(POSITION)
+        return self._with_numbers
+
     def result(self) -> DataFrame:
         """The whole table after the change."""
         updated, inserted = self.updated(), self.inserted()

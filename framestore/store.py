@@ -27,7 +27,7 @@ from framestore.functions.datetimes import DEFAULT_FORMAT, convert_datetime_colu
 from framestore.functions.parsing import cast_columns
 from framestore.operators.changes import ACTION, Changes
 from framestore.operators.checks import Constraints, enforce, unique_violations
-from framestore.operators.chunks import iter_chunks
+from framestore.operators.chunks import POSITION, iter_chunks, with_positions
 from framestore.operators.keyed import quoted, spread_join
 from framestore.operators.merge import merge_changes
 from framestore.operators.params import check_value
@@ -253,6 +253,7 @@ class TableStore:
         method: str | Callable | None = None,
         partition_by: str | Sequence[str] | None = None,
         bucket_by: tuple[int, str | Sequence[str]] | None = None,
+        auto_key: str | None = None,
         dst: str = "raise",
     ) -> None:
         """Save `df` to a table, which is created if it is absent.
@@ -266,7 +267,8 @@ class TableStore:
         created or replaced table. `method` may be a function that is called with
         the row iterator of each partition instead of writing. `partition_by` and
         `bucket_by` (number of buckets, columns) lay out a table that is created;
-        bucketed by the key columns, later upserts need not shuffle it.
+        bucketed by the key columns, later upserts need not shuffle it. `auto_key` is
+        an integer column that the rows get the next numbers in.
         """
         check_chunksize(chunksize)
         check_choice("if_exists", if_exists, IF_EXISTS)
@@ -280,11 +282,18 @@ class TableStore:
         rows = self._rows_to_save(df, index_cols, index, index_label)
         rows = convert_datetime_columns(rows, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
         rows = cast_columns(rows, dtype)
-        staged = None
+        staged: list[str] = []
         try:
+            if auto_key is not None:
+                last = self._last_number(name, auto_key) if exists and if_exists == "append" else 0
+                positioned = with_positions(rows.drop(auto_key))
+                staged.append(positioned.path)
+                number = F.col(POSITION) + F.lit(last + 1)
+                rows = positioned.df.withColumn(auto_key, number).drop(POSITION)
             rules = self._constraints.get(name)
             if rules is not None and if_exists != "drop-replace":
-                rows, staged = stage(rows, "save")
+                rows, path = stage(rows, "save")
+                staged.append(path)
                 self._enforce_save(rows, name, rules, exists and if_exists == "append")
             if callable(method):
                 rows.foreachPartition(method)
@@ -304,8 +313,8 @@ class TableStore:
         except Exception as e:
             raise SaveDataFrameError(f"Could not save to table {table}: {e}", data=e.args) from None
         finally:
-            if staged is not None:
-                delete_path(self.spark, staged)
+            for path in staged:
+                delete_path(self.spark, path)
 
     @staticmethod
     def _rows_to_save(df, index_cols, index, index_label) -> DataFrame:
@@ -390,13 +399,15 @@ class TableStore:
         order_by: str | Sequence[str] | None = None,
         on_duplicate: str | None = None,
         insert_only: bool = False,
+        auto_key: str | None = None,
         dst: str = "raise",
     ) -> ChangeCounts | DataFrame | None:
         """Update the rows of a table that match `df` on `where_cols`, and insert the others.
 
         Returns the counts of the run, taken while the table is written (None if
         Spark did not report them). With `dry_run` nothing is written and the
-        change set is returned. See `operators.upsert.upsert_changes` for
+        change set is returned. `auto_key` is an integer column that inserted rows
+        get the next numbers in. See `operators.upsert.upsert_changes` for
         `order_by` and `on_duplicate`.
         """
         check_chunksize(chunksize)
@@ -419,7 +430,7 @@ class TableStore:
             )
 
         source = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
-        return self._apply(table, source, plan, dry_run, deletes=False)
+        return self._apply(table, source, plan, dry_run, deletes=False, auto_key=auto_key)
 
     def merge_df(
         self,
@@ -489,7 +500,13 @@ class TableStore:
             ) from None
 
     def _apply(
-        self, table: str, source: DataFrame, plan: Callable, dry_run: bool, deletes: bool
+        self,
+        table: str,
+        source: DataFrame,
+        plan: Callable,
+        dry_run: bool,
+        deletes: bool,
+        auto_key: str | None = None,
     ) -> ChangeCounts | DataFrame | None:
         name = self.qualified(table)
         if not self.spark.catalog.tableExists(name):
@@ -499,7 +516,7 @@ class TableStore:
             return plan(target, source).change_set()
         # Finds wrong columns before the source is computed.
         outline = plan(target, source.limit(0))
-        scratch: list[str] = list(outline.scratch)
+        scratch, changes = list(outline.scratch), None
         try:
             # The source is read by several branches of the plan: compute it once.
             source, path = stage(source, "source")
@@ -515,7 +532,8 @@ class TableStore:
                 target = touched_partitions(target, source, info.partition_columns)
             bucketed = bool(info.bucket_columns) and set(info.bucket_columns) == set(outline.keys)
             changes = plan(target, source, co_located=bucketed)
-            scratch += changes.scratch
+            if auto_key is not None:
+                changes.auto_key = (auto_key, self._last_number(name, auto_key))
             self._enforce_changes(name, changes)
             counted = changes.counted_result()
             publish = replace_partitions if some_partitions else replace_rows
@@ -527,9 +545,18 @@ class TableStore:
         except Exception as e:
             raise ExecuteStatementError(f"{type(e).__name__}: {e}", data=e.args) from None
         finally:
-            for path in scratch:
+            for path in [*scratch, *(changes.scratch if changes is not None else ())]:
                 delete_path(self.spark, path)
 
+    def _last_number(self, name: str, column: str) -> int:
+        target = self.spark.table(name)
+        check_columns([column], target.columns, "table")
+        return target.agg(F.max(quoted(column))).first()[0] or 0
+
+    def definition(self, table: str) -> str:
+        """The CREATE TABLE statement of a table."""
+        return self.spark.sql(f"SHOW CREATE TABLE {self.qualified(table)}").first()[0]
+
     def _other_key_sets(self, name: str, changes: Changes) -> dict[str, tuple[str, ...]]:
         """Declared keys that the change can make repeat: not the one it matches on."""
         rules = self._constraints.get(name, Constraints())

@@ -362,6 +362,17 @@ def test_constraints_on_upsert(store, people, changed, spark):
     assert store.load_table("person").count() == 8
 
 
+def test_auto_key_numbers_inserted_rows(store, people, changed, spark):
+    store.save_df(people.drop("id"), "person", auto_key="id")
+    assert sorted(r["id"] for r in store.load_table("person").collect()) == [1, 2, 3, 4, 5, 6]
+    assert store.upsert_table(changed.drop("id"), "person", "name", auto_key="id") == ChangeCounts(6, 4, 2)
+    got = {r["name"]: r["id"] for r in store.load_table("person").collect()}
+    assert sorted(got.values()) == list(range(1, 9)) and {got["Gus"], got["Hal"]} == {7, 8}
+    store.save_df(spark.createDataFrame([("Ida",)], "name string"), "person", auto_key="id")
+    assert store.load_table("person").where("name = 'Ida'").first()["id"] == 9
+    assert store.definition("person").startswith("CREATE TABLE")
+
+
 def test_database_must_exist(spark):
     with pytest.raises(SourceNotFoundError):
         TableStore(spark, "no_such_database", must_exist=True)
