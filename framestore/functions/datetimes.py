@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, TimestampNTZType, TimestampType
 
 from framestore.errors import InvalidInputError
+from framestore.functions.project import ident
 from framestore.functions.strftime import format_wall_clock, split_format
 from framestore.session import require_utc
 from framestore.validation import check_choice
@@ -159,31 +160,46 @@ def convert_datetime_columns(
         return df
     require_utc(df.sparkSession)
 
-    converted: dict[str, Column] = {}
+    localized: dict[str, Column] = {}
+    zones: dict[str, str | None] = {}
     for field in fields:
-        col, zone = F.col(f"`{field.name}`"), column_zone(field)
+        name, zone = field.name, column_zone(field)
         if zone is None and localize_tz is not None:
-            col, zone = localize(col, localize_tz, dst), localize_tz
+            localized[name], zone = localize(F.col(ident(name)), localize_tz, dst), localize_tz
         if target_tz is not None and target_tz != zone:
             if zone is None:
                 raise InvalidInputError(
-                    f"Cannot convert the naive datetime column {field.name} to {target_tz=}: "
+                    f"Cannot convert the naive datetime column {name} to {target_tz=}: "
                     f"give its current zone with localize_tz",
                     data=target_tz,
                 )
             zone = target_tz
-        converted[field.name] = _as_dtype(field.name, col, zone, dtype, datetime_format, target_tz, local_epoch)
-    return df.select(*[converted.get(f.name, F.col(f"`{f.name}`")) for f in df.schema])
+        zones[name] = zone
+
+    names = df.columns
+    # Columns of their own, so that Spark computes the instant and the local time once per row.
+    rows = df.withColumns(localized) if localized else df
+    walls = {}
+    if dtype == "str":
+        walls = {n: f"__wall_{i}" for i, (n, z) in enumerate(zones.items()) if z is not None}
+        rows = rows.withColumns({w: wall_clock(F.col(ident(n)), zones[n]) for n, w in walls.items()})
+    return rows.select(
+        *[
+            _as_dtype(n, zones[n], walls.get(n, n), dtype, datetime_format, target_tz, local_epoch)
+            if n in zones
+            else F.col(ident(n))
+            for n in names
+        ]
+    )
 
 
-def _as_dtype(name, col, zone, dtype, datetime_format, target_tz, local_epoch) -> Column:
+def _as_dtype(name, zone, wall_name, dtype, datetime_format, target_tz, local_epoch) -> Column:
+    col = F.col(ident(name))
     if dtype is None:
-        return col.alias(name) if zone is None else col.alias(name, metadata={TZ_KEY: zone})
+        return col if zone is None else col.alias(name, metadata={TZ_KEY: zone})
     if dtype == "str":
-        wall = col if zone is None else wall_clock(col, zone)
-        offset = None
-        if zone is not None:
-            offset = epoch_seconds(wall) - epoch_seconds(col)
+        wall = F.col(ident(wall_name))
+        offset = None if zone is None else epoch_seconds(wall) - epoch_seconds(col)
         return format_wall_clock(wall, datetime_format, offset, zone).alias(name)
     seconds = epoch_seconds(col)
     if zone not in (None, "UTC"):

@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructField
+from pyspark.sql import DataFrame
+from pyspark.sql.types import DoubleType, FloatType
 
-
-def nan_to_null_column(field: StructField, col: Column | None = None) -> Column:
-    """NaN becomes NULL in a float or double column; other types pass unchanged."""
-    col = F.col(f"`{field.name}`") if col is None else col
-    if isinstance(field.dataType, (FloatType, DoubleType)):
-        return F.when(~F.isnan(col), col).alias(field.name, metadata=field.metadata)
-    return col
+from framestore.functions.project import ident, project
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -20,6 +14,15 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     There is no scan to find out whether a NaN occurs: the expression costs
     nothing next to reading the column.
     """
-    if not any(isinstance(f.dataType, (FloatType, DoubleType)) for f in df.schema):
+    schema = df.schema
+    if not any(isinstance(f.dataType, (FloatType, DoubleType)) for f in schema):
         return df
-    return df.select(*[nan_to_null_column(f) for f in df.schema])
+    return project(
+        df,
+        {
+            f.name: f"CASE WHEN NOT isnan({ident(f.name)}) THEN {ident(f.name)} END"
+            if isinstance(f.dataType, (FloatType, DoubleType))
+            else ident(f.name)
+            for f in schema
+        },
+    )

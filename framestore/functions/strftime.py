@@ -106,7 +106,8 @@ def format_wall_clock(wall: Column, fmt: str, offset_seconds: Column | None, zon
         else:
             raise InvalidInputError(f"%Z is only supported for UTC, the column is in {zone}", data=(fmt, zone))
     text = parts[0] if len(parts) == 1 else F.concat(*parts)
-    return F.when(wall.isNotNull(), text)
+    has_pattern = any(kind == "pattern" and value for kind, value in spark_patterns(fmt))
+    return text if has_pattern else F.when(wall.isNotNull(), text)
 
 
 def _offset_text(seconds: Column) -> Column:

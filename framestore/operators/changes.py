@@ -7,21 +7,22 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.types import StructField
 
+from framestore.functions.project import ident, pick, project
 from framestore.operators.chunks import POSITION, with_positions
-from framestore.operators.keyed import HIT, any_null, ident, pick, quoted, row_struct, spread_join
+from framestore.operators.keyed import HIT, any_null, quoted, row_struct, spread_join
 
 ACTION = "_action"
 _CHANGED = "__changed"
 _NEW = "__new"
 
 
-def default_value(field) -> Column:
-    """DEFAULT of a table column as Spark records it in the schema, else NULL."""
-    text = (field.metadata or {}).get("CURRENT_DEFAULT")
-    value = F.lit(None) if text is None else F.expr(text)
-    return value.cast(field.dataType)
+def default_value(field: StructField) -> str:
+    """SQL for the DEFAULT of a table column as Spark records it in the schema, else NULL."""
+    text = (field.metadata or {}).get("CURRENT_DEFAULT", "NULL")
+    return f"CAST({text} AS {field.dataType.simpleString()})"
 
 
 @dataclass
@@ -94,16 +95,16 @@ class Changes:
         if self.keyed is None:
             return self.target
         joined = self._with_new_row("inner" if self.delete_unmatched else "left")
-        columns = []
-        for f in self.target.schema:
-            name = ident(f.name)
-            if f.name in self.update:
-                name = f"CASE WHEN {HIT} IS NOT NULL THEN {_NEW}.{name} ELSE {name} END AS {name}"
-            columns.append(F.expr(name).alias(f.name, metadata=f.metadata) if f.metadata else name)
+        columns = {}
+        for name in self.target.columns:
+            value = ident(name)
+            if name in self.update:
+                value = f"CASE WHEN {HIT} IS NOT NULL THEN {_NEW}.{value} ELSE {value} END"
+            columns[name] = value
         if observation is None:
-            return joined.select(*[F.expr(c) if isinstance(c, str) else c for c in columns])
-        columns += [f"{HIT} IS NOT NULL AS {HIT}", f"{self._differs()} AS {_CHANGED}"]
-        marked = joined.select(*[F.expr(c) if isinstance(c, str) else c for c in columns])
+            return project(joined, columns, self.target.schema)
+        marks = {HIT: f"{HIT} IS NOT NULL", _CHANGED: self._differs()}
+        marked = project(joined, {**columns, **marks}, self.target.schema)
         counts = [F.count_if(HIT).alias("rows_matched"), F.count_if(_CHANGED).alias("rows_changed")]
         return marked.observe(observation, *counts).drop(HIT, _CHANGED)
 
@@ -126,11 +127,10 @@ class Changes:
         if self.auto_key is not None and self.auto_key[0] not in given:
             given.append(self.auto_key[0])
             rows = self._numbered(rows)
-        return rows.select(
-            *[
-                quoted(f.name) if f.name in given else default_value(f).alias(f.name, metadata=f.metadata)
-                for f in self.target.schema
-            ]
+        return project(
+            rows,
+            {f.name: ident(f.name) if f.name in given else default_value(f) for f in self.target.schema},
+            self.target.schema,
         )
 
     def _numbered(self, rows: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from framestore.errors import InvalidInputError, TableStoreError
-from framestore.operators.keyed import any_null, pick, quoted, spread_join
+from framestore.functions.project import pick
+from framestore.operators.keyed import any_null, quoted, spread_join
 from framestore.validation import as_list, check_columns
 
 SAMPLE_ROWS = 20

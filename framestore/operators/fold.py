@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from framestore.operators.keyed import any_null, ident, order_struct, quoted, row_struct, spread_join
+from framestore.functions.project import ident
+from framestore.operators.keyed import any_null, order_struct, quoted, row_struct, spread_join
 
 _BATCH_ROWS = 4096
 
@@ -205,8 +206,9 @@ def _repeated_runs(rows: DataFrame, keys: list[str], columns: list[str], order_b
 
     key_columns = [quoted(k) for k in keys]
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The random last key spreads rows that are equal in key, order and values: their order is free.
     runs = (
-        rows.repartitionByRange(partitions, *key_columns, F.col("__order"))
+        rows.repartitionByRange(partitions, *key_columns, F.col("__order"), F.rand(7))
         .sortWithinPartitions(*key_columns, "__order")
         .withColumn("__part", F.spark_partition_id())
         .drop("__order")

@@ -18,17 +18,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import AtomicType, StructType
 
 from framestore.errors import InvalidInputError
+from framestore.functions.project import ident, pick, project
 
 HIT = "__hit"
 _SPREAD = "__spread"
 _SPREAD_SIZE = 4096
 
 
-def ident(name: str) -> str:
-    """A column name as SQL text."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def quoted(name: str) -> Column:
     return F.col(ident(name))
 
@@ -42,11 +38,6 @@ def row_struct(columns: Sequence[str]) -> Column:
     return F.expr(f"struct({', '.join(ident(c) for c in columns)})")
 
 
-def pick(df: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:
-    """The columns of `df` with these names, and further SQL expressions."""
-    return df.selectExpr(*[ident(c) for c in columns], *more)
-
-
 def atomic_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
 
@@ -63,13 +54,14 @@ def align_types(df: DataFrame, schema: StructType) -> DataFrame:
     types = {f.name: f.dataType for f in schema}
     if all(f.name not in types or f.dataType == types[f.name] for f in df.schema):
         return df
-    return df.select(
-        *[
-            quoted(f.name).cast(types[f.name]).alias(f.name, metadata=f.metadata)
+    return project(
+        df,
+        {
+            f.name: f"CAST({ident(f.name)} AS {types[f.name].simpleString()})"
             if f.name in types and f.dataType != types[f.name]
-            else quoted(f.name)
+            else ident(f.name)
             for f in df.schema
-        ]
+        },
     )
 
 

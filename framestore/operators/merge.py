@@ -13,9 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from framestore.errors import InvalidColumnNameError, InvalidInputError
+from framestore.functions.project import ident
 from framestore.operators.changes import Changes
 from framestore.operators.fold import fold_changes, folded_row
-from framestore.operators.keyed import collapse, ident, unmatched
+from framestore.operators.keyed import collapse, unmatched
 from framestore.operators.upsert import duplicate_mode, prepare_source
 from framestore.session import fits_broadcast
 from framestore.validation import check_chunksize

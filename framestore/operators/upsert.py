@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from framestore.errors import InvalidColumnNameError, InvalidInputError
 from framestore.functions.nulls import nan_to_null
+from framestore.functions.project import pick
 from framestore.operators.changes import Changes
 from framestore.operators.chunks import POSITION, with_positions
-from framestore.operators.keyed import align_types, collapse, pick, unmatched
+from framestore.operators.keyed import align_types, collapse, unmatched
 from framestore.session import fits_broadcast
 from framestore.validation import ColumnPlan, as_list, check_choice, check_chunksize, check_columns, plan_columns
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from framestore.functions.project import ident
 from framestore.operators.changes import default_value
 from framestore.operators.keyed import align_types, quoted
 from framestore.session import delete_path, stage
@@ -27,6 +28,7 @@ class TableInfo:
 
     name: str
     location: str
+    managed: bool
     provider: str
     partition_columns: tuple[str, ...]
     bucket_columns: tuple[str, ...]
@@ -38,6 +40,7 @@ def table_info(spark: SparkSession, table: str) -> TableInfo:
     return TableInfo(
         name=table,
         location=details["Location"].rstrip("/"),
+        managed=details.get("Type") == "MANAGED",
         provider=details.get("Provider", "parquet"),
         partition_columns=tuple(c.name for c in columns if c.isPartition),
         bucket_columns=tuple(c.name for c in columns if c.isBucket),
@@ -47,11 +50,9 @@ def table_info(spark: SparkSession, table: str) -> TableInfo:
 def to_layout(df: DataFrame, target: DataFrame) -> DataFrame:
     """Columns of `df` in the order and with the types of `target`; absent ones get their default."""
     df = align_types(df, target.schema)
-    return df.select(
-        *[
-            (quoted(f.name) if f.name in df.columns else default_value(f)).alias(f.name)
-            for f in target.schema
-        ]
+    given = df.columns
+    return df.selectExpr(
+        *[f"{ident(f.name) if f.name in given else default_value(f)} AS {ident(f.name)}" for f in target.schema]
     )
 
 
@@ -80,7 +81,8 @@ def replace_rows(spark: SparkSession, table: str, df: DataFrame, max_records_per
     """Make `df` the rows of `table` and keep its definition. `df` may read the table."""
     info = table_info(spark, table)
     rows = to_layout(df, spark.table(table))
-    if info.partition_columns or info.bucket_columns:
+    if not info.managed or info.partition_columns or info.bucket_columns:
+        # An external table stays where it is.
         staged, path = stage(rows, "publish")
         insert_overwrite(balanced(staged, info.partition_columns), table, "static")
         delete_path(spark, path)

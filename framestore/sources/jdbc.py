@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from framestore.errors import InvalidInputError, LoadTableError, SaveDataFrameError
 from framestore.operators.upsert import upsert
 from framestore.session import delete_path, stage
+from framestore.sources.load import shape_rows
 from framestore.validation import check_chunksize, check_table_name, is_table_name
 
 
@@ -77,6 +78,17 @@ class JdbcSource:
         except Exception as e:
             raise LoadTableError(f"Cannot load {sql!r}: {e}", data=(e.args, sql)) from None
 
+    def load_table(
+        self,
+        spark: SparkSession,
+        sql: str,
+        columns: Sequence[str] | None = None,
+        read: dict[str, Any] | None = None,
+        **options: Any,
+    ) -> DataFrame:
+        """Read a table or query and apply the load options of `shape_rows`."""
+        return shape_rows(self.read(spark, sql, columns, **(read or {})), **options)
+
     def write_options(
         self, table: str, if_exists: str, chunksize: int | None = None, column_types: str | None = None
     ) -> tuple[str, dict[str, str]]:

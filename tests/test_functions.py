@@ -249,3 +249,18 @@ def test_jdbc_options():
     assert "truncate" not in db.write_options("item", "drop-replace")[1]
     with pytest.raises(InvalidInputError):
         db.write_options("item", "upsert")
+
+
+def test_jdbc_upsert_stages_before_it_truncates(spark, monkeypatch):
+    db, written = JdbcSource("jdbc:vendor://host/db"), {}
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
+    monkeypatch.setattr(JdbcSource, "read", lambda self, spark, sql, columns=None, **kw: target)
+
+    def write(self, df, table, if_exists, chunksize=None):
+        written[table, if_exists] = sorted(tuple(r) for r in df.collect())
+        assert "FileScan" in df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(JdbcSource, "write", write)
+    assert db.load_table(spark, "item", dtypes={"id": "string"}, index_col="s").dtypes == [("s", "string"), ("id", "string")]
+    db.upsert(spark.createDataFrame([(2, "B"), (3, "c")], "id int, s string"), "item", "id")
+    assert written == {("item", "replace"): [(1, "a"), (2, "B"), (3, "c")]}

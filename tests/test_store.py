@@ -362,6 +362,14 @@ def test_constraints_on_upsert(store, people, changed, spark):
     assert store.load_table("person").count() == 8
 
 
+def test_external_table_stays_in_place(store, people, changed, spark, tmp_path):
+    name, path = store.qualified("person"), f"{tmp_path}/external"
+    people.write.parquet(path)
+    spark.sql(f"CREATE TABLE {name} ({SCHEMA}) USING parquet LOCATION '{path}'")
+    assert store.upsert_table(changed, "person", "id") == ChangeCounts(6, 4, 2)
+    assert rows(spark.read.parquet(path)) == rows(store.load_table("person")) == sorted(CHANGED, key=repr)
+
+
 def test_auto_key_numbers_inserted_rows(store, people, changed, spark):
     store.save_df(people.drop("id"), "person", auto_key="id")
     assert sorted(r["id"] for r in store.load_table("person").collect()) == [1, 2, 3, 4, 5, 6]
