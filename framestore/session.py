@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,17 +23,13 @@ def require_utc(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: what the cluster names in spark.checkpoint.dir.
 
-    Only a local session, where driver and executors are one machine, may fall
-    back to a new temporary folder.
+    Where that is unset, a folder in the warehouse, which all executors reach as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise InvalidInputError("Set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="framestore-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/framestore-scratch"
 
 
 def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:

@@ -9,7 +9,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from framestore.plans import ORACLES, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -40,11 +41,11 @@ def as_rows(columns, rows):
     return sorted((tuple(normal(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, sf_dir, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     rows = df.collect()
-    sql = oracle_sql().get(name)
+    sql = ORACLES.get(name)
     assert sql is not None
     result = duck.execute(sql)
     columns = [d[0] for d in result.description]
