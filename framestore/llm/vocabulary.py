@@ -33,12 +33,13 @@ class WordIds:
 
     def learn(self, words: Iterable, as_text: Callable = lambda w: w) -> None:
         """Encode the words that are not known yet; their keys are what `words` holds."""
-        missing = [w for w in dict.fromkeys(words) if w not in self.known]
+        words = dict.fromkeys(words)
+        missing = [w for w in words if w not in self.known]
         if not missing:
             return
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-            missing = list(dict.fromkeys(words))
+            missing = list(words)
         texts = [as_text(w) for w in missing]
         alone = [i for i, t in enumerate(texts) if self.plain_only in t]
         together = [i for i, t in enumerate(texts) if self.plain_only not in t] if alone else range(len(texts))
