@@ -49,7 +49,7 @@ def word_ids(path: str) -> WordIds:
             return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
         # A NUL by itself is a word of its own and has one id.
-        _READY[path] = WordIds(encode, " \0 ", tuple(encode(["\0"])[0]), "\0")
+        _READY[path] = WordIds(encode, " \0 ", "\0")
     return _READY[path]
 
 

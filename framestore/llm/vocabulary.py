@@ -11,54 +11,67 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 
-#: Words kept per Python worker before the memory starts anew. It only bounds memory: forgotten words are encoded again.
-CACHE_WORDS = 400_000
+#: Words that a Python worker remembers; those not seen for long go. It only bounds memory: forgotten words are encoded again.
+CACHE_WORDS = 800_000
 _JOINED = 2_000
 
 
 class WordIds:
     """Look-up of the ids of words, as little-endian unsigned 32-bit ids in bytes.
 
-    `encode_batch` gives the ids of each text. A text of many words is made with
-    `joiner` between them, and its ids are cut where `mark`, a run of ids that
-    only the joiner has, stands. A word that holds `plain_only` is encoded by itself.
+    `encode_batch` gives the ids of each text. A text of many words is `lead`, then the
+    words with `joiner` between them; its ids are cut where `mark` stands, a run of ids that only
+    the joiner has. A word that holds `plain_only` is encoded by itself. `check` sees every
+    joined text with its ids.
     """
 
     def __init__(
-        self, encode_batch: Callable[[list[str]], list[list[int]]], joiner: str, mark: tuple[int, ...], plain_only: str,
-        check: Callable[[list[str], list[bytes]], None] | None = None,
+        self, encode_batch: Callable[[list[str]], list[list[int]]], joiner: str, plain_only: str, lead: str = "",
+        check: Callable[[list[list], list[str], list[np.ndarray]], None] | None = None,
     ):
-        self.encode_batch, self.joiner, self.mark, self.plain_only, self.check = encode_batch, joiner, mark, plain_only, check
+        self.encode_batch, self.joiner, self.plain_only, self.lead, self.check = encode_batch, joiner, plain_only, lead, check
+        self.skip = len(encode_batch([lead])[0])
+        self.mark = tuple(encode_batch([lead + joiner])[0][self.skip :])
         self.known: dict = {}
+        self._before: dict = {}
 
     def learn(self, words: Iterable, as_text: Callable = lambda w: w) -> None:
-        """Encode the words that are not known yet; their keys are what `words` holds."""
+        """See to it that `known` holds all of `words`; their keys are what `words` holds."""
         words = dict.fromkeys(words)
-        missing = [w for w in words if w not in self.known]
-        if not missing:
-            return
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-            missing = list(words)
-        texts = [as_text(w) for w in missing]
+        if len(self.known) > CACHE_WORDS // 2:
+            self._before, self.known = self.known, {}
+        known, before, missing = self.known, self._before, []
+        for w in words:
+            if w not in known:
+                if w in before:
+                    known[w] = before[w]
+                else:
+                    missing.append(w)
+        if missing:
+            known.update(zip(missing, self._ids(missing, [as_text(w) for w in missing])))
+
+    def _ids(self, words: list, texts: list[str]) -> list[bytes]:
         alone = [i for i, t in enumerate(texts) if self.plain_only in t]
-        together = [i for i, t in enumerate(texts) if self.plain_only not in t] if alone else range(len(texts))
+        together = [i for i, t in enumerate(texts) if self.plain_only not in t] if alone else list(range(len(texts)))
         ids: list[bytes] = [b""] * len(texts)
         for i, found in zip(alone, self.encode_batch([texts[i] for i in alone]) if alone else []):
             ids[i] = np.asarray(found, dtype="<u4").tobytes()
         groups = [together[a : a + _JOINED] for a in range(0, len(together), _JOINED)]
-        for group, found in zip(groups, self.encode_batch([self.joiner.join(texts[i] for i in g) for g in groups])):
-            flat = np.asarray(found, dtype="<u4")
-            hit = np.ones(max(0, len(flat) - len(self.mark) + 1), dtype=bool)
+        joined = [self.lead + self.joiner.join([texts[i] for i in g]) for g in groups]
+        flats = [np.asarray(found, dtype="<u4") for found in self.encode_batch(joined)]
+        if self.check:
+            self.check([[words[i] for i in g] for g in groups], joined, flats)
+        size = len(self.mark)
+        for group, flat in zip(groups, flats):
+            hit = np.ones(max(0, len(flat) - size + 1), dtype=bool)
+            hit[: self.skip] = False
             for k, m in enumerate(self.mark):
-                hit &= flat[k : len(flat) - len(self.mark) + 1 + k] == m
+                hit &= flat[k : len(flat) - size + 1 + k] == m
             cuts = np.flatnonzero(hit)
             if len(cuts) != len(group) - 1:
-                raise ValueError("The joiner of words is not kept apart by the tokenizer")
-            raw, start = flat.tobytes(), 0
+                raise ValueError("The tokenizer does not keep apart what the joiner separates")
+            raw, start = flat.tobytes(), self.skip
             for i, cut in zip(group, [*cuts.tolist(), len(flat)]):
                 ids[i] = raw[4 * start : 4 * cut]
-                start = cut + len(self.mark)
-        if self.check:
-            self.check(texts, ids)
-        self.known.update(zip(missing, ids))
+                start = cut + size
+        return ids
