@@ -26,10 +26,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from framestore.llm.batches import id_and_text, id_type, slices
 from framestore.llm.components import components
+from framestore.llm.parts import DEALT, among, answers, by_part, deal, dealing, kept_by_part
+from framestore.llm.parts import low_bits, recurring, spans_of
 from framestore.llm.registry import query, table
 from framestore.llm.shingles import mix, sets
 from framestore.session import stage
@@ -37,7 +39,7 @@ from framestore.session import stage
 WIDTH = 5
 #: Shingles in the frequency table, 8 bytes each; and the count from which a shingle may be in it.
 HEAVY, FREQUENT = 1 << 18, 16
-_WORK_BYTES = 4 << 20
+_WORK_BYTES, _SHINGLES_AT_ONCE = 1 << 20, 1 << 20
 
 
 def least_overlap(size, other=None):
@@ -50,12 +52,6 @@ def prefix(size: int, k: int) -> int:
     return max(0, min(size, size - least_overlap(size) + k))
 
 
-def _buckets(spark: SparkSession) -> tuple[int, int]:
-    """(partitions, bits): shingles are dealt by their first bits, several buckets to a partition."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return n, max(6, (2 * n - 1).bit_length())
-
-
 def _row(schema: dict, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[c], t) for c, t in schema.items()], list(schema))
 
@@ -67,23 +63,31 @@ def frequencies(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, int, float]:
     Every shingle of every text is counted: summed up for each batch, dealt by its first bits as arrays, summed up again.
     """
     spark = texts.sparkSession
-    n, bits = _buckets(spark)
+    n, bits = dealing(spark)
     shift = np.uint64(32 - bits)
     schema = {"bucket": pa.int32(), "low": pa.binary(), "counts": pa.binary()}
 
+    def rows_of(found: list[np.ndarray]) -> pa.RecordBatch:
+        seen, counts = np.unique(np.concatenate(found) >> shift, return_counts=True)
+        counts = np.minimum(counts, 65535).astype("<u2")
+        low, spans = low_bits(seen), spans_of(seen, bits)
+        return _row(
+            schema, bucket=[i for i, _, _ in spans], low=[low[a:b].tobytes() for _, a, b in spans],
+            counts=[counts[a:b].tobytes() for _, a, b in spans],
+        )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
         for batch in batches:
             for part in slices(batch, "text", _WORK_BYTES):
-                found = list(sets(part.column("text"), WIDTH))
-                seen, counts = np.unique(np.concatenate(found) >> shift, return_counts=True)
-                counts = np.minimum(counts, 65535).astype("<u2")
-                low, bucket = (seen & np.uint64(0xFFFFFFFF)).astype("<u4"), (seen >> np.uint64(32)).astype(np.int64)
-                ends = np.searchsorted(bucket, np.arange(1 << bits), "right")
-                spans = [(i, a, b) for i, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())) if b > a]
-                yield _row(
-                    schema, bucket=[i for i, _, _ in spans], low=[low[a:b].tobytes() for _, a, b in spans],
-                    counts=[counts[a:b].tobytes() for _, a, b in spans],
-                )
+                for one in sets(part.column("text"), WIDTH):
+                    found.append(one)
+                    held += len(one)
+                if held > _SHINGLES_AT_ONCE:
+                    yield rows_of(found)
+                    found, held = [], 0
+        if found:
+            yield rows_of(found)
 
     out = {"shingle": pa.int64(), "n": pa.int64(), "all": pa.int64(), "distinct": pa.int64()}
 
@@ -188,38 +192,62 @@ def boundary(sizes: list[tuple[int, int]], mean: float) -> int:
     return best[1]
 
 
+def keys_of(size: int, first: bytes, small: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, places) under which a set may meet others: pairs of a small set, single shingles
+    of a large one and of those that large ones may link with."""
+    tokens, keys, places = np.frombuffer(first, np.uint64), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    if size <= small:
+        a, b = np.array(list(combinations(range(len(tokens)), 2)), dtype=np.int64).reshape(-1, 2).T
+        keys.append(mix(mix(np.minimum(tokens[a], tokens[b])) + np.maximum(tokens[a], tokens[b])))
+        places.append(a)
+    if size > small or 5 * size >= 4 * (small + 1):
+        n = prefix(size, 1)
+        keys.append(tokens[:n])
+        places.append(np.arange(n))
+    return np.concatenate(keys), np.concatenate(places)
+
+
+_ROWS_AT_ONCE = 1000
+
+
 def postings(classes: DataFrame, small: int) -> DataFrame:
-    """(key, class, size, place): the keys of a set under which it may meet others.
+    """(key, class, size, place) of the keys that more than one set has.
 
-    Keys of pairs (small sets) and of single shingles (large sets, and sets that large ones may link with) differ.
+    Keys are first dealt as bare numbers to find those; most belong to one set only and are never made into rows.
     """
+    n, bits = dealing(classes.sparkSession)
+
+    def keyed(table: pa.Table | pa.RecordBatch):
+        found = [keys_of(s, f, small) for s, f in zip(table.column("size").to_pylist(), table.column("first").to_pylist())]
+        of = np.repeat(np.arange(len(found)), [len(k) for k, _ in found])
+        return np.concatenate([k for k, _ in found]), np.concatenate([p for _, p in found]), of
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, batch in by_part(batches):
+            for a in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                keys, _, of = keyed(batch.slice(a, _ROWS_AT_ONCE))
+                yield deal(keys, of, part, bits)
+
     schema = {"key": pa.int64(), "class": pa.int64(), "size": pa.int32(), "place": pa.int32()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts, held = [], 0
-            rows = zip(*(batch.column(c).to_pylist() for c in ("class", "size", "first")))
-            for i, (c, size, first) in enumerate(rows):
-                tokens, keys, places = np.frombuffer(first, np.uint64), [], []
-                if size <= small:
-                    a, b = np.array(list(combinations(range(len(tokens)), 2)), dtype=np.int64).reshape(-1, 2).T
-                    keys.append(mix(mix(np.minimum(tokens[a], tokens[b])) + np.maximum(tokens[a], tokens[b])))
-                    places.append(a)
-                if size > small or 5 * size >= 4 * (small + 1):
-                    keys.append(tokens[: prefix(size, 1)])
-                    places.append(np.arange(prefix(size, 1)))
-                for k, p in zip(keys, places):
-                    parts.append((k, np.full(len(k), c), np.full(len(k), size), p))
-                    held += len(k)
-                if parts and (held >= 200_000 or i == batch.num_rows - 1):
-                    key, of, sizes, place = (np.concatenate(x) for x in zip(*parts))
-                    yield _row(schema, **{"key": key.view(np.int64), "class": of, "size": sizes, "place": place})
-                    parts, held = [], 0
-            if parts:
-                key, of, sizes, place = (np.concatenate(x) for x in zip(*parts))
-                yield _row(schema, **{"key": key.view(np.int64), "class": of, "size": sizes, "place": place})
-
-    return classes.select("class", "size", "first").mapInArrow(run, "key bigint, class bigint, size int, place int")
+    def list_shared(rows: pa.Table, found: pa.Table) -> pa.Table:
+        wanted, parts = answers(found), []
+        for a in range(0, len(rows), _ROWS_AT_ONCE):
+            some = rows.slice(a, _ROWS_AT_ONCE)
+            keys, place, of = keyed(some)
+            keep = among(keys >> np.uint64(32 - bits), wanted)
+            of = pa.array(of[keep])
+            parts.append(pa.Table.from_arrays(
+                [pa.array(keys[keep].view(np.int64)), some.column("class").take(of), some.column("size").take(of),
+                 pa.array(place[keep].astype(np.int32))], schema=pa.schema(list(schema.items())),
+            ))
+        return pa.concat_tables(parts) if parts else pa.schema(list(schema.items())).empty_table()
+
+    with kept_by_part(classes.select("class", "size", "first")) as (kept, _):
+        asked = kept.select("part", "size", "first").mapInArrow(ask, DEALT).repartition(n, "bucket")
+        shared, _ = stage(recurring(asked), "shared-keys")
+        lists = kept.groupBy("part").cogroup(shared.groupBy("part"))
+        return stage(lists.applyInArrow(list_shared, "key bigint, class bigint, size int, place int"), "lists")[0]
 
 
 def _could_link(a: str, b: str):
@@ -230,13 +258,12 @@ def _could_link(a: str, b: str):
 
 
 def pivot_pairs(lists: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a list's pivot and each other member that it could link with."""
-    # The set that comes into the list first, then the smallest class, in one number.
-    rank = F.least("place", F.lit(1023)).cast("bigint") * (1 << 53) + F.col("class")
-    pivots = lists.groupBy("key").agg(F.min(rank).alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    pivots = pivots.select("key", (F.col("pivot") % (1 << 53)).alias("a"))
-    met = lists.join(pivots, "key").where(F.col("class") != F.col("a"))
-    return met.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
+    """Pairs (a, b) of a list's pivot, the set that comes into it first, and each other member that it could link with."""
+    pivots = lists.groupBy("key").agg(F.min(F.struct("place", "size", "class")).alias("p"), F.count("*").alias("n"))
+    pivots = pivots.where("n > 1").select("key", *[F.col(f"p.{c}").alias(f"a_{c}") for c in ("class", "size", "place")])
+    own = lists.select("key", *[F.col(c).alias(f"b_{c}") for c in ("class", "size", "place")])
+    met = own.join(pivots, "key").where((F.col("a_class") != F.col("b_class")) & _could_link("a_", "b_"))
+    return met.select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b")).distinct()
 
 
 def open_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -328,7 +355,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     step = F.floor(F.log(F.col("size").cast("double")) / F.lit(np.log(1.1)))
     sizes = classes.groupBy(step.alias("step")).agg(F.max("size").alias("size"), F.count("*").alias("n")).collect()
     small = boundary([(r["size"], r["n"]) for r in sizes], mean)
-    lists, _ = stage(postings(classes, small), "lists")
+    lists = postings(classes, small)
     pairs, _ = stage(pivot_pairs(lists), "pivot-pairs")
     links, _ = stage(verified(pairs, wanted_sets(texts, classes, pairs)), "pivot-links")
     labels = components(links)

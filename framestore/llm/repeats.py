@@ -18,7 +18,6 @@ The rows are kept in a table that is bucketed by input partition, so texts are r
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from framestore.llm.batches import slices
+from framestore.llm.parts import DEALT, among, answers, by_part, deal, dealing, kept_by_part, low_bits, recurring, spans_of
 from framestore.llm.registry import query, table
 from framestore.llm.shingles import _BYTES, _POWERS, mix, span_hashes, text_bytes
-from framestore.session import shared_folder, stage
+from framestore.session import stage
 
 DEPTH = 50
 #: An anchor gram is one of the SPREAD grams of a window.
@@ -87,77 +87,17 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _cut(dealt: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
-    """(bucket, from, to) of sorted numbers of 32 + `bits` bits by their first bits."""
-    ends = np.searchsorted(dealt >> np.uint64(32), np.arange(1 << bits, dtype=np.uint64), "right")
-    return [(i, a, b) for i, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())) if b > a]
-
-
-def _low(dealt: np.ndarray) -> np.ndarray:
-    return (dealt & np.uint64(0xFFFFFFFF)).astype("<u4")
-
-
 def deal_grams(rows: DataFrame, bits: int) -> DataFrame:
-    """(bucket, part, grams, often): the distinct grams of a piece of a partition, and whether two of its documents have them."""
+    """The distinct grams of each piece of a partition, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part, batch in by_part(batches):
             for piece in slices(batch, "text", _SLICE):
                 data, at = text_bytes(piece.column("text"))
                 _, _, place, gram = anchors(data, at)
-                if not len(gram):
-                    continue
-                doc = np.searchsorted(at, place, "right")
-                order = np.lexsort((doc, gram))
-                key, doc = (gram >> np.uint64(32 - bits))[order], doc[order]
-                new = np.concatenate([[True], key[1:] != key[:-1]])
-                start = np.flatnonzero(new)
-                last = np.concatenate([start[1:], [len(key)]]) - 1
-                key, several = key[start], doc[start] != doc[last]
-                spans = _cut(key, bits)
-                low, flags = _low(key), several.astype(np.uint8)
-                part = piece.column("part")[0].as_py()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([i for i, _, _ in spans], pa.int32()), pa.array([part] * len(spans), pa.int32()),
-                        pa.array([low[a:b].tobytes() for _, a, b in spans], pa.binary()),
-                        pa.array([np.packbits(flags[a:b]).tobytes() for _, a, b in spans], pa.binary()),
-                    ],
-                    ["bucket", "part", "grams", "often"],
-                )
-
-    return rows.select("part", "text").mapInArrow(run, "bucket int, part int, grams binary, often binary")
-
-
-def recurring_grams(dealt: DataFrame) -> DataFrame:
-    """(part, grams): which of its grams recur, for each partition and bucket."""
+                yield deal(gram, np.searchsorted(at, place, "right"), part, bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for bucket, part, low, often in zip(*(c.to_pylist() for c in batch.columns)):
-                low = np.frombuffer(low, "<u4")
-                held.setdefault(bucket, []).append((part, low, np.unpackbits(np.frombuffer(often, np.uint8), count=len(low))))
-        for bucket in list(held):
-            pieces = held.pop(bucket)
-            low = np.concatenate([x for _, x, _ in pieces])
-            part = np.repeat(np.array([p for p, _, _ in pieces]), [len(x) for _, x, _ in pieces])
-            seen, of, n = np.unique(low, return_inverse=True, return_counts=True)
-            again = n > 1
-            again[of[np.concatenate([x for _, _, x in pieces]) == 1]] = True
-            keep = again[of]
-            low, part = low[keep], part[keep]
-            order = np.argsort(part, kind="stable")
-            low, part = (bucket << 32) + low[order].astype(np.int64), part[order]
-            if not len(part):
-                continue
-            parts, start = np.unique(part, return_index=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(parts, pa.int32()), pa.array([x.tobytes() for x in np.split(low, start[1:])], pa.binary())],
-                ["part", "grams"],
-            )
-
-    return dealt.mapInArrow(run, "part int, grams binary")
+    return rows.select("part", "text").mapInArrow(run, DEALT)
 
 
 def _contexts(piece: pa.Table, bits: int, wanted: np.ndarray | None = None):
@@ -166,8 +106,7 @@ def _contexts(piece: pa.Table, bits: int, wanted: np.ndarray | None = None):
     first, last, place, gram = anchors(data, at)
     key = gram >> np.uint64(32 - bits)
     if wanted is not None and len(key):
-        hit = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-        keep = wanted[hit] == key if len(wanted) else np.zeros(len(key), dtype=bool)
+        keep = among(key, wanted)
         first, last, place, key = first[keep], last[keep], place[keep], key[keep]
     whole = span_hashes(_BYTES[data], first, last + DEPTH) if len(first) else np.zeros(0, np.uint64)
     context = mix(whole + mix((place - first).astype(np.uint64) + np.uint64(1)))
@@ -184,6 +123,12 @@ def _pieces(texts: pa.Table) -> Iterator[pa.RecordBatch]:
         yield from slices(batch, "text", _SLICE)
 
 
+def _first_of_each(context: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Where each context has its smallest id."""
+    order = np.lexsort((ids, context))
+    return order[np.concatenate([[True], context[order][1:] != context[order][:-1]])] if len(order) else order
+
+
 def deal_contexts(rows: DataFrame, grams: DataFrame, bits: int) -> DataFrame:
     """(bucket, part, keys, contexts, ids, lefts, sizes, bytes): the distinct contexts of recurring grams in a partition."""
 
@@ -193,30 +138,34 @@ def deal_contexts(rows: DataFrame, grams: DataFrame, bits: int) -> DataFrame:
         schema = pa.schema(list(zip(names, kinds)))
         if not len(texts) or not len(found):
             return schema.empty_table()
-        wanted = np.sort(np.frombuffer(b"".join(found.column("grams").to_pylist()), np.int64)).view(np.uint64)
-        held = []
+        wanted, held = answers(found), []
         for piece in _pieces(texts):
             doc, first, last, key, context, place, data, _ = _contexts(piece, bits, wanted)
             ids = _ids(piece)[doc]
-            order = np.lexsort((ids, context))
-            keep = order[np.concatenate([[True], context[order][1:] != context[order][:-1]])] if len(order) else order
+            keep = _first_of_each(context, ids)
             left, size = (place - first)[keep], (last - first)[keep] + _REST
             # The bytes before the anchor and those behind it.
-            a, b = first[keep], last[keep] + DEPTH
-            bytes_ = [data[x:p].tobytes() + data[p + GRAM : y].tobytes() for x, p, y in zip(a.tolist(), place[keep].tolist(), b.tolist())]
-            held.append((key[keep], context[keep], ids[keep], left, size, np.array(bytes_, dtype=object)))
-        key, context, ids, left, size, bytes_ = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((ids, context))
-        order = order[np.concatenate([[True], context[order][1:] != context[order][:-1]])] if len(order) else order
+            step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            step += np.where(step >= np.repeat(left, size), GRAM, 0) + np.repeat(first[keep], size)
+            held.append((key[keep], context[keep], ids[keep], left.astype(np.uint8), size.astype(np.uint8), data[step]))
+        key, context, ids, left, size, data = (np.concatenate(x) for x in zip(*held))
+        del held
+        ends = np.cumsum(size, dtype=np.int64)
+        order = _first_of_each(context, ids)
         order = order[np.argsort(key[order], kind="stable")]
-        key, context, ids, left, size, bytes_ = (x[order] for x in (key, context, ids, left, size, bytes_))
+        key, context, ids, left, size, ends = (x[order] for x in (key, context, ids, left, size, ends))
         part = texts.column("part")[0].as_py()
-        spans, low = _cut(key, bits), _low(key)
+        spans, low = spans_of(key, bits), low_bits(key)
+
+        def bytes_of(a: int, b: int) -> bytes:
+            n = size[a:b].astype(np.int64)
+            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            return data[np.repeat(ends[a:b] - n, n) + step].tobytes()
+
         columns = [
-            [i for i, _, _ in spans], [part] * len(spans), [low[a:b].tobytes() for _, a, b in spans],
-            [context[a:b].tobytes() for _, a, b in spans], [ids[a:b].tobytes() for _, a, b in spans],
-            [left[a:b].astype(np.uint8).tobytes() for _, a, b in spans], [size[a:b].astype(np.uint8).tobytes() for _, a, b in spans],
-            [b"".join(bytes_[a:b]) for _, a, b in spans],
+            [i for i, _, _ in spans], [part] * len(spans),
+            *[[x[a:b].tobytes() for _, a, b in spans] for x in (low, context, ids, left, size)],
+            [bytes_of(a, b) for _, a, b in spans],
         ]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], schema=schema)
 
@@ -265,7 +214,7 @@ def _window_minima(key, ids, left, size, start, data) -> tuple[np.ndarray, np.nd
     return entry[rows], step[rows], least
 
 
-_WINDOWS_AT_ONCE = 1 << 20
+_WINDOWS_AT_ONCE = 1 << 18
 
 
 def first_holders(dealt: DataFrame) -> DataFrame:
@@ -394,25 +343,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other. Null and empty texts have no bytes. An empty table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(6, (2 * n - 1).bit_length())
-    name = f"framestore_rows_{uuid.uuid4().hex}"
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("part"),
-        F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
+    n, bits = dealing(spark)
+    texts = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("bigint").alias("id"),
+        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
-    # Each input partition goes to one bucket as a whole, so nothing moves here or when it is read.
-    writer = rows.write.bucketBy(n, "part").option("path", f"{shared_folder(spark)}/framestore/{name}")
-    writer.format("parquet").saveAsTable(name)
-    try:
-        rows = spark.table(name)
-        grams, _ = stage(recurring_grams(deal_grams(rows, bits).repartition(n, "bucket")), "grams")
+    with kept_by_part(texts) as (rows, _):
+        grams, _ = stage(recurring(deal_grams(rows, bits).repartition(n, "bucket")), "grams")
         dealt = deal_contexts(rows, grams, bits).repartition(n, "bucket")
         holders, _ = stage(first_holders(dealt), "holders")
         kept, _ = stage(remove_held(rows, holders, bits), "kept")
         ids, _ = stage(rows.select("row", "id"), "ids")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return ids.join(kept, "row").select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
 
 
