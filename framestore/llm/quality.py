@@ -41,13 +41,13 @@ BASE = (
     Rule("repeated_words", "100 * n_repeat_words - 30 * n_words", high=0),
 )
 RULES = (
-    Rule("word_length", "word_chars / n_words", low=2.0, high=14.0),
-    Rule("symbols", "n_symbols / n_words", high=0.1),
-    Rule("shouting", "n_shouted / n_words", high=0.3),
+    Rule("word_length", "word_chars / nullif(n_words, 0)", low=2.0, high=14.0),
+    Rule("symbols", "n_symbols / nullif(n_words, 0)", high=0.1),
+    Rule("shouting", "n_shouted / nullif(n_words, 0)", high=0.3),
     Rule("stop_words", "n_stop_words", low=2),
-    Rule("repeated_lines", "n_dup_lines / n_lines", high=0.5),
-    Rule("bullet_lines", "n_bullet_lines / n_lines", high=0.9),
-    Rule("ellipsis_lines", "n_ellipsis_lines / n_lines", high=0.3),
+    Rule("repeated_lines", "n_dup_lines / nullif(n_lines, 0)", high=0.5),
+    Rule("bullet_lines", "n_bullet_lines / nullif(n_lines, 0)", high=0.9),
+    Rule("ellipsis_lines", "n_ellipsis_lines / nullif(n_lines, 0)", high=0.3),
 )
 
 
@@ -129,7 +129,10 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] =
     """The rows of `docs` that break no rule, with their own columns only."""
     names = docs.columns
     inner = docs.toDF(*[f"__q_c{i}" for i in range(len(names))])
-    kept = measure(inner, f"__q_c{names.index(text_col)}").where(~failed(BASE) & ~failed(rules))
+    measured = measure(inner, f"__q_c{names.index(text_col)}")
+    # A filter on the row number stays above the projection. Pushed below it, the filter would measure each word's text anew.
+    judged = measured.select(*inner.columns, (failed(BASE) | failed(rules)).alias("__q_bad"), F.monotonically_increasing_id().alias("__q_row"))
+    kept = judged.where(~F.col("__q_bad") & (F.col("__q_row") >= 0))
     return kept.select(*[F.col(f"__q_c{i}").alias(n) for i, n in enumerate(names)])
 
 
@@ -140,7 +143,7 @@ def oracle(source: str = "documents", columns: str | None = None) -> str:
     def test(rules: tuple[Rule, ...]) -> str:
         bounds = [f"{r.measure} < {r.low}" for r in rules if r.low is not None]
         bounds += [f"{r.measure} > {r.high}" for r in rules if r.high is not None]
-        return " OR ".join(f"coalesce(CASE WHEN n_words > 0 OR '{b}' NOT LIKE '%/%' THEN {b} END, false)" for b in bounds)
+        return " OR ".join(f"coalesce({b}, false)" for b in bounds)
 
     return rf"""
     WITH split AS (
