@@ -1,7 +1,7 @@
 r"""Fuzzy line deduplication in DataFrame operations only.
 
-Lines are compared in normal form: lower case, with runs of white space and ASCII punctuation as one
-space. Two lines link when their SimHashes differ in at most `DISTANCE` of 63 bits and
+Lines are compared in normal form: lower case, without white space at both ends; words are what single
+spaces separate. Two lines link when their SimHashes differ in at most `DISTANCE` of 63 bits and
 their edit distance is at most a tenth of the longer line (and at most `MOST_EDITS`). Of every
 connected group of lines one occurrence stays, the first by (document id, row, place).
 
@@ -21,35 +21,53 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from framestore.llm.components import components
+from framestore.llm.parts import kept_by_part
 from framestore.llm.registry import query, table
 from framestore.session import stage
 
-BITS, DISTANCE, BLOCKS, MOST_EDITS = 63, 3, 5, 200
+BITS, DISTANCE, BLOCKS, MOST_EDITS = 63, 3, 5, 64
 _LANES = sum(1 << (9 * j) for j in range(7))
 _LONG = 511
 
 
 def normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Punct}]+", " "))
+    return F.lower(F.trim(line, F.lit(" \t\r\x0b\x0c")))
 
 
-def simhash(line: str) -> str:
-    """SQL of the SimHash of the words of column `line`: bit i is set if more than half of the word hashes have it.
+def _hash_of_bits(sums: str, n: str) -> str:
+    """SQL of the SimHash: bit i is set if more than half of the n word hashes have it.
 
-    Seven counters of nine bits are added up at once in one number, nine times; lines that
-    are too long for such counters count every bit by itself.
+    A counter has nine bits; `sums`, with {k} for k, are nine numbers of seven counters each, for the bits k, k + 9, ...
     """
-    sums = ", ".join(f"aggregate(h, 0L, (a, x) -> a + (shiftright(x, {k}) & {_LANES}L))" for k in range(9))
-    bits = " | ".join(
-        f"shiftleft(shiftrightunsigned(s[{k}] + (255 - size(h) DIV 2) * {_LANES}L, 8) & {_LANES}L, {k})" for k in range(9)
+    return " | ".join(
+        f"shiftleft(shiftrightunsigned({sums.format(k=k)} + (255 - {n} DIV 2) * {_LANES}L, 8) & {_LANES}L, {k})" for k in range(9)
     )
-    short = f"transform(array(array({sums})), s -> {bits})[0]"
-    long = (
+
+
+_WORD_HASH = "xxhash64(word) & 9223372036854775807L"
+
+
+def short_simhashes(lines: DataFrame) -> DataFrame:
+    """(row, place, h1, h2, size, sim) of lines of up to 511 words, counters added up in one pass over the words.
+
+    The lines are grouped within the partition that has their row, so nothing moves.
+    """
+    words = lines.select("part", "row", "place", "h1", "h2", "size", F.explode(F.split("norm", " ", -1)).alias("word"))
+    words = words.withColumn("h", F.expr(_WORD_HASH))
+    lanes = [F.sum(F.expr(f"shiftright(h, {k}) & {_LANES}L")).alias(f"s{k}") for k in range(9)]
+    one = [F.max(c).alias(c) for c in ("h1", "h2", "size")]
+    sums = words.groupBy("part", "row", "place").agg(*lanes, *one, F.count("*").alias("n"))
+    return sums.select("row", "place", "h1", "h2", "size", F.expr(_hash_of_bits("s{k}", "n")).alias("sim"))
+
+
+def long_simhashes(lines: DataFrame) -> DataFrame:
+    """The same for longer lines: every bit is counted by itself."""
+    hashes = f"transform(split(norm, ' ', -1), word -> {_WORD_HASH})"
+    bits = (
         f"aggregate(sequence(0, {BITS - 1}), 0L, (b, k) -> b | CASE WHEN 2 * aggregate(h, 0L, (a, x) -> a + (shiftrightunsigned(x, k) & 1)) "
         "> size(h) THEN shiftleft(1L, k) ELSE 0L END)"
     )
-    hashes = f"transform(split({line}, ' '), w -> xxhash64(w) & 9223372036854775807L)"
-    return f"transform(array({hashes}), h -> CASE WHEN size(h) <= {_LONG} THEN {short} ELSE {long} END)[0]"
+    return lines.select("row", "place", "h1", "h2", "size", F.expr(f"transform(array({hashes}), h -> {bits})[0]").alias("sim"))
 
 
 def block_keys(sim: str = "sim") -> Column:
@@ -78,65 +96,74 @@ def likely(df: DataFrame, column: str, wanted: DataFrame, name: str | None = Non
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
-    """(row, id, place, norm) of every line with something in it. `rows` has row, id and text."""
-    lines = rows.select("row", "id", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    return lines.select("row", "id", "place", normal(F.col("line")).alias("norm")).where("norm <> ''")
+    """The columns of `rows` but for `text`, and place, norm, h1, h2 and size of every line with something in it."""
+    kept = [c for c in rows.columns if c != "text"]
+    lines = rows.select(*kept, F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
+    lines = lines.select(*kept, "place", normal(F.col("line")).alias("norm")).where("norm <> ''")
+    hashes = [F.xxhash64(F.lit(salt), "norm").alias(c) for c, salt in (("h1", "one"), ("h2", "two"))]
+    return lines.select("*", *hashes, F.length("norm").alias("size"))
 
 
-_KEY = [("h1", "one"), ("h2", "two")]
+def _near(a: str, b: str) -> Column:
+    """By their SimHashes, and by their lengths."""
+    apart = F.abs(F.col(f"size{a}") - F.col(f"size{b}"))
+    return (F.bit_count(F.col(f"sim{a}").bitwiseXOR(F.col(f"sim{b}"))) <= DISTANCE) & (apart <= _edits(f"size{a}", f"size{b}"))
 
 
-def _hashes() -> list[Column]:
-    return [F.xxhash64(F.lit(salt), "norm").alias(c) for c, salt in _KEY]
+def _edits(a: str, b: str) -> Column:
+    return F.least(F.floor(F.greatest(a, b) / 10), F.lit(MOST_EDITS)).cast("int")
 
 
-def _near(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs (a, b) of lines whose hashes are near, with the keys of their texts."""
-    a = lines.select(F.col("line").alias("a"), F.col("sim").alias("sim_a"))
-    b = lines.select(F.col("line").alias("b"), F.col("sim").alias("sim_b"))
-    met = pairs.join(a, "a").join(b, "b")
-    return met.where(F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= DISTANCE).select("a", "b")
+def _named(lines: DataFrame, end: str) -> DataFrame:
+    return lines.select(*[F.col(c).alias(f"{c}{end}") for c in lines.columns])
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs whose texts are similar enough. The texts of their lines are read again."""
     nodes = pairs.select(F.col("a").alias("line")).union(pairs.select(F.col("b").alias("line"))).distinct()
     wanted, _ = stage(lines.join(nodes, "line").select("line", "h1", "h2"), "wanted-lines")
-    texts = likely(occurrences(rows).select("norm", *_hashes()), "h1", wanted)
+    texts = likely(occurrences(rows.select("text")).select("norm", "h1", "h2"), "h1", wanted)
     texts = texts.groupBy("h1", "h2").agg(F.first("norm").alias("norm")).join(wanted, ["h1", "h2"]).select("line", "norm")
     a = texts.select(F.col("line").alias("a"), F.col("norm").alias("x"))
     b = texts.select(F.col("line").alias("b"), F.col("norm").alias("y"))
     met = pairs.join(a, "a").join(b, "b")
-    edits = F.least(F.floor(F.greatest(F.length("x"), F.length("y")) / 10), F.lit(MOST_EDITS)).cast("int")
-    # -1: more edits than that.
-    distance = F.expr(f"levenshtein(x, y, {MOST_EDITS})")
-    return met.where((distance >= 0) & (distance <= edits)).select("a", "b")
-
-
-def line_groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(occurrences with h1 and h2, lines with h1, h2 and `label`). Lines with one label are one group."""
-    occ = occurrences(rows).select("row", "id", "place", *_hashes(), F.expr(simhash("norm")).alias("sim"))
-    occ, _ = stage(occ, "occurrences")
-    lines, _ = stage(
-        occ.groupBy("h1", "h2").agg(F.min("sim").alias("sim")).withColumn("line", F.monotonically_increasing_id()), "lines"
-    )
+    met = met.withColumn("most", _edits_of_texts())
+    return met.where(F.expr("levenshtein(x, y, most)") >= 0).select("a", "b")
+
+
+def _edits_of_texts() -> Column:
+    return F.least(F.floor(F.greatest(F.length("x"), F.length("y")) / 10), F.lit(MOST_EDITS)).cast("int")
+
+
+def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(occurrences with h1 and h2, lines with h1, h2 and `label`). Lines with one label are one group.
+
+    `rows` has part, row and text and is bucketed by part; `plain` has the same rows.
+    """
+    found = occurrences(rows.select("part", "row", "text"))
+    words = F.length("norm") - F.length(F.translate("norm", " ", "")) + 1
+    short, long = found.where(words <= _LONG), found.where(words > _LONG)
+    occ, _ = stage(short_simhashes(short).unionByName(long_simhashes(long)), "occurrences")
+    rows = plain
+    lines = occ.groupBy("h1", "h2").agg(F.min("sim").alias("sim"), F.min("size").alias("size"))
+    lines, _ = stage(lines.withColumn("line", F.monotonically_increasing_id()), "lines")
     keys = lines.select("line", F.explode(block_keys()).alias("key"))
     met = keys.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.count("*").alias("n")).where("a <> b")
     met, _ = stage(met, "line-keys")
     several = met.where("n > 2").select("key", "a")
     listed, _ = stage(likely(keys, "key", several).join(several, "key").select("key", "line", "a"), "line-lists")
     pairs = met.select("a", "b").union(listed.where("line <> a").select("a", F.col("line").alias("b"))).distinct()
-    pairs, _ = stage(_near(pairs, lines), "line-pairs")
+    measured = lines.select("line", "sim", "size")
+    a_side, b_side = (_named(measured, end).withColumnRenamed(f"line{end}", end[1]) for end in ("_a", "_b"))
+    pairs, _ = stage(pairs.join(a_side, "a").join(b_side, "b").where(_near("_a", "_b")).select("a", "b"), "line-pairs")
     links, _ = stage(_verified(pairs, lines, rows), "line-links")
     labels = components(links)
     known = listed.join(labels.withColumnRenamed("node", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
     open_keys = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    known = known.join(open_keys, "key").join(lines.select("line", "sim"), "line").select("key", "line", "label", "sim")
+    known = known.join(open_keys, "key").join(measured, "line").select("key", "line", "label", "sim", "size")
     known, _ = stage(known, "open-lines")
-    left = known.select("key", *[F.col(c).alias(f"{c}_a") for c in ("line", "label", "sim")])
-    right = known.select("key", *[F.col(c).alias(f"{c}_b") for c in ("line", "label", "sim")])
-    near = F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= DISTANCE
-    rest = left.join(right, "key").where((F.col("line_a") < F.col("line_b")) & (F.col("label_a") != F.col("label_b")) & near)
+    rest = _named(known, "_a").withColumnRenamed("key_a", "key").join(_named(known, "_b").withColumnRenamed("key_b", "key"), "key")
+    rest = rest.where((F.col("line_a") < F.col("line_b")) & (F.col("label_a") != F.col("label_b")) & _near("_a", "_b"))
     rest = rest.select(F.col("line_a").alias("a"), F.col("line_b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     rest, _ = stage(rest, "open-line-pairs")
     if rest.limit(1).count():
@@ -146,12 +173,12 @@ def line_groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return occ, lines
 
 
-def repeated_lines(rows: DataFrame) -> DataFrame:
-    """(row, places): the places of the lines that go, for each row that has some. `rows` has row, id and text."""
-    occ, lines = line_groups(rows)
-    occ = occ.join(lines, ["h1", "h2"]).select("row", "id", "place", "label")
+def repeated_lines(rows: DataFrame, plain: DataFrame) -> DataFrame:
+    """(row, places): the places of the lines that go, for each row that has some. `rows` as in `line_groups`, and id."""
+    occ, lines = line_groups(rows, plain)
+    occ = occ.join(lines, ["h1", "h2"]).select("row", "place", "label")
     sizes = occ.groupBy("label").agg(F.count("*").alias("n")).where("n > 1").select("label")
-    occ, _ = stage(occ.join(sizes, "label"), "shared-lines")
+    occ, _ = stage(occ.join(sizes, "label").join(plain.select("row", "id"), "row"), "shared-lines")
     first = occ.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "place")).alias("first"))
     again = occ.join(first, "label").where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
     # A list is never longer than the lines of its document.
@@ -169,8 +196,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     id_, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
-    rows, _ = stage(inner.withColumn("row", F.monotonically_increasing_id()), "line-rows")
-    gone, _ = stage(repeated_lines(rows.select("row", F.col(id_).alias("id"), F.col(text).alias("text"))), "line-places")
+    with kept_by_part(inner.withColumn("row", F.monotonically_increasing_id())) as (kept, rows):
+        cut = [F.col("row"), F.col(id_).alias("id"), F.col(text).alias("text")]
+        gone, _ = stage(repeated_lines(kept.select("part", *cut), rows.select("part", *cut)), "line-places")
     lines = F.split(F.col(text), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("places", i)), "\n")
     some = likely(rows, "row", gone).join(gone, "row", "left")
