@@ -14,6 +14,7 @@ A URL with very many captures is cut by time like any other stretch of the index
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
@@ -89,7 +90,7 @@ def write_archives(
     ]
     folder = f"{shared_folder(spark)}/framestore/warc-{uuid.uuid4().hex}"
     record = rows.withColumn("block", block).select(F.concat(F.concat_ws(_END, *lines), F.lit(_END + _END), "block"))
-    record.write.option("lineSep", _END + _END).option("maxRecordsPerFile", per_file).text(folder)
+    record.write.option("lineSep", _END + _END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(folder)
     return folder
 
 
@@ -106,7 +107,7 @@ def url_key(url: str) -> str:
 
 
 def records(archive: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers, block) of every record of an uncompressed archive."""
+    """(offset, length, headers, block) of every record of an archive without its compression."""
     at = 0
     while at < len(archive):
         head_end = archive.index(b"\r\n\r\n", at)
@@ -159,7 +160,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                path, data = batch.column("path")[i].as_py(), batch.column("content")[i].as_py()
+                path, data = batch.column("path")[i].as_py(), gzip.decompress(batch.column("content")[i].as_py())
                 run = sorted((_capture(path, *r) for r in records(data)), key=_place)
                 for a in range(0, len(run), 5000):
                     yield _batch(run[a : a + 5000])
