@@ -1,7 +1,7 @@
 r"""Fuzzy line deduplication in DataFrame operations only.
 
 Lines are compared in normal form: lower case, without white space at both ends; words are what single
-spaces separate. Two lines link when their SimHashes differ in at most `DISTANCE` of 63 bits and
+spaces separate. Two lines link when the SimHashes of their sets of words differ in at most `DISTANCE` of 63 bits and
 their edit distance is at most a tenth of the longer line (and at most `MOST_EDITS`). Of every
 connected group of lines one occurrence stays, the first by (document id, row, place).
 
@@ -25,7 +25,7 @@ from framestore.llm.parts import kept_by_part
 from framestore.llm.registry import query, table
 from framestore.session import stage
 
-BITS, DISTANCE, BLOCKS, MOST_EDITS = 63, 3, 5, 64
+BITS, DISTANCE, BLOCKS, MOST_EDITS = 63, 3, 5, 128
 _LANES = sum(1 << (9 * j) for j in range(7))
 _LONG = 511
 
@@ -52,7 +52,7 @@ def short_simhashes(lines: DataFrame) -> DataFrame:
 
     The lines are grouped within the partition that has their row, so nothing moves.
     """
-    words = lines.select("part", "row", "place", "h1", "h2", "size", F.explode(F.split("norm", " ", -1)).alias("word"))
+    words = lines.select("part", "row", "place", "h1", "h2", "size", F.explode(F.array_distinct(F.split("norm", " ", -1))).alias("word"))
     words = words.withColumn("h", F.expr(_WORD_HASH))
     lanes = [F.sum(F.expr(f"shiftright(h, {k}) & {_LANES}L")).alias(f"s{k}") for k in range(9)]
     one = [F.max(c).alias(c) for c in ("h1", "h2", "size")]
@@ -62,7 +62,7 @@ def short_simhashes(lines: DataFrame) -> DataFrame:
 
 def long_simhashes(lines: DataFrame) -> DataFrame:
     """The same for longer lines: every bit is counted by itself."""
-    hashes = f"transform(split(norm, ' ', -1), word -> {_WORD_HASH})"
+    hashes = f"transform(array_distinct(split(norm, ' ', -1)), word -> {_WORD_HASH})"
     bits = (
         f"aggregate(sequence(0, {BITS - 1}), 0L, (b, k) -> b | CASE WHEN 2 * aggregate(h, 0L, (a, x) -> a + (shiftrightunsigned(x, k) & 1)) "
         "> size(h) THEN shiftleft(1L, k) ELSE 0L END)"
