@@ -93,7 +93,7 @@ def edits(a, b):
 
 
 def simhash(line):
-    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) & (2**63 - 1) for w in line.split(" ")]
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) & (2**63 - 1) for w in set(line.split(" "))]
     return sum(1 << k for k in range(63) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
 
 
@@ -110,7 +110,7 @@ def line_dedup(rows):
     for a in range(len(norms)):
         groups.root(a)
         for b in range(a):
-            most = min(max(len(norms[a]), len(norms[b])) // 10, 64)
+            most = min(max(len(norms[a]), len(norms[b])) // 10, 128)
             if (hashes[a] ^ hashes[b]).bit_count() <= 3 and abs(len(norms[a]) - len(norms[b])) <= most and edits(norms[a], norms[b]) <= most:
                 groups.join(a, b)
     members = defaultdict(list)
