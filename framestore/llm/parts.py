@@ -1,7 +1,7 @@
-"""Rows kept by the partition that wrote them, and what recurs among the keys of all partitions.
+"""Rows kept in parts as they were written, and what recurs among the keys of all parts.
 
-A table bucketed by its writing partition is read and grouped by that partition without being moved. Small
-answers to a partition's questions go to it by cogroup; the rows themselves stay where they are.
+A part is a run of `PART_ROWS` rows of an input partition. A table bucketed by part is read and grouped
+by it without being moved. Small answers to a part's questions go to it by cogroup; the rows stay where they are.
 """
 
 from __future__ import annotations
@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from framestore.session import shared_folder
 
+#: Rows of a part, all of which are in the memory of one task at a time.
+PART_ROWS = 2048
+
 
 def dealing(spark: SparkSession) -> tuple[int, int]:
     """(partitions, bits): keys are dealt by their first `bits` bits, several buckets to a partition."""
@@ -27,13 +30,13 @@ def dealing(spark: SparkSession) -> tuple[int, int]:
 def kept_by_part(df: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
     """`df` with a column `part`, written as a table of the shared folder that is bucketed by it.
 
-    Every task writes one file, and each partition is in one bucket as a whole. The table leaves the
+    A task writes a file for each of its buckets, about one per part. The table leaves the
     catalog at the end; what is made of it has to be staged before. The second frame reads its
     files without the buckets, also afterwards.
     """
     spark = df.sparkSession
     name = f"framestore_parts_{uuid.uuid4().hex}"
-    writer = df.withColumn("part", F.spark_partition_id()).write.bucketBy(dealing(spark)[0], "part").format("parquet")
+    writer = df.withColumn("part", F.floor(F.monotonically_increasing_id() / PART_ROWS)).write.bucketBy(dealing(spark)[0], "part").format("parquet")
     path = f"{shared_folder(spark)}/framestore/{name}"
     writer.option("path", path).saveAsTable(name)
     try:
@@ -44,7 +47,7 @@ def kept_by_part(df: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
 
 
 def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """(part, rows): a task may read the files of several partitions, one after the other."""
+    """(part, rows): a task may read the files of several parts, one after the other."""
     for batch in batches:
         parts = batch.column("part").to_numpy(zero_copy_only=False)
         cuts = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
@@ -62,7 +65,7 @@ def low_bits(dealt: np.ndarray) -> np.ndarray:
     return (dealt & np.uint64(0xFFFFFFFF)).astype("<u4")
 
 
-DEALT = "bucket int, part int, keys binary, often binary"
+DEALT = "bucket int, part bigint, keys binary, often binary"
 
 
 def deal(keys: np.ndarray, owners: np.ndarray, part: int, bits: int) -> pa.RecordBatch:
@@ -75,7 +78,7 @@ def deal(keys: np.ndarray, owners: np.ndarray, part: int, bits: int) -> pa.Recor
     spans, low = spans_of(key, bits), low_bits(key)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([i for i, _, _ in spans], pa.int32()), pa.array([part] * len(spans), pa.int32()),
+            pa.array([i for i, _, _ in spans], pa.int32()), pa.array([part] * len(spans), pa.int64()),
             pa.array([low[a:b].tobytes() for _, a, b in spans], pa.binary()),
             pa.array([np.packbits(several[a:b]).tobytes() for _, a, b in spans], pa.binary()),
         ],
@@ -84,7 +87,7 @@ def deal(keys: np.ndarray, owners: np.ndarray, part: int, bits: int) -> pa.Recor
 
 
 def recurring(dealt: DataFrame) -> DataFrame:
-    """(part, keys): for each partition and bucket those of its keys (first 32 + bits bits) that recur.
+    """(part, keys): for each part and bucket those of its keys (first 32 + bits bits) that recur.
 
     `dealt` has the columns of `deal`, all of a bucket in one partition. A key comes once from each piece dealt, however many owners it has.
     """
@@ -110,15 +113,15 @@ def recurring(dealt: DataFrame) -> DataFrame:
             low, part = (bucket << 32) + low[order].astype(np.int64), part[order]
             parts, start = np.unique(part, return_index=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(parts, pa.int32()), pa.array([x.tobytes() for x in np.split(low, start[1:])], pa.binary())],
+                [pa.array(parts, pa.int64()), pa.array([x.tobytes() for x in np.split(low, start[1:])], pa.binary())],
                 ["part", "keys"],
             )
 
-    return dealt.mapInArrow(run, "part int, keys binary")
+    return dealt.mapInArrow(run, "part bigint, keys binary")
 
 
 def answers(found: pa.Table) -> np.ndarray:
-    """The sorted keys that came back to a partition."""
+    """The sorted keys that came back to a part."""
     keys = np.frombuffer(b"".join(found.column("keys").to_pylist()), np.int64)
     return np.unique(keys).view(np.uint64)
 

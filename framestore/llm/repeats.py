@@ -5,15 +5,15 @@ that are still together after the last digit are equal, and no deeper order is m
 sort few of them, the digits of a window are taken around an anchor, the gram of
 `GRAM` bytes in it with the least hash: equal windows have the same anchor at the same place.
 
-1. First digit, the anchor gram: each input partition deals its distinct grams; those found once are
-   dropped with all their windows. The answer goes back to the partitions.
-2. For grams that recur the partitions deal the bytes around them, each distinct
+1. First digit, the anchor gram: each part of the input deals its distinct grams; those found once are
+   dropped with all their windows. The answer goes back to the parts.
+2. For grams that recur the parts deal the bytes around them, each distinct
    context once, with the smallest document id that has it. Contexts that are the same
    throughout need no more digits; the windows of the others are ordered by the remaining
    bytes, 8 at a time, and groups of one are dropped at each pass. Equal groups are the repeated windows.
-3. The smallest id per context and place goes back to the partitions, which remove the bytes.
+3. The smallest id per context and place goes back to the parts, which remove the bytes.
 
-The rows are kept in a table that is bucketed by input partition, so texts are read three times but never shuffled.
+The rows are kept in a table that is bucketed by part, so texts are read three times but never shuffled.
 """
 
 from __future__ import annotations
@@ -134,7 +134,7 @@ def deal_contexts(rows: DataFrame, grams: DataFrame, bits: int) -> DataFrame:
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
         names = ["bucket", "part", "keys", "contexts", "ids", "lefts", "sizes", "bytes"]
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
         schema = pa.schema(list(zip(names, kinds)))
         if not len(texts) or not len(found):
             return schema.empty_table()
@@ -171,7 +171,7 @@ def deal_contexts(rows: DataFrame, grams: DataFrame, bits: int) -> DataFrame:
 
     left, right = rows.select("part", "id", "text").groupBy("part"), grams.groupBy("part")
     return left.cogroup(right).applyInArrow(
-        run, "bucket int, part int, keys binary, contexts binary, ids binary, lefts binary, sizes binary, bytes binary"
+        run, "bucket int, part bigint, keys binary, contexts binary, ids binary, lefts binary, sizes binary, bytes binary"
     )
 
 
@@ -273,7 +273,7 @@ def first_holders(dealt: DataFrame) -> DataFrame:
         parts, at = np.unique(part[entry], return_index=True)
         columns = [context[entry], lo.astype(np.uint8), hi.astype(np.uint8), least]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(parts, pa.int32()), *[pa.array([x.tobytes() for x in np.split(c, at[1:])], pa.binary()) for c in columns]],
+            [pa.array(parts, pa.int64()), *[pa.array([x.tobytes() for x in np.split(c, at[1:])], pa.binary()) for c in columns]],
             ["part", "contexts", "lo", "hi", "ids"],
         )
 
@@ -286,7 +286,7 @@ def first_holders(dealt: DataFrame) -> DataFrame:
         for bucket in list(held):
             yield from resolve(bucket, held.pop(bucket))
 
-    return dealt.mapInArrow(run, "part int, contexts binary, lo binary, hi binary, ids binary")
+    return dealt.mapInArrow(run, "part bigint, contexts binary, lo binary, hi binary, ids binary")
 
 
 def remove_held(rows: DataFrame, holders: DataFrame, bits: int) -> DataFrame:
