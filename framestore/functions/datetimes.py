@@ -169,8 +169,7 @@ def convert_datetime_columns(
         if target_tz is not None and target_tz != zone:
             if zone is None:
                 raise InvalidInputError(
-                    f"Cannot convert the naive datetime column {name} to {target_tz=}: "
-                    f"give its current zone with localize_tz",
+                    f"Column {name} has no time zone, so it cannot be brought to {target_tz}; set localize_tz first",
                     data=target_tz,
                 )
             zone = target_tz
@@ -204,8 +203,7 @@ def _as_dtype(name, zone, wall_name, dtype, datetime_format, target_tz, local_ep
     seconds = epoch_seconds(col)
     if zone not in (None, "UTC"):
         warnings.warn(
-            f"Converting column {name} to Unix epoch seconds but its time zone is {zone}, not UTC "
-            f"(target_tz={target_tz!r})",
+            f"Epoch seconds of {name} are counted from its instants; its wall clock is {zone}",
             UserWarning,
             stacklevel=4,
         )

@@ -17,7 +17,7 @@ from pyspark.sql.types import (
 
 from framestore.errors import DataTypeConversionError, InvalidInputError, LoadTableError
 from framestore.functions.datetimes import TZ_KEY
-from framestore.functions.strftime import ISO_FORMATS, parse_pattern
+from framestore.functions.strftime import has_directive, parse_patterns
 from framestore.session import require_utc
 from framestore.validation import check_choice
 
@@ -35,6 +35,8 @@ TYPE_NAMES = {
 }
 # Largest value of the unsigned types, which Spark lacks.
 UNSIGNED_MAX = {"uint8": 2**8 - 1, "uint16": 2**16 - 1, "uint32": 2**32 - 1, "uint64": 2**64 - 1}
+# A UTC offset or Z at the end of a text with a time of day.
+_OFFSET = r"\d{1,2}:\d{2}.*(Z|[+-]\d{1,2}(:?\d{2})?)$"
 _PYTHON_TYPES = {int: "int64", float: "float64", str: "string", bool: "boolean"}
 
 
@@ -71,15 +73,24 @@ def parse_epoch(col: Column, unit: str) -> Column:
 def parse_text(col: Column, fmt: str | None, errors: str) -> Column:
     """Text as a naive timestamp (an instant if the format reads a UTC offset).
 
-    Without a format, or with one of the ISO formats, any ISO text is read, also
-    one that stops at the day or minute. `errors`: 'coerce' gives NULL for text
-    that does not match, 'raise' fails the query.
+    Without a format any ISO text is read, also one that stops at the day or minute; text
+    that carries a UTC offset gives its UTC time. With a format, days, months, hours, minutes
+    and seconds may have one digit where the format separates them, a format that ends with seconds
+    also reads text without them, and two-digit years from 69 on are of the 20th century. `errors`:
+    'coerce' gives NULL for text that does not match, 'raise' fails the query.
     """
-    if fmt is None or fmt in ISO_FORMATS:
-        return col.try_cast("timestamp_ntz") if errors == "coerce" else col.cast("timestamp_ntz")
-    pattern, has_offset = parse_pattern(fmt)
-    instant = F.try_to_timestamp(col, F.lit(pattern)) if errors == "coerce" else F.to_timestamp(col, pattern)
-    return instant if has_offset else instant.cast("timestamp_ntz")
+    if fmt is None:
+        zoned = F.trim(col).rlike(_OFFSET)
+        if errors == "coerce":
+            return F.when(zoned, col.try_cast("timestamp").cast("timestamp_ntz")).otherwise(col.try_cast("timestamp_ntz"))
+        return F.when(zoned, col.cast("timestamp").cast("timestamp_ntz")).otherwise(col.cast("timestamp_ntz"))
+    patterns = parse_patterns(fmt)
+    found = F.coalesce(*[F.try_to_timestamp(col, F.lit(p)) for p in patterns])
+    if errors == "raise":
+        found = F.when(found.isNull() & col.isNotNull(), F.to_timestamp(col, patterns[0])).otherwise(found)
+    if has_directive(fmt, "y"):
+        found = F.when(F.year(found) >= 2069, found - F.make_interval(years=F.lit(100))).otherwise(found)
+    return found if has_directive(fmt, "z") else found.cast("timestamp_ntz")
 
 
 def parse_dates(df: DataFrame, spec: str | list | tuple | dict[str, Any] | bool | None) -> DataFrame:
@@ -168,7 +179,7 @@ def cast_columns(df: DataFrame, dtypes: dict[str, Any] | Any | None, validate: b
     missing = [c for c in wanted if c not in df.columns]
     if missing:
         raise DataTypeConversionError(
-            f"Only column names can be keys of dtypes. Columns: {df.columns}. Not among them: {missing}",
+            f"dtypes names columns that do not exist: {missing} (there are {df.columns})",
             data=(df.columns, dtypes, missing),
         )
     types = {c: type_and_limit(t) for c, t in wanted.items()}

@@ -13,9 +13,6 @@ PATTERNS = {
 }
 # Directives that stand for several others.
 COMPOUNDS = {"F": "%Y-%m-%d", "T": "%H:%M:%S", "R": "%H:%M", "D": "%m/%d/%y"}
-# Formats that only differ in how much of an ISO datetime they spell out.
-ISO_FORMATS = ("%Y-%m-%d", "%Y-%m-%d %H:%M", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M:%S.%f",
-               "%Y-%m-%dT%H:%M", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%S.%f")
 _BARE_LITERALS = set(" -/:.,;_+()")
 
 
@@ -78,17 +75,36 @@ def spark_patterns(fmt: str) -> list[tuple[str, str]]:
     return pieces
 
 
-def parse_pattern(fmt: str) -> tuple[str, bool]:
-    """`fmt` as one Spark pattern for parsing, and whether it reads a UTC offset."""
-    pattern, has_offset = "", False
-    for kind, value in spark_patterns(fmt):
-        if kind == "zone":
-            raise InvalidInputError(f"%Z cannot be parsed, in datetime format {fmt!r}", data=fmt)
-        if kind == "offset":
-            pattern, has_offset = pattern + "Z", True
-        else:
-            pattern += value
-    return pattern, has_offset
+# Numbers that may have one digit when they are parsed.
+_SHORT = {"m": "M", "d": "d", "H": "H", "I": "h", "M": "m", "S": "s"}
+
+
+def has_directive(fmt: str, letter: str) -> bool:
+    return ("directive", letter) in split_format(fmt)
+
+
+def parse_patterns(fmt: str) -> list[str]:
+    """Spark patterns that together read `fmt`, the full one first; the second reads text without the seconds."""
+    tokens = split_format(fmt)
+    if ("directive", "Z") in tokens:
+        raise InvalidInputError(f"%Z cannot be parsed, in datetime format {fmt!r}", data=fmt)
+    # Where nothing separates two numbers, each has its full width.
+    adjacent = any(a == b == "directive" for (a, _), (b, _) in zip(tokens, tokens[1:]))
+    variants = [tokens]
+    if tokens[-2:] == [("text", ":"), ("directive", "S")]:
+        variants.append(tokens[:-2])
+    out = []
+    for variant in variants:
+        pattern, literal = "", ""
+        for kind, value in variant:
+            if kind == "text":
+                literal += value
+                continue
+            pattern += _quote(literal) if literal else ""
+            literal = ""
+            pattern += "Z" if value == "z" else PATTERNS[value] if adjacent else _SHORT.get(value, PATTERNS[value])
+        out.append(pattern + (_quote(literal) if literal else ""))
+    return out
 
 
 def format_wall_clock(wall: Column, fmt: str, offset_seconds: Column | None, zone: str | None) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -32,21 +31,18 @@ class CountedResult:
     df: DataFrame
     observations: dict[str, Observation]
 
-    def counts(self, timeout: float = 10.0) -> tuple[int, int, int] | None:
+    def counts(self) -> tuple[int, int, int]:
         """Matched, changed and inserted rows. Call it after the write.
 
-        The observations arrive shortly after the write. None if they do not, as
-        Spark drops an observation together with a plan branch that it finds empty.
+        The observations travel on Spark's listener bus. When the bus has delivered all
+        events of the write, one that did not arrive belongs to a branch of the plan
+        that Spark found empty and left out: it counted no rows.
         """
+        self.df.sparkSession.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
         found: dict[str, int] = {}
         for observation in self.observations.values():
-            arrived = observation._jo.future()
-            deadline = time.monotonic() + timeout
-            while not arrived.isCompleted():
-                if time.monotonic() > deadline:
-                    return None
-                time.sleep(0.01)
-            found.update(observation.get)
+            if observation._jo.future().isCompleted():
+                found.update(observation.get)
         return tuple(int(found.get(n) or 0) for n in ("rows_matched", "rows_changed", "rows_inserted"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from framestore.errors import InvalidInputError, TableStoreError
 from framestore.functions.project import pick
-from framestore.operators.keyed import any_null, quoted, spread_join
+from framestore.operators.keyed import any_null, quoted
 from framestore.validation import as_list, check_columns
 
 SAMPLE_ROWS = 20
@@ -110,7 +110,9 @@ def existing_key_violations(df: DataFrame, existing: DataFrame, keys: str | Sequ
     """Keys of `df` that the table `existing` holds already."""
     names = check_columns(as_list(keys), df.columns)
     new_keys = df.select(*[quoted(k) for k in names]).where(~any_null(names)).distinct()
-    return new_keys.join(pick(existing, names).distinct(), names, "left_semi")
+    # Only keys of the table that are among the new ones are made distinct.
+    known = pick(existing, names).where(~any_null(names)).join(new_keys, names, "left_semi").distinct()
+    return known.select(*[quoted(k) for k in names])
 
 
 def foreign_key_violations(
@@ -124,7 +126,7 @@ def foreign_key_violations(
     parent_names = check_columns(as_list(parent_columns) or names, parent.columns, "parent")
     references = parent.select(*[quoted(p).alias(c) for p, c in zip(parent_names, names)]).distinct()
     referring = child.where(~any_null(names))
-    return spread_join(referring, references, names, "left_anti").select(*[quoted(c) for c in child.columns])
+    return referring.join(references, names, "left_anti").select(*[quoted(c) for c in child.columns])
 
 
 def orphan_keys(

@@ -10,7 +10,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, functions as F
 
 from framestore.errors import InvalidInputError
-from framestore.session import delete_path, stage
+from framestore.session import delete_path, own_scratch, stage
 from framestore.validation import as_list, check_chunksize, check_columns
 
 POSITION = "__position"
@@ -47,11 +47,12 @@ class Positioned:
     @property
     def df(self) -> DataFrame:
         """All rows, with their position in column `POSITION`."""
-        spark = self.staged.sparkSession
-        offsets = spark.createDataFrame(list(zip(self.partitions, self.before)), "__p int, __before bigint")
         place = F.col(_LOCAL).bitwiseAND(F.lit(_PLACES - 1))
-        numbered = self.staged.withColumn("__p", _partition_number()).join(offsets, "__p")
-        return numbered.withColumn(POSITION, F.col("__before") + place).drop("__p", "__before", _LOCAL)
+        starts = dict(zip(self.partitions, self.before))
+        offsets = ",".join(str(starts.get(p, 0)) for p in range(max(starts, default=0) + 1))
+        # One literal with a number per partition, made from text so that it is one node of the plan.
+        before = F.get(F.split(F.lit(offsets), ",").cast("array<bigint>"), _partition_number())
+        return self.staged.withColumn(POSITION, before + place).drop(_LOCAL)
 
     def _local_id(self, position: int) -> int:
         i = bisect_right(self.before, position) - 1
@@ -104,7 +105,9 @@ def chunk_ids(
         raise InvalidInputError(f"The DataFrame already has a column {name}", data=name)
     if check_chunksize(chunksize) is None:
         return df.withColumn(name, F.lit(0).cast("bigint"))
-    numbered = with_positions(df, order_by).df
+    positioned = with_positions(df, order_by)
+    own_scratch(df.sparkSession, positioned.path)
+    numbered = positioned.df
     return numbered.withColumn(name, F.floor(F.col(POSITION) / F.lit(chunksize)).cast("bigint")).drop(POSITION)
 
 
@@ -115,14 +118,12 @@ def iter_chunks(
 
     An empty frame yields itself once. Each chunk filters the staged table, which
     is sorted by position, on a range: Parquet statistics skip the other row groups.
-    The staged table is deleted when the iteration ends.
+    Chunks can be kept and read later; `framestore.session.delete_scratch` deletes the staged table.
     """
     check_chunksize(chunksize)
     positioned = with_positions(df, order_by)
-    try:
-        if positioned.n_rows == 0:
-            yield df
-        for start in range(0, positioned.n_rows, chunksize):
-            yield positioned.rows(start, start + chunksize)
-    finally:
-        positioned.delete()
+    own_scratch(df.sparkSession, positioned.path)
+    if positioned.n_rows == 0:
+        yield df
+    for start in range(0, positioned.n_rows, chunksize):
+        yield positioned.rows(start, start + chunksize)

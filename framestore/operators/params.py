@@ -10,12 +10,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from framestore.errors import InvalidInputError
-from framestore.operators.keyed import quoted, spread_join
+from framestore.operators.keyed import quoted
 from framestore.validation import check_columns
 
-# Longest list that becomes literals of the plan; a longer one becomes a semi join.
-MAX_LITERALS = 200
-
 
 @dataclass(frozen=True)
 class Placeholder:
@@ -79,9 +76,9 @@ def replace_placeholders(
 def filter_in(df: DataFrame, column: str, values: Iterable[Any] | DataFrame, negate: bool = False) -> DataFrame:
     """Rows whose `column` is (not) among `values`, a list or a one-column DataFrame.
 
-    A short list becomes literals, which are pushed down to the scan. A long list
-    or a DataFrame becomes a semi or anti join; Spark broadcasts it if it is small.
-    As with SQL IN and NOT IN over values without NULL, a NULL in `column` is in
+    A list becomes literals, which are pushed down to the scan, however long it is. A
+    DataFrame becomes a semi or anti join; Spark broadcasts it if it is small. Values are
+    compared in the type that SQL IN would use for both. As with SQL IN and NOT IN over values without NULL, a NULL in `column` is in
     neither result.
     """
     check_columns([column], df.columns)
@@ -89,16 +86,14 @@ def filter_in(df: DataFrame, column: str, values: Iterable[Any] | DataFrame, neg
     if isinstance(values, DataFrame):
         if len(values.columns) != 1:
             raise InvalidInputError("values must have one column", data=values.columns)
-        wanted = values.toDF(column).distinct()
-    else:
-        items = list(dict.fromkeys(check_value(v) for v in values if v is not None))
-        if len(items) <= MAX_LITERALS:
-            if not items:
-                return df.where(col.isNotNull() if negate else F.lit(False))
-            return df.where(~col.isin(items) if negate else col.isin(items))
-        wanted = df.sparkSession.createDataFrame([(v,) for v in items], df.select(column).schema)
-    rows = df.where(col.isNotNull())
-    return spread_join(rows, wanted, [column], "left_anti" if negate else "left_semi").select(df.columns)
+        wanted = values.toDF("__wanted").where(F.col("__wanted").isNotNull()).distinct()
+        # No NULL is left to spread, so this is a plain join, which adaptive execution splits when a value is hot.
+        how = "left_anti" if negate else "left_semi"
+        return df.where(col.isNotNull()).join(wanted, col == F.col("__wanted"), how).select(*[quoted(c) for c in df.columns])
+    items = list(dict.fromkeys(check_value(v) for v in values if v is not None))
+    if not items:
+        return df.where(col.isNotNull() if negate else F.lit(False))
+    return df.where(~col.isin(items) if negate else col.isin(items))
 
 
 def sort_columns(spec: str | Sequence[str], columns: Sequence[str]) -> list[Column]:

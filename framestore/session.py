@@ -51,6 +51,20 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hadoop_path, True))
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def own_scratch(spark: SparkSession, path: str) -> None:
+    """Note a staged table that frames still read, for `delete_scratch`."""
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
+def delete_scratch(spark: SparkSession) -> None:
+    """Delete the staged tables of chunks and positions of this application. Their frames cannot be read afterwards."""
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        delete_path(spark, path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())

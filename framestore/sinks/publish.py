@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from framestore.functions.project import ident
 from framestore.operators.changes import default_value
@@ -64,27 +67,58 @@ def balanced(rows: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
     return rows.hint("rebalance", *[quoted(c) for c in partition_columns]) if partition_columns else rows
 
 
-def insert_overwrite(rows: DataFrame, table: str, mode: str) -> None:
-    """INSERT OVERWRITE of all ('static') or only the written ('dynamic') partitions."""
-    spark, key = rows.sparkSession, "spark.sql.sources.partitionOverwriteMode"
-    # insertInto takes no write options, so the mode has to be set on the session.
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
+@contextmanager
+def session_options(spark: SparkSession, options: dict[str, Any]) -> Iterator[None]:
+    """Settings of one write. An insert into a table takes no write options, so they are set on the session."""
+    wanted = {k: str(v) for k, v in options.items() if v is not None}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
-        rows.write.insertInto(table, overwrite=True)
+        yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+MAX_RECORDS = "spark.sql.files.maxRecordsPerFile"
+
+
+def insert_overwrite(rows: DataFrame, table: str, mode: str, max_records_per_file: int | None = None) -> None:
+    """INSERT OVERWRITE of all ('static') or only the written ('dynamic') partitions."""
+    spark = rows.sparkSession
+    with session_options(spark, {"spark.sql.sources.partitionOverwriteMode": mode, MAX_RECORDS: max_records_per_file}):
+        rows.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
 
 
+_PREVIOUS = "framestore.previous.location"
+
+
+def previous_version(spark: SparkSession, table: str) -> str | None:
+    """Where the rows of the version before the last publish are, which older frames may still read."""
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(_PREVIOUS)
+
+
+def vacuum(spark: SparkSession, table: str) -> None:
+    """Delete the version before the last publish. Frames that were loaded before it cannot be read any more."""
+    before = previous_version(spark, table)
+    if before:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{_PREVIOUS}')")
+        delete_path(spark, before)
+
+
 def replace_rows(spark: SparkSession, table: str, df: DataFrame, max_records_per_file: int | None = None) -> None:
-    """Make `df` the rows of `table` and keep its definition. `df` may read the table."""
+    """Make `df` the rows of `table` and keep its definition. `df` may read the table.
+
+    The version before stays until the next publish (or `vacuum`), so that frames and readers of it go on.
+    """
     info = table_info(spark, table)
     rows = to_layout(df, spark.table(table))
     if not info.managed or info.partition_columns or info.bucket_columns:
         # An external table stays where it is.
         staged, path = stage(rows, "publish")
-        insert_overwrite(balanced(staged, info.partition_columns), table, "static")
+        insert_overwrite(balanced(staged, info.partition_columns), table, "static", max_records_per_file)
         delete_path(spark, path)
         return
     base = _VERSION_SUFFIX.sub("", info.location)
@@ -93,9 +127,12 @@ def replace_rows(spark: SparkSession, table: str, df: DataFrame, max_records_per
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(location)
+    oldest = previous_version(spark, table)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PREVIOUS}' = '{info.location}')")
     spark.catalog.refreshTable(table)
-    delete_path(spark, info.location)
+    if oldest and oldest != info.location:
+        delete_path(spark, oldest)
 
 
 def replace_partitions(spark: SparkSession, table: str, df: DataFrame) -> None:
@@ -106,27 +143,35 @@ def replace_partitions(spark: SparkSession, table: str, df: DataFrame) -> None:
     delete_path(spark, path)
 
 
-# Most partitions that are named one by one in a filter on the table.
-MAX_NAMED_PARTITIONS = 500
-
-
 def touched_partitions(target: DataFrame, source: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """The rows of `target` in partitions that `source` has rows for.
 
-    Up to 500 partitions are named in the filter, so that the scan skips all
-    others; more become a join, which prunes when the query runs.
+    The partitions are named in the filter, so that the scan skips all others. Their names come
+    to the driver, which holds the list of all partitions of a table in any case.
     """
-    values = source.select(*[quoted(c) for c in columns]).distinct()
-    named = values.limit(MAX_NAMED_PARTITIONS + 1).collect()
-    if len(named) > MAX_NAMED_PARTITIONS:
-        renamed = values.toDF(*[f"__p_{c}" for c in columns])
-        same = [quoted(c).eqNullSafe(quoted(f"__p_{c}")) for c in columns]
-        return target.join(renamed, same, "left_semi")
+    named = source.select(*[quoted(c) for c in columns]).distinct().collect()
     types = {f.name: f.dataType for f in target.schema}
-    wanted = F.lit(False)
-    for row in named:
-        one = F.lit(True)
-        for c in columns:
-            one = one & (quoted(c).isNull() if row[c] is None else quoted(c) == F.lit(row[c]).cast(types[c]))
-        wanted = wanted | one
-    return target.where(wanted)
+    return target.where(_named([tuple(r) for r in named], columns, types))
+
+
+def _named(values: list[tuple], columns: Sequence[str], types: dict) -> Column:
+    """True for rows whose `columns` are one of `values`: an IN list for each value of the columns before the last."""
+    column = quoted(columns[0])
+    groups: dict = {}
+    for first, *rest in values:
+        groups.setdefault(first, []).append(tuple(rest))
+    null = groups.pop(None, None)
+    parts = []
+    if len(columns) == 1:
+        if groups:
+            parts.append(column.isin([F.lit(v).cast(types[columns[0]]) for v in groups]))
+        if null is not None:
+            parts.append(column.isNull())
+    else:
+        inner = lambda rest: _named(rest, columns[1:], types)
+        parts = [(column == F.lit(v).cast(types[columns[0]])) & inner(rest) for v, rest in groups.items()]
+        if null is not None:
+            parts.append(column.isNull() & inner(null))
+    while len(parts) > 1:  # a balanced tree, so that many partitions do not make it deep
+        parts = [reduce(lambda a, b: a | b, parts[i : i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0] if parts else F.lit(False)

@@ -53,7 +53,7 @@ def shape_rows(
         df = coerce_decimals(df)
     df = parse_date_columns(df, parse_dates)
     if warn_if_empty and df.isEmpty():
-        logger.warning("No rows were returned from the query.")
+        logger.warning("The result is empty.")
     df = cast_columns(df, dtypes, validate)
     df = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
     return keys_first(df, index_col)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import copy
 import logging
 import re
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -24,6 +25,7 @@ from framestore.errors import (
     TableExistsError,
 )
 from framestore.functions.datetimes import DEFAULT_FORMAT, convert_datetime_columns
+from framestore.functions.nulls import nan_to_null
 from framestore.functions.parsing import cast_columns
 from framestore.operators.changes import ACTION, Changes
 from framestore.operators.checks import Constraints, enforce, unique_violations
@@ -34,12 +36,15 @@ from framestore.operators.params import check_value
 from framestore.operators.upsert import upsert_changes
 from framestore.session import delete_path, stage
 from framestore.sinks.publish import (
+    MAX_RECORDS,
     balanced,
     insert_overwrite,
     replace_partitions,
     replace_rows,
+    session_options,
     table_info,
     touched_partitions,
+    vacuum,
 )
 from framestore.sources.load import keys_first, shape_rows
 from framestore.validation import (
@@ -67,6 +72,7 @@ class ChangeCounts:
     rows_matched: int = 0
     rows_changed: int = 0
     rows_inserted: int = 0
+    rows_deleted: int = 0
 
 
 class TableStore:
@@ -229,8 +235,8 @@ class TableStore:
             return df if columns is None else df.select(*[quoted(c) for c in columns])
         except (PySparkException, TypeError) as e:
             raise LoadTableError(
-                f"{type(e).__name__}: {e}\nsql={sql}\nparams={params}\ncolumns={columns}",
-                data=(e.args, sql, params, columns),
+                f"The rows could not be read ({type(e).__name__}): {e} [statement: {sql}]",
+                data={"statement": sql, "bound": params, "wanted": columns, "cause": e.args},
             ) from None
 
     # Save -----------------------------------------------------------------------
@@ -300,7 +306,8 @@ class TableStore:
             elif not exists:
                 self._create(rows, name, chunksize, partition_by, bucket_by)
             elif if_exists == "append":
-                self.spark.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {{rows}}", rows=rows)
+                with session_options(self.spark, {MAX_RECORDS: chunksize}):
+                    self.spark.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {{rows}}", rows=rows)
             elif if_exists == "replace":
                 check_columns(rows.columns, self.spark.table(name).columns, "table")
                 replace_rows(self.spark, name, rows, chunksize)
@@ -346,11 +353,19 @@ class TableStore:
 
     def _drop_replace(self, rows: DataFrame, name: str, chunksize: int | None, partition_by, bucket_by) -> None:
         # The rows may come from the table itself: write them completely before the drop.
-        new = f"{name}__new"
-        self.spark.sql(f"DROP TABLE IF EXISTS {new}")
+        # The old table is dropped last; if a rename fails it still has its rows, and gets its name back.
+        mark = uuid.uuid4().hex
+        new, old = f"{name}_new_{mark}", f"{name}_old_{mark}"
         self._create(rows, new, chunksize, partition_by, bucket_by)
-        self.spark.sql(f"DROP TABLE {name}")
-        self.spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+        # An older version may be in the folder that the new table's name asks for.
+        vacuum(self.spark, name)
+        self.spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            self.spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+        except Exception:
+            self.spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+        self.spark.sql(f"DROP TABLE {old}")
         self._constraints.pop(name, None)
 
     # Delete ---------------------------------------------------------------------
@@ -404,8 +419,7 @@ class TableStore:
     ) -> ChangeCounts | DataFrame | None:
         """Update the rows of a table that match `df` on `where_cols`, and insert the others.
 
-        Returns the counts of the run, taken while the table is written (None if
-        Spark did not report them). With `dry_run` nothing is written and the
+        Returns the counts of the run, taken while the table is written. With `dry_run` nothing is written and the
         change set is returned. `auto_key` is an integer column that inserted rows
         get the next numbers in. See `operators.upsert.upsert_changes` for
         `order_by` and `on_duplicate`.
@@ -457,7 +471,8 @@ class TableStore:
     ) -> ChangeCounts | DataFrame | None:
         """Merge `df` into a table, as one MERGE per row of `df` would.
 
-        `native` runs Spark's own MERGE INTO, which reports no counts, and raises
+        `native` runs Spark's own MERGE INTO, which reports no counts and takes none of the
+        options that it cannot carry, and raises
         `SQLStatementNotSupportedError` if the table format has none.
         """
         check_chunksize(chunksize)
@@ -482,7 +497,15 @@ class TableStore:
 
         source = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
         if native:
-            self._native_merge(table, source, plan)
+            cannot = {
+                "omit_update_where_clause=False": not omit_update_where_clause, "null_safe_change": null_safe_change,
+                "delete_unmatched": delete_unmatched, "order_by": order_by, "on_duplicate": on_duplicate,
+                "chunksize": chunksize, "dry_run": dry_run, "declared constraints": self._constraints.get(self.qualified(table)),
+            }
+            given = [option for option, value in cannot.items() if value]
+            if given:
+                raise InvalidInputError(f"native=True cannot carry {', '.join(given)}", data=given)
+            self._native_merge(table, nan_to_null(source) if nan_to_none else source, plan)
             return None
         return self._apply(table, source, plan, dry_run, deletes=delete_unmatched)
 
@@ -536,10 +559,11 @@ class TableStore:
                 changes.auto_key = (auto_key, self._last_number(name, auto_key))
             self._enforce_changes(name, changes)
             counted = changes.counted_result()
+            n_before = target.count() if deletes else 0
             publish = replace_partitions if some_partitions else replace_rows
             publish(self.spark, name, counted.df)
-            counts = counted.counts()
-            return None if counts is None else ChangeCounts(*counts)
+            matched, changed, inserted = counted.counts()
+            return ChangeCounts(matched, changed, inserted, n_before - matched if deletes else 0)
         except FramestoreError:
             raise
         except Exception as e:
@@ -578,7 +602,8 @@ class TableStore:
         )
         enforce(written, row_rules, self._parents(rules), error=ExecuteStatementError)
         for label, columns in self._other_key_sets(name, changes).items():
-            repeated = unique_violations(changes.result(), columns).limit(20).collect()
+            violations = unique_violations(changes.result(), columns)
+            repeated = [r.asDict() for r in violations.limit(20).collect()]
             if repeated:
-                data = [r.asDict() for r in repeated]
-                raise ExecuteStatementError(f"Constraint violations: {label}: {data}", data=data)
+                total = violations.count()
+                raise ExecuteStatementError(f"Constraint violations: {label}: {total} keys, such as {repeated}", data=(total, repeated))

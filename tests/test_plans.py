@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from framestore import TableStore
+from framestore import TableStore, filter_in
 from framestore.operators import merge, update, upsert, with_positions
 from framestore.operators.keyed import HIT
 from framestore.operators.upsert import upsert_changes
@@ -110,15 +110,34 @@ def test_chunks_read_a_range_of_the_staged_table(spark):
     positioned.delete()
 
 
-@pytest.mark.parametrize("named", [500, 1])
-def test_touched_partitions_prune_the_scan(spark, tmp_path, monkeypatch, named):
-    monkeypatch.setattr(publish, "MAX_NAMED_PARTITIONS", named)
+@pytest.mark.parametrize("n", [2, 700])
+def test_touched_partitions_prune_the_scan(spark, tmp_path, n):
     path = f"{tmp_path}/t"
-    spark.range(40).select("id", F.when(F.col("id") % 4 != 3, (F.col("id") % 4).cast("string")).alias("p")).write.partitionBy(
-        "p").parquet(path)
+    p = F.when(F.col("id") % 4 != 3, (F.col("id") % 4).cast("string"))
+    spark.range(40).select("id", p.alias("p")).write.partitionBy("p").parquet(path)
     target = spark.read.schema("id bigint, p string").parquet(path)
-    source = spark.createDataFrame([(1, "1"), (2, None)], "id int, p string")
+    source = spark.createDataFrame([(1, "1"), (2, None), *[(i, f"x{i}") for i in range(n)]], "id int, p string")
     got = publish.touched_partitions(target, source, ("p",))
     assert sorted({r["p"] for r in got.collect()}, key=repr) == ["1", None] and got.count() == 20
-    if named == 500:
-        assert "PartitionFilters: [(" in plan(got)
+    assert "PartitionFilters: [(" in plan(got)
+
+
+def test_touched_partitions_of_two_columns(spark):
+    target = spark.createDataFrame([(a, b) for a in (1, 2, None) for b in ("x", "y", None)], "a int, b string")
+    source = spark.createDataFrame([(1, "x"), (1, None), (None, "y"), (2, "z")], "a int, b string")
+    got = publish.touched_partitions(target, source, ("a", "b")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, "x"), (1, None), (None, "y")], key=repr)
+
+
+def test_in_list_reads_only_what_is_selected(spark, sf_dir, conf):
+    conf(NO_BROADCAST)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    wanted = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey")
+    text = plan(filter_in(lines, "l_partkey", wanted).select("l_orderkey"))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in text
+
+
+def test_positions_need_no_join(spark, conf):
+    conf(NO_BROADCAST)
+    text = plan(with_positions(spark.range(100), "id").df)
+    assert "Join" not in text and "Exchange" not in text

@@ -22,6 +22,8 @@ from framestore.errors import (
     SQLStatementNotSupportedError,
     TableExistsError,
 )
+from framestore.session import delete_scratch
+from framestore.sinks.publish import vacuum
 
 _numbers = itertools.count()
 
@@ -391,7 +393,35 @@ def test_scratch_tables_are_deleted(store, people, changed, spark):
 
     shared = spark.conf.get("spark.checkpoint.dir")
     store.save_df(people, "person", partition_by="place")
+    delete_scratch(spark)
     before = set(glob.glob(f"{shared}/framestore/*"))
     store.upsert_table(changed, "person", ["id", "place"], order_by="id", chunksize=3)
-    list(store.load_table("person", chunksize=3))
+    chunks = list(store.load_table("person", chunksize=3))
+    assert sum(c.count() for c in chunks) == store.load_table("person").count()
+    delete_scratch(spark)
     assert set(glob.glob(f"{shared}/framestore/*")) == before
+
+
+def test_frames_outlive_a_publish(store, people, changed, spark):
+    store.save_df(people, "person")
+    before = store.load_table("person")
+    n = before.count()
+    store.upsert_table(changed, "person", "id", order_by="id")
+    assert before.count() == n
+    vacuum(spark, store.qualified("person"))
+    assert store.load_table("person").count() >= n
+
+
+def test_native_merge_takes_no_option_that_it_cannot_carry(store, people, changed):
+    store.save_df(people, "person")
+    for option in ({"order_by": "id"}, {"delete_unmatched": True}, {"null_safe_change": True}, {"on_duplicate": "unique"},
+                   {"omit_update_where_clause": False}, {"chunksize": 2}, {"dry_run": True}):
+        with pytest.raises(InvalidInputError):
+            store.merge_df(changed, "person", "id", native=True, **option)
+
+
+def test_deleted_rows_are_counted(store, people):
+    store.save_df(people, "person")
+    n = people.count()
+    counts = store.merge_df(people.limit(1), "person", "id", delete_unmatched=True, on_duplicate="unique")
+    assert (counts.rows_matched, counts.rows_deleted) == (1, n - 1)
