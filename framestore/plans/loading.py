@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import warnings
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -326,6 +328,96 @@ def load_datetime_pipeline(t: Tables):
     )
 
 
+# Text dates as people write them, long lists ------------------------------------
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey, date_trunc('day', o_orderdate) AS day, date_trunc('minute', o_orderdate) AS minute
+    FROM orders
+    """
+)
+def parse_dates_short_fields(t: Tables):
+    """Days, months and hours of one digit, and text without the seconds that the format has."""
+    return TableStore(t.spark).load_table(
+        f"""
+        SELECT o_orderkey, o_custkey, date_format(o_orderdate, 'd/M/yyyy') AS day,
+               date_format(o_orderdate, 'yyyy-MM-dd H:mm') AS minute FROM {t.in_sql('orders')}
+        """,
+        parse_dates={"day": "%d/%m/%Y", "minute": "%Y-%m-%d %H:%M:%S"},
+    )
+
+
+@query(
+    """
+    SELECT event_id, make_timestamp(CASE WHEN user_id % 100 >= 69 THEN 1900 ELSE 2000 END + user_id % 100, 3, 7, 0, 0, 0) AS day
+    FROM events
+    """
+)
+def parse_dates_two_digit_year(t: Tables):
+    return TableStore(t.spark).load_table(
+        f"SELECT event_id, concat('07.3.', lpad(user_id % 100, 2, '0')) AS day FROM {t.in_sql('events')}",
+        parse_dates={"day": "%d.%m.%y"},
+    )
+
+
+@query("SELECT event_id, date_trunc('second', ts) - INTERVAL 2 HOUR AS local, date_trunc('second', ts) AS zulu FROM events")
+def parse_dates_offset_utc(t: Tables):
+    """The offset in a text counts, with and without a format."""
+    return TableStore(t.spark).load_table(
+        f"""
+        SELECT event_id, date_format(ts, "yyyy-MM-dd HH:mm:ss'+02:00'") AS local,
+               date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'") AS zulu FROM {t.in_sql('events')}
+        """,
+        parse_dates=["local", "zulu"],
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN date_trunc('day', o_orderdate) END AS day FROM orders
+    """
+)
+def parse_dates_iso_strict(t: Tables):
+    """A format is a format, also an ISO one: a bare year or month does not match it."""
+    return TableStore(t.spark).load_table(
+        f"""
+        SELECT o_orderkey, date_format(o_orderdate, CASE o_orderkey % 3 WHEN 0 THEN 'yyyy-MM-dd 00:00:00' WHEN 1 THEN 'yyyy'
+               ELSE 'yyyy-MM' END) AS day FROM {t.in_sql('orders')}
+        """,
+        parse_dates={"day": "%Y-%m-%d %H:%M:%S"},
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey, o_orderdate FROM orders
+    WHERE o_orderdate = date_trunc('day', o_orderdate) AND date_diff('day', TIMESTAMP '1990-01-01', o_orderdate) % 3 = 0
+      AND date_diff('day', TIMESTAMP '1990-01-01', o_orderdate) BETWEEN 0 AND 14999
+    """
+)
+def in_list_long(t: Tables):
+    """Five thousand texts against a datetime column."""
+    days = [str(date(1990, 1, 1) + timedelta(days=3 * k)) for k in range(5000)]
+    return filter_in(t("orders").select("o_orderkey", "o_orderdate"), "o_orderdate", days)
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey % 2 = 0 AND l_partkey < 10000")
+def in_list_coerced(t: Tables):
+    """Five thousand fractions and whole floats against an integer column."""
+    wanted = [float(k) if k % 2 == 0 else k + 0.5 for k in range(10000)]
+    return filter_in(t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey", wanted)
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def load_in_chunks(t: Tables):
+    """All chunks of an iterator, kept in a list and read later."""
+    n = -(-t("orders").count() // 7)
+    sql = f"SELECT o_orderkey, o_custkey, o_totalprice FROM {t.in_sql('orders')}"
+    chunks = list(TableStore(t.spark).load_table(sql, chunksize=n, order_by="o_orderkey"))
+    return reduce(lambda a, b: a.unionByName(b), chunks)
+
+
 # Missing values and chunks ------------------------------------------------------
 
 

@@ -55,6 +55,33 @@ def save_drop_replace(t: Tables):
     return store.load_table("part")
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority <> '1-URGENT'")
+def read_after_upsert(t: Tables):
+    """A frame that was loaded before an upsert is read after it, with the rows of its own time."""
+    store = t.store()
+    store.save_df(known_orders(t), "orders")
+    before = store.load_table("orders", columns=["o_orderkey", "o_totalprice"])
+    store.upsert_table(arriving_orders(t), "orders", "o_orderkey")
+    return before
+
+
+@query(
+    """
+    SELECT count(*) FILTER (WHERE o_totalprice > 200000) AS rows_matched,
+           CAST(0 AS BIGINT) AS rows_changed, CAST(0 AS BIGINT) AS rows_inserted,
+           count(*) FILTER (WHERE o_totalprice <= 200000) AS rows_deleted FROM orders
+    """
+)
+def table_merge_delete_counts(t: Tables):
+    store = t.store()
+    store.save_df(t("orders"), "orders")
+    c = store.merge_df(t("orders").where("o_totalprice > 200000"), "orders", "o_orderkey", delete_unmatched=True)
+    return t.spark.createDataFrame(
+        [(c.rows_matched, c.rows_changed, c.rows_inserted, c.rows_deleted)],
+        "rows_matched bigint, rows_changed bigint, rows_inserted bigint, rows_deleted bigint",
+    )
+
+
 @query(
     """
     SELECT s_suppkey, s_name, s_acctbal FROM supplier
