@@ -27,10 +27,11 @@ from framestore.errors import (
 from framestore.functions.datetimes import DEFAULT_FORMAT, convert_datetime_columns
 from framestore.functions.nulls import nan_to_null
 from framestore.functions.parsing import cast_columns
+from framestore.functions.project import pick
 from framestore.operators.changes import ACTION, Changes
 from framestore.operators.checks import Constraints, enforce, unique_violations
 from framestore.operators.chunks import POSITION, iter_chunks, with_positions
-from framestore.operators.keyed import quoted, spread_join
+from framestore.operators.keyed import align_types, quoted, spread_join
 from framestore.operators.merge import merge_changes
 from framestore.operators.params import check_value
 from framestore.operators.upsert import upsert_changes
@@ -426,7 +427,7 @@ class TableStore:
         """
         check_chunksize(chunksize)
 
-        def plan(target: DataFrame, source: DataFrame, co_located: bool = False) -> Changes:
+        def plan(target: DataFrame, source: DataFrame, co_located: bool = False, unique: bool = False) -> Changes:
             return upsert_changes(
                 target,
                 source,
@@ -439,12 +440,13 @@ class TableStore:
                 chunksize=chunksize,
                 nan_as_null=nan_to_none,
                 order_by=order_by,
-                on_duplicate=on_duplicate,
+                on_duplicate="unique" if unique else on_duplicate,
                 co_located=co_located,
             )
 
         source = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
-        return self._apply(table, source, plan, dry_run, deletes=False, auto_key=auto_key)
+        once = order_by is None and on_duplicate in (None, "error")
+        return self._apply(table, source, plan, dry_run, deletes=False, auto_key=auto_key, once=once, nan_as_null=nan_to_none)
 
     def merge_df(
         self,
@@ -477,7 +479,7 @@ class TableStore:
         """
         check_chunksize(chunksize)
 
-        def plan(target: DataFrame, source: DataFrame, co_located: bool = False) -> Changes:
+        def plan(target: DataFrame, source: DataFrame, co_located: bool = False, unique: bool = False) -> Changes:
             return merge_changes(
                 target,
                 source,
@@ -491,7 +493,7 @@ class TableStore:
                 chunksize=chunksize,
                 nan_as_null=nan_to_none,
                 order_by=order_by,
-                on_duplicate=on_duplicate,
+                on_duplicate="unique" if unique else on_duplicate,
                 co_located=co_located,
             )
 
@@ -507,7 +509,8 @@ class TableStore:
                 raise InvalidInputError(f"native=True cannot carry {', '.join(given)}", data=given)
             self._native_merge(table, nan_to_null(source) if nan_to_none else source, plan)
             return None
-        return self._apply(table, source, plan, dry_run, deletes=delete_unmatched)
+        once = order_by is None and on_duplicate in (None, "error")
+        return self._apply(table, source, plan, dry_run, deletes=delete_unmatched, once=once, nan_as_null=nan_to_none)
 
     def _native_merge(self, table: str, source: DataFrame, plan: Callable) -> None:
         name = self.qualified(table)
@@ -530,6 +533,8 @@ class TableStore:
         dry_run: bool,
         deletes: bool,
         auto_key: str | None = None,
+        once: bool = False,
+        nan_as_null: bool = True,
     ) -> ChangeCounts | DataFrame | None:
         name = self.qualified(table)
         if not self.spark.catalog.tableExists(name):
@@ -544,6 +549,8 @@ class TableStore:
             # The source is read by several branches of the plan: compute it once.
             source, path = stage(source, "source")
             scratch.append(path)
+            if once:
+                self._require_unique(source, target, outline.keys, nan_as_null)
             info = table_info(self.spark, name)
             some_partitions = (
                 info.partition_columns
@@ -554,7 +561,7 @@ class TableStore:
             if some_partitions:
                 target = touched_partitions(target, source, info.partition_columns)
             bucketed = bool(info.bucket_columns) and set(info.bucket_columns) == set(outline.keys)
-            changes = plan(target, source, co_located=bucketed)
+            changes = plan(target, source, co_located=bucketed, unique=once)
             if auto_key is not None:
                 changes.auto_key = (auto_key, self._last_number(name, auto_key))
             self._enforce_changes(name, changes)
@@ -572,6 +579,16 @@ class TableStore:
             for path in [*scratch, *(changes.scratch if changes is not None else ())]:
                 delete_path(self.spark, path)
 
+    @staticmethod
+    def _require_unique(source: DataFrame, target: DataFrame, keys: Sequence[str], nan_as_null: bool) -> None:
+        """Fail if a key repeats. Only the keys are read, counted before they are shuffled; the change then trusts the source."""
+        rows = align_types(pick(nan_to_null(source) if nan_as_null else source, keys), target.schema)
+        repeated = unique_violations(rows, list(keys)).limit(1).collect()
+        if repeated:
+            raise ExecuteStatementError(
+                f"The source holds a key more than once, key columns {list(keys)}: {repeated[0].asDict()}", data=list(keys)
+            )
+
     def _last_number(self, name: str, column: str) -> int:
         target = self.spark.table(name)
         check_columns([column], target.columns, "table")
