@@ -16,6 +16,7 @@ from framestore.functions import convert_datetime_columns  # noqa: E402
 from framestore.operators.chunks import chunk_ids  # noqa: E402
 from framestore.operators.merge import merge  # noqa: E402
 from framestore.operators.upsert import upsert  # noqa: E402
+from framestore.plans import QUERIES
 from framestore.plans.registry import Tables  # noqa: E402
 from framestore.store import TableStore  # noqa: E402
 
@@ -100,8 +101,22 @@ def chunk_lineitem(t: Tables) -> None:
     compute(chunk_ids(rows, 10000, ["l_shipdate", "l_orderkey", "l_linenumber"]))
 
 
+def named(query: str):
+    """A query of the correctness check as a bench."""
+
+    def run(t: Tables) -> None:
+        compute(QUERIES[query](t.spark, t.folder))
+
+    run.__name__ = query
+    return run
+
+
 # Query and the table whose rows give the rate.
 BENCHES = [
+    (named("in_list_long"), "orders"),
+    (named("merge_changed_only_duplicates"), "events"),
+    (named("table_upsert_partitioned"), "orders"),
+    (named("unique_violations_on_append"), "orders"),
     (load_filter_cast, "orders"),
     (upsert_small_source, "orders"),
     (upsert_whole_source, "orders"),

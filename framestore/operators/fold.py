@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from framestore.functions.project import ident
-from framestore.operators.keyed import any_null, order_struct, quoted, row_struct, spread_join
+from framestore.operators.keyed import any_null, order_struct, quoted, row_struct
 
 _BATCH_ROWS = 4096
 
@@ -141,19 +141,20 @@ def fold_changes(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], o
     counted = rows.groupBy(*key_columns).agg(F.count("*").alias("__n"), F.first(row_struct(columns)).alias("__row"))
     repeated = counted.where("__n > 1").select(*key_columns)
     return _single_runs(counted.where("__n = 1"), keys, columns).unionByName(
-        _repeated_runs(spread_join(rows, repeated, keys, "left_semi"), keys, columns, order_by)
+        _repeated_runs(rows.join(repeated, keys, "left_semi"), keys, columns, order_by)
     )
 
 
 def _single_runs(once: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    point = F.struct(F.lit(0).cast("bigint").alias("place"), F.col("__row").alias("row"))
-    points = F.array(*[F.when(F.col(f"__row.`{c}`").isNotNull(), point) for c in columns])
+    """A key with one row carries that row once and no points: `folded_row` compares with it directly."""
+    row = once.schema["__row"].dataType
+    points = ArrayType(StructType([StructField("place", LongType()), StructField("row", row)]))
     return once.select(
         *[quoted(k) for k in keys],
         F.col("__row").alias("__inserted"),
         F.col("__row").alias("__value"),
-        points.alias("__first"),
-        F.transform(points, lambda p: F.when(F.lit(False), p)).alias("__second"),
+        F.lit(None).cast(points).alias("__first"),
+        F.lit(None).cast(points).alias("__second"),
     )
 
 
@@ -226,7 +227,8 @@ def _repeated_runs(rows: DataFrame, keys: list[str], columns: list[str], order_b
 def folded_row(columns: Sequence[str]) -> str:
     """SQL for the struct of new values of a matched row, from the summary of its key.
 
-    The first place where a column can change the row decides.
+    The first place where a column can change the row decides. Without places, the key has one row, which
+    counts if one of its values differs.
     """
     points = [
         f"CASE WHEN {ident(c)} IS NULL THEN NULL WHEN {ident(c)} <> __value.{ident(c)} THEN get(__first, {i}) "
@@ -234,4 +236,6 @@ def folded_row(columns: Sequence[str]) -> str:
         for i, c in enumerate(columns)
     ]
     current = f"struct({', '.join(ident(c) for c in columns)})"
-    return f"coalesce(array_min(array({', '.join(points)})).row, {current})"
+    changed = " OR ".join(f"{ident(c)} <> __value.{ident(c)}" for c in columns)
+    folded = f"coalesce(array_min(array({', '.join(points)})).row, {current})"
+    return f"CASE WHEN __first IS NOT NULL THEN {folded} WHEN {changed} THEN __value ELSE {current} END"
