@@ -30,8 +30,12 @@ _LANES = sum(1 << (9 * j) for j in range(7))
 _LONG = 511
 
 
+def _bare(line: Column) -> Column:
+    return F.trim(line, F.lit(" \t\r\x0b\x0c"))
+
+
 def normal(line: Column) -> Column:
-    return F.lower(F.trim(line, F.lit(" \t\r\x0b\x0c")))
+    return F.lower(_bare(line))
 
 
 def _hash_of_bits(sums: str, n: str) -> str:
@@ -95,13 +99,23 @@ def likely(df: DataFrame, column: str, wanted: DataFrame, name: str | None = Non
     return met.where(~hit if outside else hit).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def occurrences(rows: DataFrame) -> DataFrame:
-    """The columns of `rows` but for `text`, and place, norm, h1, h2 and size of every line with something in it."""
+def _lines(rows: DataFrame) -> DataFrame:
+    """The columns of `rows` but for `text`, and place and line of every line with something in it."""
     kept = [c for c in rows.columns if c != "text"]
     lines = rows.select(*kept, F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    lines = lines.select(*kept, "place", normal(F.col("line")).alias("norm")).where("norm <> ''")
+    return lines.where(_bare(F.col("line")) != "")
+
+
+def _named_lines(lines: DataFrame) -> DataFrame:
+    """norm, h1, h2 and size in the place of line."""
+    kept = [c for c in lines.columns if c != "line"]
     hashes = [F.xxhash64(F.lit(salt), "norm").alias(c) for c, salt in (("h1", "one"), ("h2", "two"))]
-    return lines.select("*", *hashes, F.length("norm").alias("size"))
+    return lines.select(*kept, normal(F.col("line")).alias("norm")).select("*", *hashes, F.length("norm").alias("size"))
+
+
+def occurrences(rows: DataFrame) -> DataFrame:
+    """The columns of `rows` but for `text`, and place, norm, h1, h2 and size of every line with something in it."""
+    return _named_lines(_lines(rows))
 
 
 def _near(a: str, b: str) -> Column:
@@ -140,9 +154,12 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
 
     `rows` has part, row and text and is bucketed by part; `plain` has the same rows.
     """
-    found = occurrences(rows.select("part", "row", "text"))
-    words = F.length("norm") - F.length(F.translate("norm", " ", "")) + 1
-    short, long = found.where(words <= _LONG), found.where(words > _LONG)
+    found = _lines(rows.select("part", "row", "text"))
+    # So many words take at least a space less than twice as many characters: spaces of shorter lines are not counted.
+    bare = _bare(F.col("line"))
+    spaces = F.length(bare) - F.length(F.translate(bare, " ", ""))
+    long = (F.length("line") > 2 * _LONG) & (spaces >= _LONG)
+    short, long = _named_lines(found.where(~long)), _named_lines(found.where(long))
     occ, _ = stage(short_simhashes(short).unionByName(long_simhashes(long)), "occurrences")
     rows = plain
     lines = occ.groupBy("h1", "h2").agg(F.min("sim").alias("sim"), F.min("size").alias("size"))
