@@ -7,9 +7,9 @@ connected group of lines one occurrence stays, the first by (document id, row, p
 
 Equal lines are one node. Lines meet under pigeonhole blocks: the hash is cut into `BLOCKS`, and lines at
 most DISTANCE apart agree on some BLOCKS - DISTANCE of them, the bits of which make a key. Of a
-key with two lines the pair is tested. Of a key with more, each is tested against the first one; only pairs that
-are still in different components are then compared one by one, so a thousand variants of a
-line do not become all of their pairs, and no link between components is lost.
+key with two lines the pair is tested. Of a key with more, each is tested against the first one, and again under the
+keys of more blocks, where closer lines meet. Only pairs that are still in different components are then
+compared one by one, so a thousand variants of a line do not become all of their pairs, and no link between components is lost.
 
 A fixed-size bit filter keeps rows that have no part in a join from being moved. It only saves work.
 """
@@ -74,12 +74,12 @@ def long_simhashes(lines: DataFrame) -> DataFrame:
     return lines.select("row", "place", "h1", "h2", "size", F.expr(f"transform(array({hashes}), h -> {bits})[0]").alias("sim"))
 
 
-def block_keys(sim: str = "sim") -> Column:
-    """A key for each choice of BLOCKS - DISTANCE blocks: their bits, and which blocks they are."""
+def block_keys(agree: int = BLOCKS - DISTANCE) -> Column:
+    """A key for each choice of `agree` blocks of `sim`: their bits, and which blocks they are."""
     edges = [BITS * i // BLOCKS for i in range(BLOCKS + 1)]
     masks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
-    chosen = [sum(c) for c in combinations(masks, BLOCKS - DISTANCE)]
-    return F.array(*[F.xxhash64(F.lit(i), F.col(sim).bitwiseAND(F.lit(m))) for i, m in enumerate(chosen)])
+    chosen = [sum(c) for c in combinations(masks, agree)]
+    return F.array(*[F.xxhash64(F.lit(i), F.col("sim").bitwiseAND(F.lit(m))) for i, m in enumerate(chosen)])
 
 
 _FILTER_BITS = 20
@@ -132,17 +132,20 @@ def _named(lines: DataFrame, end: str) -> DataFrame:
     return lines.select(*[F.col(c).alias(f"{c}{end}") for c in lines.columns])
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs whose texts are similar enough. The texts of their lines are read again."""
-    nodes = pairs.select(F.col("a").alias("line")).union(pairs.select(F.col("b").alias("line"))).distinct()
-    wanted, _ = stage(lines.join(nodes, "line").select("line", "h1", "h2"), "wanted-lines")
-    texts = likely(occurrences(rows.select("text")).select("norm", "h1", "h2"), "h1", wanted)
-    texts = texts.groupBy("h1", "h2").agg(F.first("norm").alias("norm")).join(wanted, ["h1", "h2"]).select("line", "norm")
+def _texts(lines: DataFrame, wanted: DataFrame, rows: DataFrame) -> DataFrame:
+    """(line, norm) of the wanted lines, from a second look at the rows."""
+    wanted, _ = stage(lines.join(wanted, "line").select("line", "h1", "h2"), "wanted-lines")
+    found = likely(occurrences(rows.select("text")).select("norm", "h1", "h2"), "h1", wanted)
+    found = found.groupBy("h1", "h2").agg(F.first("norm").alias("norm")).join(wanted, ["h1", "h2"])
+    return stage(found.select("line", "norm"), "line-texts")[0]
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose texts are similar enough."""
     a = texts.select(F.col("line").alias("a"), F.col("norm").alias("x"))
     b = texts.select(F.col("line").alias("b"), F.col("norm").alias("y"))
-    met = pairs.join(a, "a").join(b, "b")
-    met = met.withColumn("most", _edits_of_texts())
-    return met.where(F.expr("levenshtein(x, y, most)") >= 0).select("a", "b")
+    met = pairs.join(a, "a").join(b, "b").withColumn("most", _edits_of_texts())
+    return stage(met.where(F.expr("levenshtein(x, y, most)") >= 0).select("a", "b"), "line-links")[0]
 
 
 def _edits_of_texts() -> Column:
@@ -171,9 +174,24 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
     listed, _ = stage(likely(keys, "key", several).join(several, "key").select("key", "line", "a"), "line-lists")
     pairs = met.select("a", "b").union(listed.where("line <> a").select("a", F.col("line").alias("b"))).distinct()
     measured = lines.select("line", "sim", "size")
-    a_side, b_side = (_named(measured, end).withColumnRenamed(f"line{end}", end[1]) for end in ("_a", "_b"))
-    pairs, _ = stage(pairs.join(a_side, "a").join(b_side, "b").where(_near("_a", "_b")).select("a", "b"), "line-pairs")
-    links, _ = stage(_verified(pairs, lines, rows), "line-links")
+
+    def near(pairs: DataFrame) -> DataFrame:
+        a, b = (_named(measured, end).withColumnRenamed(f"line{end}", end[1]) for end in ("_a", "_b"))
+        return stage(pairs.join(a, "a").join(b, "b").where(_near("_a", "_b")).select("a", "b"), "line-pairs")[0]
+
+    tested = near(pairs)
+    ends = tested.select(F.col("a").alias("line")).union(tested.select(F.col("b").alias("line")))
+    texts = _texts(lines, ends.union(listed.select("line")).distinct(), rows)
+    links = _verified(tested, texts)
+    # Lines of longer lists: first those that agree on more blocks, so that what lies close together is one component
+    # before the lists are compared pair by pair.
+    crowd, _ = stage(listed.select("line").distinct().join(measured, "line"), "crowded-lines")
+    for agree in range(BLOCKS, BLOCKS - DISTANCE, -1):
+        keys = crowd.select("line", F.explode(block_keys(agree)).alias("key"))
+        first = keys.groupBy("key").agg(F.min("line").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+        pairs = keys.join(first, "key").where("line <> a").select("a", F.col("line").alias("b")).distinct()
+        pairs = near(pairs.join(tested, ["a", "b"], "left_anti"))
+        links, tested = links.union(_verified(pairs, texts)), tested.union(pairs)
     labels = components(links)
     known = listed.join(labels.withColumnRenamed("node", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
     open_keys = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
@@ -181,11 +199,10 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
     known, _ = stage(known, "open-lines")
     rest = _named(known, "_a").withColumnRenamed("key_a", "key").join(_named(known, "_b").withColumnRenamed("key_b", "key"), "key")
     rest = rest.where((F.col("line_a") < F.col("line_b")) & (F.col("label_a") != F.col("label_b")) & _near("_a", "_b"))
-    rest = rest.select(F.col("line_a").alias("a"), F.col("line_b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    rest = rest.select(F.col("line_a").alias("a"), F.col("line_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     rest, _ = stage(rest, "open-line-pairs")
     if rest.limit(1).count():
-        more, _ = stage(_verified(rest, lines, rows), "open-line-links")
-        labels = components(links.union(more))
+        labels = components(links.union(_verified(rest, texts)))
     lines = lines.join(labels.withColumnRenamed("node", "line"), "line", "left").select("h1", "h2", F.coalesce("label", "line").alias("label"))
     return occ, lines
 
