@@ -175,11 +175,11 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
     pairs = met.select("a", "b").union(listed.where("line <> a").select("a", F.col("line").alias("b"))).distinct()
     measured = lines.select("line", "sim", "size")
 
-    def near(pairs: DataFrame) -> DataFrame:
+    def near(pairs: DataFrame, measured: DataFrame) -> DataFrame:
         a, b = (_named(measured, end).withColumnRenamed(f"line{end}", end[1]) for end in ("_a", "_b"))
         return stage(pairs.join(a, "a").join(b, "b").where(_near("_a", "_b")).select("a", "b"), "line-pairs")[0]
 
-    tested = near(pairs)
+    tested = near(pairs, measured)
     ends = tested.select(F.col("a").alias("line")).union(tested.select(F.col("b").alias("line")))
     texts = _texts(lines, ends.union(listed.select("line")).distinct(), rows)
     links = _verified(tested, texts)
@@ -190,7 +190,7 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
         keys = crowd.select("line", F.explode(block_keys(agree)).alias("key"))
         first = keys.groupBy("key").agg(F.min("line").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
         pairs = keys.join(first, "key").where("line <> a").select("a", F.col("line").alias("b")).distinct()
-        pairs = near(pairs.join(tested, ["a", "b"], "left_anti"))
+        pairs = near(pairs.join(tested, ["a", "b"], "left_anti"), crowd)
         links, tested = links.union(_verified(pairs, texts)), tested.union(pairs)
     labels = components(links)
     known = listed.join(labels.withColumnRenamed("node", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
