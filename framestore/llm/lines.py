@@ -1,7 +1,7 @@
 r"""Fuzzy line deduplication in DataFrame operations only.
 
-Lines are compared in normal form: lower case, without white space at both ends; words are what single
-spaces separate. Two lines link when the SimHashes of their sets of words differ in at most `DISTANCE` of 63 bits and
+Lines are compared in normal form: lower case, with runs of white space and ASCII punctuation as one
+space; words are what the spaces separate. Two lines link when the SimHashes of their sets of words differ in at most `DISTANCE` of 63 bits and
 their edit distance is at most a tenth of the longer line (and at most `MOST_EDITS`). Of every
 connected group of lines one occurrence stays, the first by (document id, row, place).
 
@@ -30,12 +30,8 @@ _LANES = sum(1 << (9 * j) for j in range(7))
 _LONG = 511
 
 
-def _bare(line: Column) -> Column:
-    return F.trim(line, F.lit(" \t\r\x0b\x0c"))
-
-
 def normal(line: Column) -> Column:
-    return F.lower(_bare(line))
+    return F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Punct}]+", " "))
 
 
 def _hash_of_bits(sums: str, n: str) -> str:
@@ -100,10 +96,10 @@ def likely(df: DataFrame, column: str, wanted: DataFrame, name: str | None = Non
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """The columns of `rows` but for `text`, and place and line of every line with something in it."""
+    """The columns of `rows` but for `text`, and place and line of every line whose normal form is not empty."""
     kept = [c for c in rows.columns if c != "text"]
     lines = rows.select(*kept, F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    return lines.where(_bare(F.col("line")) != "")
+    return lines.where(F.col("line").rlike(r"[^\s\p{Punct}]"))
 
 
 def _named_lines(lines: DataFrame) -> DataFrame:
@@ -114,7 +110,7 @@ def _named_lines(lines: DataFrame) -> DataFrame:
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
-    """The columns of `rows` but for `text`, and place, norm, h1, h2 and size of every line with something in it."""
+    """The columns of `rows` but for `text`, and place, norm, h1, h2 and size of every line whose normal form is not empty."""
     return _named_lines(_lines(rows))
 
 
@@ -159,8 +155,8 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
     """
     found = _lines(rows.select("part", "row", "text"))
     # So many words take at least a space less than twice as many characters: spaces of shorter lines are not counted.
-    bare = _bare(F.col("line"))
-    spaces = F.length(bare) - F.length(F.translate(bare, " ", ""))
+    norm = normal(F.col("line"))
+    spaces = F.length(norm) - F.length(F.translate(norm, " ", ""))
     long = (F.length("line") > 2 * _LONG) & (spaces >= _LONG)
     short, long = _named_lines(found.where(~long)), _named_lines(found.where(long))
     occ, _ = stage(short_simhashes(short).unionByName(long_simhashes(long)), "occurrences")
