@@ -3,7 +3,8 @@ r"""Secret scans with structural confirmation.
 Patterns only name candidates. A base64 or hex candidate is reported if it
 decodes to something that holds together: a DER sequence whose nested lengths add
 up to its size, an OpenSSH key with its length-prefixed fields, or a signed token whose
-header and payload are JSON with an algorithm. Plain assignments, access key ids and
+header and payload are JSON with an algorithm. A key file may be in a string with escaped
+line ends, or encrypted under Proc-Type and DEK-Info headers. Plain assignments, access key ids and
 long hex strings are the base findings; they are reported as they are found.
 
 Every text is scanned whole, in the task that read it; nothing is shuffled.
@@ -33,7 +34,12 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*(?:KEY|CERTIFICATE))-----([^-]*)-----END \1-----")
+#: A body goes on to the next five hyphens; headers have single ones.
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*(?:KEY|CERTIFICATE))-----([^-]*+(?:-(?!----)[^-]*+)*+)-----END \1-----")
+_ESCAPE = re.compile(r"\\+(?:[nrt]|u([0-9A-Fa-f]{4}))")
+#: Lines of quotes and what joins strings, an opening quote with what joins it to the string before, a closing one with what follows it.
+_QUOTED = re.compile(r"""^[\s+.&,;()\\]*["'`][\s+.&,;()\\"'`]*$|^[\s+.&,;()\\]*["'`]|["'`][\s+.&,;()\\]*$""")
+_CIPHER = re.compile(r"[A-Z0-9-]+,\s*(?:[0-9A-F]{2})+", re.IGNORECASE | re.ASCII)
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _DER_TAGS = {0x01, 0x02, 0x03, 0x04, 0x05, 0x06, 0x0A, 0x0C, 0x13, 0x16, 0x17, 0x18, 0x30, 0x31}
@@ -106,6 +112,18 @@ def ssh_key(data: bytes | None) -> bool:
     return len(fields) >= 2 and fields[0].startswith((b"ssh-", b"ecdsa-", b"sk-"))
 
 
+def pem_key(body: str) -> bool:
+    """A key between BEGIN and END, also with the escapes and quotes of a JSON, YAML or source string, or encrypted
+    as its Proc-Type and DEK-Info headers say."""
+    text = _ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else "\n", body)
+    lines = [_QUOTED.sub("", line) for line in text.splitlines()]
+    fields = {name.strip().lower(): value.strip() for name, colon, value in (line.partition(":") for line in lines) if colon}
+    data = _unpad("".join(line for line in lines if ":" not in line))
+    if re.fullmatch(r"4,\s*ENCRYPTED", fields.get("proc-type", "")) and _CIPHER.fullmatch(fields.get("dek-info", "")):
+        return bool(data)
+    return der_key(data) or ssh_key(data)
+
+
 def signed_token(text: str) -> bool:
     head, payload, signature = text.split(".")
     try:
@@ -124,10 +142,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), "token") for m in _TOKEN.finditer(text) if signed_token(m[0])]
-    for m in _PEM.finditer(text):
-        data = _unpad("".join(line for line in m[2].splitlines() if ":" not in line))
-        if der_key(data) or ssh_key(data):
-            found.append((m.start(), m.end(), "pem"))
+    found += [(m.start(), m.end(), "pem") for m in _PEM.finditer(text) if pem_key(m[2])]
     for m in _BASE64.finditer(text):
         data = _unpad(m[0])
         if der_key(data) or ssh_key(data):
