@@ -2,7 +2,7 @@ r"""Fuzzy line deduplication in DataFrame operations only.
 
 Lines are compared in normal form: lower case, with runs of white space and ASCII punctuation as one
 space; words are what the spaces separate. Two lines link when the SimHashes of their sets of words differ in at most `DISTANCE` of 63 bits and
-their edit distance is at most a tenth of the longer line (and at most `MOST_EDITS`). Of every
+their edit distance is at most a tenth of the longer line, whatever its length. Of every
 connected group of lines one occurrence stays, the first by (document id, row, place).
 
 Equal lines are one node. Lines meet under pigeonhole blocks: the hash is cut into `BLOCKS`, and lines at
@@ -25,7 +25,7 @@ from framestore.llm.parts import kept_by_part
 from framestore.llm.registry import query, table
 from framestore.session import stage
 
-BITS, DISTANCE, BLOCKS, MOST_EDITS = 63, 3, 5, 128
+BITS, DISTANCE, BLOCKS = 63, 3, 5
 _LANES = sum(1 << (9 * j) for j in range(7))
 _LONG = 511
 
@@ -121,7 +121,7 @@ def _near(a: str, b: str) -> Column:
 
 
 def _edits(a: str, b: str) -> Column:
-    return F.least(F.floor(F.greatest(a, b) / 10), F.lit(MOST_EDITS)).cast("int")
+    return F.floor(F.greatest(a, b) / 10).cast("int")
 
 
 def _named(lines: DataFrame, end: str) -> DataFrame:
@@ -145,7 +145,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _edits_of_texts() -> Column:
-    return F.least(F.floor(F.greatest(F.length("x"), F.length("y")) / 10), F.lit(MOST_EDITS)).cast("int")
+    return F.floor(F.greatest(F.length("x"), F.length("y")) / 10).cast("int")
 
 
 def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -17,3 +17,10 @@ def test_lines_are_equal_up_to_punctuation_and_white_space(spark):
     assert kept(spark, texts) == ["Terms of use", "", "", "", "Terms of sale", "-----\n* * *", "-----\n* * *", "..."]
     many = ",".join(f"w{k}" for k in range(700))
     assert kept(spark, [many, many.replace(",", " , ")]) == [many, ""]
+
+
+def test_long_lines_link_at_the_full_tenth(spark):
+    """The sets of words, and so the SimHashes, are the same: 60 words of a line of 14,000 characters are missing, then 400."""
+    words = [f"word{k % 100:02d}" for k in range(2000)]
+    near, far = (words[:1000] + words[1000 + n :] for n in (60, 400))
+    assert kept(spark, [" ".join(x) for x in (words, near, far)]) == [" ".join(words), "", " ".join(far)]
