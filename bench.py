@@ -126,6 +126,7 @@ BENCHES = [
     (datetime_lineitem, "lineitem"),
     (replace_staged, "lineitem"),
     (table_upsert, "orders"),
+    (named("table_upsert_touched_files"), "orders"),
     (chunk_lineitem, "lineitem"),
 ]
 

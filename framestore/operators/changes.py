@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField
 
 from framestore.functions.project import ident, pick, project
@@ -14,9 +14,12 @@ from framestore.operators.chunks import POSITION, with_positions
 from framestore.operators.keyed import HIT, any_null, quoted, row_struct, spread_join
 
 ACTION = "_action"
-_CHANGED = "__changed"
 _NEW = "__new"
 
+#: A column of a byte in the files of a new version, beside the columns of the table: what the change did to the row.
+CHANGE = "_framestore_change"
+KEPT, SAME, UPDATED, INSERTED = range(4)
+
 
 def default_value(field: StructField) -> str:
     """SQL for the DEFAULT of a table column as Spark records it in the schema, else NULL."""
@@ -24,28 +27,6 @@ def default_value(field: StructField) -> str:
     return f"CAST({text} AS {field.dataType.simpleString()})"
 
 
-@dataclass
-class CountedResult:
-    """A new table image and the observations that fill when it is written."""
-
-    df: DataFrame
-    observations: dict[str, Observation]
-
-    def counts(self) -> tuple[int, int, int]:
-        """Matched, changed and inserted rows. Call it after the write.
-
-        The observations travel on Spark's listener bus. When the bus has delivered all
-        events of the write, one that did not arrive belongs to a branch of the plan
-        that Spark found empty and left out: it counted no rows.
-        """
-        self.df.sparkSession.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-        found: dict[str, int] = {}
-        for observation in self.observations.values():
-            if observation._jo.future().isCompleted():
-                found.update(observation.get)
-        return tuple(int(found.get(n) or 0) for n in ("rows_matched", "rows_changed", "rows_inserted"))
-
-
 @dataclass
 class Changes:
     """A planned upsert or merge.
@@ -82,14 +63,10 @@ class Changes:
             return self.target.join(keyed, list(self.keys), how)
         return spread_join(self.target, keyed, self.keys, how)
 
-    def updated(self, observation: Observation | None = None) -> DataFrame:
-        """The target rows with the new values of matched rows.
-
-        An `observation` receives the number of matched and changed rows while the
-        rows are computed.
-        """
+    def updated(self, marked: bool = False) -> DataFrame:
+        """The target rows with the new values of matched rows; with `marked` also the column `CHANGE`."""
         if self.keyed is None:
-            return self.target
+            return self.target.withColumn(CHANGE, F.lit(KEPT).cast("tinyint")) if marked else self.target
         joined = self._with_new_row("inner" if self.delete_unmatched else "left")
         columns = {}
         for name in self.target.columns:
@@ -97,12 +74,10 @@ class Changes:
             if name in self.update:
                 value = f"CASE WHEN {HIT} IS NOT NULL THEN {_NEW}.{value} ELSE {value} END"
             columns[name] = value
-        if observation is None:
-            return project(joined, columns, self.target.schema)
-        marks = {HIT: f"{HIT} IS NOT NULL", _CHANGED: self._differs()}
-        marked = project(joined, {**columns, **marks}, self.target.schema)
-        counts = [F.count_if(HIT).alias("rows_matched"), F.count_if(_CHANGED).alias("rows_changed")]
-        return marked.observe(observation, *counts).drop(HIT, _CHANGED)
+        if marked:
+            mark = f"CASE WHEN {HIT} IS NULL THEN {KEPT} WHEN {self._differs()} THEN {UPDATED} ELSE {SAME} END"
+            columns[CHANGE] = f"CAST({mark} AS TINYINT)"
+        return project(joined, columns, self.target.schema)
 
     def _with_new_row(self, how: str) -> DataFrame:
         # A column of its own: Spark then computes the struct once per row.
@@ -144,17 +119,12 @@ class Changes:
         updated, inserted = self.updated(), self.inserted()
         return updated if inserted is None else updated.unionByName(inserted)
 
-    def counted_result(self) -> CountedResult:
-        """The whole table after the change, which counts its changes while it is written."""
-        observations = {}
-        if self.keyed is not None:
-            observations["matched"] = Observation()
-        updated, inserted = self.updated(observations.get("matched")), self.inserted()
+    def marked_result(self) -> DataFrame:
+        """The whole table after the change, with the column `CHANGE`, by which the written rows are counted."""
+        updated, inserted = self.updated(marked=True), self.inserted()
         if inserted is None:
-            return CountedResult(updated, observations)
-        observations["inserted"] = Observation()
-        inserted = inserted.observe(observations["inserted"], F.count("*").alias("rows_inserted"))
-        return CountedResult(updated.unionByName(inserted), observations)
+            return updated
+        return updated.unionByName(inserted.withColumn(CHANGE, F.lit(INSERTED).cast("tinyint")))
 
     def change_set(self) -> DataFrame:
         """One row per affected row: `_action`, the keys, the `old` and the `new` values.

@@ -146,6 +146,27 @@ def orphan_keys(
     return counted.join(references, names, "left_anti")
 
 
+def referenced_keys_gone(
+    child: DataFrame,
+    columns: str | Sequence[str],
+    removed: DataFrame,
+    after: DataFrame | None,
+    parent_columns: str | Sequence[str] | None = None,
+) -> DataFrame:
+    """References of `child` to `removed` rows of its parent, each once, with the number of child rows in `n_rows`.
+
+    `after` are the rows of the parent after the change (None: none); a key that one of them still has is not gone. The child is counted per reference, so
+    a hot one is one row, and only its references to removed keys are looked for among the rows that stay.
+    """
+    names = check_columns(as_list(columns), child.columns)
+    parent_names = check_columns(as_list(parent_columns) or names, removed.columns, "parent")
+    keys = [quoted(p).alias(c) for p, c in zip(parent_names, names)]
+    gone = removed.select(*keys).where(~any_null(names)).distinct()
+    counted = child.where(~any_null(names)).groupBy(*[quoted(c) for c in names]).agg(F.count("*").alias("n_rows"))
+    found = counted.join(gone, names, "left_semi")
+    return found if after is None else found.join(after.select(*keys).distinct(), names, "left_anti")
+
+
 def enforce(
     df: DataFrame,
     constraints: Constraints,

@@ -10,6 +10,7 @@ from framestore.operators.checks import (
     foreign_key_violations,
     not_null_violations,
     orphan_keys,
+    referenced_keys_gone,
     unique_violations,
 )
 from framestore.plans.registry import Tables, query
@@ -40,6 +41,18 @@ def fk_orphan_keys(t: Tables):
     return orphan_keys(t("orders").select(key), "o_custkey", t("customer").where("c_acctbal > 0"), "c_custkey")
 
 
+@query(
+    """
+    SELECT o_custkey, CAST(count(*) AS BIGINT) AS n_rows FROM orders
+    WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal <= 0) GROUP BY o_custkey
+    """
+)
+def fk_removed_references(t: Tables):
+    """Orders of customers that go."""
+    gone, kept = t("customer").where("c_acctbal <= 0"), t("customer").where("c_acctbal > 0")
+    return referenced_keys_gone(t("orders"), "o_custkey", gone, kept, "c_custkey")
+
+
 @query(
     "SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     name="unique_violations",

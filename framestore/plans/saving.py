@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import functions as F
 
 from framestore.plans.changing import (
@@ -13,7 +15,9 @@ from framestore.plans.changing import (
     known_orders,
 )
 from framestore.plans.registry import Tables, query
-from framestore.session import shared_folder
+from framestore.errors import DeleteFromTableError, SaveDataFrameError
+from framestore.operators.checks import Constraints, ForeignKey
+from framestore.session import delete_path, shared_folder
 from framestore.streaming import upsert_stream
 
 
@@ -234,3 +238,166 @@ def stream_merge(t: Tables):
     )
     running.awaitTermination()
     return store.load_table("latest")
+
+
+_TOUCHED = """
+    known AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderpriority <> '1-URGENT'),
+    arriving AS (SELECT o_orderkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, o_orderpriority FROM orders
+                 WHERE o_orderkey < (SELECT max(o_orderkey) / 8 FROM orders))
+"""
+
+
+@query(
+    f"""
+    WITH {_TOUCHED}
+    SELECT * FROM known WHERE o_orderkey NOT IN (SELECT o_orderkey FROM arriving)
+    UNION ALL SELECT * FROM arriving
+    """
+)
+def table_upsert_touched_files(t: Tables):
+    """New prices of the first eighth of the orders: the files of all other orders stay as they are."""
+    store = t.store()
+    store.save_df(known_orders(t).repartitionByRange(8, "o_orderkey"), "orders")
+    last = t("orders").agg((F.max("o_orderkey") / 8).alias("last"))
+    arriving = t("orders").select("o_orderkey", "o_orderstatus", (F.col("o_totalprice") * 2).alias("o_totalprice"), "o_orderpriority")
+    store.upsert_table(arriving.join(last, F.col("o_orderkey") < F.col("last")).drop("last"), "orders", "o_orderkey", rewrite="files")
+    return store.load_table("orders")
+
+
+@query(
+    """
+    SELECT o_orderkey, o_totalprice FROM orders
+    WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50 AND l_orderkey < 2000)
+    """
+)
+def table_delete_touched_files(t: Tables):
+    store = t.store()
+    store.save_df(t("orders").select("o_orderkey", "o_totalprice").repartitionByRange(8, "o_orderkey"), "orders")
+    gone = t("lineitem").where("l_quantity = 50 AND l_orderkey < 2000").select(F.col("l_orderkey").alias("o_orderkey"))
+    store.delete_rows(gone, "orders", "o_orderkey", rewrite="files")
+    return store.load_table("orders")
+
+
+def _large_orders(t: Tables):
+    return t("orders").where("o_totalprice > 450000").select("o_orderkey", "o_custkey")
+
+
+def _customers_and_orders(t: Tables):
+    store = t.store()
+    store.save_df(t("customer").select("c_custkey", "c_name", "c_acctbal"), "customer")
+    store.save_df(_large_orders(t), "orders")
+    store.declare("orders", Constraints(foreign_keys=[ForeignKey("o_custkey", "customer", "c_custkey")]))
+    store.manage_foreign_keys("ON")
+    return store
+
+
+@query(
+    """
+    SELECT c_custkey, c_name, c_acctbal FROM customer
+    WHERE c_acctbal >= 0 OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)
+    """
+)
+def fk_parent_delete(t: Tables):
+    """Customers in debt cannot go as long as large orders refer to them; those without can."""
+    store = _customers_and_orders(t)
+    debtors = t("customer").where("c_acctbal < 0").select("c_custkey")
+    try:
+        store.delete_rows(debtors, "customer", "c_custkey")
+        raise AssertionError("orders refer to customers in debt")
+    except DeleteFromTableError:
+        pass
+    with_orders = _large_orders(t).select(F.col("o_custkey").alias("c_custkey"))
+    store.delete_rows(debtors.join(with_orders, "c_custkey", "left_anti"), "customer", "c_custkey")
+    return store.load_table("customer")
+
+
+@query(
+    """
+    SELECT c_custkey, 'former' AS c_name, CAST(NULL AS DOUBLE) AS c_acctbal FROM customer
+    WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)
+    """
+)
+def fk_parent_replace(t: Tables):
+    """The customers are replaced: not by those without debt, but by all that large orders refer to."""
+    store = _customers_and_orders(t)
+    try:
+        store.save_df(t("customer").where("c_acctbal >= 0").select("c_custkey", "c_name"), "customer", "replace")
+        raise AssertionError("orders refer to customers in debt")
+    except SaveDataFrameError:
+        pass
+    with_orders = _large_orders(t).select(F.col("o_custkey").alias("c_custkey"))
+    former = t("customer").join(with_orders, "c_custkey", "left_semi").select("c_custkey", F.lit("former").alias("c_name"))
+    store.save_df(former, "customer", "replace")
+    return store.load_table("customer")
+
+
+@query(
+    """
+    WITH e AS (SELECT CASE WHEN event_type = 'click' THEN NULL ELSE user_id END AS user_id, event_type, event_id FROM events)
+    SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM e WHERE user_id IS NOT NULL GROUP BY user_id
+    UNION ALL SELECT * FROM e WHERE user_id IS NULL
+    """
+)
+def stream_replay(t: Tables):
+    """A batch whose end the checkpoint has lost comes again: its rows without a key are not inserted twice."""
+    store = t.store()
+    user = F.when(F.col("event_type") != "click", F.col("user_id")).alias("user_id")
+    store.save_df(t("events").select(user, "event_type", "event_id").where(F.lit(False)), "latest")
+    checkpoint = f"{shared_folder(t.spark)}/{store.database}/_stream"
+
+    def run():
+        stream = t.spark.readStream.schema(t("events").schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+        rows = stream.select(user, "event_type", "event_id")
+        upsert_stream(rows, store, "latest", "user_id", checkpoint, use_merge=True, order_by="event_id").awaitTermination()
+
+    run()
+    for name in ("commits/0", "commits/.0.crc"):
+        delete_path(t.spark, f"{checkpoint}/{name}")
+    run()
+    return store.load_table("latest")
+
+
+@query(
+    """
+    SELECT c_custkey, CASE WHEN n_name IS NULL THEN c_name ELSE upper(n_name) || ': moved' END AS c_name, c_nationkey
+    FROM customer LEFT JOIN nation ON n_nationkey = c_custkey
+    """
+)
+def execute_update_many(t: Tables):
+    """One UPDATE for many sets of parameters."""
+    store = t.store()
+    store.save_df(t("customer").select("c_custkey", "c_name", "c_nationkey"), "customer")
+    table = store.qualified("customer")
+    params = t("nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("n"))
+    store.execute(f"UPDATE {table} SET c_name = upper(:n) || ': moved' WHERE c_custkey = :k", params=params)
+    return store.load_table("customer")
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice FROM orders o
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o.o_orderkey AND l_returnflag = 'R')
+    """
+)
+def execute_delete_many(t: Tables):
+    store = t.store()
+    store.save_df(t("orders").select("o_orderkey", "o_custkey", "o_totalprice"), "orders")
+    params = t("lineitem").where("l_returnflag = 'R'").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    store.execute(
+        f"DELETE FROM {store.qualified('orders')} WHERE o_orderkey = :key AND o_custkey = :cust",
+        params=params.select(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("cust")),
+    )
+    return store.load_table("orders")
+
+
+@query("SELECT event_id, CAST(floor(epoch(ts AT TIME ZONE 'CET')) AS BIGINT) + 3600 AS ts FROM events")
+def load_local_epoch(t: Tables):
+    """Saved as seconds from local 1970-01-01."""
+    store = t.store()
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", UserWarning)
+        store.save_df(t("events").select("event_id", "ts"), "naive")
+        events = store.load_table("naive", datetime_cols_dtype="int", localize_tz="CET", local_epoch=True)
+        store.save_df(t("events").select("event_id", "ts"), "events", datetime_cols_dtype="int", localize_tz="CET", local_epoch=True)
+    store.merge_df(events, "events", "event_id", omit_update_where_clause=False)
+    return store.load_table("events")

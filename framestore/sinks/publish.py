@@ -3,6 +3,9 @@
 A table cannot be overwritten while it is read, and an overwrite that fails half
 way loses rows. So the new rows are first written beside the table; only then the
 table is pointed at them. One writer per table is assumed: the last publish wins.
+
+What a change did to each row is counted in the files that were written, before the table is pointed at
+them: the counts hold whatever tasks were run again, and no error comes after the change.
 """
 
 from __future__ import annotations
@@ -18,9 +21,10 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from framestore.functions.project import ident
-from framestore.operators.changes import default_value
-from framestore.operators.keyed import align_types, quoted
+from framestore.operators.changes import CHANGE, default_value
+from framestore.operators.keyed import align_types, quoted, spread_join
 from framestore.session import delete_path, stage
+from framestore.sinks.journal import exchange_files, finish_exchange, read_ledger, write_ledger
 
 _VERSION_SUFFIX = re.compile(r"__v[0-9a-f]{32}$")
 
@@ -51,14 +55,32 @@ def table_info(spark: SparkSession, table: str) -> TableInfo:
 
 
 def to_layout(df: DataFrame, target: DataFrame) -> DataFrame:
-    """Columns of `df` in the order and with the types of `target`; absent ones get their default."""
+    """Columns of `df` in the order and with the types of `target`; absent ones get their default. A mark of the change stays."""
     df = align_types(df, target.schema)
     given = df.columns
     return df.selectExpr(
-        *[f"{ident(f.name) if f.name in given else default_value(f)} AS {ident(f.name)}" for f in target.schema]
+        *[f"{ident(f.name) if f.name in given else default_value(f)} AS {ident(f.name)}" for f in target.schema],
+        *([CHANGE] if CHANGE in given else []),
     )
 
 
+#: Formats that find columns by name, so that a column more in the files does no harm.
+_BY_NAME = ("parquet", "orc")
+
+
+def count_marks(written: DataFrame) -> dict[int, int]:
+    """How many of the written rows have each mark of a change."""
+    if CHANGE not in written.columns:
+        return {}
+    return {r[CHANGE]: r["count"] for r in written.groupBy(CHANGE).count().collect()}
+
+
+def _count_files(spark: SparkSession, provider: str, location: str, rows: DataFrame) -> dict[int, int]:
+    if CHANGE not in rows.columns:
+        return {}
+    return count_marks(spark.read.schema(f"{CHANGE} tinyint").format(provider).load(location))
+
+
 def balanced(rows: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
     """Bring the rows of a table partition together, so that it gets few files.
 
@@ -108,39 +130,109 @@ def vacuum(spark: SparkSession, table: str) -> None:
         delete_path(spark, before)
 
 
-def replace_rows(spark: SparkSession, table: str, df: DataFrame, max_records_per_file: int | None = None) -> None:
+def replace_rows(
+    spark: SparkSession, table: str, df: DataFrame, max_records_per_file: int | None = None, batch: tuple[str, int] | None = None
+) -> dict[int, int]:
     """Make `df` the rows of `table` and keep its definition. `df` may read the table.
 
     The version before stays until the next publish (or `vacuum`), so that frames and readers of it go on.
+    Returns the number of rows per mark in the column `CHANGE` of `df`, if it has one. `batch` is noted as applied.
     """
     info = table_info(spark, table)
     rows = to_layout(df, spark.table(table))
-    if not info.managed or info.partition_columns or info.bucket_columns:
+    ledger = read_ledger(spark, info.location) | dict([batch] if batch else [])
+    if not info.managed or info.partition_columns or info.bucket_columns or (CHANGE in rows.columns and info.provider not in _BY_NAME):
         # An external table stays where it is.
-        staged, path = stage(rows, "publish")
-        insert_overwrite(balanced(staged, info.partition_columns), table, "static", max_records_per_file)
-        delete_path(spark, path)
-        return
+        counts = _overwrite(rows, table, info, "static", max_records_per_file)
+        write_ledger(spark, info.location, ledger)
+        return counts
     base = _VERSION_SUFFIX.sub("", info.location)
     location = f"{base}__v{uuid.uuid4().hex}"
     writer = rows.write.format(info.provider)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(location)
+    counts = _count_files(spark, info.provider, location, rows)
+    # In the new folder, so that the rows and the note of their batch become visible in one step.
+    write_ledger(spark, location, ledger)
     oldest = previous_version(spark, table)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PREVIOUS}' = '{info.location}')")
     spark.catalog.refreshTable(table)
     if oldest and oldest != info.location:
         delete_path(spark, oldest)
+    return counts
 
 
-def replace_partitions(spark: SparkSession, table: str, df: DataFrame) -> None:
-    """Replace only the partitions that `df` holds rows of. `df` may read the table."""
-    columns = table_info(spark, table).partition_columns
-    staged, path = stage(to_layout(df, spark.table(table)), "publish")
-    insert_overwrite(balanced(staged, columns), table, "dynamic")
+def _overwrite(rows: DataFrame, table: str, info: TableInfo, mode: str, max_records_per_file: int | None = None) -> dict[int, int]:
+    """Overwrite a table from a complete staged copy."""
+    spark = rows.sparkSession
+    staged, path = stage(rows, "publish")
+    counts = count_marks(staged)
+    insert_overwrite(balanced(staged.drop(CHANGE), info.partition_columns), table, mode, max_records_per_file)
     delete_path(spark, path)
+    return counts
+
+
+def replace_partitions(spark: SparkSession, table: str, df: DataFrame, batch: tuple[str, int] | None = None) -> dict[int, int]:
+    """Replace only the partitions that `df` holds rows of. `df` may read the table. Returns as `replace_rows` does."""
+    info = table_info(spark, table)
+    counts = _overwrite(to_layout(df, spark.table(table)), table, info, "dynamic")
+    write_ledger(spark, info.location, read_ledger(spark, info.location) | dict([batch] if batch else []))
+    return counts
+
+
+def has_plain_files(info: TableInfo) -> bool:
+    """True if the rows of the table lie in one folder, in files that can be exchanged one by one."""
+    return info.provider in _BY_NAME and not info.partition_columns and not info.bucket_columns
+
+
+def touched_files(target: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The names of the files of `target` that hold a row with one of the `wanted` keys (each once).
+
+    Only key columns are read. The names of the files of a table are on the driver in any case.
+    """
+    rows = target.select(*[quoted(k) for k in keys], F.col("_metadata.file_name").alias("__file"))
+    found = spread_join(rows, wanted, keys, "left_semi").select("__file").distinct()
+    return sorted(r["__file"] for r in found.collect())
+
+
+def rows_of_files(spark: SparkSession, table: str, info: TableInfo, names: Sequence[str]) -> DataFrame:
+    """The rows of some files of a table, in its layout."""
+    schema = spark.table(table).schema
+    if not names:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(info.provider).load([f"{info.location}/{n}" for n in names])
+
+
+def replace_files(
+    spark: SparkSession, table: str, info: TableInfo, df: DataFrame, removed: Sequence[str], batch: tuple[str, int] | None = None
+) -> dict[int, int]:
+    """Put the rows of `df` in the place of those files of the table. All other files stay as they are.
+
+    `df` may read the removed files. The new files are complete and counted before a list of the exchange is written, which a
+    later change completes if this one fails in between. The removed files are gone then: frames that were
+    loaded before it cannot be read any more. Returns as `replace_rows` does.
+    """
+    rows = to_layout(df, spark.table(table))
+    folder = f"{info.location}/_framestore_{uuid.uuid4().hex}"
+    rows.write.format(info.provider).save(folder)
+    counts = _count_files(spark, info.provider, folder, rows)
+    exchange_files(spark, info.location, folder, list(removed), read_ledger(spark, info.location) | dict([batch] if batch else []))
+    spark.catalog.refreshTable(table)
+    return counts
+
+
+def finish_change(spark: SparkSession, table: str) -> None:
+    """Complete a change of the files of `table` that failed half way."""
+    if finish_exchange(spark, table_info(spark, table).location):
+        spark.catalog.refreshTable(table)
+
+
+def is_applied(spark: SparkSession, table: str, batch: tuple[str, int]) -> bool:
+    """True if the rows of the table hold this batch of its source."""
+    name, number = batch
+    return read_ledger(spark, table_info(spark, table).location).get(name, -1) >= number
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -43,6 +43,7 @@ def shape_rows(
     dst: str = "raise",
     validate: bool = False,
     warn_if_empty: bool = False,
+    local_epoch: bool = False,
 ) -> DataFrame:
     """Apply the load options to rows that were read, in their fixed order.
 
@@ -55,5 +56,5 @@ def shape_rows(
     if warn_if_empty and df.isEmpty():
         logger.warning("The result is empty.")
     df = cast_columns(df, dtypes, validate)
-    df = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
+    df = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst, local_epoch)
     return keys_first(df, index_col)

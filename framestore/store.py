@@ -7,7 +7,7 @@ import logging
 import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.errors import PySparkException
@@ -28,22 +28,30 @@ from framestore.functions.datetimes import DEFAULT_FORMAT, convert_datetime_colu
 from framestore.functions.nulls import nan_to_null
 from framestore.functions.parsing import cast_columns
 from framestore.functions.project import pick
-from framestore.operators.changes import ACTION, Changes
-from framestore.operators.checks import Constraints, enforce, unique_violations
+from framestore.operators.changes import ACTION, INSERTED, SAME, UPDATED, Changes
+from framestore.operators.checks import Constraints, ForeignKey, enforce, referenced_keys_gone, unique_violations
 from framestore.operators.chunks import POSITION, iter_chunks, with_positions
 from framestore.operators.keyed import align_types, quoted, spread_join
 from framestore.operators.merge import merge_changes
 from framestore.operators.params import check_value
+from framestore.operators.statements import KeyedStatement, keyed_statement
 from framestore.operators.upsert import upsert_changes
 from framestore.session import delete_path, stage
 from framestore.sinks.publish import (
     MAX_RECORDS,
     balanced,
+    finish_change,
+    has_plain_files,
     insert_overwrite,
+    is_applied,
+    replace_files,
     replace_partitions,
     replace_rows,
+    rows_of_files,
     session_options,
     table_info,
+    to_layout,
+    touched_files,
     touched_partitions,
     vacuum,
 )
@@ -60,6 +68,7 @@ from framestore.validation import (
 logger = logging.getLogger(__name__)
 
 IF_EXISTS = ("append", "replace", "drop-replace", "fail")
+REWRITE = ("table", "files")
 _INSERT_VALUES = re.compile(
     r"\s*INSERT\s+INTO\s+(?P<table>\S+?)\s*\((?P<columns>[^()]*)\)\s*VALUES\s*\((?P<binds>[^()]*)\)\s*;?\s*",
     re.IGNORECASE,
@@ -130,6 +139,35 @@ class TableStore:
             return {}
         return {fk.parent: self.spark.table(self.qualified(fk.parent)) for fk in constraints.foreign_keys}
 
+    def _references(self, name: str) -> list[tuple[str, ForeignKey]]:
+        """The foreign keys that refer to a table, with the table that has them, if they are to be checked."""
+        if not self.foreign_keys:
+            return []
+        rules = self._constraints.items()
+        found = [(child, fk) for child, r in rules for fk in r.foreign_keys if self.qualified(fk.parent) == name]
+        return [(child, fk) for child, fk in found if self.spark.catalog.tableExists(child)]
+
+    def _enforce_references(
+        self, name: str, removed: DataFrame, after: DataFrame | None, error: type[FramestoreError], columns: Sequence[str] | None = None
+    ) -> None:
+        """Raise `error` if a row refers to one of the `removed` rows of the table and `after`, its new rows, has no other one for it.
+
+        Of the foreign keys only those that refer to one of `columns`, if given, are looked at. A table that refers to itself is taken as it is after the change.
+        """
+        found: dict[str, tuple[int, list[dict]]] = {}
+        for child, fk in self._references(name):
+            if columns is not None and not set(fk.parent_columns) & set(columns):
+                continue
+            rows = self.spark.table(child) if child != name else after
+            if rows is None:
+                continue
+            orphans = referenced_keys_gone(rows, fk.columns, removed, after, fk.parent_columns)
+            sample = [r.asDict(True) for r in orphans.limit(20).collect()]
+            if sample:
+                found[f"FOREIGN KEY({', '.join(fk.columns)}) of {child} REFERENCES {fk.parent}"] = (orphans.count(), sample)
+        if found:
+            raise error(f"Constraint violations: { {rule: n for rule, (n, _) in found.items()} }", data=found)
+
     # Execute --------------------------------------------------------------------
 
     def execute(
@@ -138,10 +176,12 @@ class TableStore:
         """Run a SQL statement, with `:name` bind parameters in `params`.
 
         For many parameter sets give a list of dicts or a DataFrame. The statement
-        then runs once, as a set: either ``INSERT INTO t (...) VALUES (:a, :b)``
-        with binds only, or any statement that reads its parameters from
-        ``{params}`` like a table. To update or delete many rows use
-        `upsert_table` and `delete_rows`.
+        then runs once, as a set: ``INSERT INTO t (...) VALUES (:a, :b)``
+        with binds only, ``UPDATE t SET c = :c, ... WHERE k = :k AND ...`` or ``DELETE FROM t WHERE k = :k AND ...``
+        (see `operators.statements`), or any statement that reads its parameters from
+        ``{params}`` like a table. UPDATE and DELETE keep to the declared rules. The last set of a list counts for
+        its key; a DataFrame has no order, so its keys must not repeat. UPDATE returns the
+        matched rows in `num_affected_rows`.
         """
         if not isinstance(sql, str):
             raise InvalidInputError(f"sql must be a string, got {type(sql)}", data=sql)
@@ -155,16 +195,21 @@ class TableStore:
             raise ExecuteStatementError(f"{type(e).__name__}: {e}", data=e.args) from None
 
     def _execute_many(self, sql: str, params: Sequence[dict[str, Any]] | DataFrame) -> DataFrame:
+        order = None
         if not isinstance(params, DataFrame):
             names = list(dict.fromkeys(n for p in params for n in p))
-            rows = [tuple(check_value(p.get(n)) for n in names) for p in params]
-            params = self.spark.createDataFrame(rows, names, samplingRatio=1.0)
+            order = "__set"
+            rows = [(*[check_value(p.get(n)) for n in names], k) for k, p in enumerate(params)]
+            params = self.spark.createDataFrame(rows, [*names, order], samplingRatio=1.0)
         if "{params}" in sql:
-            return self.spark.sql(sql, params=params)
+            return self.spark.sql(sql, params=params if order is None else params.drop(order))
         insert = _INSERT_VALUES.fullmatch(sql)
+        statement = keyed_statement(self.spark, sql) if insert is None else None
+        if statement is not None:
+            return self._execute_keyed(statement, params, order)
         if insert is None:
             raise InvalidInputError(
-                "With many parameter sets the statement must be INSERT INTO t (...) VALUES (:a, ...) "
+                "With many parameter sets the statement must be INSERT INTO t (...) VALUES (:a, ...), UPDATE or DELETE "
                 "or read its parameters from {params}",
                 data=sql,
             )
@@ -176,6 +221,16 @@ class TableStore:
         rows = params.select(*[quoted(b[1:]).alias(c) for c, b in zip(columns, binds)])
         return self.spark.sql(f"INSERT INTO {insert['table']} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
+    def _execute_keyed(self, statement: KeyedStatement, params: DataFrame, order: str | None) -> DataFrame:
+        rows, keys = statement.rows(params, *([order] if order else [])), list(statement.keys)
+        if statement.is_delete:
+            self.delete_rows(rows, statement.table, keys)
+            return self.spark.createDataFrame([], "num_affected_rows bigint")
+        counts = self.upsert_table(
+            rows, statement.table, keys, list(statement.values), update_only=True, nan_to_none=False, order_by=order
+        )
+        return self.spark.createDataFrame([(counts.rows_matched,)], "num_affected_rows bigint")
+
     # Load -----------------------------------------------------------------------
 
     def load_table(
@@ -196,6 +251,7 @@ class TableStore:
         dst: str = "raise",
         validate: bool = False,
         warn_if_empty: bool = False,
+        local_epoch: bool = False,
     ) -> DataFrame | Iterator[DataFrame]:
         """Load a table, or the result of a query with bind parameters.
 
@@ -222,6 +278,7 @@ class TableStore:
             dst=dst,
             validate=validate,
             warn_if_empty=warn_if_empty,
+            local_epoch=local_epoch,
         )
 
     def _read(self, sql: str, params: dict[str, Any] | None, columns: Sequence[str] | None) -> DataFrame:
@@ -262,6 +319,7 @@ class TableStore:
         bucket_by: tuple[int, str | Sequence[str]] | None = None,
         auto_key: str | None = None,
         dst: str = "raise",
+        local_epoch: bool = False,
     ) -> None:
         """Save `df` to a table, which is created if it is absent.
 
@@ -287,10 +345,12 @@ class TableStore:
             raise TableExistsError(f"Table {table} already exists and if_exists='fail'", data=table)
 
         rows = self._rows_to_save(df, index_cols, index, index_label)
-        rows = convert_datetime_columns(rows, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
+        rows = convert_datetime_columns(rows, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst, local_epoch)
         rows = cast_columns(rows, dtype)
         staged: list[str] = []
         try:
+            if exists:
+                finish_change(self.spark, name)
             if auto_key is not None:
                 last = self._last_number(name, auto_key) if exists and if_exists == "append" else 0
                 positioned = with_positions(rows.drop(auto_key))
@@ -310,9 +370,12 @@ class TableStore:
                 with session_options(self.spark, {MAX_RECORDS: chunksize}):
                     self.spark.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {{rows}}", rows=rows)
             elif if_exists == "replace":
-                check_columns(rows.columns, self.spark.table(name).columns, "table")
+                old = self.spark.table(name)
+                check_columns(rows.columns, old.columns, "table")
+                self._enforce_references(name, old, to_layout(rows, old), SaveDataFrameError)
                 replace_rows(self.spark, name, rows, chunksize)
             else:
+                self._enforce_references(name, self.spark.table(name), rows, SaveDataFrameError)
                 self._drop_replace(rows, name, chunksize, partition_by, bucket_by)
         except FramestoreError as e:
             if isinstance(e, (SaveDataFrameError, InvalidInputError)):
@@ -375,24 +438,62 @@ class TableStore:
         """Delete all rows of a table and keep its definition."""
         name = self.qualified(table)
         try:
-            empty = self.spark.createDataFrame([], self.spark.table(name).schema)
-            insert_overwrite(empty, name, "static")
+            finish_change(self.spark, name)
+            old = self.spark.table(name)
+            self._enforce_references(name, old, None, DeleteFromTableError)
+            insert_overwrite(self.spark.createDataFrame([], old.schema), name, "static")
+        except FramestoreError:
+            raise
         except Exception as e:
             raise DeleteFromTableError(f"Could not delete the rows of table {table}: {e}", data=e.args) from None
 
-    def delete_rows(self, df: DataFrame, table: str, where_cols: str | Sequence[str]) -> None:
-        """Delete the rows whose `where_cols` equal those of a row of `df`."""
+    def delete_rows(self, df: DataFrame, table: str, where_cols: str | Sequence[str], rewrite: str = "table") -> None:
+        """Delete the rows whose `where_cols` equal those of a row of `df`.
+
+        With `rewrite` 'files' only the files that hold such a row are written anew (see `upsert_table`).
+        """
         name = self.qualified(table)
+        check_choice("rewrite", rewrite, REWRITE)
         keys = check_columns(as_list(where_cols), df.columns)
+        staged: list[str] = []
         try:
+            finish_change(self.spark, name)
             target = self.spark.table(name)
             check_columns(keys, target.columns, "table")
             gone = df.select(*[quoted(k) for k in keys]).distinct()
-            replace_rows(self.spark, name, spread_join(target, gone, keys, "left_anti"))
+            files = None
+            if rewrite == "files" or self._references(name):
+                gone, path = stage(gone, "deleted-keys")
+                staged.append(path)
+            if self._references(name):
+                removed = spread_join(target, gone, keys, "left_semi")
+                self._enforce_references(name, removed, spread_join(target, gone, keys, "left_anti"), DeleteFromTableError)
+            if rewrite == "files":
+                files = self._touched_files(name, align_types(gone, target.schema), keys)
+            if files is None:
+                replace_rows(self.spark, name, spread_join(target, gone, keys, "left_anti"))
+            elif files:
+                info = table_info(self.spark, name)
+                kept = spread_join(rows_of_files(self.spark, name, info, files), gone, keys, "left_anti")
+                replace_files(self.spark, name, info, kept, files)
         except FramestoreError:
             raise
         except Exception as e:
             raise DeleteFromTableError(f"Could not delete rows of table {table}: {e}", data=e.args) from None
+        finally:
+            for path in staged:
+                delete_path(self.spark, path)
+
+    def _touched_files(self, name: str, wanted: DataFrame, keys: Sequence[str]) -> list[str] | None:
+        """The names of the files of a table that hold one of the `wanted` keys, or None if it is to be written as a whole.
+
+        That is so if its rows do not lie in plain files of one folder, or if no file would stay.
+        """
+        if not has_plain_files(table_info(self.spark, name)):
+            return None
+        target = self.spark.table(name)
+        files = touched_files(target, wanted, keys)
+        return None if files and len(files) == len(target.inputFiles()) else files
 
     # Upsert and merge -----------------------------------------------------------
 
@@ -417,13 +518,23 @@ class TableStore:
         insert_only: bool = False,
         auto_key: str | None = None,
         dst: str = "raise",
+        local_epoch: bool = False,
+        rewrite: str = "table",
+        batch: tuple[str, int] | None = None,
     ) -> ChangeCounts | DataFrame | None:
         """Update the rows of a table that match `df` on `where_cols`, and insert the others.
 
-        Returns the counts of the run, taken while the table is written. With `dry_run` nothing is written and the
+        Returns the counts of the run, from the files that it wrote. With `dry_run` nothing is written and the
         change set is returned. `auto_key` is an integer column that inserted rows
         get the next numbers in. See `operators.upsert.upsert_changes` for
         `order_by` and `on_duplicate`.
+
+        `rewrite` 'table' writes all rows anew and keeps the version before until the next change. 'files' writes only the files that
+        hold a row with a key of `df`, and a file of new rows; all other files stay as they are. Frames that were loaded before
+        it cannot be read any more. Partitioned and bucketed tables are written as without it.
+
+        `batch`, the name of a source and the number of its batch, is noted with the rows; a
+        batch of that number or a lower one is not applied again, and None is returned.
         """
         check_chunksize(chunksize)
 
@@ -444,9 +555,11 @@ class TableStore:
                 co_located=co_located,
             )
 
-        source = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
+        source = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst, local_epoch)
         once = order_by is None and on_duplicate in (None, "error")
-        return self._apply(table, source, plan, dry_run, deletes=False, auto_key=auto_key, once=once, nan_as_null=nan_to_none)
+        return self._apply(
+            table, source, plan, dry_run, deletes=False, auto_key=auto_key, once=once, nan_as_null=nan_to_none, rewrite=rewrite, batch=batch
+        )
 
     def merge_df(
         self,
@@ -470,9 +583,13 @@ class TableStore:
         delete_unmatched: bool = False,
         native: bool = False,
         dst: str = "raise",
+        local_epoch: bool = False,
+        rewrite: str = "table",
+        batch: tuple[str, int] | None = None,
     ) -> ChangeCounts | DataFrame | None:
         """Merge `df` into a table, as one MERGE per row of `df` would.
 
+        `rewrite` and `batch` as in `upsert_table`; with `delete_unmatched` the table is always written as a whole.
         `native` runs Spark's own MERGE INTO, which reports no counts and takes none of the
         options that it cannot carry, and raises
         `SQLStatementNotSupportedError` if the table format has none.
@@ -497,12 +614,12 @@ class TableStore:
                 co_located=co_located,
             )
 
-        source = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst)
+        source = convert_datetime_columns(df, datetime_cols_dtype, datetime_format, localize_tz, target_tz, dst, local_epoch)
         if native:
             cannot = {
                 "omit_update_where_clause=False": not omit_update_where_clause, "null_safe_change": null_safe_change,
                 "delete_unmatched": delete_unmatched, "order_by": order_by, "on_duplicate": on_duplicate,
-                "chunksize": chunksize, "dry_run": dry_run, "declared constraints": self._constraints.get(self.qualified(table)),
+                "chunksize": chunksize, "dry_run": dry_run, "rewrite='files'": rewrite == "files", "batch": batch, "declared constraints": self._constraints.get(self.qualified(table)),
             }
             given = [option for option, value in cannot.items() if value]
             if given:
@@ -510,7 +627,9 @@ class TableStore:
             self._native_merge(table, nan_to_null(source) if nan_to_none else source, plan)
             return None
         once = order_by is None and on_duplicate in (None, "error")
-        return self._apply(table, source, plan, dry_run, deletes=delete_unmatched, once=once, nan_as_null=nan_to_none)
+        return self._apply(
+            table, source, plan, dry_run, deletes=delete_unmatched, once=once, nan_as_null=nan_to_none, rewrite=rewrite, batch=batch
+        )
 
     def _native_merge(self, table: str, source: DataFrame, plan: Callable) -> None:
         name = self.qualified(table)
@@ -535,10 +654,17 @@ class TableStore:
         auto_key: str | None = None,
         once: bool = False,
         nan_as_null: bool = True,
+        rewrite: str = "table",
+        batch: tuple[str, int] | None = None,
     ) -> ChangeCounts | DataFrame | None:
         name = self.qualified(table)
+        check_choice("rewrite", rewrite, REWRITE)
         if not self.spark.catalog.tableExists(name):
             raise ExecuteStatementError(f"Table {table} does not exist", data=table)
+        if not dry_run:
+            finish_change(self.spark, name)
+            if batch is not None and is_applied(self.spark, name, batch):
+                return None
         target = self.spark.table(name)
         if dry_run:
             return plan(target, source).change_set()
@@ -552,6 +678,7 @@ class TableStore:
             if once:
                 self._require_unique(source, target, outline.keys, nan_as_null)
             info = table_info(self.spark, name)
+            files = None
             some_partitions = (
                 info.partition_columns
                 and not deletes
@@ -560,17 +687,30 @@ class TableStore:
             )
             if some_partitions:
                 target = touched_partitions(target, source, info.partition_columns)
+            elif rewrite == "files" and not deletes:
+                wanted = align_types(pick(nan_to_null(source) if nan_as_null else source, outline.keys), target.schema)
+                files = self._touched_files(name, wanted.distinct(), outline.keys)
+            whole = target
+            if files is not None:
+                # The keys of the source that the table holds are in these files.
+                target = rows_of_files(self.spark, name, info, files)
             bucketed = bool(info.bucket_columns) and set(info.bucket_columns) == set(outline.keys)
             changes = plan(target, source, co_located=bucketed, unique=once)
             if auto_key is not None:
                 changes.auto_key = (auto_key, self._last_number(name, auto_key))
-            self._enforce_changes(name, changes)
-            counted = changes.counted_result()
+            # Keys other than those of the match may repeat in any file.
+            elsewhere = files is not None and (self._other_key_sets(name, outline) or self._references(name))
+            self._enforce_changes(name, changes, replace(changes, target=whole) if elsewhere else changes)
             n_before = target.count() if deletes else 0
-            publish = replace_partitions if some_partitions else replace_rows
-            publish(self.spark, name, counted.df)
-            matched, changed, inserted = counted.counts()
-            return ChangeCounts(matched, changed, inserted, n_before - matched if deletes else 0)
+            rows = changes.marked_result()
+            if files is not None:
+                marks = replace_files(self.spark, name, info, rows, files, batch)
+            elif some_partitions:
+                marks = replace_partitions(self.spark, name, rows, batch)
+            else:
+                marks = replace_rows(self.spark, name, rows, batch=batch)
+            matched, changed = marks.get(SAME, 0) + marks.get(UPDATED, 0), marks.get(UPDATED, 0)
+            return ChangeCounts(matched, changed, marks.get(INSERTED, 0), n_before - matched if deletes else 0)
         except FramestoreError:
             raise
         except Exception as e:
@@ -607,7 +747,14 @@ class TableStore:
             if set(columns) != set(changes.keys) and set(columns) & set(changes.insert)
         }
 
-    def _enforce_changes(self, name: str, changes: Changes) -> None:
+    def _enforce_changes(self, name: str, changes: Changes, whole: Changes) -> None:
+        """Check the rules of the table, and of those that refer to it. `whole` is the change of the whole table."""
+        touched = [*changes.update] if changes.keyed is not None else []
+        if changes.delete_unmatched or any(set(fk.parent_columns) & set(touched) for _, fk in self._references(name)):
+            action = F.col(ACTION)
+            removed = changes.change_set().where((action == "delete") | (action == "update")).select("old.*")
+            columns = None if changes.delete_unmatched else touched
+            self._enforce_references(name, removed, whole.result(), ExecuteStatementError, columns)
         rules = self._constraints.get(name)
         if rules is None:
             return
@@ -619,7 +766,7 @@ class TableStore:
         )
         enforce(written, row_rules, self._parents(rules), error=ExecuteStatementError)
         for label, columns in self._other_key_sets(name, changes).items():
-            violations = unique_violations(changes.result(), columns)
+            violations = unique_violations(whole.result(), columns)
             repeated = [r.asDict() for r in violations.limit(20).collect()]
             if repeated:
                 total = violations.count()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from framestore.errors import InvalidInputError
+from framestore.sinks.journal import read_json
 from framestore.store import TableStore
 
 
@@ -25,8 +26,10 @@ def upsert_stream(
     """Start a query that upserts (or merges) each micro-batch of `stream` into `table`.
 
     A micro-batch plays the part of a chunk: its rows update the rows that
-    earlier batches inserted. A batch that is run again after a failure gives the
-    same rows, since matching rows are only set to the same values. `options` go
+    earlier batches inserted. The table notes the id of the query, which the checkpoint keeps, and the number of the
+    batch in the step that makes its rows visible, so a batch that is run again after a failure is skipped. (Partitioned,
+    bucketed and external tables get the note after the rows. A failure between the two runs the batch again,
+    which changes nothing but repeats rows with a NULL key.) `options` go
     to `TableStore.upsert_table` or `TableStore.merge_df`.
     """
     if not stream.isStreaming:
@@ -34,9 +37,13 @@ def upsert_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # A micro-batch belongs to a session of its own.
-        batch_store = store.with_session(batch.sparkSession)
+        spark = batch.sparkSession
+        batch_store = store.with_session(spark)
         apply = batch_store.merge_df if use_merge else batch_store.upsert_table
-        apply(batch, table, keys, **options)
+        query = read_json(spark, f"{checkpoint_location.rstrip('/')}/metadata")["id"]
+        apply(batch, table, keys, batch=(query, batch_id), **options)
+        # The session of the store remembers where the rows were.
+        store.spark.catalog.refreshTable(store.qualified(table))
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -195,7 +195,7 @@ def test_execute(store, people, spark):
     with pytest.raises(InvalidInputError):
         store.execute(1)
     with pytest.raises(InvalidInputError):
-        store.execute(f"DELETE FROM {table} WHERE id = :x", params=[{"x": 1}])
+        store.execute(f"DELETE FROM {table} WHERE id > :x", params=[{"x": 1}])
 
 
 def test_upsert_updates_and_inserts(store, people, changed):
