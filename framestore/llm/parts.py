@@ -12,12 +12,14 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from framestore.session import shared_folder
 
 #: Rows of a part, all of which are in the memory of one task at a time.
 PART_ROWS = 2048
+#: Texts of more bytes than this are a part by themselves, where the size of the rows is given.
+PART_TEXT = 32 << 10
 
 
 def dealing(spark: SparkSession) -> tuple[int, int]:
@@ -27,16 +29,19 @@ def dealing(spark: SparkSession) -> tuple[int, int]:
 
 
 @contextmanager
-def kept_by_part(df: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+def kept_by_part(df: DataFrame, size: Column | None = None) -> Iterator[tuple[DataFrame, DataFrame]]:
     """`df` with a column `part`, written as a table of the shared folder that is bucketed by it.
 
-    A task writes a file for each of its buckets, about one per part. The table leaves the
+    With the `size` of the rows in bytes, a part has at most PART_ROWS rows of at most PART_TEXT bytes, or one longer row. A task writes a file for each of its buckets, about one per part. The table leaves the
     catalog at the end; what is made of it has to be staged before. The second frame reads its
     files without the buckets, also afterwards.
     """
     spark = df.sparkSession
     name = f"framestore_parts_{uuid.uuid4().hex}"
-    writer = df.withColumn("part", F.floor(F.monotonically_increasing_id() / PART_ROWS)).write.bucketBy(dealing(spark)[0], "part").format("parquet")
+    row = F.monotonically_increasing_id()
+    part = F.floor(row / PART_ROWS)
+    part = part if size is None else F.when(size > PART_TEXT, -1 - row).otherwise(part)
+    writer = df.withColumn("part", part).write.bucketBy(dealing(spark)[0], "part").format("parquet")
     path = f"{shared_folder(spark)}/framestore/{name}"
     writer.option("path", path).saveAsTable(name)
     try:
@@ -50,7 +55,7 @@ def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordB
     """(part, rows): a task may read the files of several parts, one after the other."""
     for batch in batches:
         parts = batch.column("part").to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
+        cuts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])).tolist() if len(parts) else []
         for a, b in zip(cuts, [*cuts[1:], len(parts)]):
             yield int(parts[a]), batch.slice(a, b - a)
 
@@ -86,10 +91,10 @@ def deal(keys: np.ndarray, owners: np.ndarray, part: int, bits: int) -> pa.Recor
     )
 
 
-def recurring(dealt: DataFrame) -> DataFrame:
+def recurring(dealt: DataFrame, hot: int | None = None) -> DataFrame:
     """(part, keys): for each part and bucket those of its keys (first 32 + bits bits) that recur.
 
-    `dealt` has the columns of `deal`, all of a bucket in one partition. A key comes once from each piece dealt, however many owners it has.
+    With `hot` also the column `hot`: those of the keys that more pieces than that have. `dealt` has the columns of `deal`, all of a bucket in one partition. A key comes once from each piece dealt, however many owners it has.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,23 +111,24 @@ def recurring(dealt: DataFrame) -> DataFrame:
             again = n > 1
             again[of[np.concatenate([x for _, _, x in pieces]) == 1]] = True
             keep = again[of]
-            low, part = low[keep], part[keep]
+            low, part, n = low[keep], part[keep], n[of[keep]]
             if not len(part):
                 continue
             order = np.argsort(part, kind="stable")
-            low, part = (bucket << 32) + low[order].astype(np.int64), part[order]
+            low, part, n = (bucket << 32) + low[order].astype(np.int64), part[order], n[order]
             parts, start = np.unique(part, return_index=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(parts, pa.int64()), pa.array([x.tobytes() for x in np.split(low, start[1:])], pa.binary())],
-                ["part", "keys"],
-            )
+            columns = [pa.array(parts, pa.int64()), pa.array([x.tobytes() for x in np.split(low, start[1:])], pa.binary())]
+            if hot is not None:
+                pairs = zip(np.split(low, start[1:]), np.split(n > hot, start[1:]))
+                columns.append(pa.array([x[many].tobytes() for x, many in pairs], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["part", "keys", "hot"][: len(columns)])
 
-    return dealt.mapInArrow(run, "part bigint, keys binary")
+    return dealt.mapInArrow(run, "part bigint, keys binary" + (", hot binary" if hot is not None else ""))
 
 
-def answers(found: pa.Table) -> np.ndarray:
+def answers(found: pa.Table, column: str = "keys") -> np.ndarray:
     """The sorted keys that came back to a part."""
-    keys = np.frombuffer(b"".join(found.column("keys").to_pylist()), np.int64)
+    keys = np.frombuffer(b"".join([x for x in found.column(column).to_pylist() if x]), np.int64)
     return np.unique(keys).view(np.uint64)
 
 

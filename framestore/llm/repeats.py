@@ -7,18 +7,21 @@ sort few of them, the digits of a window are taken around an anchor, the gram of
 
 1. First digit, the anchor gram: each part of the input deals its distinct grams; those found once are
    dropped with all their windows. The answer goes back to the parts.
-2. For grams that recur the parts deal the bytes around them, each distinct
-   context once, with the smallest document id that has it. Contexts that are the same
-   throughout need no more digits; the windows of the others are ordered by the remaining
+2. For grams that recur the parts deal runs: all bytes of the windows with that anchor, each distinct
+   run once, with the smallest document id that has it. Runs that are the same
+   throughout need no more digits; the windows of the others are ordered by all their
    bytes, 8 at a time, and groups of one are dropped at each pass. Equal groups are the repeated windows.
-3. The smallest id per context and place goes back to the parts, which remove the bytes.
+   A gram that very many parts have is split by its next digits: its windows are dealt one by one, by all their bytes.
+3. The smallest id per run and place goes back to the parts, which remove the bytes.
 
+Hashes only choose what is compared: runs and windows count as equal when all their bytes are.
 The rows are kept in a table that is bucketed by part, so texts are read three times but never shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +29,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from framestore.llm.batches import slices
-from framestore.llm.parts import DEALT, among, answers, by_part, deal, dealing, kept_by_part, low_bits, recurring, spans_of
+from framestore.llm.parts import DEALT, among, answers, by_part, deal, dealing, kept_by_part, recurring
 from framestore.llm.registry import query, table
 from framestore.llm.shingles import _BYTES, _POWERS, mix, span_hashes, text_bytes
-from framestore.session import stage
+from framestore.session import delete_path, own_scratch, stage
 
 DEPTH = 50
 #: An anchor gram is one of the SPREAD grams of a window.
 GRAM = 28
 SPREAD = DEPTH - GRAM + 1
-_REST = DEPTH - GRAM
+#: A gram that more pieces of the input have is dealt by windows.
+HOT = 64
+#: Mark of such a window beside the place of the anchor in it.
+_ALONE = 128
 _PLACE = np.uint64((1 << 21) - 1)
 _SEGMENT = 1 << 20
 _SLICE = 1 << 20
@@ -100,19 +106,6 @@ def deal_grams(rows: DataFrame, bits: int) -> DataFrame:
     return rows.select("part", "text").mapInArrow(run, DEALT)
 
 
-def _contexts(piece: pa.Table, bits: int, wanted: np.ndarray | None = None):
-    """Runs of windows of the texts of `piece`, of the wanted grams only: (doc, first, last, key, context hash, anchor), and the bytes."""
-    data, at = text_bytes(piece.column("text"))
-    first, last, place, gram = anchors(data, at)
-    key = gram >> np.uint64(32 - bits)
-    if wanted is not None and len(key):
-        keep = among(key, wanted)
-        first, last, place, key = first[keep], last[keep], place[keep], key[keep]
-    whole = span_hashes(_BYTES[data], first, last + DEPTH) if len(first) else np.zeros(0, np.uint64)
-    context = mix(whole + mix((place - first).astype(np.uint64) + np.uint64(1)))
-    return np.searchsorted(at, first, "right") - 1, first, last, key, context, place, data, at
-
-
 def _ids(piece) -> np.ndarray:
     """Ids as numbers; a null id is larger than all others."""
     return pc.fill_null(piece.column("id"), _LAST).to_numpy().astype(np.int64)
@@ -123,69 +116,131 @@ def _pieces(texts: pa.Table) -> Iterator[pa.RecordBatch]:
         yield from slices(batch, "text", _SLICE)
 
 
-def _first_of_each(context: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Where each context has its smallest id."""
-    order = np.lexsort((ids, context))
-    return order[np.concatenate([[True], context[order][1:] != context[order][:-1]])] if len(order) else order
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, without a copy. `data` has eight bytes more than are asked for."""
+    return np.ndarray((len(data) - 7,), dtype=">u8", buffer=data, strides=(1,))
+
+
+def _padded(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([*parts, np.zeros(8, np.uint8)])
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a:a + size] and data[b:b + size] are equal, pair by pair. Sizes are 8 to 8 * 16."""
+    words, same = _words(data), np.ones(len(a), dtype=bool)
+    for k in range(0, int(size.max(initial=0)), 8):
+        rows = np.flatnonzero(same & (size > k))
+        step = np.minimum(k, size[rows] - 8)  # the last eight bytes overlap those before
+        same[rows] = words[a[rows] + step] == words[b[rows] + step]
+    return same
+
+
+@dataclass
+class Runs:
+    """Runs of windows with one anchor: bytes start:start + size of `data`, the anchor `left` bytes in; `key` is the dealt hash.
+
+    `group` numbers the different ones, `one` has a run of each group with the smallest id.
+    """
+
+    data: np.ndarray
+    ids: np.ndarray
+    key: np.ndarray
+    left: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    group: np.ndarray | None = None
+    one: np.ndarray | None = None
+
+    def compared(self) -> Runs:
+        """With `group` and `one`. Only neighbours by hash and id are compared: equal runs may get two numbers, different ones never get one."""
+        values = _BYTES[self.data]
+        content = mix(span_hashes(values, self.start, self.start + self.size) + mix(self.left.astype(np.uint64) + np.uint64(1)))
+        order = np.lexsort((self.ids, content, self.key))
+        new = np.ones(len(order), dtype=bool)
+        a, b = order[:-1], order[1:]
+        met = np.flatnonzero(
+            (content[a] == content[b]) & (self.key[a] == self.key[b]) & (self.size[a] == self.size[b]) & (self.left[a] == self.left[b])
+        )
+        new[met[same_bytes(self.data, self.start[a[met]], self.start[b[met]], self.size[a[met]])] + 1] = False
+        group = np.empty(len(order), dtype=np.int64)
+        group[order] = np.cumsum(new) - 1
+        return replace(self, group=group, one=order[new])
+
+
+def _in_order(texts: pa.Table) -> pa.Table:
+    """The rows of a part in one order, whatever order they were read in: runs are numbered by it."""
+    return texts.sort_by("row").combine_chunks()
+
+
+def part_runs(texts: pa.Table, bits: int, wanted: np.ndarray, hot: np.ndarray) -> Runs:
+    """The runs of all wanted grams in the texts of a part. Those of the hot ones are cut into windows, each with its own key."""
+    datas, found, base = [], [], 0
+    for piece in _pieces(texts):
+        data, at = text_bytes(piece.column("text"))
+        first, last, place, gram = anchors(data, at)
+        key = gram >> np.uint64(32 - bits)
+        keep = among(key, wanted)
+        first, last, place, key = first[keep], last[keep], place[keep], key[keep]
+        many = among(key, hot)
+        n = last[many] - first[many] + 1
+        window = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[many], n)
+        left = np.concatenate([(place - first)[~many], (np.repeat(place[many], n) - window) | _ALONE])
+        alone = span_hashes(_BYTES[data], window, window + DEPTH) >> np.uint64(32 - bits) if len(window) else np.zeros(0, np.uint64)
+        start = np.concatenate([first[~many], window])
+        size = np.concatenate([(last - first)[~many] + DEPTH, np.full(len(window), DEPTH)])
+        found.append((_ids(piece)[np.searchsorted(at, start, "right") - 1], np.concatenate([key[~many], alone]), left.astype(np.uint8), start + base, size))
+        datas.append(data)
+        base += len(data)
+    return Runs(_padded(datas), *(np.concatenate(x) for x in zip(*found))).compared()
 
 
-def deal_contexts(rows: DataFrame, grams: DataFrame, bits: int) -> DataFrame:
-    """(bucket, part, keys, contexts, ids, lefts, sizes, bytes): the distinct contexts of recurring grams in a partition."""
+def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places start[0]:start[0] + size[0], start[1]:..., one after the other."""
+    return np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
+def deal_runs(rows: DataFrame, grams: DataFrame, bits: int) -> DataFrame:
+    """(bucket, part, numbers, ids, lefts, sizes, bytes): the different runs of recurring grams in a part, numbered by `part_runs`."""
+    names = ["bucket", "part", "numbers", "ids", "lefts", "sizes", "bytes"]
+    schema = pa.schema(list(zip(names, [pa.int32(), pa.int64(), *[pa.binary()] * 5])))
 
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        names = ["bucket", "part", "keys", "contexts", "ids", "lefts", "sizes", "bytes"]
-        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
-        schema = pa.schema(list(zip(names, kinds)))
         if not len(texts) or not len(found):
             return schema.empty_table()
-        wanted, held = answers(found), []
-        for piece in _pieces(texts):
-            doc, first, last, key, context, place, data, _ = _contexts(piece, bits, wanted)
-            ids = _ids(piece)[doc]
-            keep = _first_of_each(context, ids)
-            left, size = (place - first)[keep], (last - first)[keep] + _REST
-            # The bytes before the anchor and those behind it.
-            step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-            step += np.where(step >= np.repeat(left, size), GRAM, 0) + np.repeat(first[keep], size)
-            held.append((key[keep], context[keep], ids[keep], left.astype(np.uint8), size.astype(np.uint8), data[step]))
-        key, context, ids, left, size, data = (np.concatenate(x) for x in zip(*held))
-        del held
-        ends = np.cumsum(size, dtype=np.int64)
-        order = _first_of_each(context, ids)
-        order = order[np.argsort(key[order], kind="stable")]
-        key, context, ids, left, size, ends = (x[order] for x in (key, context, ids, left, size, ends))
-        part = texts.column("part")[0].as_py()
-        spans, low = spans_of(key, bits), low_bits(key)
-
-        def bytes_of(a: int, b: int) -> bytes:
-            n = size[a:b].astype(np.int64)
-            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            return data[np.repeat(ends[a:b] - n, n) + step].tobytes()
-
-        columns = [
-            [i for i, _, _ in spans], [part] * len(spans),
-            *[[x[a:b].tobytes() for _, a, b in spans] for x in (low, context, ids, left, size)],
-            [bytes_of(a, b) for _, a, b in spans],
-        ]
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], schema=schema)
-
-    left, right = rows.select("part", "id", "text").groupBy("part"), grams.groupBy("part")
+        texts = _in_order(texts)
+        runs = part_runs(texts, bits, answers(found), answers(found, "hot"))
+        bucket = (runs.key[runs.one] >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        buckets, at = np.unique(bucket[order], return_index=True)
+        part, columns = texts.column("part")[0].as_py(), [[] for _ in names[2:]]
+        for number in np.split(order, at[1:]):
+            one = runs.one[number]
+            made = (
+                number.astype("<u4"), runs.ids[one].astype("<i8"), runs.left[one], runs.size[one].astype(np.uint8),
+                runs.data[_ragged(runs.start[one], runs.size[one])],
+            )
+            for column, values in zip(columns, made):
+                column.append(values.tobytes())
+        columns = [buckets, [part] * len(buckets), *(columns if len(order) else [[] for _ in columns])]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, schema.types)], schema=schema)
+
+    left, right = rows.select("part", "row", "id", "text").groupBy("part"), grams.groupBy("part")
     return left.cogroup(right).applyInArrow(
-        run, "bucket int, part bigint, keys binary, contexts binary, ids binary, lefts binary, sizes binary, bytes binary"
+        run, "bucket int, part bigint, numbers binary, ids binary, lefts binary, sizes binary, bytes binary"
     )
 
 
-def radix_groups(digits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, group): the rows that agree with another one in all digits, and the number of their group.
+def radix_groups(n: int, digits: list) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, group): those of `n` rows that agree with another one in all digits, and the number of their group.
 
-    Most significant digit first; rows that are alone after a digit take part in no later pass.
+    Each of `digits` gives the digit of some rows. Most significant digit first; rows that are alone after a digit take part in no later pass.
     """
-    rows = np.arange(len(digits[0]))
-    group = np.zeros(len(rows), dtype=np.int64)
+    rows = np.arange(n)
+    group = np.zeros(n, dtype=np.int64)
     for digit in digits:
-        order = np.lexsort((digit[rows], group))
-        rows, group = rows[order], group[order]
-        value = digit[rows]
+        value = digit(rows)
+        order = np.lexsort((value, group))
+        rows, group, value = rows[order], group[order], value[order]
         new = np.ones(len(rows), dtype=bool)
         new[1:] = (group[1:] != group[:-1]) | (value[1:] != value[:-1])
         group = np.cumsum(new) - 1
@@ -194,23 +249,18 @@ def radix_groups(digits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return rows, group
 
 
-def _window_minima(key, ids, left, size, start, data) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(entry, place in its run of windows, smallest id) for windows that another context has as well."""
-    n = size - _REST + 1
-    entry = np.repeat(np.arange(len(key)), n)
+def _window_minima(runs: Runs, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in `entries`, place in its run of windows, smallest id) for windows that another one of these runs has as well."""
+    n = runs.size[entries] - DEPTH + 1
+    entry = np.repeat(np.arange(len(entries)), n)
     step = np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n)
-    where = start[entry] + step
-    # 22 bytes around the anchor and how many of them lie before it.
-    digits = np.zeros((len(entry), 24), dtype=np.uint8)
-    for k in range(_REST):
-        digits[:, k] = data[where + k]
-    digits[:, _REST] = left[entry] - step
-    digits = digits.view(">u8")
-    rows, group = radix_groups([key[entry], digits[:, 0], digits[:, 1], digits[:, 2]])
+    where, words = runs.start[entries][entry] + step, _words(runs.data)
+    digits = [lambda rows, k=k: words[where[rows] + k].astype(np.uint64) for k in (*range(0, DEPTH - 8, 8), DEPTH - 8)]
+    rows, group = radix_groups(len(entry), [lambda rows: runs.key[entries[entry[rows]]], *digits])
     if not len(rows):
-        return entry[:0], step[:0], ids[:0]
+        return entry[:0], step[:0], runs.ids[:0]
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    least = np.repeat(np.minimum.reduceat(ids[entry[rows]], starts), np.diff([*starts, len(rows)]))
+    least = np.repeat(np.minimum.reduceat(runs.ids[entries[entry[rows]]], starts), np.diff([*starts, len(rows)]))
     return entry[rows], step[rows], least
 
 
@@ -218,38 +268,35 @@ _WINDOWS_AT_ONCE = 1 << 18
 
 
 def first_holders(dealt: DataFrame) -> DataFrame:
-    """(part, contexts, from, to, ids): for runs of windows of a context, the smallest id that has them elsewhere."""
+    """(part, numbers, lo, hi, ids): for windows lo to hi of a run, the smallest id that has them elsewhere."""
 
-    def resolve(bucket: int, pieces: list) -> Iterator[pa.RecordBatch]:
+    def resolve(pieces: list) -> Iterator[pa.RecordBatch]:
         part = np.repeat(np.array([p[0] for p in pieces]), [len(p[1]) for p in pieces])
-        key, context, ids, left, size = (np.concatenate([p[i] for p in pieces]) for i in range(1, 6))
-        data = np.concatenate([p[6] for p in pieces])
-        size = size.astype(np.int64)
+        number, ids, left, size = (np.concatenate([p[i] for p in pieces]) for i in range(1, 5))
+        data, size = _padded([p[5] for p in pieces]), size.astype(np.int64)
         start = np.cumsum(size) - size
-        # One entry per context: the first one by id.
-        order = np.lexsort((ids, context, key))
-        new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (context[order][1:] != context[order][:-1])])
-        of = np.empty(len(order), dtype=np.int64)
-        of[order] = np.cumsum(new) - 1
-        one = order[new]
+        alone = left >= _ALONE
+        anchor = np.where(alone, start, start + left)
+        key = span_hashes(_BYTES[data], anchor, np.where(alone, start + DEPTH, anchor + GRAM))
+        runs = Runs(data, ids, key, left, start, size).compared()
+        of, one = runs.group, runs.one
         base = ids[one]
-        found: list[tuple] = [(np.arange(len(ids)), np.zeros(len(ids), np.int64), size - _REST, base[of])]
-        # Keys with several contexts: window by window, whole keys at a time.
+        found: list[tuple] = [(np.arange(len(ids)), np.zeros(len(ids), np.int64), size - DEPTH, base[of])]
+        # Keys with several runs: window by window, whole keys at a time.
         k = key[one]
         _, inverse, n = np.unique(k, return_inverse=True, return_counts=True)
         several = np.flatnonzero(n[inverse] > 1)
         cuts, at = [0], 0
-        total = np.cumsum(size[one[several]] - _REST + 1)
+        total = np.cumsum(size[one[several]] - DEPTH + 1)
         while at < len(several):
             stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _WINDOWS_AT_ONCE, "right")))
             while stop < len(several) and k[several[stop]] == k[several[stop - 1]]:
                 stop += 1
             cuts.append(stop)
             at = stop
-        runs = []
+        made = []
         for a, b in zip(cuts, cuts[1:]):
-            e = one[several[a:b]]
-            entry, step, least = _window_minima(key[e], ids[e], left[e], size[e], start[e], data)
+            entry, step, least = _window_minima(runs, one[several[a:b]])
             low = least < base[several[a:b]][entry]
             entry, step, least = several[a:b][entry[low]], step[low], least[low]
             order = np.lexsort((step, entry))
@@ -258,38 +305,38 @@ def first_holders(dealt: DataFrame) -> DataFrame:
             new[1:] = (entry[1:] != entry[:-1]) | (step[1:] != step[:-1] + 1) | (least[1:] != least[:-1])
             s = np.flatnonzero(new)
             last = np.concatenate([s[1:], [len(entry)]]) - 1 if len(s) else s
-            runs.append((entry[s], step[s], step[last], least[s]))
-        if runs:
-            group, lo, hi, least = (np.concatenate(x) for x in zip(*runs))
+            made.append((entry[s], step[s], step[last], least[s]))
+        if made:
+            group, lo, hi, least = (np.concatenate(x) for x in zip(*made))
             order = np.argsort(group, kind="stable")
             group, lo, hi, least = group[order], lo[order], hi[order], least[order]
             a, b = np.searchsorted(group, of, "left"), np.searchsorted(group, of, "right")
             entry = np.repeat(np.arange(len(of)), b - a)
-            pick = np.arange(len(entry)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)
+            pick = _ragged(a, b - a)
             found.append((entry, lo[pick], hi[pick], least[pick]))
         entry, lo, hi, least = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(part[entry], kind="stable")
         entry, lo, hi, least = entry[order], lo[order], hi[order], least[order]
         parts, at = np.unique(part[entry], return_index=True)
-        columns = [context[entry], lo.astype(np.uint8), hi.astype(np.uint8), least]
+        columns = [number[entry].astype("<u4"), lo.astype(np.uint8), hi.astype(np.uint8), least.astype("<i8")]
         yield pa.RecordBatch.from_arrays(
             [pa.array(parts, pa.int64()), *[pa.array([x.tobytes() for x in np.split(c, at[1:])], pa.binary()) for c in columns]],
-            ["part", "contexts", "lo", "hi", "ids"],
+            ["part", "numbers", "lo", "hi", "ids"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
+        kinds = ("<u4", "<i8", np.uint8, np.uint8, np.uint8)
         for batch in batches:
             for bucket, part, *columns in zip(*(c.to_pylist() for c in batch.columns)):
-                kinds = ("<u4", "<u8", "<i8", np.uint8, np.uint8, np.uint8)
                 held.setdefault(bucket, []).append((part, *(np.frombuffer(c, k) for c, k in zip(columns, kinds))))
         for bucket in list(held):
-            yield from resolve(bucket, held.pop(bucket))
+            yield from resolve(held.pop(bucket))
 
-    return dealt.mapInArrow(run, "part bigint, contexts binary, lo binary, hi binary, ids binary")
+    return dealt.mapInArrow(run, "part bigint, numbers binary, lo binary, hi binary, ids binary")
 
 
-def remove_held(rows: DataFrame, holders: DataFrame, bits: int) -> DataFrame:
+def remove_held(rows: DataFrame, grams: DataFrame, holders: DataFrame, bits: int) -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept) of every row."""
     out = pa.schema(
         [("row", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]
@@ -298,23 +345,26 @@ def remove_held(rows: DataFrame, holders: DataFrame, bits: int) -> DataFrame:
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
         if not len(texts):
             return out.empty_table()
-        kinds = {"contexts": np.uint64, "lo": np.uint8, "hi": np.uint8, "ids": np.int64}
-        known, lo, hi, least = (np.frombuffer(b"".join(found.column(c).to_pylist()), k) for c, k in kinds.items())
+        texts = _in_order(texts)
+        kinds = {"numbers": "<u4", "lo": np.uint8, "hi": np.uint8, "ids": "<i8"}
+        known, lo, hi, least = (np.frombuffer(b"".join([x for x in found.column(c).to_pylist() if x]), k) for c, k in kinds.items())
         order = np.argsort(known, kind="stable")
         known, lo, hi, least = known[order], lo[order].astype(np.int64), hi[order].astype(np.int64), least[order]
-        tables = []
+        # The numbers are those of the runs that were dealt: they come from the same rows and grams.
+        runs = part_runs(texts, bits, answers(found), answers(found, "hot"))
+        a, b = np.searchsorted(known, runs.group, "left"), np.searchsorted(known, runs.group, "right")
+        run_of, pick = np.repeat(np.arange(len(a)), b - a), _ragged(a, b - a)
+        held = least[pick] < runs.ids[run_of]
+        run_of, pick = run_of[held], pick[held]
+        edge = np.zeros(len(runs.data) + 1, dtype=np.int32)
+        np.add.at(edge, runs.start[run_of] + lo[pick], 1)
+        np.add.at(edge, runs.start[run_of] + hi[pick] + DEPTH, -1)
+        covered = np.cumsum(edge, dtype=np.int32) > 0
+        tables, base = [], 0
         for piece in _pieces(texts):
-            doc, first, last, _, context, _, data, at = _contexts(piece, bits)
-            ids = _ids(piece)
-            a, b = np.searchsorted(known, context, "left"), np.searchsorted(known, context, "right")
-            run_of = np.repeat(np.arange(len(context)), b - a)
-            pick = np.arange(len(run_of)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)
-            held = least[pick] < ids[doc[run_of]]
-            run_of, pick = run_of[held], pick[held]
-            edge = np.zeros(len(data) + 1, dtype=np.int64)
-            np.add.at(edge, first[run_of] + lo[pick], 1)
-            np.add.at(edge, first[run_of] + hi[pick] + DEPTH, -1)
-            gone = np.cumsum(edge)[:-1] > 0
+            data, at = text_bytes(piece.column("text"))
+            gone = covered[base : base + len(data)]
+            base += len(data)
             before = np.concatenate([[0], np.cumsum(gone)])
             begins = gone & np.concatenate([[True], ~gone[:-1]])
             begins[at[:-1][at[:-1] < len(gone)]] |= gone[at[:-1][at[:-1] < len(gone)]]
@@ -330,7 +380,8 @@ def remove_held(rows: DataFrame, holders: DataFrame, bits: int) -> DataFrame:
             ))
         return pa.concat_tables(tables)
 
-    left, right = rows.select("part", "row", "id", "text").groupBy("part"), holders.groupBy("part")
+    answered = grams.unionByName(holders, allowMissingColumns=True)
+    left, right = rows.select("part", "row", "id", "text").groupBy("part"), answered.groupBy("part")
     return left.cogroup(right).applyInArrow(run, "row bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
@@ -348,16 +399,51 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("bigint").alias("id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
-    with kept_by_part(texts) as (rows, _):
-        grams, _ = stage(recurring(deal_grams(rows, bits).repartition(n, "bucket")), "grams")
-        dealt = deal_contexts(rows, grams, bits).repartition(n, "bucket")
-        holders, _ = stage(first_holders(dealt), "holders")
-        kept, _ = stage(remove_held(rows, holders, bits), "kept")
-        ids, _ = stage(rows.select("row", "id"), "ids")
+    with kept_by_part(texts, F.octet_length("text")) as (rows, _):
+        grams, grams_path = stage(recurring(deal_grams(rows, bits).repartition(n, "bucket"), HOT), "grams")
+        dealt = deal_runs(rows, grams, bits).repartition(n, "bucket")
+        holders, holders_path = stage(first_holders(dealt), "holders")
+        kept, kept_path = stage(remove_held(rows, grams, holders, bits), "kept")
+        ids, ids_path = stage(rows.select("row", "id"), "ids")
+    for path in (grams_path, holders_path):
+        delete_path(spark, path)
+    for path in (kept_path, ids_path):
+        own_scratch(spark, path)
     return ids.join(kept, "row").select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
 
 
-@query()
+#: Windows as hex digits, cut from blocks of 500 windows; the removed bytes are the union of repeated windows, as islands.
+_SQL = f"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (
+    SELECT doc_id, b, substr(h, 2 * b + 1, {2 * (500 + DEPTH - 1)}) AS h
+    FROM (SELECT doc_id, h, unnest(range(0, CAST(len(h) // 2 AS BIGINT), 500)) AS b FROM docs)
+),
+windows AS (
+    SELECT doc_id, b + i AS pos, h[2 * i + 1 : 2 * i + {2 * DEPTH}] AS w
+    FROM (SELECT doc_id, b, h, unnest(range(0, least(500, CAST(len(h) // 2 AS BIGINT) - {DEPTH - 1}))) AS i FROM blocks)
+),
+firsts AS (SELECT w, min(doc_id) AS lo FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, pos FROM windows JOIN firsts USING (w) WHERE lo < doc_id),
+edges AS (SELECT doc_id, pos, CASE WHEN pos > lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + {DEPTH} THEN 1 ELSE 0 END AS new FROM gone),
+numbered AS (SELECT doc_id, pos, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM edges),
+islands AS (SELECT doc_id, k, min(pos) AS a, max(pos) + {DEPTH} AS b FROM numbered GROUP BY ALL),
+gaps AS (
+    SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM islands
+    UNION ALL SELECT doc_id, max(b), NULL FROM islands GROUP BY doc_id
+),
+kept AS (
+    SELECT doc_id, string_agg(CASE WHEN gaps.b IS NULL THEN substr(h, CAST(2 * a + 1 AS BIGINT)) ELSE substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2 * (gaps.b - a) AS BIGINT)) END, '' ORDER BY a) AS h
+    FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+),
+counts AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM islands GROUP BY doc_id)
+SELECT doc_id, CAST(len(docs.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, docs.h))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
+
+@query(_SQL)
 def op10_repeats(spark, sf_dir):
     kept = remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -12,6 +12,8 @@ import xxhash
 from framestore.llm.quality import STOP_WORDS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Runs of white space and ASCII punctuation.
+PLAIN = re.compile(r"""[ \t\n\x0b\f\r!-/:-@\[-`{-~]+""")
 
 
 class Groups(dict):
@@ -102,7 +104,7 @@ def line_dedup(rows):
     places = defaultdict(list)
     for n, (i, text) in enumerate(rows):
         for k, line in enumerate((text or "").split("\n")):
-            norm = line.strip(" \t\r\x0b\x0c").lower()
+            norm = PLAIN.sub(" ", line.lower()).strip(" ")
             if norm:
                 places[norm].append((*order(i), n, k))
     norms, groups = list(places), Groups()
@@ -110,7 +112,7 @@ def line_dedup(rows):
     for a in range(len(norms)):
         groups.root(a)
         for b in range(a):
-            most = min(max(len(norms[a]), len(norms[b])) // 10, 128)
+            most = max(len(norms[a]), len(norms[b])) // 10
             if (hashes[a] ^ hashes[b]).bit_count() <= 3 and abs(len(norms[a]) - len(norms[b])) <= most and edits(norms[a], norms[b]) <= most:
                 groups.join(a, b)
     members = defaultdict(list)

@@ -220,8 +220,48 @@ def test_repeats(docs, rows, empty):
     assert remove_repeats(empty).count() == 0
 
 
+def test_repeats_compares_all_bytes_of_a_window(spark):
+    """Two strings of 50 bytes whose grams of 28 bytes alone differ share nothing."""
+    edge, tail = "ctqwrcmozzj", "rkdyvtvzrtg"
+    a, b = edge + "gpmyhdgubfagpxqnsawolxqryqna" + tail, edge + "fidslsezhvjhvfmrhkzwmqgafdsi" + tail
+    rows = [(1, a), (2, b), (3, a[1:] + "x"), (4, b)]
+    got = {r["doc_id"]: r["n_removed"] for r in remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 50}
+
+
+def test_repeats_with_collisions_of_hashes(spark, rows, monkeypatch):
+    """Hashes only choose what is compared: with a few bits of them the result is the same."""
+    from framestore.llm import repeats
+
+    data = np.frombuffer(b"abcdefghij" * 12 + bytes(8), np.uint8)
+    runs = repeats.Runs(data, np.array([3, 1, 2, 0]), np.zeros(4, np.uint64), np.zeros(4, np.uint8), np.array([0, 10, 3, 53]), np.full(4, 50))
+    with monkeypatch.context() as m:
+        m.setattr(repeats, "span_hashes", lambda values, a, b: np.zeros(len(a), np.uint64))
+        made = runs.compared()
+    for i in range(4):
+        for j in range(4):
+            if made.group[i] == made.group[j]:
+                assert bytes(data[runs.start[i] : runs.start[i] + 50]) == bytes(data[runs.start[j] : runs.start[j] + 50])
+
+
+@pytest.mark.parametrize("hot", [0, 2, 64])
+def test_repeats_splits_hot_grams(spark, monkeypatch, hot):
+    """A phrase of 30 bytes that all documents have in different surroundings, and windows shared by some of them."""
+    from framestore.llm import repeats
+
+    monkeypatch.setattr(repeats, "HOT", hot)
+    random = np.random.default_rng(11)
+    word = lambda n: "".join(chr(97 + c) for c in random.integers(0, 26, n))
+    phrase, sides = word(30), [(word(40), word(40)) for _ in range(6)]
+    rows = [(k, sides[random.integers(6)][0] + phrase + sides[random.integers(6)][1] + word(9)) for k in range(80)]
+    rows += [(80 + k, word(30) + phrase + word(30)) for k in range(40)] + [(200, "é" * 40000), (201, "é" * 40000 + phrase)]
+    got = remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(6)).collect()
+    same([(r[0], r[1], r[2], r[3], bytes(r[4])) for r in got], brute.repeats(rows))
+
+
 def test_radix_groups():
-    rows, group = radix_groups([np.array([1, 2, 1, 1, 2]), np.array([5, 6, 5, 7, 8])])
+    digits = [np.array([1, 2, 1, 1, 2]), np.array([5, 6, 5, 7, 8])]
+    rows, group = radix_groups(5, [lambda rows, d=d: d[rows] for d in digits])
     assert sorted(rows.tolist()) == [0, 2] and len(set(group.tolist())) == 1
 
 
