@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from framestore.errors import InvalidInputError
+from framestore.functions.zones import zone_name
 
 # Strftime directive -> Spark datetime pattern.
 PATTERNS = {
     "Y": "yyyy", "y": "yy", "m": "MM", "d": "dd", "H": "HH", "I": "hh", "M": "mm", "S": "ss",
     "f": "SSSSSS", "j": "DDD", "b": "MMM", "h": "MMM", "B": "MMMM", "a": "E", "A": "EEEE", "p": "a",
 }
+# Directives that no Spark pattern gives, from the local time.
+COMPUTED = {
+    "w": lambda t: (F.dayofweek(t) - 1).cast("string"),
+    "u": lambda t: (F.weekday(t) + 1).cast("string"),
+    "U": lambda t: _two(F.floor((F.dayofyear(t) + 7 - F.dayofweek(t)) / 7)),
+    "W": lambda t: _two(F.floor((F.dayofyear(t) + 6 - F.weekday(t)) / 7)),
+    "V": lambda t: _two(F.weekofyear(t)),
+    "G": lambda t: F.date_part(F.lit("YEAROFWEEK"), t).cast("string"),
+}
 # Directives that stand for several others.
 COMPOUNDS = {"F": "%Y-%m-%d", "T": "%H:%M:%S", "R": "%H:%M", "D": "%m/%d/%y"}
 _BARE_LITERALS = set(" -/:.,;_+()")
@@ -31,7 +41,7 @@ def split_format(fmt: str) -> list[tuple[str, str]]:
             tokens.append(("text", "%"))
         elif letter in COMPOUNDS:
             tokens += split_format(COMPOUNDS[letter])
-        elif letter in (*PATTERNS, "z", "Z"):
+        elif letter in (*PATTERNS, *COMPUTED, "z", "Z"):
             tokens.append(("directive", letter))
         else:
             raise InvalidInputError(f"Unsupported directive %{letter} in datetime format {fmt!r}", data=fmt)
@@ -45,7 +55,7 @@ def _quote(text: str) -> str:
 
 
 def spark_patterns(fmt: str) -> list[tuple[str, str]]:
-    """`fmt` as a list of ('pattern', Spark pattern), ('offset', '') and ('zone', '').
+    """`fmt` as a list of ('pattern', Spark pattern), ('offset', ''), ('zone', '') and ('computed', letter).
 
     A new pattern starts where two directives would run into one longer pattern
     letter run, as in ``%d%d``.
@@ -58,10 +68,10 @@ def spark_patterns(fmt: str) -> list[tuple[str, str]]:
             continue
         pattern += _quote(literal) if literal else ""
         literal = ""
-        if value in "zZ":
+        if value in "zZ" or value in COMPUTED:
             if pattern:
                 pieces.append(("pattern", pattern))
-            pieces.append(("offset" if value == "z" else "zone", ""))
+            pieces.append(("computed", value) if value in COMPUTED else ("offset" if value == "z" else "zone", ""))
             pattern = ""
         else:
             addition = PATTERNS[value]
@@ -86,8 +96,9 @@ def has_directive(fmt: str, letter: str) -> bool:
 def parse_patterns(fmt: str) -> list[str]:
     """Spark patterns that together read `fmt`, the full one first; the second reads text without the seconds."""
     tokens = split_format(fmt)
-    if ("directive", "Z") in tokens:
-        raise InvalidInputError(f"%Z cannot be parsed, in datetime format {fmt!r}", data=fmt)
+    for kind, value in tokens:
+        if kind == "directive" and (value == "Z" or value in COMPUTED):
+            raise InvalidInputError(f"%{value} cannot be parsed, in datetime format {fmt!r}", data=fmt)
     # Where nothing separates two numbers, each has its full width.
     adjacent = any(a == b == "directive" for (a, _), (b, _) in zip(tokens, tokens[1:]))
     variants = [tokens]
@@ -115,24 +126,27 @@ def format_wall_clock(wall: Column, fmt: str, offset_seconds: Column | None, zon
             parts.append(F.date_format(wall, value) if value else F.lit(""))
         elif kind == "offset":
             parts.append(F.lit("") if offset_seconds is None else _offset_text(offset_seconds))
+        elif kind == "computed":
+            parts.append(COMPUTED[value](wall))
         elif zone is None:
             parts.append(F.lit(""))
-        elif zone == "UTC":
-            parts.append(F.lit("UTC"))
         else:
-            raise InvalidInputError(f"%Z is only supported for UTC, the column is in {zone}", data=(fmt, zone))
+            parts.append(zone_name(F.unix_seconds(wall.cast("timestamp")) - offset_seconds, zone))
     text = parts[0] if len(parts) == 1 else F.concat(*parts)
     has_pattern = any(kind == "pattern" and value for kind, value in spark_patterns(fmt))
     return text if has_pattern else F.when(wall.isNotNull(), text)
 
 
+def _two(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 2, "0")
+
+
 def _offset_text(seconds: Column) -> Column:
     size = F.abs(seconds)
-    two = lambda n: F.lpad(n.cast("string"), 2, "0")
     rest = size % 60
     return F.concat(
         F.when(seconds < 0, F.lit("-")).otherwise(F.lit("+")),
-        two(F.floor(size / 3600)),
-        two(F.floor(size / 60) % 60),
-        F.when(rest == 0, F.lit("")).otherwise(two(rest)),
+        _two(F.floor(size / 3600)),
+        _two(F.floor(size / 60) % 60),
+        F.when(rest == 0, F.lit("")).otherwise(_two(rest)),
     )

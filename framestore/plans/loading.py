@@ -295,6 +295,24 @@ def datetime_to_str_offset(t: Tables):
     return convert_datetime_columns(rows, "str", "%Y-%m-%d %H:%M:%S%z", localize_tz="UTC", target_tz="Europe/Paris")
 
 
+@query("SELECT o_orderkey, strftime(o_orderdate, '%U/%W %w-%u %Y') || strftime(o_orderdate, ' %V %G') AS o_orderdate FROM orders")
+def datetime_to_str_weeks(t: Tables):
+    """Weeks that begin on Sunday and on Monday, days of the week, ISO weeks."""
+    return convert_datetime_columns(t("orders").select("o_orderkey", "o_orderdate"), "str", "%U/%W %w-%u %Y %V %G")
+
+
+@query(
+    """
+    WITH w AS (SELECT o_orderkey, o_orderdate, (o_orderdate AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris' AS p FROM orders)
+    SELECT o_orderkey, strftime(p, '%H:%M ') || CASE WHEN date_diff('hour', o_orderdate, p) = 2 THEN 'CEST' ELSE 'CET' END
+             || strftime(p, ' %d') AS o_orderdate FROM w
+    """
+)
+def datetime_to_str_zone(t: Tables):
+    rows = t("orders").select("o_orderkey", "o_orderdate")
+    return convert_datetime_columns(rows, "str", "%H:%M %Z %d", localize_tz="UTC", target_tz="Europe/Paris")
+
+
 @query("SELECT event_id, CAST(floor(epoch(ts - INTERVAL 60 YEAR)) AS BIGINT) AS old, CAST(floor(epoch(ts)) AS BIGINT) AS ts FROM events")
 def datetime_to_epoch(t: Tables):
     rows = t("events").select("event_id", "ts", (F.col("ts") - F.expr("INTERVAL '60' YEAR")).alias("old"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import zoneinfo
 import math
 
 import pytest
@@ -49,10 +50,34 @@ def test_formats_equal_strftime(spark):
     moments = [dt.datetime(2012, 2, 29, 13, 4, 5, 678), dt.datetime(1999, 12, 31, 0, 0, 1), dt.datetime(2024, 8, 9, 12)]
     df = naive(spark, *[str(m) for m in moments])
     for fmt in ("%Y-%m-%d %H:%M:%S", "%d/%m/%y", "%j|%b|%B", "%a %A %I:%M %p", "%H:%M:%S.%f", "it's %Y%%", "%d%d", "%F %T",
-                "%D %R", "%Y%m%dT%H%M", "no directive", "%Y-%m-%d%z %Z"):
+                "%D %R", "%Y%m%dT%H%M", "no directive", "%Y-%m-%d%z %Z", "%U%W", "it's %w, %u %V/%G"):
         assert values(convert_datetime_columns(df, "str", fmt)) == [m.strftime(fmt) for m in moments], fmt
 
 
+def test_weeks_equal_strftime(spark):
+    days = [dt.datetime(y, 1, 1) + dt.timedelta(d) for y in (1999, 2000, 2012, 2017, 2018, 2023) for d in (*range(10), 200, *range(355, 366))]
+    df = naive(spark, *[str(d) for d in days])
+    assert values(convert_datetime_columns(df, "str", "%U %W %w %u %V %G")) == [d.strftime("%U %W %w %u %V %G") for d in days]
+
+
+@pytest.mark.parametrize("tz", ["Europe/Paris", "America/Denver", "Asia/Kathmandu", "Africa/Casablanca", "EET", "Australia/Lord_Howe", "UTC"])
+def test_zone_names_equal_strftime(spark, tz):
+    zone = zoneinfo.ZoneInfo(tz)
+    moments = [dt.datetime(1700, 5, 6), dt.datetime(1885, 1, 1), *[dt.datetime(y, 1, 1, 7) + dt.timedelta(37 * k) for y in (1919, 1945, 1974, 1996, 2024, 2090) for k in range(10)],
+               *[dt.datetime(2021, 3, 28, h, m) for h in (0, 1) for m in (0, 59)], dt.datetime(2399, 12, 31, 23), dt.datetime(2400, 1, 1), dt.datetime(2599, 12, 31, 23), dt.datetime(2600, 1, 1), dt.datetime(3021, 7, 1)]
+    df = naive(spark, *[str(m) for m in moments], None)
+    got = values(convert_datetime_columns(df, "str", "%Z", "UTC", tz))
+    assert got == [m.replace(tzinfo=dt.timezone.utc).astimezone(zone).tzname() for m in moments] + [None]
+
+
+def test_computed_directives_cannot_be_parsed(spark):
+    from framestore.functions.strftime import parse_patterns
+
+    for letter in "ZUWwuVG":
+        with pytest.raises(InvalidInputError):
+            parse_patterns(f"%Y %{letter}")
+
+
 def test_zone_label_follows_the_column(spark):
     df = naive(spark, "2021-01-01 12:00:00")
     local = convert_datetime_columns(df, localize_tz="America/Denver")
@@ -105,7 +130,7 @@ def test_localize_equals_zoneinfo(spark):
 
 def test_datetime_errors(spark):
     df = naive(spark, "2021-01-01")
-    for bad in ({"dtype": "float"}, {"target_tz": "CET"}, {"localize_tz": "Nowhere"}, {"dtype": "str", "datetime_format": "%U"},
+    for bad in ({"dtype": "float"}, {"target_tz": "CET"}, {"localize_tz": "Nowhere"}, {"dtype": "str", "datetime_format": "%q"},
                 {"localize_tz": "UTC", "target_tz": "Mars"}, {"dtype": "str", "datetime_format": 3}, {"dst": "guess"}):
         with pytest.raises(InvalidInputError):
             convert_datetime_columns(df, **bad)
