@@ -130,21 +130,22 @@ def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray)
     words, same = _words(data), np.ones(len(a), dtype=bool)
     for k in range(0, int(size.max(initial=0)), 8):
         rows = np.flatnonzero(same & (size > k))
-        step = np.minimum(k, size[rows] - 8)  # the last eight bytes overlap those before
+        step = np.minimum(k, size[rows].astype(np.int64) - 8)  # the last eight bytes overlap those before
         same[rows] = words[a[rows] + step] == words[b[rows] + step]
     return same
 
 
 @dataclass
 class Runs:
-    """Runs of windows with one anchor: bytes start:start + size of `data`, the anchor `left` bytes in; `key` is the dealt hash.
+    """Runs of windows with one anchor: bytes start:start + size of `data`, the anchor `left` bytes in.
 
-    `group` numbers the different ones, `one` has a run of each group with the smallest id.
+    `key` is a hash that equal windows of runs share, `content` one of the whole run. `group` numbers the different ones, `one` has a run of each group with the smallest id.
     """
 
     data: np.ndarray
     ids: np.ndarray
     key: np.ndarray
+    content: np.ndarray
     left: np.ndarray
     start: np.ndarray
     size: np.ndarray
@@ -153,13 +154,11 @@ class Runs:
 
     def compared(self) -> Runs:
         """With `group` and `one`. Only neighbours by hash and id are compared: equal runs may get two numbers, different ones never get one."""
-        values = _BYTES[self.data]
-        content = mix(span_hashes(values, self.start, self.start + self.size) + mix(self.left.astype(np.uint64) + np.uint64(1)))
-        order = np.lexsort((self.ids, content, self.key))
+        order = np.lexsort((self.ids, self.content, self.key))
         new = np.ones(len(order), dtype=bool)
         a, b = order[:-1], order[1:]
         met = np.flatnonzero(
-            (content[a] == content[b]) & (self.key[a] == self.key[b]) & (self.size[a] == self.size[b]) & (self.left[a] == self.left[b])
+            (self.content[a] == self.content[b]) & (self.key[a] == self.key[b]) & (self.size[a] == self.size[b]) & (self.left[a] == self.left[b])
         )
         new[met[same_bytes(self.data, self.start[a[met]], self.start[b[met]], self.size[a[met]])] + 1] = False
         group = np.empty(len(order), dtype=np.int64)
@@ -172,6 +171,13 @@ def _in_order(texts: pa.Table) -> pa.Table:
     return texts.sort_by("row").combine_chunks()
 
 
+def _content(values: np.ndarray, start: np.ndarray, size: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """A hash of each run and the place of its anchor; `values` are random numbers of the bytes."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    return mix(span_hashes(values, start, start + size) + mix(left.astype(np.uint64) + np.uint64(1)))
+
+
 def part_runs(texts: pa.Table, bits: int, wanted: np.ndarray, hot: np.ndarray) -> Runs:
     """The runs of all wanted grams in the texts of a part. Those of the hot ones are cut into windows, each with its own key."""
     datas, found, base = [], [], 0
@@ -184,11 +190,12 @@ def part_runs(texts: pa.Table, bits: int, wanted: np.ndarray, hot: np.ndarray) -
         many = among(key, hot)
         n = last[many] - first[many] + 1
         window = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[many], n)
-        left = np.concatenate([(place - first)[~many], (np.repeat(place[many], n) - window) | _ALONE])
-        alone = span_hashes(_BYTES[data], window, window + DEPTH) >> np.uint64(32 - bits) if len(window) else np.zeros(0, np.uint64)
+        left = np.concatenate([(place - first)[~many], (np.repeat(place[many], n) - window) | _ALONE]).astype(np.uint8)
         start = np.concatenate([first[~many], window])
         size = np.concatenate([(last - first)[~many] + DEPTH, np.full(len(window), DEPTH)])
-        found.append((_ids(piece)[np.searchsorted(at, start, "right") - 1], np.concatenate([key[~many], alone]), left.astype(np.uint8), start + base, size))
+        content = _content(_BYTES[data], start, size, left)
+        key = np.concatenate([key[~many], content[len(content) - len(window) :] >> np.uint64(32 - bits)])
+        found.append((_ids(piece)[np.searchsorted(at, start, "right") - 1], key, content, left, start + base, size.astype(np.uint8)))
         datas.append(data)
         base += len(data)
     return Runs(_padded(datas), *(np.concatenate(x) for x in zip(*found))).compared()
@@ -216,8 +223,8 @@ def deal_runs(rows: DataFrame, grams: DataFrame, bits: int) -> DataFrame:
         for number in np.split(order, at[1:]):
             one = runs.one[number]
             made = (
-                number.astype("<u4"), runs.ids[one].astype("<i8"), runs.left[one], runs.size[one].astype(np.uint8),
-                runs.data[_ragged(runs.start[one], runs.size[one])],
+                number.astype("<u4"), runs.ids[one].astype("<i8"), runs.left[one], runs.size[one],
+                runs.data[_ragged(runs.start[one], runs.size[one].astype(np.int64))],
             )
             for column, values in zip(columns, made):
                 column.append(values.tobytes())
@@ -264,6 +271,21 @@ def _window_minima(runs: Runs, entries: np.ndarray) -> tuple[np.ndarray, np.ndar
     return entry[rows], step[rows], least
 
 
+def run_hashes(left: np.ndarray, size: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, content) of runs that lie one after the other in `data`, some at a time."""
+    keys, contents, ends = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], np.cumsum(size, dtype=np.int64)
+    for a in range(0, len(size), 1 << 14):
+        stop = ends[a : a + (1 << 14)]
+        first = int(stop[0]) - int(size[a])
+        some, start = size[a : a + (1 << 14)].astype(np.int64), stop - first - size[a : a + (1 << 14)]
+        place, values = left[a : a + (1 << 14)], _BYTES[data[first : int(stop[-1])]]
+        content, alone = _content(values, start, some, place), place >= _ALONE
+        gram = start + np.where(alone, 0, place)
+        keys.append(np.where(alone, content, span_hashes(values, gram, gram + GRAM)))
+        contents.append(content)
+    return np.concatenate(keys), np.concatenate(contents)
+
+
 _WINDOWS_AT_ONCE = 1 << 18
 
 
@@ -273,12 +295,11 @@ def first_holders(dealt: DataFrame) -> DataFrame:
     def resolve(pieces: list) -> Iterator[pa.RecordBatch]:
         part = np.repeat(np.array([p[0] for p in pieces]), [len(p[1]) for p in pieces])
         number, ids, left, size = (np.concatenate([p[i] for p in pieces]) for i in range(1, 5))
+        hashes = [run_hashes(*p[3:]) for p in pieces]
+        key, content = (np.concatenate(x) for x in zip(*hashes))
         data, size = _padded([p[5] for p in pieces]), size.astype(np.int64)
         start = np.cumsum(size) - size
-        alone = left >= _ALONE
-        anchor = np.where(alone, start, start + left)
-        key = span_hashes(_BYTES[data], anchor, np.where(alone, start + DEPTH, anchor + GRAM))
-        runs = Runs(data, ids, key, left, start, size).compared()
+        runs = Runs(data, ids, key, content, left, start, size).compared()
         of, one = runs.group, runs.one
         base = ids[one]
         found: list[tuple] = [(np.arange(len(ids)), np.zeros(len(ids), np.int64), size - DEPTH, base[of])]

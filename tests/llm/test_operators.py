@@ -229,19 +229,17 @@ def test_repeats_compares_all_bytes_of_a_window(spark):
     assert got == {1: 0, 2: 0, 3: 0, 4: 50}
 
 
-def test_repeats_with_collisions_of_hashes(spark, rows, monkeypatch):
-    """Hashes only choose what is compared: with a few bits of them the result is the same."""
+def test_runs_with_one_hash_are_compared_by_bytes():
+    """Hashes only choose what is compared."""
     from framestore.llm import repeats
 
     data = np.frombuffer(b"abcdefghij" * 12 + bytes(8), np.uint8)
-    runs = repeats.Runs(data, np.array([3, 1, 2, 0]), np.zeros(4, np.uint64), np.zeros(4, np.uint8), np.array([0, 10, 3, 53]), np.full(4, 50))
-    with monkeypatch.context() as m:
-        m.setattr(repeats, "span_hashes", lambda values, a, b: np.zeros(len(a), np.uint64))
-        made = runs.compared()
-    for i in range(4):
-        for j in range(4):
-            if made.group[i] == made.group[j]:
-                assert bytes(data[runs.start[i] : runs.start[i] + 50]) == bytes(data[runs.start[j] : runs.start[j] + 50])
+    same_hash = np.zeros(4, np.uint64)
+    runs = repeats.Runs(data, np.array([1, 0, 2, 3]), same_hash, same_hash, np.zeros(4, np.uint8), np.array([0, 10, 3, 53]), np.full(4, 50)).compared()
+    text = lambda i: bytes(data[runs.start[i] : runs.start[i] + 50])
+    assert len(set(runs.group.tolist())) == 2
+    assert all(text(i) == text(j) for i in range(4) for j in range(4) if runs.group[i] == runs.group[j])
+    assert runs.ids[runs.one[runs.group]].tolist() == [min(runs.ids[j] for j in range(4) if runs.group[j] == g) for g in runs.group]
 
 
 @pytest.mark.parametrize("hot", [0, 2, 64])
