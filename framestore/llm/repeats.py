@@ -39,12 +39,12 @@ DEPTH = 50
 GRAM = 28
 SPREAD = DEPTH - GRAM + 1
 #: A gram that more pieces of the input have is dealt by windows.
-HOT = 64
+HOT = 512
 #: Mark of such a window beside the place of the anchor in it.
 _ALONE = 128
 _PLACE = np.uint64((1 << 21) - 1)
-_SEGMENT = 1 << 20
-_SLICE = 1 << 20
+_SEGMENT = 1 << 19
+_SLICE = 1 << 19
 _LAST = np.iinfo(np.int64).max
 
 
@@ -198,6 +198,7 @@ def part_runs(texts: pa.Table, bits: int, wanted: np.ndarray, hot: np.ndarray) -
         found.append((_ids(piece)[np.searchsorted(at, start, "right") - 1], key, content, left, start + base, size.astype(np.uint8)))
         datas.append(data)
         base += len(data)
+    pa.default_memory_pool().release_unused()
     return Runs(_padded(datas), *(np.concatenate(x) for x in zip(*found))).compared()
 
 
@@ -353,6 +354,7 @@ def first_holders(dealt: DataFrame) -> DataFrame:
                 held.setdefault(bucket, []).append((part, *(np.frombuffer(c, k) for c, k in zip(columns, kinds))))
         for bucket in list(held):
             yield from resolve(held.pop(bucket))
+            pa.default_memory_pool().release_unused()
 
     return dealt.mapInArrow(run, "part bigint, numbers binary, lo binary, hi binary, ids binary")
 
