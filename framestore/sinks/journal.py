@@ -53,6 +53,20 @@ def data_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def partition_folders(spark: SparkSession, folder: str, depth: int) -> list[str]:
+    """The names of the partition folders below a folder, as `a=1/b=2`."""
+    fs, root = _file_system(spark, folder)
+    names = [""]
+    for _ in range(depth):
+        below = []
+        for name in names:
+            here = spark._jvm.org.apache.hadoop.fs.Path(root, name) if name else root
+            found = [s.getPath().getName() for s in fs.listStatus(here) if s.isDirectory()]
+            below += [f"{name}/{n}" if name else n for n in found if "=" in n]
+        names = below
+    return sorted(names)
+
+
 def read_ledger(spark: SparkSession, location: str) -> dict[str, int]:
     """The last applied batch of each source, of the rows in `location`."""
     return read_json(spark, f"{location}/{_LEDGER}") or {}

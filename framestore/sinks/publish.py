@@ -18,13 +18,14 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from framestore.functions.project import ident
 from framestore.operators.changes import CHANGE, default_value
-from framestore.operators.keyed import align_types, quoted, spread_join
+from framestore.operators.keyed import align_types, any_null, quoted, spread_join
 from framestore.session import delete_path, stage
-from framestore.sinks.journal import exchange_files, finish_exchange, read_ledger, write_ledger
+from framestore.sinks.journal import exchange_files, finish_exchange, partition_folders, read_json, read_ledger, write_json, write_ledger
 
 _VERSION_SUFFIX = re.compile(r"__v[0-9a-f]{32}$")
 
@@ -140,6 +141,8 @@ def replace_rows(
     """
     info = table_info(spark, table)
     rows = to_layout(df, spark.table(table))
+    if has_partition_folders(info):
+        return replace_partitions(spark, table, df, batch, whole=True, max_records_per_file=max_records_per_file)
     ledger = read_ledger(spark, info.location) | dict([batch] if batch else [])
     if not info.managed or info.partition_columns or info.bucket_columns or (CHANGE in rows.columns and info.provider not in _BY_NAME):
         # An external table stays where it is.
@@ -174,14 +177,96 @@ def _overwrite(rows: DataFrame, table: str, info: TableInfo, mode: str, max_reco
     return counts
 
 
-def replace_partitions(spark: SparkSession, table: str, df: DataFrame, batch: tuple[str, int] | None = None) -> dict[int, int]:
-    """Replace only the partitions that `df` holds rows of. `df` may read the table. Returns as `replace_rows` does."""
+_PARTITIONS = "_framestore_partitions"
+_REPLACED = "_framestore_replaced"
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def has_partition_folders(info: TableInfo) -> bool:
+    """True if the partitions of the table are folders that can be exchanged one by one."""
+    return bool(info.partition_columns) and not info.bucket_columns and info.provider in _BY_NAME
+
+
+def replace_partitions(
+    spark: SparkSession, table: str, df: DataFrame, batch: tuple[str, int] | None = None, whole: bool = False,
+    max_records_per_file: int | None = None,
+) -> dict[int, int]:
+    """Replace the partitions that `df` holds rows of; with `whole` all others become empty. `df` may read the table.
+
+    The rows are written once, into new folders, and counted. Then a list of the folders is written, which a later change completes
+    if this one fails in between, and the partitions are pointed at them. The folders before stay until the next
+    change of partitions, so that readers of them go on; a frame looks the partitions up when it is read. Returns as `replace_rows` does.
+    """
     info = table_info(spark, table)
-    counts = _overwrite(to_layout(df, spark.table(table)), table, info, "dynamic")
-    write_ledger(spark, info.location, read_ledger(spark, info.location) | dict([batch] if batch else []))
+    rows = to_layout(df, spark.table(table))
+    ledger = read_ledger(spark, info.location) | dict([batch] if batch else [])
+    if not has_partition_folders(info):
+        counts = _overwrite(rows, table, info, "dynamic")
+        write_ledger(spark, info.location, ledger)
+        return counts
+    folder = f"{info.location}/_framestore_{uuid.uuid4().hex}"
+    writer = balanced(rows, info.partition_columns).write.format(info.provider).partitionBy(*info.partition_columns)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.save(folder)
+    counts = _count_files(spark, info.provider, folder, rows)
+    new = partition_folders(spark, folder, len(info.partition_columns))
+    if whole:
+        known = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        new += sorted(known - set(new))
+    write_json(spark, f"{info.location}/{_PARTITIONS}", {"folder": folder, "partitions": new, "ledger": ledger})
+    _finish_partitions(spark, table, info.location)
     return counts
 
 
+def _partition_spec(spark: SparkSession, name: str) -> str:
+    """The SQL of a partition from the name of its folder."""
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    values = []
+    for part in name.split("/"):
+        column, _, value = part.partition("=")
+        text = unescape(value).replace("\\", "\\\\").replace("'", "\\'")
+        values.append(f"{ident(unescape(column))} = " + ("NULL" if value == _NULL_PARTITION else f"'{text}'"))
+    return f"PARTITION ({', '.join(values)})"
+
+
+def _finish_partitions(spark: SparkSession, table: str, location: str) -> bool:
+    """Point the partitions of a table at the folders of a change. Every step may be done again. True if there was a change."""
+    change = read_json(spark, f"{location}/{_PARTITIONS}")
+    if change is None:
+        return False
+    known = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    replaced = read_json(spark, f"{location}/{_REPLACED}") or {"for": None, "folders": []}
+    if replaced["for"] != change["folder"]:
+        # What the change before replaced goes now.
+        for old in replaced["folders"]:
+            delete_path(spark, old)
+        before = [_partition_location(spark, table, p) for p in change["partitions"] if p in known]
+        write_json(spark, f"{location}/{_REPLACED}", {"for": change["folder"], "folders": before})
+    added = []
+    for name in change["partitions"]:
+        where = f"{_partition_spec(spark, name)}", f"LOCATION '{_sql_text(change['folder'] + '/' + name)}'"
+        if name in known:
+            spark.sql(f"ALTER TABLE {table} {where[0]} SET {where[1]}")
+        else:
+            added.append(" ".join(where))
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+    write_ledger(spark, location, change["ledger"])
+    delete_path(spark, f"{location}/{_PARTITIONS}")
+    spark.catalog.refreshTable(table)
+    return True
+
+
+def _sql_text(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _partition_location(spark: SparkSession, table: str, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_partition_spec(spark, name)}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
 def has_plain_files(info: TableInfo) -> bool:
     """True if the rows of the table lie in one folder, in files that can be exchanged one by one."""
     return info.provider in _BY_NAME and not info.partition_columns and not info.bucket_columns
@@ -225,8 +310,10 @@ def replace_files(
 
 def finish_change(spark: SparkSession, table: str) -> None:
     """Complete a change of the files of `table` that failed half way."""
-    if finish_exchange(spark, table_info(spark, table).location):
+    location = table_info(spark, table).location
+    if finish_exchange(spark, location):
         spark.catalog.refreshTable(table)
+    _finish_partitions(spark, table, location)
 
 
 def is_applied(spark: SparkSession, table: str, batch: tuple[str, int]) -> bool:
@@ -235,35 +322,22 @@ def is_applied(spark: SparkSession, table: str, batch: tuple[str, int]) -> bool:
     return read_ledger(spark, table_info(spark, table).location).get(name, -1) >= number
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """The rows of `target` in partitions that `source` has rows for.
+def touched_partitions(target: DataFrame, source: DataFrame, columns: tuple[str, ...]) -> tuple[DataFrame, str]:
+    """The rows of `target` in partitions that `source` has rows for, and the path of the staged names of these.
 
-    The partitions are named in the filter, so that the scan skips all others. Their names come
-    to the driver, which holds the list of all partitions of a table in any case.
+    The names are joined to the partition columns, so Spark prunes the scan by them while it runs; none of them come
+    to the driver. Partitions with a NULL are a branch of their own, as a join of plain columns finds no NULL.
     """
-    named = source.select(*[quoted(c) for c in columns]).distinct().collect()
-    types = {f.name: f.dataType for f in target.schema}
-    return target.where(_named([tuple(r) for r in named], columns, types))
-
-
-def _named(values: list[tuple], columns: Sequence[str], types: dict) -> Column:
-    """True for rows whose `columns` are one of `values`: an IN list for each value of the columns before the last."""
-    column = quoted(columns[0])
-    groups: dict = {}
-    for first, *rest in values:
-        groups.setdefault(first, []).append(tuple(rest))
-    null = groups.pop(None, None)
-    parts = []
-    if len(columns) == 1:
-        if groups:
-            parts.append(column.isin([F.lit(v).cast(types[columns[0]]) for v in groups]))
-        if null is not None:
-            parts.append(column.isNull())
-    else:
-        inner = lambda rest: _named(rest, columns[1:], types)
-        parts = [(column == F.lit(v).cast(types[columns[0]])) & inner(rest) for v, rest in groups.items()]
-        if null is not None:
-            parts.append(column.isNull() & inner(null))
-    while len(parts) > 1:  # a balanced tree, so that many partitions do not make it deep
-        parts = [reduce(lambda a, b: a | b, parts[i : i + 2]) for i in range(0, len(parts), 2)]
-    return parts[0] if parts else F.lit(False)
+    spark = target.sparkSession
+    types = StructType([f for f in target.schema if f.name in columns])
+    named = align_types(source.select(*[quoted(c) for c in columns]), types).groupBy(*[quoted(c) for c in columns])
+    names, path = stage(named.agg(F.count("*").alias("__n")), "partitions")
+    # Dynamic pruning is for joins with a filtered side: this filter keeps all names.
+    names = names.where("__n > 0")
+    plain = target.where(~any_null(columns)).join(names.where(~any_null(columns)).drop("__n"), list(columns), "left_semi")
+    rows = plain.select(*[quoted(c) for c in target.columns])
+    if names.where(any_null(columns)).limit(1).count():
+        nulls = names.where(any_null(columns)).select(*[quoted(c).alias(f"__{c}") for c in columns])
+        same = reduce(lambda a, b: a & b, [quoted(c).eqNullSafe(quoted(f"__{c}")) for c in columns])
+        rows = rows.unionByName(target.where(any_null(columns)).join(nulls, same, "left_semi"))
+    return rows, path

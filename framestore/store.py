@@ -37,6 +37,7 @@ from framestore.operators.params import check_value
 from framestore.operators.statements import KeyedStatement, keyed_statement
 from framestore.operators.upsert import upsert_changes
 from framestore.session import delete_path, stage
+from framestore.sinks.journal import read_ledger, write_ledger
 from framestore.sinks.publish import (
     MAX_RECORDS,
     balanced,
@@ -441,7 +442,10 @@ class TableStore:
             finish_change(self.spark, name)
             old = self.spark.table(name)
             self._enforce_references(name, old, None, DeleteFromTableError)
+            location = table_info(self.spark, name).location
+            ledger = read_ledger(self.spark, location)
             insert_overwrite(self.spark.createDataFrame([], old.schema), name, "static")
+            write_ledger(self.spark, location, ledger)
         except FramestoreError:
             raise
         except Exception as e:
@@ -686,7 +690,8 @@ class TableStore:
                 and not self._other_key_sets(name, outline)
             )
             if some_partitions:
-                target = touched_partitions(target, source, info.partition_columns)
+                target, path = touched_partitions(target, source, info.partition_columns)
+                scratch.append(path)
             elif rewrite == "files" and not deletes:
                 wanted = align_types(pick(nan_to_null(source) if nan_as_null else source, outline.keys), target.schema)
                 files = self._touched_files(name, wanted.distinct(), outline.keys)

@@ -124,6 +124,61 @@ def test_an_exchange_that_failed_half_way_is_completed(store, spark, monkeypatch
     assert not os.path.exists(f"{folder}/_framestore_commit") and not os.path.exists(change["folder"].removeprefix("file:"))
 
 
+# By partitions -------------------------------------------------------------------------
+
+
+def parted(spark, n=40):
+    p = F.when(F.col("id") % 4 != 3, F.concat(F.lit("it's a/b = "), (F.col("id") % 4).cast("string")))
+    return spark.range(n).select("id", (F.col("id") * 2).alias("v"), p.alias("p"), (F.col("id") % 2).cast("int").alias("q"))
+
+
+def folders(store, table):
+    rows = store.spark.sql(f"SHOW PARTITIONS {store.qualified(table)}").collect()
+    return {r["partition"]: publish._partition_location(store.spark, store.qualified(table), r["partition"]) for r in rows}
+
+
+def test_partitions_are_written_once_and_pointed_at(store, spark):
+    store.save_df(parted(spark), "t", partition_by=["p", "q"])
+    before, old = folders(store, "t"), store.load_table("t")
+    some = parted(spark, 44).where("id % 4 IN (1, 3) AND id > 20")
+    changed = some.withColumn("v", F.when(F.col("id") < 30, -1).otherwise(F.col("v"))).unionByName(
+        spark.createDataFrame([(0, 7, "new", 5)], "id long, v long, p string, q int"))
+    assert store.upsert_table(changed, "t", ["id", "p", "q"]) == ChangeCounts(5, 3, 8, 0)  # a NULL in a key matches nothing
+    after = folders(store, "t")
+    assert {p for p in before if before[p] == after[p]} == {p for p in before if p.endswith(("0/q=0", "2/q=0"))} and len(after) == 5
+    expected = [x for x in rows(parted(spark)) if x[0] not in range(21, 40, 4)] + rows(changed)
+    assert rows(store.load_table("t")) == sorted(expected, key=repr)
+    # The folders before stay until the next change of partitions; a frame looks the partitions up when it is read.
+    assert all(os.path.isdir(f.removeprefix("file:")) for f in before.values()) and old.count() == 48
+    store.save_df(store.load_table("t").where("q = 1"), "t", "replace")
+    assert rows(store.load_table("t")) == sorted([x for x in expected if x[3] == 1], key=repr)
+    store.save_df(parted(spark, 4), "t")  # appended to where the partitions are now
+    assert store.load_table("t").count() == len([x for x in expected if x[3] == 1]) + 4
+    store.delete_all_records_from_table("t")
+    assert store.load_table("t").count() == 0
+
+
+def test_a_change_of_partitions_that_failed_half_way_is_completed(store, spark, monkeypatch):
+    store.save_df(parted(spark), "t", partition_by="p")
+    changed = parted(spark).where("id % 4 IN (1, 3)").withColumn("v", F.lit(-1)).unionByName(
+        spark.createDataFrame([(None, 7, "new", 5)], "id long, v long, p string, q int"))
+
+    calls = []
+
+    def stop(*_):
+        calls.append(1)
+        if len(calls) > 1:  # the first call looks for what an earlier change left
+            raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_finish_partitions", stop)
+        with pytest.raises(ExecuteStatementError, match="lost"):
+            store.upsert_table(changed, "t", ["id", "p"], batch=("s", 0))
+    assert store.load_table("t").count() == 40
+    assert store.upsert_table(changed, "t", ["id", "p"], batch=("s", 0)) is None
+    assert store.load_table("t").where("v = -1").count() == 20 and store.load_table("t").count() == 51
+
+
 # Counts -----------------------------------------------------------------------------
 
 
