@@ -13,8 +13,10 @@ has a few rows per length and use, bounded by `capacity` as well, whatever the i
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from framestore.llm.batches import id_and_text, id_type, slices
 from framestore.llm.registry import query, table
-from framestore.llm.vocabulary import WordIds
+from framestore.llm.vocabulary import WordIds, byte_of_symbol
 from framestore.session import stage
 
 CAPACITY = 2048
@@ -35,6 +37,58 @@ def vocabulary_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Of the words that a Python worker remembers.
+CACHE_BYTES = 96 << 20
+
+#: Latin words: what NFC leaves as it is, and lower-casing changes letter by letter.
+_LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+#: The words that the tokenizer cuts lower-case Latin text into, and the line ends that keep the given words apart.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+")
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_SUFFIX = "</w>"
+
+
+def ranked_words(file: dict) -> Callable[[list[str]], list[bytes | None]] | None:
+    """Ids of Latin words by ranked merges, for a BPE with word ends whose ids are in the order of its merges; None for another tokenizer.
+
+    A line end stands for the end of a word: its merges with single letters come before all others, as
+    the tokenizer begins with letters that carry the word end. A line end by itself keeps the given words apart.
+    """
+    model, before = file["model"], file.get("pre_tokenizer") or {}
+    steps = before.get("pretokenizers") or [{}]
+    cut = (steps[0].get("pattern") or {}).get("Regex") == _PATTERN and steps[0].get("invert") and len(steps) == 2 and not steps[1].get("use_regex")
+    lower = [n["type"] for n in (file.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+    if model["type"] != "BPE" or model.get("end_of_word_suffix") != _SUFFIX or not cut or not lower or model.get("dropout"):
+        return None
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    if [model["vocab"][m] for m in merged] != list(range(512, 512 + len(merged))):
+        return None
+    special, byte_of, ranks = {t["id"] for t in file["added_tokens"]}, byte_of_symbol(), {}
+    for token, n in model["vocab"].items():
+        if n not in special:
+            ends = token.endswith(_SUFFIX)
+            ranks[bytes(byte_of[c] for c in token.removesuffix(_SUFFIX)) + b"\n" * ends] = n
+    import tiktoken
+
+    encoding = tiktoken.Encoding("words", pat_str=r"[^\n]*\n", mergeable_ranks=ranks, special_tokens={})
+    mark = ranks[b"\n"]
+
+    def ids(words: list[str]) -> list[bytes | None]:
+        out: list[bytes | None] = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if _LATIN.fullmatch(w) and "<|" not in w]
+        for a in range(0, len(plain), 2000):
+            some = plain[a : a + 2000]
+            text = _PARTS.sub("\\g<0>\n", "\n".join([words[i] for i in some]).lower()) + "\n"
+            flat = np.array(encoding.encode_ordinary(text), dtype="<u4")
+            raw, start = flat.tobytes(), 0
+            for i, cut in zip(some, np.flatnonzero(flat == mark).tolist(), strict=True):
+                out[i] = raw[4 * start : 4 * cut]
+                start = cut + 1
+        return out
+
+    return ids
+
+
 _READY: dict[str, WordIds] = {}
 
 
@@ -48,8 +102,10 @@ def word_ids(path: str) -> WordIds:
         def encode(texts: list[str]) -> list[list[int]]:
             return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+        with open(path, encoding="utf-8") as f:
+            fast = ranked_words(json.load(f))
         # A NUL by itself is a word of its own and has one id.
-        _READY[path] = WordIds(encode, " \0 ", "\0")
+        _READY[path] = WordIds(encode, " \0 ", "\0", fast=fast, cache_bytes=CACHE_BYTES)
     return _READY[path]
 
 
@@ -112,7 +168,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, tail, step = word_ids(path), np.array([end], dtype="<u4").tobytes(), 4 * capacity
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 ids = [x + tail for x in text_ids(words, part.column("text").to_pylist())]
                 of = np.repeat(np.arange(len(ids)), [-(-len(x) // step) for x in ids])
                 cuts = [(k, x[a : a + step]) for x in ids for k, a in enumerate(range(0, len(x), step))]

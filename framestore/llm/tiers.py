@@ -28,6 +28,7 @@ from framestore.errors import InvalidInputError
 from framestore.llm.batches import id_and_text, id_type, slices
 from framestore.llm.packing import vocabulary_file
 from framestore.llm.registry import query, table
+from framestore.llm.vocabulary import byte_of_symbol
 from framestore.session import delete_path, own_scratch, stage
 
 TIERS = (1024, 512, 256, 128)
@@ -39,13 +40,6 @@ STEP_TOKENS = 1 << 19
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _byte_of_symbol() -> dict[str, int]:
-    """Byte-level vocabularies write a byte as its own character where that is visible, the others as U+0100 and on."""
-    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(visible)]
-    return {**{chr(b): b for b in visible}, **{chr(256 + k): b for k, b in enumerate(hidden)}}
-
-
 def merge_ranks(file: dict) -> dict[bytes, int] | None:
     """Ids by bytes of a byte-level BPE whose ids are in the order of its merges, or None for another tokenizer."""
     model, before = file["model"], file.get("pre_tokenizer") or {}
@@ -54,7 +48,7 @@ def merge_ranks(file: dict) -> dict[bytes, int] | None:
     if not plain or any(extras) or file.get("normalizer") or any(not t["special"] or t["normalized"] for t in file["added_tokens"]):
         return None
     special, vocab = {t["id"] for t in file["added_tokens"]}, model["vocab"]
-    byte_of = _byte_of_symbol()
+    byte_of = byte_of_symbol()
     merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
     if [vocab[m] for m in merged] != list(range(256, 256 + len(merged))):
         return None

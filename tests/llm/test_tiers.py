@@ -111,3 +111,17 @@ def test_plans_place_every_token_in_full_windows(counts):
     assert stop - 10 == sum(v // t for t, v in filled.items()) and len(plan) < 10000
     if counts == {600: 10**9, 5: 10**9}:
         assert sum(b - a for a, b, cut, k in taken[5]) == 10**9  # whole
+
+
+def test_ranked_words_are_those_of_the_library():
+    import json
+
+    from framestore.llm.packing import ranked_words
+
+    with open(vocabulary_file("word_bpe_49k.json"), encoding="utf-8") as f:
+        fast = ranked_words(json.load(f))
+    words = ["Don't", "'re'", "can'tve", "ÀÉÎõüß", "x1y22z", "a,b;c!!", "naïve's", "''s't", "0123456789abcdef" * 20, "!", "<|x", "日本", "µ", "ﬁ", "a\0b", "Z" * 3000, "don’t"]
+    words += [chr(c) for c in (*range(33, 127), *range(0xC0, 0x100))] + [f"{chr(a)}{chr(b)}" for a in range(33, 127) for b in range(33, 127)]
+    found = fast(words)
+    assert [w for w, x in zip(words, found) if x is None] == ["<|x", "日本", "µ", "ﬁ", "a\0b", "don’t", "×", "÷", "<|"]
+    assert all(x is None or x == i[:-1].tobytes() for x, i in zip(found, library_ids(words, "word_bpe_49k.json")))
