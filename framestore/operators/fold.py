@@ -4,7 +4,11 @@ Row after row, the current values x of a key become s when some column differs i
 the sense of SQL ``<>`` (NULL is no difference), else they stay. That is not "the
 last row wins", and the order matters, so it does not fit a built-in aggregate.
 
-A run of rows can be summed up in a few values, though. For each column, the
+Without a NULL in the rows of a key it nearly is, though: once a row has changed x, every later row is what x holds after it. So x
+stays if all rows agree with it in the columns where it has a value, that is with their smallest and largest value
+there, and is the last row otherwise. These keys are one aggregation.
+
+The rows of the other keys that repeat are folded in order. A run of rows can be summed up in a few values, though. For each column, the
 first row that can change x is the first one with a value there when x holds
 another value, and the first one with a second value when x holds the first
 value. So a run is described by at most two rows per column, each with the values
@@ -24,7 +28,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, AtomicType, IntegerType, LongType, StructField, StructType
 
 from framestore.functions.project import ident
 from framestore.operators.keyed import any_null, order_struct, quoted, row_struct
@@ -132,27 +136,42 @@ def _restore(record: dict[str, Any], names: Sequence[str]) -> Run:
 def fold_changes(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key with the summary of its source rows, for `folded_row`.
 
-    `__inserted` holds the values a new key ends with. Keys that occur once take
-    a pure SQL path; only the rows of repeated keys pass through Python.
+    `__inserted` holds the values a new key ends with. Keys that occur once or without a NULL in `columns` take
+    a pure SQL path; only the rows of the others pass through Python.
     """
     keys, columns = list(keys), list(columns)
     rows = rows.where(~any_null(keys))
     key_columns = [quoted(k) for k in keys]
-    counted = rows.groupBy(*key_columns).agg(F.count("*").alias("__n"), F.first(row_struct(columns)).alias("__row"))
-    repeated = counted.where("__n > 1").select(*key_columns)
-    return _single_runs(counted.where("__n = 1"), keys, columns).unionByName(
-        _repeated_runs(rows.join(repeated, keys, "left_semi"), keys, columns, order_by)
+    ends = []
+    if sortable_types(rows, columns):
+        ends = [f(quoted(c)).alias(f"__{name}_{i}") for i, c in enumerate(columns) for name, f in (("low", F.min), ("high", F.max))]
+    counted = rows.groupBy(*key_columns).agg(
+        F.count("*").alias("__n"), F.count_if(any_null(columns)).alias("__nulls"),
+        F.max_by(row_struct(columns), order_struct(order_by, rows)).alias("__row"), *ends,
+    )
+    plain = "__n = 1 OR __nulls = 0" if ends else "__n = 1"
+    folded = counted.where(f"NOT ({plain})").select(*key_columns)
+    return _plain_keys(counted.where(plain), keys, columns, bool(ends)).unionByName(
+        _repeated_runs(rows.join(folded, keys, "left_semi"), keys, columns, order_by), allowMissingColumns=True
     )
 
 
-def _single_runs(once: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """A key with one row carries that row once and no points: `folded_row` compares with it directly."""
-    row = once.schema["__row"].dataType
+def sortable_types(rows: DataFrame, columns: Sequence[str]) -> bool:
+    """True if the smallest and the largest value of the columns can be found."""
+    return all(isinstance(rows.schema[c].dataType, AtomicType) for c in columns)
+
+
+def _plain_keys(counted: DataFrame, keys: list[str], columns: list[str], ends: bool) -> DataFrame:
+    """A key that one aggregation sums up has no points: `folded_row` compares with the smallest and the largest values."""
+    row = counted.schema["__row"].dataType
     points = ArrayType(StructType([StructField("place", LongType()), StructField("row", row)]))
-    return once.select(
+    end = lambda name: F.struct(*[F.col(f"__{name}_{i}").alias(c) for i, c in enumerate(columns)]) if ends else F.col("__row")
+    return counted.select(
         *[quoted(k) for k in keys],
         F.col("__row").alias("__inserted"),
-        F.col("__row").alias("__value"),
+        end("low").alias("__low"),
+        end("high").alias("__high"),
+        F.lit(None).cast(row).alias("__value"),
         F.lit(None).cast(points).alias("__first"),
         F.lit(None).cast(points).alias("__second"),
     )
@@ -227,8 +246,8 @@ def _repeated_runs(rows: DataFrame, keys: list[str], columns: list[str], order_b
 def folded_row(columns: Sequence[str]) -> str:
     """SQL for the struct of new values of a matched row, from the summary of its key.
 
-    The first place where a column can change the row decides. Without places, the key has one row, which
-    counts if one of its values differs.
+    The first place where a column can change the row decides. Without places, the last row of the key
+    counts if the smallest or the largest of its values differs.
     """
     points = [
         f"CASE WHEN {ident(c)} IS NULL THEN NULL WHEN {ident(c)} <> __value.{ident(c)} THEN get(__first, {i}) "
@@ -236,6 +255,6 @@ def folded_row(columns: Sequence[str]) -> str:
         for i, c in enumerate(columns)
     ]
     current = f"struct({', '.join(ident(c) for c in columns)})"
-    changed = " OR ".join(f"{ident(c)} <> __value.{ident(c)}" for c in columns)
+    changed = " OR ".join(f"{ident(c)} <> __low.{ident(c)} OR {ident(c)} <> __high.{ident(c)}" for c in columns)
     folded = f"coalesce(array_min(array({', '.join(points)})).row, {current})"
-    return f"CASE WHEN __first IS NOT NULL THEN {folded} WHEN {changed} THEN __value ELSE {current} END"
+    return f"CASE WHEN __first IS NOT NULL THEN {folded} WHEN {changed} THEN __inserted ELSE {current} END"

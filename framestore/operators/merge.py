@@ -18,7 +18,7 @@ from framestore.operators.changes import Changes
 from framestore.operators.fold import fold_changes, folded_row
 from framestore.operators.keyed import collapse, unmatched
 from framestore.operators.upsert import duplicate_mode, prepare_source
-from framestore.session import fits_broadcast
+from framestore.session import fits_broadcast, own_scratch, stage
 from framestore.validation import check_chunksize
 
 
@@ -49,7 +49,8 @@ def merge_changes(
 
     `null_safe_change` counts a change from or to NULL as a difference.
     `delete_unmatched` removes target rows that no source row matches.
-    `chunksize` does not change the result. See `upsert_changes` for the rest.
+    `chunksize` does not change the result. A change-only merge of keys that may repeat runs a job that stages
+    the summaries of the keys. See `upsert_changes` for the rest.
     """
     check_chunksize(chunksize)
     rows, columns, order = prepare_source(
@@ -64,9 +65,13 @@ def merge_changes(
     if not columns.update:
         raise InvalidInputError("No columns to update: all chosen columns are keys", data=list(columns.keys))
 
+    scratch: tuple[str, ...] = ()
     only_changed = not omit_update_where_clause and not null_safe_change
     if only_changed and mode == "sequential":
-        keyed, end = fold_changes(rows, columns.keys, columns.update, order), "__inserted"
+        # The update and the insert branch both read the summaries: they are computed once.
+        keyed, path = stage(fold_changes(rows, columns.keys, columns.update, order), "folded")
+        own_scratch(rows.sparkSession, path)
+        end, scratch = "__inserted", (path,)
         new_row = folded_row(columns.update)
     else:
         # A null safe test leaves the row equal to the source either way: the last row counts.
@@ -85,6 +90,7 @@ def merge_changes(
         null_key_rows=rows,
         delete_unmatched=delete_unmatched,
         co_located=co_located,
+        scratch=scratch,
     )
 
 
