@@ -131,7 +131,9 @@ class Pieces:
             if not np.array_equal(mine, theirs):
                 lines = [f"\n{w}" for w in group]
                 pairs = zip(group, self._encode(lines), self.judge.encode(lines, num_threads=self.threads))
-                self.differs.update(w for w, a, b in pairs if a != b)
+                found = {w for w, a, b in pairs if a != b}
+                # A difference that no word shows by itself counts against all of them.
+                self.differs.update(found or group)
 
     _WORD = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 

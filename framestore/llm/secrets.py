@@ -1,10 +1,11 @@
 r"""Secret scans with structural confirmation.
 
 Patterns only name candidates. A base64 or hex candidate is reported if it
-decodes to something that holds together: a DER sequence whose nested lengths add
-up to its size, an OpenSSH key with its length-prefixed fields, or a signed token whose
-header and payload are JSON with an algorithm. A key file may be in a string with escaped
-line ends, or encrypted under Proc-Type and DEK-Info headers. Plain assignments, access key ids and
+decodes to a private key: a DER sequence whose nested lengths add up to its size and which has the fields of
+PKCS #1, PKCS #8 (plain or encrypted), SEC 1 or DSA; an OpenSSH key with its length-prefixed fields; or a signed token whose
+header and payload are JSON with an algorithm. Certificates and public keys are none. Base64 may be wrapped over lines, hex may have
+colons. A key file may be in a string with escaped
+line ends, encrypted under Proc-Type and DEK-Info headers, or a PGP block of secret key packets. Plain assignments, access key ids and
 long hex strings are the base findings; they are reported as they are found.
 
 Every text is scanned whole, in the task that read it; nothing is shuffled.
@@ -35,13 +36,15 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 #: A body goes on to the next five hyphens; headers have single ones.
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*(?:KEY|CERTIFICATE))-----([^-]*+(?:-(?!----)[^-]*+)*+)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?)-----([^-]*+(?:-(?!----)[^-]*+)*+)-----END \1-----")
 _ESCAPE = re.compile(r"\\+(?:[nrt]|u([0-9A-Fa-f]{4}))")
 #: Lines of quotes and what joins strings, an opening quote with what joins it to the string before, a closing one with what follows it.
 _QUOTED = re.compile(r"""^[\s+.&,;()\\]*["'`][\s+.&,;()\\"'`]*$|^[\s+.&,;()\\]*["'`]|["'`][\s+.&,;()\\]*$""")
 _CIPHER = re.compile(r"[A-Z0-9-]+,\s*(?:[0-9A-F]{2})+", re.IGNORECASE | re.ASCII)
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
-_HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
+#: One line, and any number of further ones behind it. A DER sequence begins with M, the OpenSSH container with b3Blbn.
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M|b3Blbn)[A-Za-z0-9+/_-]{15,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{16,})*+(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+(?==|\r?\n|$))?={0,2}")
+_HEX_KEY = re.compile(r"(?<![0-9A-Fa-f:])30(?::?\s{0,9}[0-9A-Fa-f]{2}){31,}+(?![0-9A-Fa-f])")
+_LINE = re.compile(r"\r?\n[\x20\t]*")
 _DER_TAGS = {0x01, 0x02, 0x03, 0x04, 0x05, 0x06, 0x0A, 0x0C, 0x13, 0x16, 0x17, 0x18, 0x30, 0x31}
 
 
@@ -78,46 +81,71 @@ def _elements(data: bytes, start: int, stop: int) -> list[tuple[int, int, int]]
 
 
 def der_key(data: bytes | None) -> bool:
-    """A sequence that spans all bytes, whose nested lengths fit and which holds an integer or an object id."""
+    """A private key: a sequence that spans all bytes, whose nested lengths fit, with the fields of one of the forms.
+
+    The fields are, by their tags: version and eight numbers (PKCS #1), version and five numbers (DSA), version, algorithm and octets
+    (PKCS #8), version 1 and octets (SEC 1), or algorithm and octets (encrypted PKCS #8). An algorithm begins with an object id.
+    """
     if not data or len(data) < 16 or data[0] != 0x30:
         return False
-    todo, kinds = [(0, len(data), 0)], set()
+    todo, top, fields = [(0, len(data), 0)], None, []
     while todo:
         start, stop, depth = todo.pop()
         inner = _elements(data, start, stop)
         if inner is None or not depth and len(inner) != 1:
             return False
+        if depth == 1:
+            top, fields = [tag for tag, _, _ in inner], inner
         for tag, a, b in inner:
-            kinds.add(tag)
             if tag in (0x30, 0x31) or 0xA0 <= tag <= 0xA3:
                 todo.append((a, b, depth + 1))
-    return bool(kinds & {0x02, 0x06}) and bool(kinds & {0x02, 0x03, 0x04})
 
+    def algorithm(k: int) -> bool:
+        inner = _elements(data, *fields[k][1:]) if len(fields) > k and fields[k][0] == 0x30 else None
+        return bool(inner) and inner[0][0] == 0x06
 
-def ssh_key(data: bytes | None) -> bool:
-    """Length-prefixed fields: the private container, or a public key blob that starts with its type."""
-    if not data:
+    if not top:
+        return False
+    if top[:2] == [0x30, 0x04]:
+        return len(top) == 2 and algorithm(0)
+    version = data[fields[0][1] : fields[0][2]] if top[0] == 0x02 else b""
+    if version not in (b"\0", b"\1"):
         return False
+    if top[1:3] == [0x30, 0x04]:
+        return algorithm(1)
+    numbers = len(top) == top.count(0x02)
+    return numbers and len(top) in (6, 9) or top[:9] == [0x02] * 9 and top[9:] == [0x30] or version == b"\1" and top[1:2] == [0x04]
+
+
+def ssh_key(data: bytes | None) -> bool:
+    """The private container of OpenSSH: three length-prefixed fields, the number of keys and the keys."""
     magic = b"openssh-key-v1\0"
-    at, fields = (len(magic) if data.startswith(magic) else 0), []
-    private = bool(at)
-    while at < len(data) and not (private and len(fields) == 3):
-        n = int.from_bytes(data[at : at + 4])
-        if at + 4 + n > len(data):
+    if not data or not data.startswith(magic):
+        return False
+    at = len(magic)
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4])
+        if at > len(data):
             return False
-        fields.append(data[at + 4 : at + 4 + n])
-        at += 4 + n
-    if private:
-        return len(fields) == 3 and len(data) - at >= 12
-    return len(fields) >= 2 and fields[0].startswith((b"ssh-", b"ecdsa-", b"sk-"))
+    return len(data) - at >= 12
 
 
-def pem_key(body: str) -> bool:
-    """A key between BEGIN and END, also with the escapes and quotes of a JSON, YAML or source string, or encrypted
+def pgp_key(data: bytes | None) -> bool:
+    """A packet of a secret key or subkey (tags 5 and 7), in the old or the new form."""
+    if not data or len(data) < 12 or not data[0] & 0x80:
+        return False
+    return (data[0] & 0x3F if data[0] & 0x40 else data[0] >> 2 & 0x0F) in (5, 7)
+
+
+def pem_key(body: str, block: bool = False) -> bool:
+    """A key between BEGIN and END (of a PGP `block` or not), also with the escapes and quotes of a JSON, YAML or source string, or encrypted
     as its Proc-Type and DEK-Info headers say."""
     text = _ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else "\n", body)
     lines = [_QUOTED.sub("", line) for line in text.splitlines()]
     fields = {name.strip().lower(): value.strip() for name, colon, value in (line.partition(":") for line in lines) if colon}
+    if block:
+        # A line with an equals sign first is the checksum.
+        return pgp_key(_unpad("".join(line for line in lines if ":" not in line and not line.strip().startswith("="))))
     data = _unpad("".join(line for line in lines if ":" not in line))
     if re.fullmatch(r"4,\s*ENCRYPTED", fields.get("proc-type", "")) and _CIPHER.fullmatch(fields.get("dek-info", "")):
         return bool(data)
@@ -142,18 +170,51 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), "token") for m in _TOKEN.finditer(text) if signed_token(m[0])]
-    found += [(m.start(), m.end(), "pem") for m in _PEM.finditer(text) if pem_key(m[2])]
-    for m in _BASE64.finditer(text):
-        data = _unpad(m[0])
-        if der_key(data) or ssh_key(data):
-            found.append((m.start(), m.end(), "base64_key"))
+    found += [(m.start(), m.end(), "pem") for m in _PEM.finditer(text) if pem_key(m[2], m[1].endswith("BLOCK"))]
+    m = _BASE64.search(text)
+    while m:
+        end = private_end(m[0])
+        if end:
+            found.append((m.start(), m.start() + end, "base64_key"))
+        # Other lines of what is no key, or come behind one, may begin a key.
+        line = _LINE.search(m[0])
+        m = _BASE64.search(text, m.start() + (end or (line.start() if line else len(m[0]))))
     for m in _HEX_KEY.finditer(text):
-        data = bytes.fromhex(m[0])
-        if der_key(data) or ssh_key(data):
+        if der_key(bytes.fromhex(re.sub(r"[:\s]", "", m[0]))):
             found.append((m.start(), m.end(), "hex_key"))
     return found
 
 
+def private_end(text: str) -> int:
+    """How far a private key goes in base64 text of one or more lines, 0 without one.
+
+    Its own lengths tell: the lines behind it may be other text.
+    """
+    whole = _LINE.sub("", text)
+    head = _unpad(whole[:16])
+    if head is None or not head:
+        return 0
+    size = None
+    if head[0] == 0x30 and len(head) > 5 and head[1] != 0x80 and head[1] <= 0x84:
+        n = head[1] & 0x7F if head[1] > 0x80 else 0
+        size = 2 + n + (int.from_bytes(head[2 : 2 + n]) if n else head[1])
+        letters = -(-4 * size // 3)
+        if letters > len(whole) or not der_key(_unpad(whole[:letters])):
+            return 0
+    elif ssh_key(_unpad(whole)):
+        return len(text)
+    else:
+        return 0
+    at = seen = 0
+    while seen < letters:
+        gap = _LINE.match(text, at)
+        at = gap.end() if gap else at + 1
+        seen += not gap
+    while text[at : at + 1] == "=":
+        at += 1
+    return at
+
+
 def secret_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) in code points, in order of start, then of kind as listed."""
     return sorted(base_spans(text) + confirmed_spans(text), key=lambda s: (s[0], KINDS.index(s[2])))

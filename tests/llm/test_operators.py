@@ -156,7 +156,13 @@ def der(tag, *parts):
     return bytes([tag]) + size + body
 
 
-KEY = der(0x30, der(2, b"\0"), der(2, b"\x01" * 129), der(2, b"\x01\0\x01"), der(4, b"\x55" * 40))
+RSA = der(6, bytes.fromhex("2a864886f70d010101"))
+PKCS1 = der(0x30, der(2, b"\0"), *[der(2, bytes([k + 1]) * 60) for k in range(8)])
+KEY = der(0x30, der(2, b"\0"), der(0x30, RSA, der(5)), der(4, PKCS1))
+SEC1 = der(0x30, der(2, b"\1"), der(4, b"\x55" * 32), der(0xA1, der(3, b"\0" + b"\x44" * 65)))
+ENCRYPTED = der(0x30, der(0x30, RSA, der(0x30, der(4, b"salt" * 2), der(2, b"\x08\0"))), der(4, b"\x33" * 80))
+PUBLIC = der(0x30, der(0x30, RSA, der(5)), der(3, b"\0" + der(0x30, der(2, b"\x41" * 130), der(2, b"\1\0\1"))))
+CERTIFICATE = der(0x30, der(0x30, der(0xA0, der(2, b"\2")), der(2, b"\x07"), der(0x30, RSA), PUBLIC), der(0x30, RSA), der(3, b"\0" + b"\x77" * 64))
 
 
 def test_secrets(docs, rows, empty):
@@ -185,7 +191,28 @@ def test_secrets_are_confirmed_by_structure():
     kinds = lambda t: [k for _, _, k in secret_spans(t) if k not in ("assign", "access", "hex")]
     assert kinds(f"x {b64} y") == ["base64_key"] and kinds(f"({KEY.hex()})") == ["hex_key"]
     assert kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{b64}\n-----END RSA PRIVATE KEY-----")[0] == "pem"
-    assert kinds(token) == ["token"] and kinds(f"ssh-ed25519 {ssh} me") == ["base64_key"]
+    assert kinds(token) == ["token"]
+    wrap = lambda text, n, end="\n": end.join(text[i : i + n] for i in range(0, len(text), n))
+    for key in (PKCS1, SEC1, ENCRYPTED, KEY):
+        one = base64.b64encode(key).decode()
+        assert kinds(f"k: {one}.") == ["base64_key"] and kinds(f"-----BEGIN PRIVATE KEY-----\n{wrap(one, 64)}\n-----END PRIVATE KEY-----")[0] == "pem"
+        for text in (wrap(one, 64), wrap(one, 76, "\r\n"), wrap(one, 64, "\n    ")):
+            around = f"it reads\n{text}\nand goes on with other words\n"
+            (a, b, kind), = confirmed_spans(around)
+            assert kind == "base64_key" and around[a:b] == text
+        assert kinds(wrap(key.hex(), 2, ":")) == ["hex_key"] and kinds(wrap(wrap(key.hex().upper(), 2, ":"), 45, "\n  ")) == ["hex_key"]
+    two = wrap(base64.b64encode(CERTIFICATE).decode(), 64) + "\n" + wrap(base64.b64encode(KEY).decode(), 64)
+    assert [two[a:b][:12] for a, b, _ in confirmed_spans(two)] == [base64.b64encode(KEY).decode()[:12]]
+    box = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + b"\0\0\0\1" + b"\x21" * 90
+    assert kinds(wrap(base64.b64encode(box).decode(), 70)) == ["base64_key"]
+    packet = base64.b64encode(bytes([0x95, 1, 2, 4]) + b"k" * 60).decode()
+    assert kinds(f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 1\n\n{wrap(packet, 64)}\n=abcd\n-----END PGP PRIVATE KEY BLOCK-----") == ["pem"]
+    # Public material is no secret.
+    for data, name in ((PUBLIC, "PUBLIC KEY"), (CERTIFICATE, "CERTIFICATE"), (der(0x30, der(2, b"\x41" * 130), der(2, b"\1\0\1")), "RSA PUBLIC KEY")):
+        one = base64.b64encode(data).decode()
+        for text in (one, wrap(one, 64), data.hex().upper(), wrap(data.hex().upper(), 2, ":"), f"-----BEGIN {name}-----\n{wrap(one, 64)}\n-----END {name}-----"):
+            assert not confirmed_spans(text), name
+    assert not confirmed_spans(f"ssh-ed25519 {ssh} me") and not confirmed_spans(f"-----BEGIN PGP PUBLIC KEY BLOCK-----\n{packet}\n-----END PGP PUBLIC KEY BLOCK-----")
     # Wrong lengths, other data, a header without an algorithm: not reported.
     assert not confirmed_spans(base64.b64encode(KEY[:-1] + b"").decode()) and not confirmed_spans(base64.b64encode(b"q" * 90).decode())
     assert not confirmed_spans(token.replace(enc(b'{"alg":"HS256"}'), enc(b'{"alx":"HS256"}'))) and not confirmed_spans("f" * 80)
