@@ -115,6 +115,16 @@ def existing_key_violations(df: DataFrame, existing: DataFrame, keys: str | Sequ
     return known.select(*[quoted(k) for k in names])
 
 
+def repeated_keys(changed: DataFrame, after: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Keys of `changed` rows that `after`, all rows after the change, holds more than once, with `n_rows`.
+
+    Only rows with such a key are counted: a semi join, which Spark guards by a Bloom filter where it pays.
+    """
+    names = check_columns(as_list(keys), after.columns)
+    wanted = changed.select(*[quoted(k) for k in names]).where(~any_null(names)).distinct()
+    return unique_violations(pick(after, names).join(wanted, names, "left_semi"), names)
+
+
 def foreign_key_violations(
     child: DataFrame,
     columns: str | Sequence[str],
@@ -174,21 +184,17 @@ def enforce(
     existing: DataFrame | None = None,
     foreign_keys: bool = True,
     error: type[TableStoreError] = TableStoreError,
+    more: dict[str, DataFrame] | None = None,
 ) -> None:
     """Raise `error` if rows of `df` break a rule.
 
-    `existing` are the rows already in the table when `df` is appended to it. The
+    `existing` are the rows already in the table when `df` is appended to it; `more` are violations of further rules by name. One query
+    counts the violations of all rules; only a broken one costs another. The
     error carries the number of violations and up to 20 sample rows per rule.
     """
-    found: dict[str, tuple[int, list[dict]]] = {}
-    rules = {n: r for n, r in constraints.row_rules.items()}
     for name in constraints.required:
         check_columns([name], df.columns)
-    if rules:
-        counts = df.agg(*[F.count_if(bad).alias(f"r{i}") for i, bad in enumerate(rules.values())]).first()
-        for i, (name, bad) in enumerate(rules.items()):
-            if counts[f"r{i}"]:
-                found[name] = (counts[f"r{i}"], [r.asDict(True) for r in df.where(bad).limit(SAMPLE_ROWS).collect()])
+    rules = constraints.row_rules
     queries = {name: unique_violations(df, keys) for name, keys in constraints.key_sets.items()}
     if existing is not None:
         for name, keys in constraints.key_sets.items():
@@ -198,10 +204,19 @@ def enforce(
             parent = (parents or {})[fk.parent]
             name = f"FOREIGN KEY({', '.join(fk.columns)}) REFERENCES {fk.parent}"
             queries[name] = orphan_keys(df, fk.columns, parent, fk.parent_columns)
-    for name, query in queries.items():
-        sample = [r.asDict(True) for r in query.limit(SAMPLE_ROWS).collect()]
-        if sample:
-            found[name] = (query.count(), sample)
+    queries |= more or {}
+    counts = []
+    if rules:
+        each = [F.struct(F.lit(n).alias("rule"), F.count_if(bad).alias("n")) for n, bad in rules.items()]
+        counts.append(df.agg(F.array(*each).alias("counts")).select(F.explode("counts").alias("c")).select("c.rule", "c.n"))
+    counts += [q.agg(F.count("*").alias("n")).select(F.lit(n).alias("rule"), "n") for n, q in queries.items()]
+    if not counts:
+        return
+    found: dict[str, tuple[int, list[dict]]] = {}
+    broken = {r["rule"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), counts).collect() if r["n"]}
+    for name, n in broken.items():
+        query = df.where(rules[name]) if name in rules else queries[name]
+        found[name] = (n, [r.asDict(True) for r in query.limit(SAMPLE_ROWS).collect()])
     if found:
         summary = {name: n for name, (n, _) in found.items()}
         raise error(f"Constraint violations: {summary}", data=found)

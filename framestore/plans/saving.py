@@ -15,7 +15,7 @@ from framestore.plans.changing import (
     known_orders,
 )
 from framestore.plans.registry import Tables, query
-from framestore.errors import DeleteFromTableError, SaveDataFrameError
+from framestore.errors import DeleteFromTableError, ExecuteStatementError, SaveDataFrameError
 from framestore.operators.checks import Constraints, ForeignKey
 from framestore.session import delete_path, shared_folder
 from framestore.streaming import upsert_stream
@@ -401,3 +401,32 @@ def load_local_epoch(t: Tables):
         store.save_df(t("events").select("event_id", "ts"), "events", datetime_cols_dtype="int", localize_tz="CET", local_epoch=True)
     store.merge_df(events, "events", "event_id", omit_update_where_clause=False)
     return store.load_table("events")
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderkey AS number
+    FROM orders
+    """
+)
+def upsert_constraints(t: Tables):
+    """Rows that break a rule are not published: a price below zero, a customer that is none, a number twice."""
+    store = t.store()
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderkey").alias("number"))
+    store.save_df(t("customer").select("c_custkey"), "customer")
+    store.save_df(orders.where("o_orderkey % 3 > 0"), "orders")
+    store.declare("orders", Constraints(
+        primary_key="o_orderkey", unique=[("number",)], checks={"price": "o_totalprice >= 0"},
+        foreign_keys=[ForeignKey("o_custkey", "customer", "c_custkey")],
+    ))
+    store.manage_foreign_keys("ON")
+    for bad in ({"o_totalprice": F.lit(-1.0)}, {"o_custkey": F.lit(-1).cast("bigint")}, {"number": F.lit(1).cast("bigint")}):
+        try:
+            store.upsert_table(orders.withColumns(bad), "orders", "o_orderkey")
+            raise AssertionError(f"{list(bad)} breaks a rule")
+        except ExecuteStatementError:
+            pass
+    price = F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    good = t("orders").select("o_orderkey", "o_custkey", price.alias("o_totalprice"), F.col("o_orderkey").alias("number"))
+    store.upsert_table(good, "orders", "o_orderkey")
+    return store.load_table("orders")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
@@ -76,6 +76,11 @@ def count_marks(written: DataFrame) -> dict[int, int]:
     return {r[CHANGE]: r["count"] for r in written.groupBy(CHANGE).count().collect()}
 
 
+def _read_files(spark: SparkSession, provider: str, location: str, rows: DataFrame) -> DataFrame:
+    """What was written of `rows` to a folder, with the mark of the change if they have one."""
+    return spark.read.schema(rows.schema).format(provider).load(location)
+
+
 def _count_files(spark: SparkSession, provider: str, location: str, rows: DataFrame) -> dict[int, int]:
     if CHANGE not in rows.columns:
         return {}
@@ -131,8 +136,25 @@ def vacuum(spark: SparkSession, table: str) -> None:
         delete_path(spark, before)
 
 
+#: Called with the rows that were written, before they are published. What it raises leaves the table as it was.
+Check = Callable[[DataFrame], None]
+
+
+@contextmanager
+def _checked(spark: SparkSession, check: Check | None, written: Callable[[], DataFrame], folder: str) -> Iterator[None]:
+    """Check what was written to a folder, which is deleted if the check or what follows before the publish fails."""
+    try:
+        if check is not None:
+            check(written())
+        yield
+    except Exception:
+        delete_path(spark, folder)
+        raise
+
+
 def replace_rows(
-    spark: SparkSession, table: str, df: DataFrame, max_records_per_file: int | None = None, batch: tuple[str, int] | None = None
+    spark: SparkSession, table: str, df: DataFrame, max_records_per_file: int | None = None, batch: tuple[str, int] | None = None,
+    check: Check | None = None,
 ) -> dict[int, int]:
     """Make `df` the rows of `table` and keep its definition. `df` may read the table.
 
@@ -142,11 +164,11 @@ def replace_rows(
     info = table_info(spark, table)
     rows = to_layout(df, spark.table(table))
     if has_partition_folders(info):
-        return replace_partitions(spark, table, df, batch, whole=True, max_records_per_file=max_records_per_file)
+        return replace_partitions(spark, table, df, batch, whole=True, max_records_per_file=max_records_per_file, check=check)
     ledger = read_ledger(spark, info.location) | dict([batch] if batch else [])
     if not info.managed or info.partition_columns or info.bucket_columns or (CHANGE in rows.columns and info.provider not in _BY_NAME):
         # An external table stays where it is.
-        counts = _overwrite(rows, table, info, "static", max_records_per_file)
+        counts = _overwrite(rows, table, info, "static", max_records_per_file, check)
         write_ledger(spark, info.location, ledger)
         return counts
     base = _VERSION_SUFFIX.sub("", info.location)
@@ -155,9 +177,10 @@ def replace_rows(
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(location)
-    counts = _count_files(spark, info.provider, location, rows)
-    # In the new folder, so that the rows and the note of their batch become visible in one step.
-    write_ledger(spark, location, ledger)
+    with _checked(spark, check, lambda: _read_files(spark, info.provider, location, rows), location):
+        counts = _count_files(spark, info.provider, location, rows)
+        # In the new folder, so that the rows and the note of their batch become visible in one step.
+        write_ledger(spark, location, ledger)
     oldest = previous_version(spark, table)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PREVIOUS}' = '{info.location}')")
@@ -167,11 +190,14 @@ def replace_rows(
     return counts
 
 
-def _overwrite(rows: DataFrame, table: str, info: TableInfo, mode: str, max_records_per_file: int | None = None) -> dict[int, int]:
+def _overwrite(
+    rows: DataFrame, table: str, info: TableInfo, mode: str, max_records_per_file: int | None = None, check: Check | None = None
+) -> dict[int, int]:
     """Overwrite a table from a complete staged copy."""
     spark = rows.sparkSession
     staged, path = stage(rows, "publish")
-    counts = count_marks(staged)
+    with _checked(spark, check, lambda: staged, path):
+        counts = count_marks(staged)
     insert_overwrite(balanced(staged.drop(CHANGE), info.partition_columns), table, mode, max_records_per_file)
     delete_path(spark, path)
     return counts
@@ -189,7 +215,7 @@ def has_partition_folders(info: TableInfo) -> bool:
 
 def replace_partitions(
     spark: SparkSession, table: str, df: DataFrame, batch: tuple[str, int] | None = None, whole: bool = False,
-    max_records_per_file: int | None = None,
+    max_records_per_file: int | None = None, check: Check | None = None,
 ) -> dict[int, int]:
     """Replace the partitions that `df` holds rows of; with `whole` all others become empty. `df` may read the table.
 
@@ -201,7 +227,7 @@ def replace_partitions(
     rows = to_layout(df, spark.table(table))
     ledger = read_ledger(spark, info.location) | dict([batch] if batch else [])
     if not has_partition_folders(info):
-        counts = _overwrite(rows, table, info, "dynamic")
+        counts = _overwrite(rows, table, info, "dynamic", check=check)
         write_ledger(spark, info.location, ledger)
         return counts
     folder = f"{info.location}/_framestore_{uuid.uuid4().hex}"
@@ -209,7 +235,8 @@ def replace_partitions(
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(folder)
-    counts = _count_files(spark, info.provider, folder, rows)
+    with _checked(spark, check, lambda: _read_files(spark, info.provider, folder, rows), folder):
+        counts = _count_files(spark, info.provider, folder, rows)
     new = partition_folders(spark, folder, len(info.partition_columns))
     if whole:
         known = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
@@ -291,7 +318,8 @@ def rows_of_files(spark: SparkSession, table: str, info: TableInfo, names: Seque
 
 
 def replace_files(
-    spark: SparkSession, table: str, info: TableInfo, df: DataFrame, removed: Sequence[str], batch: tuple[str, int] | None = None
+    spark: SparkSession, table: str, info: TableInfo, df: DataFrame, removed: Sequence[str], batch: tuple[str, int] | None = None,
+    check: Check | None = None,
 ) -> dict[int, int]:
     """Put the rows of `df` in the place of those files of the table. All other files stay as they are.
 
@@ -302,7 +330,8 @@ def replace_files(
     rows = to_layout(df, spark.table(table))
     folder = f"{info.location}/_framestore_{uuid.uuid4().hex}"
     rows.write.format(info.provider).save(folder)
-    counts = _count_files(spark, info.provider, folder, rows)
+    with _checked(spark, check, lambda: _read_files(spark, info.provider, folder, rows), folder):
+        counts = _count_files(spark, info.provider, folder, rows)
     exchange_files(spark, info.location, folder, list(removed), read_ledger(spark, info.location) | dict([batch] if batch else []))
     spark.catalog.refreshTable(table)
     return counts

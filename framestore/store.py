@@ -7,7 +7,7 @@ import logging
 import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.errors import PySparkException
@@ -28,8 +28,8 @@ from framestore.functions.datetimes import DEFAULT_FORMAT, convert_datetime_colu
 from framestore.functions.nulls import nan_to_null
 from framestore.functions.parsing import cast_columns
 from framestore.functions.project import pick
-from framestore.operators.changes import ACTION, INSERTED, SAME, UPDATED, Changes
-from framestore.operators.checks import Constraints, ForeignKey, enforce, referenced_keys_gone, unique_violations
+from framestore.operators.changes import CHANGE, INSERTED, SAME, UPDATED, Changes
+from framestore.operators.checks import Constraints, ForeignKey, enforce, referenced_keys_gone, repeated_keys, unique_violations
 from framestore.operators.chunks import POSITION, iter_chunks, with_positions
 from framestore.operators.keyed import align_types, quoted, spread_join
 from framestore.operators.merge import merge_changes
@@ -37,7 +37,7 @@ from framestore.operators.params import check_value
 from framestore.operators.statements import KeyedStatement, keyed_statement
 from framestore.operators.upsert import upsert_changes
 from framestore.session import delete_path, stage
-from framestore.sinks.journal import read_ledger, write_ledger
+from framestore.sinks.journal import data_files, read_ledger, write_ledger
 from framestore.sinks.publish import (
     MAX_RECORDS,
     balanced,
@@ -688,6 +688,7 @@ class TableStore:
                 and not deletes
                 and set(info.partition_columns) <= set(outline.keys) <= set(outline.insert)
                 and not self._other_key_sets(name, outline)
+                and not self._references(name)
             )
             if some_partitions:
                 target, path = touched_partitions(target, source, info.partition_columns)
@@ -695,7 +696,6 @@ class TableStore:
             elif rewrite == "files" and not deletes:
                 wanted = align_types(pick(nan_to_null(source) if nan_as_null else source, outline.keys), target.schema)
                 files = self._touched_files(name, wanted.distinct(), outline.keys)
-            whole = target
             if files is not None:
                 # The keys of the source that the table holds are in these files.
                 target = rows_of_files(self.spark, name, info, files)
@@ -703,17 +703,19 @@ class TableStore:
             changes = plan(target, source, co_located=bucketed, unique=once)
             if auto_key is not None:
                 changes.auto_key = (auto_key, self._last_number(name, auto_key))
-            # Keys other than those of the match may repeat in any file.
-            elsewhere = files is not None and (self._other_key_sets(name, outline) or self._references(name))
-            self._enforce_changes(name, changes, replace(changes, target=whole) if elsewhere else changes)
+            # Rows of the table that the change does not write: they still hold keys.
+            rest = None
+            if files is not None:
+                rest = rows_of_files(self.spark, name, info, sorted(set(data_files(self.spark, info.location)) - set(files)))
+            check = self._check_of_change(name, changes, rest)
             n_before = target.count() if deletes else 0
             rows = changes.marked_result()
             if files is not None:
-                marks = replace_files(self.spark, name, info, rows, files, batch)
+                marks = replace_files(self.spark, name, info, rows, files, batch, check)
             elif some_partitions:
-                marks = replace_partitions(self.spark, name, rows, batch)
+                marks = replace_partitions(self.spark, name, rows, batch, check=check)
             else:
-                marks = replace_rows(self.spark, name, rows, batch=batch)
+                marks = replace_rows(self.spark, name, rows, batch=batch, check=check)
             matched, changed = marks.get(SAME, 0) + marks.get(UPDATED, 0), marks.get(UPDATED, 0)
             return ChangeCounts(matched, changed, marks.get(INSERTED, 0), n_before - matched if deletes else 0)
         except FramestoreError:
@@ -752,27 +754,32 @@ class TableStore:
             if set(columns) != set(changes.keys) and set(columns) & set(changes.insert)
         }
 
-    def _enforce_changes(self, name: str, changes: Changes, whole: Changes) -> None:
-        """Check the rules of the table, and of those that refer to it. `whole` is the change of the whole table."""
-        touched = [*changes.update] if changes.keyed is not None else []
-        if changes.delete_unmatched or any(set(fk.parent_columns) & set(touched) for _, fk in self._references(name)):
-            action = F.col(ACTION)
-            removed = changes.change_set().where((action == "delete") | (action == "update")).select("old.*")
-            columns = None if changes.delete_unmatched else touched
-            self._enforce_references(name, removed, whole.result(), ExecuteStatementError, columns)
+    def _check_of_change(self, name: str, changes: Changes, rest: DataFrame | None) -> Callable[[DataFrame], None] | None:
+        """The check of the rules of a table, and of those that refer to it, on the rows that a change has written.
+
+        The change is computed once, whatever the number of rules: they look at the written files. Rules of rows and keys are for the rows that
+        changed; a key of theirs must occur once in all rows. `rest` are the rows of the table that the change leaves where they are.
+        """
         rules = self._constraints.get(name)
-        if rules is None:
-            return
-        written = changes.change_set().where(F.col(ACTION).isin("update", "insert")).select("new.*")
-        row_rules = Constraints(
-            not_null=rules.required,
-            checks=rules.checks,
-            foreign_keys=rules.foreign_keys if self.foreign_keys else (),
-        )
-        enforce(written, row_rules, self._parents(rules), error=ExecuteStatementError)
-        for label, columns in self._other_key_sets(name, changes).items():
-            violations = unique_violations(whole.result(), columns)
-            repeated = [r.asDict() for r in violations.limit(20).collect()]
-            if repeated:
-                total = violations.count()
-                raise ExecuteStatementError(f"Constraint violations: {label}: {total} keys, such as {repeated}", data=(total, repeated))
+        touched = [*changes.update] if changes.keyed is not None else []
+        referred = changes.delete_unmatched or any(set(fk.parent_columns) & set(touched) for _, fk in self._references(name))
+        if rules is None and not referred:
+            return None
+        target, other_keys = changes.target, self._other_key_sets(name, changes)
+
+        def check(written: DataFrame) -> None:
+            rows = written.drop(CHANGE)
+            after = rows if rest is None else rows.unionByName(rest.select(*rows.columns))
+            if referred:
+                columns = None if changes.delete_unmatched else touched
+                self._enforce_references(name, target, after, ExecuteStatementError, columns)
+            if rules is None:
+                return
+            changed = written.where(F.col(CHANGE).isin(UPDATED, INSERTED)).drop(CHANGE)
+            of_rows = Constraints(
+                not_null=rules.required, checks=rules.checks, foreign_keys=rules.foreign_keys if self.foreign_keys else ()
+            )
+            repeated = {label: repeated_keys(changed, after, columns) for label, columns in other_keys.items()}
+            enforce(changed, of_rows, self._parents(rules), error=ExecuteStatementError, more=repeated)
+
+        return check

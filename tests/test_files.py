@@ -326,3 +326,35 @@ def test_statements_that_are_no_change_on_keys(store, spark, sql):
 
     with pytest.raises(InvalidInputError):
         store.execute(sql.replace(" t", f" {store.qualified('t')}", 1), [{"i": 1, "a": 2}])
+
+
+# Rules ------------------------------------------------------------------------------
+
+
+def jobs_of(spark, run):
+    spark.sparkContext.setJobGroup("counted", "")
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    run()
+    found = set(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - before
+    spark.sparkContext.setJobGroup("other", "")
+    return len(found)
+
+
+def test_rules_look_at_what_was_written(store, spark):
+    """The number of jobs does not grow with rules of rows, and broken rules leave no folder behind."""
+    store.save_df(ranged(spark, 400).withColumn("w", F.col("id")), "t")
+    source = ranged(spark, 500).where("id > 350").withColumn("v", F.lit(1)).withColumn("w", F.col("id"))
+    store.declare("t", Constraints(checks={"a": "v < 5"}))
+    few = jobs_of(spark, lambda: store.upsert_table(source, "t", "id"))
+    store.declare("t", Constraints(primary_key="id", not_null=["v", "w"], checks={"a": "v < 5", "b": "w >= 0", "c": "id < 10000"}))
+    assert jobs_of(spark, lambda: store.upsert_table(source, "t", "id")) == few
+    store.declare("t", Constraints(primary_key="id", unique=[("w",)], checks={"a": "v < 5"}))
+    names = set(os.listdir(os.path.dirname(listing(store, "t")[1])))
+    for rewrite in ("table", "files"):
+        with pytest.raises(ExecuteStatementError, match="UNIQUE") as e:
+            store.upsert_table(spark.createDataFrame([(399, 1, 7), (398, 1, 8)], "id long, v long, w long"), "t", "id", rewrite=rewrite)
+        assert e.value.data["UNIQUE(w)"][0] == 2
+        with pytest.raises(ExecuteStatementError, match="CHECK"):
+            store.upsert_table(source.withColumn("v", F.lit(7)), "t", "id", rewrite=rewrite)
+    assert set(os.listdir(os.path.dirname(listing(store, "t")[1]))) == names
+    assert store.load_table("t").where("v > 5").count() == 348
