@@ -149,7 +149,7 @@ def _edits_of_texts() -> Column:
 
 
 def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(occurrences with h1 and h2, lines with h1, h2 and `label`). Lines with one label are one group.
+    """(occurrences with h1 and h2, lines with h1, h2, `label` and `n`, their number). Lines with one label are one group.
 
     `rows` has part, row and text and is bucketed by part; `plain` has the same rows.
     """
@@ -161,7 +161,7 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
     short, long = _named_lines(found.where(~long)), _named_lines(found.where(long))
     occ, _ = stage(short_simhashes(short).unionByName(long_simhashes(long)), "occurrences")
     rows = plain
-    lines = occ.groupBy("h1", "h2").agg(F.min("sim").alias("sim"), F.min("size").alias("size"))
+    lines = occ.groupBy("h1", "h2").agg(F.min("sim").alias("sim"), F.min("size").alias("size"), F.count("*").alias("n"))
     lines, _ = stage(lines.withColumn("line", F.monotonically_increasing_id()), "lines")
     keys = lines.select("line", F.explode(block_keys()).alias("key"))
     met = keys.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.count("*").alias("n")).where("a <> b")
@@ -199,18 +199,20 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
     rest, _ = stage(rest, "open-line-pairs")
     if rest.limit(1).count():
         labels = components(links.union(_verified(rest, texts)))
-    lines = lines.join(labels.withColumnRenamed("node", "line"), "line", "left").select("h1", "h2", F.coalesce("label", "line").alias("label"))
+    lines = lines.join(labels.withColumnRenamed("node", "line"), "line", "left").select("h1", "h2", "n", F.coalesce("label", "line").alias("label"))
     return occ, lines
 
 
 def repeated_lines(rows: DataFrame, plain: DataFrame) -> DataFrame:
     """(row, places): the places of the lines that go, for each row that has some. `rows` as in `line_groups`, and id."""
     occ, lines = line_groups(rows, plain)
-    occ = occ.join(lines, ["h1", "h2"]).select("row", "place", "label")
-    sizes = occ.groupBy("label").agg(F.count("*").alias("n")).where("n > 1").select("label")
-    occ, _ = stage(occ.join(sizes, "label").join(plain.select("row", "id"), "row"), "shared-lines")
+    # Groups are counted and chosen on lines, one row each, so that a line that is everywhere is no hot key.
+    lines, _ = stage(lines, "line-labels")
+    sizes = lines.groupBy("label").agg(F.sum("n").alias("of")).where("of > 1").select("label")
+    shared = lines.join(sizes, "label").select("h1", "h2", "label")
+    occ, _ = stage(occ.join(shared, ["h1", "h2"]).select("row", "place", "label").join(plain.select("row", "id"), "row"), "shared-lines")
     first = occ.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "place")).alias("first"))
-    again = occ.join(first, "label").where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
+    again = occ.join(first.select("first.row", "first.place"), ["row", "place"], "left_anti")
     # A list is never longer than the lines of its document.
     return again.groupBy("row").agg(F.collect_list("place").alias("places"))
 
@@ -220,8 +222,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Lines are what \\n splits. Empty lines, and lines of punctuation only, stay; a
     document all of whose lines go stays with an empty text; a null text stays null.
-    A null id comes after all others. Other columns stay as they are; an empty table
-    gives no rows.
+    A null id comes after all others. Other columns stay as they are, but for those that are called `n_lines` or
+    `n_removed`, which give way to the counts; an empty table gives no rows.
     """
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
@@ -238,7 +240,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "n_removed": F.when(F.col("places").isNull(), 0).otherwise(F.size("places")),
         text: F.when(F.col("places").isNull(), F.col(text)).otherwise(kept),
     })
-    own = [F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
+    own = [F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n not in ("n_lines", "n_removed")]
     return both.select(*own, "n_lines", "n_removed")
 
 

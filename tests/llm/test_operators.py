@@ -116,6 +116,8 @@ def test_line_dedup(docs, rows, empty):
     assert got.columns == [*docs.columns, "n_lines", "n_removed"]
     same(got.select("doc_id", "text").collect(), zip([i for i, _ in few], brute.line_dedup(few)))
     assert dedup_lines(empty).count() == 0
+    clash = dedup_lines(docs.where("doc_id < 3").withColumns({"n_lines": F.lit("x"), "n_removed": F.lit("y")}))
+    assert clash.columns == [*docs.columns, "n_lines", "n_removed"] and dict(clash.dtypes)["n_removed"] == "int"
 
 
 def test_line_dedup_links_near_lines(spark):
