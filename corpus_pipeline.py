@@ -33,8 +33,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Such a document had no line of its own: all of it is found in other documents.
     """
-    kept = dedup_lines(docs).drop("n_lines", "n_removed")
-    return _measured(kept.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns))
+    # Under names of their own, so that no column of the documents meets those that the operator adds.
+    named = docs.select(*[F.col(c).alias(f"c_{c}") for c in docs.columns])
+    kept = dedup_lines(named, "c_doc_id", "c_text").select(*[F.col(f"c_{c}").alias(c) for c in docs.columns])
+    return _measured(kept.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
