@@ -11,7 +11,7 @@ from pyspark.sql.types import StructField
 
 from framestore.functions.project import ident, pick, project
 from framestore.operators.chunks import POSITION, with_positions
-from framestore.operators.keyed import HIT, any_null, quoted, row_struct, spread_join
+from framestore.operators.keyed import HIT, any_null, bucketed_join, quoted, row_struct, spread_join
 
 ACTION = "_action"
 _NEW = "__new"
@@ -36,7 +36,8 @@ class Changes:
     of `keyed`. `inserts` are
     the new rows with non-NULL keys; `null_key_rows` are the source rows of which
     those with a NULL key are inserted as well. `co_located` says that the target is
-    bucketed by the keys, so that a join on just the keys need not shuffle it.
+    bucketed by the keys, so that a join on just the keys need not shuffle it; `hot` are the few keys that hold so many of its
+    rows that a bucket of theirs would be too large for a task.
     `auto_key` is a column that inserted rows get a number in, and the number before
     the first one. `scratch` are staged tables that can
     be deleted when the change is done.
@@ -53,6 +54,7 @@ class Changes:
     delete_unmatched: bool = False
     co_located: bool = False
     auto_key: tuple[str, int] | None = None
+    hot: DataFrame | None = None
     scratch: tuple[str, ...] = ()
     _with_numbers: DataFrame | None = None
 
@@ -60,7 +62,7 @@ class Changes:
         """Target rows joined with the source row of their key; `HIT` is NULL without one."""
         keyed = self.keyed.withColumn(HIT, F.lit(True))
         if self.co_located:
-            return self.target.join(keyed, list(self.keys), how)
+            return bucketed_join(self.target, keyed, self.keys, how, self.hot)
         return spread_join(self.target, keyed, self.keys, how)
 
     def updated(self, marked: bool = False) -> DataFrame:

@@ -81,6 +81,37 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(right, [*keys, _SPREAD], how).drop(_SPREAD)
 
 
+def hot_keys(target: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The keys that hold more rows than an average bucket: fewer than `buckets`, whatever the table.
+
+    Only the key columns are read, and counted before they are shuffled.
+    """
+    counted = target.where(~any_null(keys)).groupBy(*[quoted(k) for k in keys]).agg(F.count("*").alias("__n"))
+    total = counted.agg(F.sum("__n").alias("__total"))
+    return pick(counted.join(F.broadcast(total), F.col("__n") * buckets > F.col("__total")), keys)
+
+
+def bucketed_join(target: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None = None) -> DataFrame:
+    """Equi-join of a target that is bucketed by `keys`, which stays where it is; `keyed` has each key once. `how` is 'left' or 'inner'.
+
+    Rows with a NULL key match nothing and go around the join. Those of `hot` keys meet a broadcast of their few source rows. Neither
+    branch reads the table by buckets, so one key or NULL is not the work of one task.
+    """
+    names = list(keys)
+    plain = target.where(~any_null(keys))
+    if hot is None:
+        joined = plain.join(keyed, names, how)
+    else:
+        few = F.broadcast(hot)
+        joined = plain.join(few, names, "left_anti").join(keyed, names, how).unionByName(
+            plain.join(few, names, "left_semi").join(F.broadcast(keyed.join(few, names, "left_semi")), names, how)
+        )
+    if how == "inner":
+        return joined
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in keyed.schema if f.name not in names}
+    return joined.unionByName(target.where(any_null(keys)).withColumns(missing))
+
+
 def target_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """The distinct keys of `target` that an anti join with `keyed` needs.
 

@@ -40,6 +40,7 @@ class TableInfo:
     provider: str
     partition_columns: tuple[str, ...]
     bucket_columns: tuple[str, ...]
+    n_buckets: int = 0
 
 
 def table_info(spark: SparkSession, table: str) -> TableInfo:
@@ -52,6 +53,7 @@ def table_info(spark: SparkSession, table: str) -> TableInfo:
         provider=details.get("Provider", "parquet"),
         partition_columns=tuple(c.name for c in columns if c.isPartition),
         bucket_columns=tuple(c.name for c in columns if c.isBucket),
+        n_buckets=int(details.get("Num Buckets") or 0),
     )
 
 

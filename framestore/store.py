@@ -31,7 +31,7 @@ from framestore.functions.project import pick
 from framestore.operators.changes import CHANGE, INSERTED, SAME, UPDATED, Changes
 from framestore.operators.checks import Constraints, ForeignKey, enforce, referenced_keys_gone, repeated_keys, unique_violations
 from framestore.operators.chunks import POSITION, iter_chunks, with_positions
-from framestore.operators.keyed import align_types, quoted, spread_join
+from framestore.operators.keyed import align_types, hot_keys, quoted, spread_join
 from framestore.operators.merge import merge_changes
 from framestore.operators.params import check_value
 from framestore.operators.statements import KeyedStatement, keyed_statement
@@ -701,6 +701,11 @@ class TableStore:
                 target = rows_of_files(self.spark, name, info, files)
             bucketed = bool(info.bucket_columns) and set(info.bucket_columns) == set(outline.keys)
             changes = plan(target, source, co_located=bucketed, unique=once)
+            if bucketed and changes.keyed is not None:
+                # Fewer rows than buckets; without any the join is plain.
+                changes.hot, path = stage(hot_keys(target, outline.keys, info.n_buckets), "hot-keys")
+                scratch.append(path)
+                changes.hot = changes.hot if changes.hot.limit(1).count() else None
             if auto_key is not None:
                 changes.auto_key = (auto_key, self._last_number(name, auto_key))
             # Rows of the table that the change does not write: they still hold keys.

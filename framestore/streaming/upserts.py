@@ -27,8 +27,8 @@ def upsert_stream(
 
     A micro-batch plays the part of a chunk: its rows update the rows that
     earlier batches inserted. The table notes the id of the query, which the checkpoint keeps, and the number of the
-    batch in the step that makes its rows visible, so a batch that is run again after a failure is skipped. (Partitioned,
-    bucketed and external tables get the note after the rows. A failure between the two runs the batch again,
+    batch in the step that makes its rows visible, so a batch that is run again after a failure is skipped. (Bucketed
+    and external tables get the note after the rows. A failure between the two runs the batch again,
     which changes nothing but repeats rows with a NULL key.) `options` go
     to `TableStore.upsert_table` or `TableStore.merge_df`.
     """

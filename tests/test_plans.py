@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from framestore import TableStore, filter_in
 from framestore.operators import merge, update, upsert, with_positions
-from framestore.operators.keyed import HIT
+from framestore.operators.keyed import HIT, bucketed_join, hot_keys
 from framestore.operators.upsert import upsert_changes
 from framestore.sinks import publish
 
@@ -142,3 +143,37 @@ def test_positions_need_no_join(spark, conf):
     conf(NO_BROADCAST)
     text = plan(with_positions(spark.range(100), "id").df)
     assert "Join" not in text and "Exchange" not in text
+
+
+def test_bucketed_join_spreads_hot_and_null_keys(spark, conf, tmp_path):
+    """A third of the rows has one key, a third has none."""
+    conf({**NO_BROADCAST, "spark.sql.adaptive.enabled": "false", "spark.sql.files.maxPartitionBytes": "100KB", "spark.sql.files.openCostInBytes": "1"})
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS hot LOCATION '{tmp_path}/hot'")
+    k = F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END")
+    rows = spark.range(0, 90000, 1, 4).select(k.alias("k"), F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("s"))
+    rows.write.bucketBy(8, "k").option("maxRecordsPerFile", 3000).saveAsTable("hot.t")
+    target, source = spark.table("hot.t"), spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("s"))
+    hot = hot_keys(target, ["k"], 8)
+    assert [r["k"] for r in hot.collect()] == [7]
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    joined = bucketed_join(target.drop("s"), source, ["k"], "left", hot)
+    # As it is written: an aggregation on top would read by buckets again.
+    sizes = Counter(r[0] for r in joined.select(F.spark_partition_id()).collect())
+    assert sum(sizes.values()) == 90000 and max(sizes.values()) < 9000
+    assert joined.where("s = 'x'").count() == target.where("k < 100").count()
+    text = plan(joined)
+    assert "Bucketed: true" in text and text.count("Bucketed: false (disabled by query planner)") == 2
+    spark.sql("DROP DATABASE hot CASCADE")
+
+
+def test_upsert_of_a_bucketed_table_with_hot_and_null_keys(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS hot2 LOCATION '{tmp_path}/hot2'")
+    store = TableStore(spark, "hot2")
+    k = F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id END")
+    store.save_df(spark.range(900).select(k.alias("k"), F.col("id").alias("v")), "t", bucket_by=(4, "k"))
+    source = spark.createDataFrame([(7, -1), (8, -2), (1000, -3), (None, -4)], "k long, v long")
+    counts = store.upsert_table(source, "t", "k")
+    assert (counts.rows_matched, counts.rows_changed, counts.rows_inserted) == (301, 301, 2)
+    got = store.load_table("t")
+    assert got.count() == 902 and got.where("v = -1").count() == 300 and got.where("k IS NULL").count() == 301
+    spark.sql("DROP DATABASE hot2 CASCADE")
