@@ -425,3 +425,34 @@ def test_deleted_rows_are_counted(store, people):
     n = people.count()
     counts = store.merge_df(people.limit(1), "person", "id", delete_unmatched=True, on_duplicate="unique")
     assert (counts.rows_matched, counts.rows_deleted) == (1, n - 1)
+
+
+def test_schema_names_another_database(store, people, spark, tmp_path):
+    """`schema` qualifies the table in every policy; the table of that name in the store's own database stays."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS elsewhere LOCATION '{tmp_path}/elsewhere'")
+    try:
+        store.save_df(people, "person")
+        store.save_df(people.where("id < 3"), "person", schema="elsewhere")
+        store.save_df(people.where("id = 4"), "person", schema="elsewhere")
+        assert [r["id"] for r in spark.table("elsewhere.person").orderBy("id").collect()] == [1, 2, 4]
+        store.save_df(people.where("id = 5"), "person", "replace", schema="elsewhere")
+        assert [r["id"] for r in spark.table("elsewhere.person").collect()] == [5]
+        store.save_df(people.select("id"), "person", "drop-replace", schema="elsewhere")
+        assert spark.table("elsewhere.person").columns == ["id"]
+        with pytest.raises(TableExistsError):
+            store.save_df(people, "person", "fail", schema="elsewhere")
+        assert rows(store.load_table("person")) == sorted(PEOPLE, key=repr)
+    finally:
+        spark.sql("DROP DATABASE elsewhere CASCADE")
+
+
+@pytest.mark.parametrize("chunksize", [1, 3, 100])
+def test_merge_chunks_do_not_change_the_result(store, people, changed, chunksize):
+    store.save_df(people, "person")
+    again = changed.unionByName(changed.where("id IN (3, 7)").withColumn("place", F.lit("Last"))).withColumn("at", F.monotonically_increasing_id())
+    counts = store.merge_df(again, "person", "id", ["id", "name", "born", "place", "adventurer"], order_by="at", chunksize=chunksize)
+    assert counts == ChangeCounts(6, 4, 2, 0)
+    expected = {r[0]: r for r in CHANGED} | {i: (*r[:3], "Last", r[4]) for r in CHANGED for i in [r[0]] if i in (3, 7)}
+    assert rows(store.load_table("person")) == sorted(expected.values(), key=repr)
+    with pytest.raises(InvalidInputError):
+        store.merge_df(changed, "person", "id", chunksize=0)
