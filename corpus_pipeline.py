@@ -7,6 +7,8 @@ duplicates, secret scans mask secrets, and best-fit packing makes training seque
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,7 +17,27 @@ from framestore.llm.lines import dedup_lines
 from framestore.llm.packing import pack
 from framestore.llm.quality import keep_good
 from framestore.llm.secrets import redact
-from framestore.session import shared_folder, stage
+from framestore.session import delete_path, shared_folder, stage, staged_paths
+
+
+#: Working tables of the last stage, by application.
+_LEFT: dict[str, list[str]] = {}
+
+
+def _cleaned(stage_of: Callable) -> Callable:
+    """A stage that first deletes the working tables of the one before it, whose result is written when the next one begins."""
+
+    @wraps(stage_of)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        for path in _LEFT.pop(application, []):
+            delete_path(spark, path)
+        with staged_paths() as paths:
+            out = stage_of(spark, docs, sf_dir)
+        _LEFT[application] = paths
+        return out
+
+    return run_stage
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -23,11 +45,13 @@ def _measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@_cleaned
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break a rule go."""
     return keep_good(docs)
 
 
+@_cleaned
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of equal or nearly equal lines one occurrence stays. Documents left without words go.
 
@@ -39,6 +63,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _measured(kept.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 
 
+@_cleaned
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id."""
     numbered, _ = stage(docs.select(*[F.col(c).alias(f"c_{c}") for c in docs.columns], F.monotonically_increasing_id().alias("number")), "near")
@@ -50,11 +75,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return numbered.join(first, "number", "left_semi").select(*[F.col(f"c_{c}").alias(c) for c in docs.columns])
 
 
+@_cleaned
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; no document goes."""
     return _measured(redact(docs)).select(*docs.columns)
 
 
+@_cleaned
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens: where each piece of each document goes, with its ids as a checksum."""
     return pack(docs, with_ids=False)
@@ -79,4 +106,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{shared_folder(spark)}/framestore/pipeline-{name}-{uuid.uuid4().hex}"
         stage_of(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+    for path in _LEFT.pop(spark.sparkContext.applicationId, []):
+        delete_path(spark, path)
     return docs

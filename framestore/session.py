@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,10 +42,31 @@ def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/framestore/{label}-{uuid.uuid4().hex}"
+    note_staged(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+_NOTED: list[list[str]] = []
+
+
+def note_staged(path: str) -> None:
+    """Tell every `staged_paths` that is open of a table in the shared folder."""
+    for paths in _NOTED:
+        paths.append(path)
+
+
+@contextmanager
+def staged_paths() -> Iterator[list[str]]:
+    """The paths of the tables that are staged inside. Who has read all that was made of them may delete them."""
+    paths: list[str] = []
+    _NOTED.append(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.remove(paths)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder that this package wrote, through the Hadoop file system API."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
