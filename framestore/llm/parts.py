@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from framestore.session import shared_folder
+from framestore.session import note_staged, shared_folder
 
 #: Rows of a part, all of which are in the memory of one task at a time.
 PART_ROWS = 2048
@@ -43,6 +43,7 @@ def kept_by_part(df: DataFrame, size: Column | None = None) -> Iterator[tuple[Da
     part = part if size is None else F.when(size > PART_TEXT, -1 - row).otherwise(part)
     writer = df.withColumn("part", part).write.bucketBy(dealing(spark)[0], "part").format("parquet")
     path = f"{shared_folder(spark)}/framestore/{name}"
+    note_staged(path)
     writer.option("path", path).saveAsTable(name)
     try:
         kept = spark.table(name)
