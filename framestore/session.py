@@ -25,12 +25,17 @@ def require_utc(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: what the cluster names in spark.checkpoint.dir.
 
-    Where that is unset, a folder in the warehouse, which all executors reach as well.
+    Where that is unset, a folder in the warehouse, which all executors reach as well. On a cluster
+    a warehouse on a local disk is none of these, so that fails early.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    is_local = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+    if is_local and not spark.sparkContext.master.startswith("local"):
+        raise InvalidInputError("Set spark.checkpoint.dir to a folder that all executors share", data=warehouse)
     return f"{warehouse}/framestore-scratch"
 
 

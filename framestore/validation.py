@@ -55,7 +55,7 @@ def check_columns(names: Iterable[str], available: Sequence[str], what: str = "D
     invalid = [n for n in names if n not in available]
     if invalid:
         raise InvalidColumnNameError(
-            f"Invalid column names: {invalid}. Columns of the {what}: {list(available)}", data=invalid
+            f"The {what} has no columns {invalid}, only {list(available)}", data=invalid
         )
     return names
 
