@@ -163,7 +163,7 @@ def type_and_limit(dtype: Any) -> tuple[str | DataType, int | None]:
     try:
         return DataType.fromDDL(name), None
     except Exception as e:
-        raise DataTypeConversionError(f"The casts do not fit the columns: unknown type {dtype!r}", data=(e.args, dtype)) from None
+        raise DataTypeConversionError(f"{dtype!r} is the name of no type", data=(e.args, dtype)) from None
 
 
 def cast_columns(df: DataFrame, dtypes: dict[str, Any] | Any | None, validate: bool = False) -> DataFrame:

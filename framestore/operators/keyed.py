@@ -152,21 +152,12 @@ def collapse(
     if on_duplicate == "unique":
         return rows.select(*key_columns, *[row_struct(cols).alias(n) for n, (_, cols) in picks.items()])
     if on_duplicate == "error":
-        message = F.concat(
-            F.lit(f"The source holds a key more than once, key columns {list(keys)}: "),
-            F.to_json(F.struct(*key_columns)),
-        )
-        counted = rows.groupBy(*key_columns).agg(
-            F.count("*").alias("__n"), *[F.first(row_struct(cols)).alias(n) for n, (_, cols) in picks.items()]
-        )
-        once = F.col("__n") == 1
-        return counted.select(
-            *key_columns,
-            *[
-                F.when(once, F.col(n)).otherwise(F.raise_error(message).cast(counted.schema[n].dataType)).alias(n)
-                for n in picks
-            ],
-        )
+        # The keys alone are counted, in a subquery of one value; the rows are not grouped.
+        text = F.to_json(F.struct(*key_columns))
+        repeated = rows.groupBy(*key_columns).agg(F.count("*").alias("__n")).where("__n > 1").agg(F.first(text)).scalar()
+        message = F.concat(F.lit(f"The source holds a key more than once, key columns {list(keys)}: "), repeated)
+        rows = rows.where(F.when(repeated.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+        return rows.select(*key_columns, *[row_struct(cols).alias(n) for n, (_, cols) in picks.items()])
     if not order_by:
         raise InvalidInputError("order_by is needed to apply duplicate keys one after the other")
     order = order_struct(order_by, rows)

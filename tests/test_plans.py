@@ -177,3 +177,22 @@ def test_upsert_of_a_bucketed_table_with_hot_and_null_keys(spark, tmp_path):
     got = store.load_table("t")
     assert got.count() == 902 and got.where("v = -1").count() == 300 and got.where("k IS NULL").count() == 301
     spark.sql("DROP DATABASE hot2 CASCADE")
+
+
+@pytest.mark.parametrize("operator", [upsert, merge])
+def test_default_changes_shuffle_each_side_little(spark, sf_dir, conf, operator):
+    """Repeated keys are looked for in a subquery on the keys; the rows themselves are not grouped."""
+    conf(NO_BROADCAST)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
+    text = run_plan(operator(orders, orders.withColumn("o_totalprice", F.lit(1.0)), "o_orderkey"))
+    main = text.split("Subquery")[0]
+    assert text.count("Exchange hashpartitioning") <= 4 and "SortAggregate(key=[o_orderkey" not in text
+    assert main.count("SortMergeJoin") >= 1 and "NestedLoop" not in text
+
+
+def test_change_only_merge_stages_its_summaries_once(spark, conf):
+    conf(NO_BROADCAST)
+    source = spark.range(0, 1000, 1, 4).select((F.col("id") % 100).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("v"), F.col("id").alias("o"))
+    merged = merge(source.where("o < 50"), source, "k", ["k", "v", "o"], order_by="o", omit_update_where_clause=False)
+    text = run_plan(merged)
+    assert "MapInArrow" not in text and text.count("Exchange hashpartitioning") <= 6
