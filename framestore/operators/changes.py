@@ -15,6 +15,7 @@ from framestore.operators.keyed import HIT, any_null, bucketed_join, quoted, row
 
 ACTION = "_action"
 _NEW = "__new"
+_ROWS = "__rows"
 
 #: A column of a byte in the files of a new version, beside the columns of the table: what the change did to the row.
 CHANGE = "_framestore_change"
@@ -35,7 +36,8 @@ class Changes:
     struct of new values of a matched row, in SQL over the columns of the target and
     of `keyed`. `inserts` are
     the new rows with non-NULL keys; `null_key_rows` are the source rows of which
-    those with a NULL key are inserted as well. `co_located` says that the target is
+    those with a NULL key are inserted as well. `new_keys` has the keys of the source rows that make `inserts`, where these are too
+    many to broadcast: they are then counted without a join. `co_located` says that the target is
     bucketed by the keys, so that a join on just the keys need not shuffle it; `hot` are the few keys that hold so many of its
     rows that a bucket of theirs would be too large for a task.
     `auto_key` is a column that inserted rows get a number in, and the number before
@@ -51,6 +53,7 @@ class Changes:
     new_row: str
     inserts: DataFrame | None
     null_key_rows: DataFrame | None
+    new_keys: DataFrame | None = None
     delete_unmatched: bool = False
     co_located: bool = False
     auto_key: tuple[str, int] | None = None
@@ -134,6 +137,17 @@ class Changes:
         `_action` is 'update' (a value changes), 'unchanged' (matched, all values
         equal), 'insert' or 'delete'.
         """
+        inserted = self.inserted()
+        parts = self._matched_set()
+        if inserted is not None:
+            new = row_struct(self.target.columns)
+            old = F.lit(None).cast(inserted.select(new.alias("x")).schema["x"].dataType)
+            key_values = [quoted(k) for k in self.keys]
+            parts.append(inserted.select(F.lit("insert").alias(ACTION), *key_values, old.alias("old"), new.alias("new")))
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    def _matched_set(self) -> list[DataFrame]:
+        """The part of the change set that is about target rows, if there is one."""
         columns = self.target.columns
         parts = []
         if self.keyed is not None:
@@ -148,20 +162,31 @@ class Changes:
                     f"CASE WHEN {HIT} IS NOT NULL THEN struct({', '.join(fields)}) END AS new",
                 )
             )
-        inserted = self.inserted()
-        if inserted is not None:
-            new = row_struct(columns)
-            old = F.lit(None).cast(inserted.select(new.alias("x")).schema["x"].dataType)
-            key_values = [quoted(k) for k in self.keys]
-            parts.append(inserted.select(F.lit("insert").alias(ACTION), *key_values, old.alias("old"), new.alias("new")))
-        return reduce(lambda a, b: a.unionByName(b), parts)
+        return parts
+
+    def _inserts_by_key(self) -> DataFrame:
+        """(`ACTION`, `_ROWS`): how many rows are inserted, from one aggregation of the keys of both sides, summed up before it moves.
+
+        An anti join would sort both sides, and make the keys of the target distinct first, in one task.
+        """
+        known = pick(self.target, self.keys).where(~any_null(self.keys)).select("*", F.lit(True).alias("__known"), F.lit(0).alias(_ROWS))
+        new = pick(self.new_keys, self.keys).where(~any_null(self.keys)).select("*", F.lit(False).alias("__known"), F.lit(1).alias(_ROWS))
+        keys = known.unionByName(new).groupBy(*[quoted(k) for k in self.keys]).agg(F.max("__known").alias("__known"), F.sum(_ROWS).alias(_ROWS))
+        return keys.where("NOT __known").select(F.lit("insert").alias(ACTION), _ROWS)
 
     def counts(self) -> DataFrame:
         """One row: matched, changed, inserted and deleted rows."""
+        if self.new_keys is None:
+            rows = self.change_set().select(ACTION, F.lit(1).cast("long").alias(_ROWS))
+        else:
+            nulls = self.null_key_rows.where(any_null(self.keys)).select(F.lit("insert").alias(ACTION))
+            alone = reduce(lambda a, b: a.union(b), [*(p.select(ACTION) for p in self._matched_set()), nulls])
+            rows = alone.select(ACTION, F.lit(1).cast("long").alias(_ROWS)).unionByName(self._inserts_by_key())
         action = F.col(ACTION)
-        return self.change_set().agg(
-            F.count_if(action.isin("update", "unchanged")).alias("rows_matched"),
-            F.count_if(action == "update").alias("rows_changed"),
-            F.count_if(action == "insert").alias("rows_inserted"),
-            F.count_if(action == "delete").alias("rows_deleted"),
+        total = lambda which: F.coalesce(F.sum(F.when(which, F.col(_ROWS))), F.lit(0).cast("long"))
+        return rows.agg(
+            total(action.isin("update", "unchanged")).alias("rows_matched"),
+            total(action == "update").alias("rows_changed"),
+            total(action == "insert").alias("rows_inserted"),
+            total(action == "delete").alias("rows_deleted"),
         )

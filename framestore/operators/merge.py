@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from framestore.errors import InvalidColumnNameError, InvalidInputError
-from framestore.functions.project import ident
+from framestore.functions.project import ident, pick
 from framestore.operators.changes import Changes
 from framestore.operators.fold import fold_changes, folded_row
 from framestore.operators.keyed import collapse, unmatched
@@ -78,7 +78,8 @@ def merge_changes(
         keyed, end = collapse(rows, columns.keys, {"__last": ("last", columns.update)}, order, mode), "__last"
         new_row = last_if_changed(columns.update) if only_changed else "__last"
 
-    new = unmatched(keyed, target, columns.keys, fits_broadcast(rows), unique_rows=True)
+    small = fits_broadcast(rows)
+    new = unmatched(keyed, target, columns.keys, small, unique_rows=True)
     return Changes(
         target=target,
         keyed=keyed,
@@ -88,6 +89,7 @@ def merge_changes(
         new_row=new_row,
         inserts=new.selectExpr(*[ident(c) if c in columns.keys else f"{end}.{ident(c)}" for c in columns.insert]),
         null_key_rows=rows,
+        new_keys=None if small else pick(keyed, columns.keys),
         delete_unmatched=delete_unmatched,
         co_located=co_located,
         scratch=scratch,

@@ -121,11 +121,12 @@ def upsert_changes(
         keyed = keyed.withColumn("__insert", chosen).drop("__insert_last", "__one_chunk")
 
     small = fits_broadcast(rows)
-    inserts = null_inserts = None
+    inserts = null_inserts = new_keys = None
     if not update_only:
         if keys_inserted:
             new = unmatched(pick(keyed, columns.keys, "__insert"), target, columns.keys, small, unique_rows=True)
             inserts = new.select("__insert.*")
+            new_keys = None if small else pick(keyed, columns.keys)
         else:
             # The inserted rows do not carry their keys, so later duplicates never find them.
             inserts = pick(unmatched(rows, target, columns.keys, small, unique_rows=False), columns.insert)
@@ -139,6 +140,7 @@ def upsert_changes(
         new_row="__update",
         inserts=inserts,
         null_key_rows=null_inserts,
+        new_keys=new_keys,
         co_located=co_located,
         scratch=scratch,
     )

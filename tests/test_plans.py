@@ -196,3 +196,21 @@ def test_change_only_merge_stages_its_summaries_once(spark, conf):
     merged = merge(source.where("o < 50"), source, "k", ["k", "v", "o"], order_by="o", omit_update_where_clause=False)
     text = run_plan(merged)
     assert "MapInArrow" not in text and text.count("Exchange hashpartitioning") <= 6
+
+
+def test_counts_of_a_large_source_need_no_anti_join(spark, conf):
+    """Three sorts and hash tables of all keys met in the task of an anti join; one aggregation counts the same."""
+    conf(NO_BROADCAST)
+    target = spark.createDataFrame([(1, 0.0, "a"), (1, 0.0, "b"), (2, -0.0, "c"), (3, float("nan"), None), (None, 1.0, "d")], "k int, x double, v string")
+    source = spark.createDataFrame([(1, 0.0, "b"), (2, 0.0, "c"), (3, float("nan"), "e"), (4, 0.0, "f"), (None, 1.0, "g"), (5, None, "h")], "k int, x double, v string")
+    for keys in ("k", ["k", "x"]):
+        changes = upsert_changes(target, source, keys, nan_as_null=False)
+        counts = changes.counts()
+        actions = Counter(r["_action"] for r in changes.change_set().collect())
+        assert "LeftAnti" not in plan(counts) and "LeftAnti" in plan(changes.change_set())
+        assert counts.first().asDict() == {
+            "rows_matched": actions["update"] + actions["unchanged"], "rows_changed": actions["update"], "rows_inserted": actions["insert"], "rows_deleted": 0,
+        }
+        assert [actions[a] for a in ("update", "unchanged", "insert")] == [2, 2, 3]
+    empty = upsert_changes(target.limit(0), source.limit(0), "k").counts().first()
+    assert list(empty) == [0, 0, 0, 0]
