@@ -6,10 +6,11 @@ their edit distance is at most a tenth of the longer line, whatever its length.
 connected group of lines one occurrence stays, the first by (document id, row, place).
 
 Equal lines are one node. Lines meet under pigeonhole blocks: the hash is cut into `BLOCKS`, and lines at
-most DISTANCE apart agree on some BLOCKS - DISTANCE of them, the bits of which make a key. Of a
-key with two lines the pair is tested. Of a key with more, each is tested against the first one, and again under the
-keys of more blocks, where closer lines meet. Only pairs that are still in different components are then
-compared one by one, so a thousand variants of a line do not become all of their pairs, and no link between components is lost.
+most DISTANCE apart agree on some BLOCKS - DISTANCE of them, the bits of which make a key. So many bits are in a key that
+different lines seldom meet by chance. Of a key with two lines the pair is tested. Of a key with more, each is tested against the
+first one, and those of more than `CROWD` lines again under the keys of more blocks, where closer lines meet. Only pairs that are
+still in different components are then compared one by one, so a thousand variants of a line do not become all of their pairs, and
+no link between components is lost.
 
 A fixed-size bit filter keeps rows that have no part in a join from being moved. It only saves work.
 """
@@ -25,13 +26,19 @@ from framestore.llm.parts import kept_by_part
 from framestore.llm.registry import query, table
 from framestore.session import stage
 
-BITS, DISTANCE, BLOCKS = 63, 3, 5
+BITS, DISTANCE, BLOCKS = 63, 3, 6
+#: Lines of more than these under one key also meet under the keys of more blocks.
+CROWD = 16
 _LANES = sum(1 << (9 * j) for j in range(7))
 _LONG = 511
 
 
+#: White space and ASCII punctuation, the classes s and p{Punct} of Java, one by one: Java looks such a class up in a table.
+_PLAIN = r"""\t\n\x0B\f\r !"#$%&'()*+,\-./:;<=>?@\[\\\]\^_`{|}~"""
+
+
 def normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Punct}]+", " "))
+    return F.trim(F.regexp_replace(F.lower(line), f"[{_PLAIN}]+", " "))
 
 
 def _hash_of_bits(sums: str, n: str) -> str:
@@ -75,7 +82,8 @@ def block_keys(agree: int = BLOCKS - DISTANCE) -> Column:
     edges = [BITS * i // BLOCKS for i in range(BLOCKS + 1)]
     masks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
     chosen = [sum(c) for c in combinations(masks, agree)]
-    return F.array(*[F.xxhash64(F.lit(i), F.col("sim").bitwiseAND(F.lit(m))) for i, m in enumerate(chosen)])
+    # Five bytes tell the keys apart, and three bytes of zeros take no room when they are moved.
+    return F.array(*[F.xxhash64(F.lit(i), F.col("sim").bitwiseAND(F.lit(m))).bitwiseAND(F.lit((1 << 40) - 1)) for i, m in enumerate(chosen)])
 
 
 _FILTER_BITS = 20
@@ -99,7 +107,7 @@ def _lines(rows: DataFrame) -> DataFrame:
     """The columns of `rows` but for `text`, and place and line of every line whose normal form is not empty."""
     kept = [c for c in rows.columns if c != "text"]
     lines = rows.select(*kept, F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    return lines.where(F.col("line").rlike(r"[^\s\p{Punct}]"))
+    return lines.where(F.col("line").rlike(f"[^{_PLAIN}]"))
 
 
 def _named_lines(lines: DataFrame) -> DataFrame:
@@ -128,20 +136,48 @@ def _named(lines: DataFrame, end: str) -> DataFrame:
     return lines.select(*[F.col(c).alias(f"{c}{end}") for c in lines.columns])
 
 
-def _texts(lines: DataFrame, wanted: DataFrame, rows: DataFrame) -> DataFrame:
-    """(line, norm) of the wanted lines, from a second look at the rows."""
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("line")).union(pairs.select(F.col("b").alias("line"))).distinct()
+
+
+def _texts(wanted: DataFrame, lines: DataFrame, occ: DataFrame, rows: DataFrame) -> DataFrame:
+    """(line, norm) of the wanted lines, each from the first row that has it: only those rows are split again."""
     wanted, _ = stage(lines.join(wanted, "line").select("line", "h1", "h2"), "wanted-lines")
-    found = likely(occurrences(rows.select("text")).select("norm", "h1", "h2"), "h1", wanted)
-    found = found.groupBy("h1", "h2").agg(F.first("norm").alias("norm")).join(wanted, ["h1", "h2"])
-    return stage(found.select("line", "norm"), "line-texts")[0]
+    held = likely(occ.select("row", "place", "h1", "h2"), "h1", wanted).join(wanted, ["h1", "h2"])
+    first = held.groupBy("line").agg(F.min(F.struct("row", "place")).alias("at")).select("line", "at.row", "at.place")
+    first, _ = stage(first.withColumn("at", F.xxhash64("row", "place")), "wanted-places")
+    split = _lines(likely(rows.select("row", "text"), "row", first)).withColumnRenamed("line", "text")
+    split = likely(split.withColumn("at", F.xxhash64("row", "place")), "at", first).drop("at")
+    return stage(split.join(first, ["row", "place"]).select("line", normal(F.col("text")).alias("norm")), "line-texts")[0]
+
+
+def _edits_of_pieces(n: int) -> Column:
+    """The edits when both texts are cut at the same n - 1 shares of their lengths: as many as between the whole texts, or more.
+
+    The work grows with the square of a length, so this is the cheaper the more pieces there are.
+    """
+    cut = lambda t, i: f"CAST(length({t}) * {i}L DIV {n} AS int)"
+    piece = lambda t, i: f"substring({t}, {cut(t, i)} + 1, {cut(t, i + 1)} - {cut(t, i)})"
+    return F.expr(" + ".join(f"levenshtein({piece('x', i)}, {piece('y', i)})" for i in range(n)))
+
+
+def _without_start(pairs: DataFrame) -> DataFrame:
+    """x and y without most of what both begin with, and the other way round: they have as many edits as before."""
+    steps = "transform(sequence(1, 7), k -> CAST(least(length(x), length(y)) DIV shiftleft(1, k) AS int))"
+    same = f"aggregate({steps}, 0, (n, step) -> IF(substring(x, n + 1, step) = substring(y, n + 1, step), n + step, n))"
+    pairs = pairs.withColumn("same", F.expr(same))
+    return pairs.withColumns({c: F.expr(f"reverse(substring({c}, same + 1))") for c in "xy"}).drop("same")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose texts are similar enough."""
     a = texts.select(F.col("line").alias("a"), F.col("norm").alias("x"))
     b = texts.select(F.col("line").alias("b"), F.col("norm").alias("y"))
-    met = pairs.join(a, "a").join(b, "b").withColumn("most", _edits_of_texts())
-    return stage(met.where(F.expr("levenshtein(x, y, most)") >= 0).select("a", "b"), "line-links")[0]
+    met = _without_start(_without_start(pairs.join(a, "a").join(b, "b").withColumn("most", _edits_of_texts())))
+    near = F.when(F.greatest(F.length("x"), F.length("y")) <= F.col("most"), True).when(_edits_of_pieces(8) <= F.col("most"), True)
+    near = near.otherwise(F.expr("levenshtein(x, y, most)") >= 0)
+    # Chosen after it is written: a filter would be moved below the columns that it is made of, and compute these again and again.
+    return stage(met.select("a", "b", near.alias("near")), "line-links")[0].where("near").select("a", "b")
 
 
 def _edits_of_texts() -> Column:
@@ -149,7 +185,7 @@ def _edits_of_texts() -> Column:
 
 
 def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(occurrences with h1 and h2, lines with h1, h2, `label` and `n`, their number). Lines with one label are one group.
+    """(occurrences with h1 and h2, lines with h1, h2 and `label`). Lines with one label are one group; lines that occur once and are linked with none are left out.
 
     `rows` has part, row and text and is bucketed by part; `plain` has the same rows.
     """
@@ -160,34 +196,28 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
     long = (F.length("line") > 2 * _LONG) & (spaces >= _LONG)
     short, long = _named_lines(found.where(~long)), _named_lines(found.where(long))
     occ, _ = stage(short_simhashes(short).unionByName(long_simhashes(long)), "occurrences")
-    rows = plain
     lines = occ.groupBy("h1", "h2").agg(F.min("sim").alias("sim"), F.min("size").alias("size"), F.count("*").alias("n"))
     lines, _ = stage(lines.withColumn("line", F.monotonically_increasing_id()), "lines")
+    measured = lines.select("line", "sim", "size")
     keys = lines.select("line", F.explode(block_keys()).alias("key"))
-    met = keys.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.count("*").alias("n")).where("a <> b")
+    # Most keys have one line: moved as they are, they take half the room of sums made before.
+    met = keys.repartition("key").groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.count("*").alias("n")).where("a <> b")
     met, _ = stage(met, "line-keys")
-    several = met.where("n > 2").select("key", "a")
-    listed, _ = stage(likely(keys, "key", several).join(several, "key").select("key", "line", "a"), "line-lists")
-    pairs = met.select("a", "b").union(listed.where("line <> a").select("a", F.col("line").alias("b"))).distinct()
-    measured = lines.select("line", "sim", "size")
-
-    def near(pairs: DataFrame, measured: DataFrame) -> DataFrame:
-        a, b = (_named(measured, end).withColumnRenamed(f"line{end}", end[1]) for end in ("_a", "_b"))
-        return stage(pairs.join(a, "a").join(b, "b").where(_near("_a", "_b")).select("a", "b"), "line-pairs")[0]
-
-    tested = near(pairs, measured)
-    ends = tested.select(F.col("a").alias("line")).union(tested.select(F.col("b").alias("line")))
-    texts = _texts(lines, ends.union(listed.select("line")).distinct(), rows)
-    links = _verified(tested, texts)
-    # Lines of longer lists: first those that agree on more blocks, so that what lies close together is one component
+    several = met.where("n > 2").select("key", "a", "n")
+    listed, _ = stage(likely(keys, "key", several).join(several, "key").select("key", "line", "a", "n"), "line-lists")
+    # Lines of long lists meet those that agree on more blocks as well, so that what lies close together is one component
     # before the lists are compared pair by pair.
-    crowd, _ = stage(listed.select("line").distinct().join(measured, "line"), "crowded-lines")
-    for agree in range(BLOCKS, BLOCKS - DISTANCE, -1):
-        keys = crowd.select("line", F.explode(block_keys(agree)).alias("key"))
-        first = keys.groupBy("key").agg(F.min("line").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-        pairs = keys.join(first, "key").where("line <> a").select("a", F.col("line").alias("b")).distinct()
-        pairs = near(pairs.join(tested, ["a", "b"], "left_anti"), crowd)
-        links, tested = links.union(_verified(pairs, texts)), tested.union(pairs)
+    crowd, _ = stage(listed.where(F.col("n") > CROWD).select("line").distinct().join(measured, "line"), "crowded-lines")
+    closer = F.concat(*[block_keys(agree) for agree in range(BLOCKS, BLOCKS - DISTANCE, -1)])
+    closer = crowd.select("line", F.explode(closer).alias("key"))
+    first = closer.groupBy("key").agg(F.min("line").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    closer = closer.join(first, "key")
+    pairs = met.select("a", "b")
+    for members in (listed, closer):
+        pairs = pairs.union(members.where("line <> a").select("a", F.col("line").alias("b")))
+    a, b = (_named(measured, end).withColumnRenamed(f"line{end}", end[1]) for end in ("_a", "_b"))
+    tested, _ = stage(pairs.distinct().join(a, "a").join(b, "b").where(_near("_a", "_b")).select("a", "b"), "line-pairs")
+    links = _verified(tested, _texts(_ends(tested), lines, occ, plain))
     labels = components(links)
     known = listed.join(labels.withColumnRenamed("node", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
     open_keys = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
@@ -198,19 +228,18 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
     rest = rest.select(F.col("line_a").alias("a"), F.col("line_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     rest, _ = stage(rest, "open-line-pairs")
     if rest.limit(1).count():
-        labels = components(links.union(_verified(rest, texts)))
-    lines = lines.join(labels.withColumnRenamed("node", "line"), "line", "left").select("h1", "h2", "n", F.coalesce("label", "line").alias("label"))
-    return occ, lines
+        labels = components(links.union(_verified(rest, _texts(_ends(rest), lines, occ, plain))))
+    # A line that is linked is in a group of two lines at least, any other one is a group by itself.
+    marked = lines.join(labels.withColumnRenamed("node", "line"), "line", "left").where("n > 1 OR label IS NOT NULL")
+    return occ, marked.select("h1", "h2", F.coalesce("label", "line").alias("label"))
 
 
 def repeated_lines(rows: DataFrame, plain: DataFrame) -> DataFrame:
     """(row, places): the places of the lines that go, for each row that has some. `rows` as in `line_groups`, and id."""
     occ, lines = line_groups(rows, plain)
-    # Groups are counted and chosen on lines, one row each, so that a line that is everywhere is no hot key.
     lines, _ = stage(lines, "line-labels")
-    sizes = lines.groupBy("label").agg(F.sum("n").alias("of")).where("of > 1").select("label")
-    shared = lines.join(sizes, "label").select("h1", "h2", "label")
-    occ, _ = stage(occ.join(shared, ["h1", "h2"]).select("row", "place", "label").join(plain.select("row", "id"), "row"), "shared-lines")
+    occ = likely(occ.select("row", "place", "h1", "h2"), "h1", lines).join(lines, ["h1", "h2"]).select("row", "place", "label")
+    occ, _ = stage(occ.join(plain.select("row", "id"), "row"), "shared-lines")
     first = occ.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "place")).alias("first"))
     again = occ.join(first.select("first.row", "first.place"), ["row", "place"], "left_anti")
     # A list is never longer than the lines of its document.

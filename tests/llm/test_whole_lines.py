@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from framestore.llm.lines import dedup_lines
+import random
+
+import brute
+from pyspark.sql import functions as F
+
+from framestore.llm.lines import _verified, block_keys, dedup_lines
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -24,3 +29,39 @@ def test_long_lines_link_at_the_full_tenth(spark):
     words = [f"word{k % 100:02d}" for k in range(2000)]
     near, far = (words[:1000] + words[1000 + n :] for n in (60, 400))
     assert kept(spark, [" ".join(x) for x in (words, near, far)]) == [" ".join(words), "", " ".join(far)]
+
+
+def test_edits_of_shortened_texts_are_those_of_the_whole(spark):
+    """What both begin or end with is cut off, and pieces are only an upper bound: the verdict is that of the plain distance."""
+    draw = random.Random(5)
+    texts = []
+    for n in (1, 9, 10, 37, 200, 640):
+        one = "".join(draw.choice("abcdé ") for _ in range(n))
+        texts += [(one, one), (one, one[::-1]), (one, one + "x" * (n // 10)), (one, "y" * (n // 10 + 1) + one)]
+        for changes in (1, max(1, n // 12), n // 10 + 1, n // 5 + 1):
+            other = list(one)
+            for _ in range(changes):
+                other[draw.randrange(len(other))] = draw.choice(["z", "", "zz"])
+            texts.append((one, "".join(other)))
+    nodes = spark.createDataFrame([(2 * k + i, x) for k, pair in enumerate(texts) for i, x in enumerate(pair)], "line bigint, norm string")
+    pairs = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(len(texts))], "a bigint, b bigint")
+    got = {r["a"] // 2 for r in _verified(pairs, nodes).collect()}
+    assert got == {k for k, (x, y) in enumerate(texts) if brute.edits(x, y) <= max(len(x), len(y)) // 10}
+
+
+def test_lines_meet_at_distance_3_but_not_on_25_equal_bits(spark):
+    """Keys of 25 bits made lists of unlike lines, which grew with the square of the input."""
+    draw = random.Random(7)
+    pairs = []
+    for k in range(200):
+        one = draw.getrandbits(63)
+        other = one
+        for b in draw.sample(range(63), 3):
+            other ^= 1 << b
+        pairs.append((k, one, other))
+    whole = (1 << 63) - 1
+    pairs += [(200 + k, x, x ^ (whole >> 25 << 25)) for k, (_, x, _) in enumerate(pairs[:20])]
+    pairs = spark.createDataFrame(pairs, "k int, x bigint, y bigint")
+    keys = [pairs.select("k", F.col(c).alias("sim")).select("k", F.explode(block_keys()).alias("key")) for c in "xy"]
+    met = keys[0].join(keys[1], ["k", "key"]).select("k").distinct()
+    assert sorted(r["k"] for r in met.collect()) == list(range(200))
