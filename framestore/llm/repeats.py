@@ -77,7 +77,8 @@ def _anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     new[1:] = (anchor[1:] != anchor[:-1]) | (windows[1:] != windows[:-1] + 1)
     start = np.flatnonzero(new)
     end = np.concatenate([start[1:], [len(windows)]]) - 1 if len(start) else start
-    return windows[start], windows[end], anchor[start], grams[anchor[start]]
+    # The least hashes are small numbers, by whose first bits nearly all would be dealt to the first buckets: scrambled again.
+    return windows[start], windows[end], anchor[start], mix(grams[anchor[start]])
 
 
 def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -291,7 +292,7 @@ _WINDOWS_AT_ONCE = 1 << 18
 
 
 def first_holders(dealt: DataFrame) -> DataFrame:
-    """(part, numbers, lo, hi, ids): for windows lo to hi of a run, the smallest id that has them elsewhere."""
+    """(part, numbers, lo, hi, ids): for windows lo to hi of a run, the smallest id that has them elsewhere, if it is less than that of the run."""
 
     def resolve(pieces: list) -> Iterator[pa.RecordBatch]:
         part = np.repeat(np.array([p[0] for p in pieces]), [len(p[1]) for p in pieces])
@@ -303,7 +304,9 @@ def first_holders(dealt: DataFrame) -> DataFrame:
         runs = Runs(data, ids, key, content, left, start, size).compared()
         of, one = runs.group, runs.one
         base = ids[one]
-        found: list[tuple] = [(np.arange(len(ids)), np.zeros(len(ids), np.int64), size - DEPTH, base[of])]
+        # A part knows the ids that it has itself.
+        less = np.flatnonzero(base[of] < ids)
+        found: list[tuple] = [(less, np.zeros(len(less), np.int64), size[less] - DEPTH, base[of[less]])]
         # Keys with several runs: window by window, whole keys at a time.
         k = key[one]
         _, inverse, n = np.unique(k, return_inverse=True, return_counts=True)
@@ -337,6 +340,8 @@ def first_holders(dealt: DataFrame) -> DataFrame:
             pick = _ragged(a, b - a)
             found.append((entry, lo[pick], hi[pick], least[pick]))
         entry, lo, hi, least = (np.concatenate(x) for x in zip(*found))
+        if not len(entry):
+            return
         order = np.argsort(part[entry], kind="stable")
         entry, lo, hi, least = entry[order], lo[order], hi[order], least[order]
         parts, at = np.unique(part[entry], return_index=True)
@@ -382,6 +387,9 @@ def remove_held(rows: DataFrame, grams: DataFrame, holders: DataFrame, bits: int
         edge = np.zeros(len(runs.data) + 1, dtype=np.int32)
         np.add.at(edge, runs.start[run_of] + lo[pick], 1)
         np.add.at(edge, runs.start[run_of] + hi[pick] + DEPTH, -1)
+        again = np.flatnonzero(runs.ids[runs.one][runs.group] < runs.ids)
+        np.add.at(edge, runs.start[again], 1)
+        np.add.at(edge, runs.start[again] + runs.size[again], -1)
         covered = np.cumsum(edge, dtype=np.int32) > 0
         tables, base = [], 0
         for piece in _pieces(texts):
