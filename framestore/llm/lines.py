@@ -5,10 +5,10 @@ space; words are what the spaces separate. Two lines link when the SimHashes of
 their edit distance is at most a tenth of the longer line, whatever its length. Of every
 connected group of lines one occurrence stays, the first by (document id, row, place).
 
-Equal lines are one node. Lines meet under pigeonhole blocks: the hash is cut into `BLOCKS`, and lines at
-most DISTANCE apart agree on some BLOCKS - DISTANCE of them, the bits of which make a key. So many bits are in a key that
-different lines seldom meet by chance. Of a key with two lines the pair is tested. Of a key with more, each is tested against the
-first one, and those of more than `CROWD` lines again under the keys of more blocks, where closer lines meet. Only pairs that are
+Equal lines are one node. Lines meet under pigeonhole blocks: the hash is cut into eight, the points of a space over two
+numbers, any three of which lie in one of its 14 planes. So lines at most `DISTANCE` apart agree on all blocks outside some plane, and
+the bits of these four make a key. So many bits are in a key that different lines seldom meet by chance. Of a key with two lines the pair is tested. Of a key with more, each is tested against the
+first one, and those of more than `CROWD` lines again under the keys of more of `BLOCKS` blocks, where closer lines meet. Only pairs that are
 still in different components are then compared one by one, so a thousand variants of a line do not become all of their pairs, and
 no link between components is lost.
 
@@ -29,10 +29,6 @@ from framestore.session import stage
 BITS, DISTANCE, BLOCKS = 63, 3, 6
 #: Lines of more than these under one key also meet under the keys of more blocks.
 CROWD = 16
-_LANES = sum(1 << (9 * j) for j in range(7))
-_LONG = 511
-
-
 #: White space and ASCII punctuation, the classes s and p{Punct} of Java, one by one: Java looks such a class up in a table.
 _PLAIN = r"""\t\n\x0B\f\r !"#$%&'()*+,\-./:;<=>?@\[\\\]\^_`{|}~"""
 
@@ -41,58 +37,58 @@ def normal(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), f"[{_PLAIN}]+", " "))
 
 
-def _hash_of_bits(sums: str, n: str) -> str:
-    """SQL of the SimHash: bit i is set if more than half of the n word hashes have it.
-
-    A counter has nine bits; `sums`, with {k} for k, are nine numbers of seven counters each, for the bits k, k + 9, ...
-    """
-    return " | ".join(
-        f"shiftleft(shiftrightunsigned({sums.format(k=k)} + (255 - {n} DIV 2) * {_LANES}L, 8) & {_LANES}L, {k})" for k in range(9)
-    )
-
-
 _WORD_HASH = "xxhash64(word) & 9223372036854775807L"
 
 
-def short_simhashes(lines: DataFrame) -> DataFrame:
-    """(row, place, h1, h2, size, sim) of lines of up to 511 words, counters added up in one pass over the words.
+def _majority(width: int) -> str:
+    """SQL of the SimHash of the word hashes `hashes`, n of them, less than 2 ** width: bit i is set if more than half have it.
 
-    The lines are grouped within the partition that has their row, so nothing moves.
+    `width` divides 63. A counter has so many bits; so many sums of 63 / width counters each count the bits k, k + width, ...
     """
-    words = lines.select("part", "row", "place", "h1", "h2", "size", F.explode(F.array_distinct(F.split("norm", " ", -1))).alias("word"))
-    words = words.withColumn("h", F.expr(_WORD_HASH))
-    lanes = [F.sum(F.expr(f"shiftright(h, {k}) & {_LANES}L")).alias(f"s{k}") for k in range(9)]
-    one = [F.max(c).alias(c) for c in ("h1", "h2", "size")]
-    sums = words.groupBy("part", "row", "place").agg(*lanes, *one, F.count("*").alias("n"))
-    return sums.select("row", "place", "h1", "h2", "size", F.expr(_hash_of_bits("s{k}", "n")).alias("sim"))
-
-
-def long_simhashes(lines: DataFrame) -> DataFrame:
-    """The same for longer lines: every bit is counted by itself."""
-    hashes = f"transform(array_distinct(split(norm, ' ', -1)), word -> {_WORD_HASH})"
-    bits = (
-        f"aggregate(sequence(0, {BITS - 1}), 0L, (b, k) -> b | CASE WHEN 2 * aggregate(h, 0L, (a, x) -> a + (shiftrightunsigned(x, k) & 1)) "
-        "> size(h) THEN shiftleft(1L, k) ELSE 0L END)"
+    lanes = sum(1 << (width * j) for j in range(BITS // width))
+    sums = [f"aggregate(hashes, 0L, (a, x) -> a + (shiftright(x, {k}) & {lanes}L))" for k in range(width)]
+    half = f"({(1 << (width - 1)) - 1} - size(hashes) DIV 2) * {lanes}L"
+    return " | ".join(f"shiftleft(shiftrightunsigned({x} + {half}, {width - 1}) & {lanes}L, {k})" for k, x in enumerate(sums))
+
+
+def simhash() -> Column:
+    """The SimHash of the array `hashes`. Longer lines take wider counters; in the longest every bit is counted by itself."""
+    each = (
+        f"aggregate(sequence(0, {BITS - 1}), 0L, (b, k) -> b | CASE WHEN 2 * aggregate(hashes, 0L, (a, x) -> a + (shiftrightunsigned(x, k) & 1)) "
+        "> size(hashes) THEN shiftleft(1L, k) ELSE 0L END)"
     )
-    return lines.select("row", "place", "h1", "h2", "size", F.expr(f"transform(array({hashes}), h -> {bits})[0]").alias("sim"))
+    return F.expr(f"CASE WHEN size(hashes) < 128 THEN {_majority(7)} WHEN size(hashes) < 512 THEN {_majority(9)} ELSE {each} END")
 
 
-def block_keys(agree: int = BLOCKS - DISTANCE) -> Column:
-    """A key for each choice of `agree` blocks of `sim`: their bits, and which blocks they are."""
-    edges = [BITS * i // BLOCKS for i in range(BLOCKS + 1)]
-    masks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
-    chosen = [sum(c) for c in combinations(masks, agree)]
+def _keys(chosen: list[int]) -> Column:
+    """A key for each mask: the bits of `sim` under it, and which mask it is."""
     # Five bytes tell the keys apart, and three bytes of zeros take no room when they are moved.
     return F.array(*[F.xxhash64(F.lit(i), F.col("sim").bitwiseAND(F.lit(m))).bitwiseAND(F.lit((1 << 40) - 1)) for i, m in enumerate(chosen)])
 
 
-_FILTER_BITS = 20
+def _masks(blocks: int) -> list[int]:
+    edges = [BITS * i // blocks for i in range(blocks + 1)]
+    return [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
+
+
+def block_keys() -> Column:
+    """The keys of `sim` one of which any hash at most DISTANCE bits apart has, too: the bits in each plane of the eight blocks."""
+    masks = _masks(8)
+    return _keys([sum(masks[i] for i in range(8) if (i & a).bit_count() % 2 == c) for a in range(1, 8) for c in (0, 1)])
+
+
+def closer_keys(agree: int) -> Column:
+    """A key for each choice of `agree` of BLOCKS blocks of `sim`."""
+    return _keys([sum(c) for c in combinations(_masks(BLOCKS), agree)])
+
 
+_FILTER_BITS = 22
 
-def likely(df: DataFrame, column: str, wanted: DataFrame, name: str | None = None, outside: bool = False) -> DataFrame:
-    """The rows of `df` whose `column` may be among `wanted[name]`; with `outside` the rows for which it cannot be.
 
-    The filter is a table of 2 ** 20 bits, 64 to a row, whatever the input.
+def likely(df: DataFrame, column: str, wanted: DataFrame, name: str | None = None) -> DataFrame:
+    """The rows of `df` whose `column` may be among `wanted[name]`.
+
+    The filter is a table of 2 ** 22 bits, 64 to a row, whatever the input.
     """
     place = lambda c: F.shiftrightunsigned(F.xxhash64(F.lit("filter"), c), 64 - _FILTER_BITS)
     bit = lambda p: F.expr(f"shiftleft(1L, CAST({p} & 63 AS int))")
@@ -100,26 +96,18 @@ def likely(df: DataFrame, column: str, wanted: DataFrame, name: str | None = Non
     words = F.broadcast(words.agg(F.bit_or(bit("__p")).alias("__bits")))
     met = df.withColumn("__at", place(F.col(column))).withColumn("__word", F.shiftright("__at", 6)).join(words, "__word", "left")
     hit = F.coalesce(F.col("__bits"), F.lit(0)).bitwiseAND(bit("__at")) != 0
-    return met.where(~hit if outside else hit).select(*[F.col(f"`{c}`") for c in df.columns])
-
-
-def _lines(rows: DataFrame) -> DataFrame:
-    """The columns of `rows` but for `text`, and place and line of every line whose normal form is not empty."""
-    kept = [c for c in rows.columns if c != "text"]
-    lines = rows.select(*kept, F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    return lines.where(F.col("line").rlike(f"[^{_PLAIN}]"))
-
-
-def _named_lines(lines: DataFrame) -> DataFrame:
-    """norm, h1, h2 and size in the place of line."""
-    kept = [c for c in lines.columns if c != "line"]
-    hashes = [F.xxhash64(F.lit(salt), "norm").alias(c) for c, salt in (("h1", "one"), ("h2", "two"))]
-    return lines.select(*kept, normal(F.col("line")).alias("norm")).select("*", *hashes, F.length("norm").alias("size"))
+    return met.where(hit).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
-    """The columns of `rows` but for `text`, and place, norm, h1, h2 and size of every line whose normal form is not empty."""
-    return _named_lines(_lines(rows))
+    """The columns of `rows` but for `text`, and place, h1, h2, size and sim of every line whose normal form is not empty."""
+    kept = [c for c in rows.columns if c != "text"]
+    lines = rows.select(*kept, F.posexplode(F.split("text", "\n", -1)).alias("place", "line")).where(F.col("line").rlike(f"[^{_PLAIN}]"))
+    lines = lines.select(*kept, "place", normal(F.col("line")).alias("norm"))
+    names = [F.xxhash64(F.lit(salt), "norm").alias(c) for c, salt in (("h1", "one"), ("h2", "two"))]
+    hashes = F.expr(f"transform(array_distinct(split(norm, ' ', -1)), word -> {_WORD_HASH})").alias("hashes")
+    lines = lines.select(*kept, "place", *names, F.length("norm").alias("size"), hashes)
+    return lines.withColumn("sim", simhash()).drop("hashes")
 
 
 def _near(a: str, b: str) -> Column:
@@ -140,25 +128,48 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("line")).union(pairs.select(F.col("b").alias("line"))).distinct()
 
 
+def _by_part(found: DataFrame, *columns: str) -> DataFrame:
+    """(part, found): for each part a map from its rows to lists of `columns`, one row per part. It is never longer than the part's lines."""
+    # Both groupings are made where the rows of a part are.
+    one = found.repartition("part").groupBy("part", "row").agg(F.collect_list(F.struct(*columns)).alias("list"))
+    return one.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("row", "list"))).alias("found"))
+
+
+def _with_found(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """`rows`, bucketed by part, and the list `found` of each. Only what was found is moved."""
+    return rows.join(found, "part", how).withColumn("found", F.try_element_at("found", F.col("row")))
+
+
 def _texts(wanted: DataFrame, lines: DataFrame, occ: DataFrame, rows: DataFrame) -> DataFrame:
     """(line, norm) of the wanted lines, each from the first row that has it: only those rows are split again."""
-    wanted, _ = stage(lines.join(wanted, "line").select("line", "h1", "h2"), "wanted-lines")
-    held = likely(occ.select("row", "place", "h1", "h2"), "h1", wanted).join(wanted, ["h1", "h2"])
-    first = held.groupBy("line").agg(F.min(F.struct("row", "place")).alias("at")).select("line", "at.row", "at.place")
-    first, _ = stage(first.withColumn("at", F.xxhash64("row", "place")), "wanted-places")
-    split = _lines(likely(rows.select("row", "text"), "row", first)).withColumnRenamed("line", "text")
-    split = likely(split.withColumn("at", F.xxhash64("row", "place")), "at", first).drop("at")
-    return stage(split.join(first, ["row", "place"]).select("line", normal(F.col("text")).alias("norm")), "line-texts")[0]
+    wanted, _ = stage(likely(lines, "line", wanted).join(wanted, "line").select("line", "h1", "h2"), "wanted-lines")
+    held = likely(occ.select("part", "row", "place", "h1", "h2"), "h1", wanted).join(wanted, ["h1", "h2"])
+    first = held.groupBy("line").agg(F.min(F.struct("row", "place", "part")).alias("at")).select("line", "at.*")
+    first, _ = stage(_by_part(first, "line", "place"), "wanted-places")
+    split = _with_found(rows.select("part", "row", "text"), first, "inner").where("found IS NOT NULL")
+    split = split.select("found", F.split("text", "\n", -1).alias("lines"))
+    taken = F.transform("found", lambda x: F.struct(x["line"].alias("line"), F.get("lines", x["place"]).alias("text")))
+    return stage(split.select(F.inline(taken)).select("line", normal(F.col("text")).alias("norm")), "line-texts")[0]
+
+
+_PIECE, _ANCHOR, _SHIFT, _OPEN = 32, 10, 48, 512
 
 
-def _edits_of_pieces(n: int) -> Column:
-    """The edits when both texts are cut at the same n - 1 shares of their lengths: as many as between the whole texts, or more.
+def _edits_between_anchors() -> Column:
+    """The edits of x and y cut where both have the same characters: as many as between the whole texts, or more.
 
-    The work grows with the square of a length, so this is the cheaper the more pieces there are.
+    Of every _PIECE characters of x the first _ANCHOR are looked up in y, at most _SHIFT characters from where they are after the last ones
+    found. Pieces longer than _OPEN count by their length, so the work grows with the length of a line, not with its square.
     """
-    cut = lambda t, i: f"CAST(length({t}) * {i}L DIV {n} AS int)"
-    piece = lambda t, i: f"substring({t}, {cut(t, i)} + 1, {cut(t, i + 1)} - {cut(t, i)})"
-    return F.expr(" + ".join(f"levenshtein({piece('x', i)}, {piece('y', i)})" for i in range(n)))
+    edits = "IF(greatest(length({x}), length({y})) <= " + str(_OPEN) + ", levenshtein({x}, {y}), greatest(length({x}), length({y})))"
+    before = f"greatest(s.y, s.y + i * {_PIECE} - s.x - {_SHIFT})"
+    found = f"instr(substring(y, {before} + 1, {2 * _SHIFT + _ANCHOR}), substring(x, i * {_PIECE} + 1, {_ANCHOR}))"
+    piece = edits.format(x=f"substring(x, s.x + 1, i * {_PIECE} - s.x)", y="substring(y, s.y + 1, at - s.y)")
+    cut = f"named_struct('x', i * {_PIECE}, 'y', at, 'n', s.n + {piece})"
+    step = f"transform(array(IF({found} > 0, {before} + {found} - 1, -1)), at -> IF(at >= 0, {cut}, s))[0]"
+    rest = edits.format(x="substring(x, s.x + 1)", y="substring(y, s.y + 1)")
+    places = f"filter(sequence(0, CAST(length(x) DIV {_PIECE} AS int)), i -> i > 0 AND i * {_PIECE} < length(x))"
+    return F.expr(f"aggregate({places}, named_struct('x', 0, 'y', 0, 'n', 0), (s, i) -> {step}, s -> s.n + {rest})")
 
 
 def _without_start(pairs: DataFrame) -> DataFrame:
@@ -174,7 +185,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("line").alias("a"), F.col("norm").alias("x"))
     b = texts.select(F.col("line").alias("b"), F.col("norm").alias("y"))
     met = _without_start(_without_start(pairs.join(a, "a").join(b, "b").withColumn("most", _edits_of_texts())))
-    near = F.when(F.greatest(F.length("x"), F.length("y")) <= F.col("most"), True).when(_edits_of_pieces(8) <= F.col("most"), True)
+    near = F.when(F.greatest(F.length("x"), F.length("y")) <= F.col("most"), True)
+    near = near.when(_edits_between_anchors() <= F.col("most"), True)
     near = near.otherwise(F.expr("levenshtein(x, y, most)") >= 0)
     # Chosen after it is written: a filter would be moved below the columns that it is made of, and compute these again and again.
     return stage(met.select("a", "b", near.alias("near")), "line-links")[0].where("near").select("a", "b")
@@ -184,18 +196,12 @@ def _edits_of_texts() -> Column:
     return F.floor(F.greatest(F.length("x"), F.length("y")) / 10).cast("int")
 
 
-def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame]:
+def line_groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(occurrences with h1 and h2, lines with h1, h2 and `label`). Lines with one label are one group; lines that occur once and are linked with none are left out.
 
-    `rows` has part, row and text and is bucketed by part; `plain` has the same rows.
+    `rows` has part, row, id and text and is bucketed by part.
     """
-    found = _lines(rows.select("part", "row", "text"))
-    # So many words take at least a space less than twice as many characters: spaces of shorter lines are not counted.
-    norm = normal(F.col("line"))
-    spaces = F.length(norm) - F.length(F.translate(norm, " ", ""))
-    long = (F.length("line") > 2 * _LONG) & (spaces >= _LONG)
-    short, long = _named_lines(found.where(~long)), _named_lines(found.where(long))
-    occ, _ = stage(short_simhashes(short).unionByName(long_simhashes(long)), "occurrences")
+    occ, _ = stage(occurrences(rows), "occurrences")
     lines = occ.groupBy("h1", "h2").agg(F.min("sim").alias("sim"), F.min("size").alias("size"), F.count("*").alias("n"))
     lines, _ = stage(lines.withColumn("line", F.monotonically_increasing_id()), "lines")
     measured = lines.select("line", "sim", "size")
@@ -207,43 +213,48 @@ def line_groups(rows: DataFrame, plain: DataFrame) -> tuple[DataFrame, DataFrame
     listed, _ = stage(likely(keys, "key", several).join(several, "key").select("key", "line", "a", "n"), "line-lists")
     # Lines of long lists meet those that agree on more blocks as well, so that what lies close together is one component
     # before the lists are compared pair by pair.
-    crowd, _ = stage(listed.where(F.col("n") > CROWD).select("line").distinct().join(measured, "line"), "crowded-lines")
-    closer = F.concat(*[block_keys(agree) for agree in range(BLOCKS, BLOCKS - DISTANCE, -1)])
+    crowded = listed.where(F.col("n") > CROWD).select("line").distinct()
+    crowd, _ = stage(likely(measured, "line", crowded).join(crowded, "line"), "crowded-lines")
+    closer = F.concat(*[closer_keys(agree) for agree in range(BLOCKS, BLOCKS - DISTANCE, -1)])
     closer = crowd.select("line", F.explode(closer).alias("key"))
     first = closer.groupBy("key").agg(F.min("line").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
     closer = closer.join(first, "key")
     pairs = met.select("a", "b")
     for members in (listed, closer):
         pairs = pairs.union(members.where("line <> a").select("a", F.col("line").alias("b")))
-    a, b = (_named(measured, end).withColumnRenamed(f"line{end}", end[1]) for end in ("_a", "_b"))
-    tested, _ = stage(pairs.distinct().join(a, "a").join(b, "b").where(_near("_a", "_b")).select("a", "b"), "line-pairs")
-    links = _verified(tested, _texts(_ends(tested), lines, occ, plain))
+    pairs, _ = stage(pairs.distinct(), "line-candidates")
+    in_pairs = pairs.select(F.explode(F.array("a", "b")).alias("line"))
+    ends, _ = stage(likely(measured, "line", in_pairs), "line-ends")
+    a, b = (_named(ends, end).withColumnRenamed(f"line{end}", end[1]) for end in ("_a", "_b"))
+    tested, _ = stage(pairs.join(a, "a").join(b, "b").where(_near("_a", "_b")).select("a", "b"), "line-pairs")
+    links = _verified(tested, _texts(_ends(tested), lines, occ, rows))
     labels = components(links)
     known = listed.join(labels.withColumnRenamed("node", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
     open_keys = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    known = known.join(open_keys, "key").join(measured, "line").select("key", "line", "label", "sim", "size")
+    # Lines of lists are in pairs.
+    known = known.join(open_keys, "key").join(ends, "line").select("key", "line", "label", "sim", "size")
     known, _ = stage(known, "open-lines")
     rest = _named(known, "_a").withColumnRenamed("key_a", "key").join(_named(known, "_b").withColumnRenamed("key_b", "key"), "key")
     rest = rest.where((F.col("line_a") < F.col("line_b")) & (F.col("label_a") != F.col("label_b")) & _near("_a", "_b"))
     rest = rest.select(F.col("line_a").alias("a"), F.col("line_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     rest, _ = stage(rest, "open-line-pairs")
     if rest.limit(1).count():
-        labels = components(links.union(_verified(rest, _texts(_ends(rest), lines, occ, plain))))
+        labels = components(links.union(_verified(rest, _texts(_ends(rest), lines, occ, rows))))
     # A line that is linked is in a group of two lines at least, any other one is a group by itself.
-    marked = lines.join(labels.withColumnRenamed("node", "line"), "line", "left").where("n > 1 OR label IS NOT NULL")
+    marked = lines.where("n > 1").unionByName(likely(lines.where("n = 1"), "line", labels, "node"))
+    marked = marked.join(labels.withColumnRenamed("node", "line"), "line", "left").where("n > 1 OR label IS NOT NULL")
     return occ, marked.select("h1", "h2", F.coalesce("label", "line").alias("label"))
 
 
-def repeated_lines(rows: DataFrame, plain: DataFrame) -> DataFrame:
-    """(row, places): the places of the lines that go, for each row that has some. `rows` as in `line_groups`, and id."""
-    occ, lines = line_groups(rows, plain)
+def repeated_lines(rows: DataFrame) -> DataFrame:
+    """(part, found): the places of the lines that go, as in `_by_part`. `rows` as in `line_groups`."""
+    occ, lines = line_groups(rows)
     lines, _ = stage(lines, "line-labels")
-    occ = likely(occ.select("row", "place", "h1", "h2"), "h1", lines).join(lines, ["h1", "h2"]).select("row", "place", "label")
-    occ, _ = stage(occ.join(plain.select("row", "id"), "row"), "shared-lines")
+    occ = likely(occ.select("part", "row", "id", "place", "h1", "h2"), "h1", lines).join(lines, ["h1", "h2"])
+    occ, _ = stage(occ.select("part", "row", "id", "place", "label"), "shared-lines")
     first = occ.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "place")).alias("first"))
     again = occ.join(first.select("first.row", "first.place"), ["row", "place"], "left_anti")
-    # A list is never longer than the lines of its document.
-    return again.groupBy("row").agg(F.collect_list("place").alias("places"))
+    return _by_part(again, "place")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,17 +268,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     id_, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
-    with kept_by_part(inner.withColumn("row", F.monotonically_increasing_id())) as (kept, rows):
+    with kept_by_part(inner.withColumn("row", F.monotonically_increasing_id())) as (kept, _):
         cut = [F.col("row"), F.col(id_).alias("id"), F.col(text).alias("text")]
-        gone, _ = stage(repeated_lines(kept.select("part", *cut), rows.select("part", *cut)), "line-places")
+        gone, _ = stage(repeated_lines(kept.select("part", *cut)), "line-places")
     lines = F.split(F.col(text), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("places", i)), "\n")
-    some = likely(rows, "row", gone).join(gone, "row", "left")
-    none = likely(rows, "row", gone, outside=True).withColumn("places", F.lit(None).cast("array<int>"))
-    both = some.unionByName(none).withColumns({
+    # The frame knows the buckets of its files also when the table has left the catalog.
+    both = _with_found(kept, gone, "left").withColumn("places", F.col("found.place"))
+    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("places", i)), "\n")
+    both = both.withColumns({
         "n_lines": F.coalesce(F.size(lines), F.lit(0)),
         "n_removed": F.when(F.col("places").isNull(), 0).otherwise(F.size("places")),
-        text: F.when(F.col("places").isNull(), F.col(text)).otherwise(kept),
+        text: F.when(F.col("places").isNull(), F.col(text)).otherwise(left),
     })
     own = [F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n not in ("n_lines", "n_removed")]
     return both.select(*own, "n_lines", "n_removed")

@@ -7,7 +7,7 @@ import random
 import brute
 from pyspark.sql import functions as F
 
-from framestore.llm.lines import _verified, block_keys, dedup_lines
+from framestore.llm.lines import _edits_between_anchors, _verified, block_keys, dedup_lines, simhash
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -65,3 +65,46 @@ def test_lines_meet_at_distance_3_but_not_on_25_equal_bits(spark):
     keys = [pairs.select("k", F.col(c).alias("sim")).select("k", F.explode(block_keys()).alias("key")) for c in "xy"]
     met = keys[0].join(keys[1], ["k", "key"]).select("k").distinct()
     assert sorted(r["k"] for r in met.collect()) == list(range(200))
+
+
+def test_few_keys_are_moved_and_no_texts(spark):
+    """A line had 20 keys, and the texts of all documents that lose lines were moved to the places of these."""
+    assert spark.range(1).select(F.lit(5).cast("bigint").alias("sim")).select(F.size(block_keys()).alias("n")).first()["n"] == 14
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = dedup_lines(spark.createDataFrame([(k, f"same line\nown line {k * k}") for k in range(50)], SCHEMA))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan
+        assert sum(r["n_removed"] for r in got.collect()) >= 49
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_pieces_between_anchors_bound_the_edits(spark):
+    """Words put in move the rest of a line, so pieces at fixed shares of it differ throughout."""
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abcdeé") for _ in range(draw.randrange(2, 8)))
+    pairs = []
+    for n in (0, 1, 6, 31, 90, 120):
+        for changes in (0, 1, 3, 40):
+            words = [word() for _ in range(n)]
+            other = list(words)
+            for _ in range(changes):
+                k = draw.randrange(len(other) + 1)
+                other[k : k + draw.randrange(2)] = [word()]
+            pairs.append((" ".join(words), " ".join(other)))
+    got = spark.createDataFrame(pairs, "x string, y string").select("x", "y", _edits_between_anchors().alias("n")).collect()
+    exact = [brute.edits(r["x"], r["y"]) for r in got]
+    assert all(r["n"] >= e for r, e in zip(got, exact))
+    moved = [(r["n"], len(r["x"]) // 10) for r, e in zip(got, exact) if len(r["x"]) > 300 and e <= 30]
+    assert len(moved) >= 6 and all(n <= most for n, most in moved)
+
+
+def test_simhashes_of_all_lengths(spark):
+    """Counters of seven and nine bits, and of every bit by itself, at the lengths where one gives way to the next."""
+    words = [f"w{k}" for k in range(600)]
+    rows = [(" ".join(words[:n]),) for n in (1, 2, 3, 64, 127, 128, 255, 256, 511, 512, 600)]
+    hashes = F.expr("transform(split(norm, ' '), word -> xxhash64(word) & 9223372036854775807L)").alias("hashes")
+    got = spark.createDataFrame(rows, "norm string").select("norm", hashes).select("norm", simhash().alias("sim")).collect()
+    assert [r["sim"] for r in got] == [brute.simhash(r["norm"]) for r in got]
