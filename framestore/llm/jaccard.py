@@ -34,7 +34,7 @@ from framestore.llm.parts import DEALT, among, answers, by_part, deal, dealing,
 from framestore.llm.parts import low_bits, recurring, spans_of
 from framestore.llm.registry import query, table
 from framestore.llm.shingles import mix, sets
-from framestore.session import stage
+from framestore.session import delete_path, passing_tables, shuffles_dropped, stage
 
 WIDTH = 5
 #: Shingles in the frequency table, 8 bytes each; and the count from which a shingle may be in it.
@@ -210,12 +210,13 @@ def keys_of(size: int, first: bytes, small: int) -> tuple[np.ndarray, np.ndarray
 _ROWS_AT_ONCE = 1000
 
 
-def postings(classes: DataFrame, small: int) -> DataFrame:
-    """(key, class, size, place) of the keys that more than one set has.
+def postings(kept: DataFrame, small: int) -> tuple[DataFrame, str]:
+    """(key, class, size, place) of the keys that more than one of the sets, kept by part, has; and the path of this table.
 
     Keys are first dealt as bare numbers to find those; most belong to one set only and are never made into rows.
     """
-    n, bits = dealing(classes.sparkSession)
+    spark = kept.sparkSession
+    n, bits = dealing(spark)
 
     def keyed(table: pa.Table | pa.RecordBatch):
         found = [keys_of(s, f, small) for s, f in zip(table.column("size").to_pylist(), table.column("first").to_pylist())]
@@ -243,11 +244,13 @@ def postings(classes: DataFrame, small: int) -> DataFrame:
             ))
         return pa.concat_tables(parts) if parts else pa.schema(list(schema.items())).empty_table()
 
-    with kept_by_part(classes.select("class", "size", "first")) as (kept, _):
-        asked = kept.select("part", "size", "first").mapInArrow(ask, DEALT).repartition(n, "bucket")
+    asked = kept.select("part", "size", "first").mapInArrow(ask, DEALT).repartition(n, "bucket")
+    with passing_tables(spark) as lasting:
         shared, _ = stage(recurring(asked), "shared-keys")
-        lists = kept.groupBy("part").cogroup(shared.groupBy("part"))
-        return stage(lists.applyInArrow(list_shared, "key bigint, class bigint, size int, place int"), "lists")[0]
+        lists = kept.select("part", "class", "size", "first").groupBy("part").cogroup(shared.groupBy("part"))
+        listed = stage(lists.applyInArrow(list_shared, "key bigint, class bigint, size int, place int"), "lists")
+        lasting.append(listed[1])
+    return listed
 
 
 def _could_link(a: str, b: str):
@@ -278,24 +281,26 @@ def open_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return met.where(_could_link("a_", "b_")).select(F.col("a_class").alias("a"), F.col("b_class").alias("b")).distinct()
 
 
-FILTER_BITS = 20
+def filter_bits(n: int) -> int:
+    """The logarithm of the bits of a filter for n sets: 16 a set or more, so that few others pass; 2 ** 20 to 2 ** 27 bits."""
+    return min(27, max(20, (16 * n).bit_length()))
 
 
 def wanted_sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(class, shingles) of the classes in `pairs`, from a second look at the texts.
 
-    A filter of fixed size, 2 ** 20 bits, keeps most other texts from being moved. It only saves work.
+    A filter that grows with the classes, up to 16 MB, keeps most other texts from being moved. It only saves work.
     """
     spark = texts.sparkSession
     nodes = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
     keys, _ = stage(nodes.join(classes.select("class", *_SET), "class"), "wanted")
-    bit = F.shiftrightunsigned("sum", 64 - FILTER_BITS)
-    word = keys.groupBy(F.shiftright(bit, 5).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(sum, {64 - FILTER_BITS}) & 31 AS int))")).alias("bits")
-    )
-    words = np.zeros(1 << (FILTER_BITS - 5), dtype=np.int64)
-    for r in word.collect():
-        words[r["word"]] = r["bits"]
+    width = filter_bits(keys.count())
+    bit = F.shiftrightunsigned("sum", 64 - width)
+    word = keys.groupBy(F.shiftright(bit, 5).cast("int").alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1, CAST(shiftrightunsigned(sum, {64 - width}) & 31 AS int))")).alias("bits")
+    ).toArrow()
+    words = np.zeros(1 << (width - 5), dtype=np.uint32)
+    words[word.column("word").to_numpy()] = word.column("bits").to_numpy().view(np.uint32)
     held = spark.sparkContext.broadcast(words)
     schema = {**_SET, "shingles": pa.binary()}
 
@@ -306,7 +311,7 @@ def wanted_sets(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataF
                 rows = []
                 for s in sets(part.column("text"), WIDTH):
                     total, xor = signature(s)
-                    at = (total & 0xFFFFFFFFFFFFFFFF) >> (64 - FILTER_BITS)
+                    at = (total & 0xFFFFFFFFFFFFFFFF) >> (64 - width)
                     if len(s) and int(bits[at >> 5]) >> (at & 31) & 1:
                         rows.append((len(s), total, xor, s.tobytes()))
                 if rows:
@@ -336,6 +341,48 @@ def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def similar(texts: DataFrame, classes: DataFrame, pairs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The `verified` pairs, staged."""
+    with passing_tables(texts.sparkSession) as lasting:
+        links = stage(verified(pairs, wanted_sets(texts, classes, pairs)), label)
+        lasting.append(links[1])
+    return links
+
+
+def _classed(texts: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with their sets, the classes of equal sets, and the component labels of those that link with another.
+
+    Tables that hold shingles or lists are the large ones. Each goes as soon as it has been read for the last time.
+    """
+    spark = texts.sparkSession
+    with passing_tables(spark):
+        shingles, levels, shift, mean = frequencies(texts.select("text"))
+    order = spark.sparkContext.broadcast(Order(shingles, levels, shift))
+    sets_of, sets_path = stage(set_rows(texts, kind, order), "sets")
+    classes = sets_of.where("size > 0").groupBy(*_SET).agg(F.min("id").alias("low_id"), F.min("row").alias("low_row"), F.first("first").alias("first"))
+    with kept_by_part(classes.withColumn("class", F.monotonically_increasing_id()), lasting=False) as (kept, plain):
+        rows, _ = stage(sets_of.drop("first"), "rows")
+        delete_path(spark, sets_path)
+        classes, _ = stage(plain.drop("first", "part"), "classes")
+        # Sizes in steps of a tenth: a few hundred rows at most.
+        step = F.floor(F.log(F.col("size").cast("double")) / F.lit(np.log(1.1)))
+        sizes = classes.groupBy(step.alias("step")).agg(F.max("size").alias("size"), F.count("*").alias("n")).collect()
+        lists, lists_path = postings(kept, boundary([(r["size"], r["n"]) for r in sizes], mean))
+    pairs, pairs_path = stage(pivot_pairs(lists), "pivot-pairs")
+    links, _ = similar(texts, classes, pairs, "pivot-links")
+    labels = components(links)
+    with passing_tables(spark) as lasting:
+        rest, rest_path = stage(open_pairs(lists, labels).join(pairs, ["a", "b"], "left_anti"), "open-pairs")
+        lasting.append(rest_path)
+    delete_path(spark, lists_path)
+    delete_path(spark, pairs_path)
+    if rest.limit(1).count():
+        more, _ = similar(texts, classes, rest, "open-links")
+        labels = components(links.union(more))
+    delete_path(spark, rest_path)
+    return rows, classes, labels
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id, `n_shingles`, `component_id` (the smallest id linked with it, at any
     distance) and `component_row` / `row`, which tell repeated ids apart.
@@ -346,28 +393,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     texts = id_and_text(docs, id_col, text_col)
-    shingles, levels, shift, mean = frequencies(texts.select("text"))
-    order = spark.sparkContext.broadcast(Order(shingles, levels, shift))
-    rows, _ = stage(set_rows(texts, id_type(docs, id_col), order), "sets")
-    classes = rows.where("size > 0").groupBy(*_SET).agg(F.min("id").alias("low_id"), F.min("row").alias("low_row"), F.first("first").alias("first"))
-    classes, _ = stage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
-    # Sizes in steps of a tenth: a few hundred rows at most.
-    step = F.floor(F.log(F.col("size").cast("double")) / F.lit(np.log(1.1)))
-    sizes = classes.groupBy(step.alias("step")).agg(F.max("size").alias("size"), F.count("*").alias("n")).collect()
-    small = boundary([(r["size"], r["n"]) for r in sizes], mean)
-    lists = postings(classes, small)
-    pairs, _ = stage(pivot_pairs(lists), "pivot-pairs")
-    links, _ = stage(verified(pairs, wanted_sets(texts, classes, pairs)), "pivot-links")
-    labels = components(links)
-    rest, _ = stage(open_pairs(lists, labels).join(pairs, ["a", "b"], "left_anti"), "open-pairs")
-    if rest.limit(1).count():
-        more, _ = stage(verified(rest, wanted_sets(texts, classes, rest)), "open-links")
-        labels = components(links.union(more))
+    with shuffles_dropped(spark):
+        rows, classes, labels = _classed(texts, id_type(docs, id_col))
     low = classes.select("class", *_SET, "low_id", "low_row").join(labels.withColumnRenamed("node", "class"), "class", "left")
     low = low.withColumn("label", F.coalesce("label", "class"))
     least = low.groupBy("label").agg(F.min("low_id").alias("least_id"), F.min("low_row").alias("least_row"))
     least = low.join(least, "label").select(*_SET, "least_id", "least_row")
-    joined = rows.drop("first").join(least, list(_SET), "left")
+    joined = rows.join(least, list(_SET), "left")
     return joined.select(
         F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"),
         F.coalesce("least_id", "id").alias("component_id"), "row", F.coalesce("least_row", "row").alias("component_row"),

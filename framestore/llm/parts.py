@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from framestore.session import note_staged, shared_folder
+from framestore.session import delete_path, note_staged, shared_folder
 
 #: Rows of a part, all of which are in the memory of one task at a time.
 PART_ROWS = 2048
@@ -29,12 +29,12 @@ def dealing(spark: SparkSession) -> tuple[int, int]:
 
 
 @contextmanager
-def kept_by_part(df: DataFrame, size: Column | None = None) -> Iterator[tuple[DataFrame, DataFrame]]:
+def kept_by_part(df: DataFrame, size: Column | None = None, lasting: bool = True) -> Iterator[tuple[DataFrame, DataFrame]]:
     """`df` with a column `part`, written as a table of the shared folder that is bucketed by it.
 
     With the `size` of the rows in bytes, a part has at most PART_ROWS rows of at most PART_TEXT bytes, or one longer row. A task writes a file for each of its buckets, about one per part. The table leaves the
     catalog at the end; what is made of it has to be staged before. The second frame reads its
-    files without the buckets, also afterwards.
+    files without the buckets, also afterwards if they are `lasting`; else they go at the end as well.
     """
     spark = df.sparkSession
     name = f"framestore_parts_{uuid.uuid4().hex}"
@@ -50,6 +50,8 @@ def kept_by_part(df: DataFrame, size: Column | None = None) -> Iterator[tuple[Da
         yield kept, spark.read.schema(kept.schema).parquet(path)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if not lasting:
+            delete_path(spark, path)
 
 
 def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:

@@ -69,7 +69,40 @@ def staged_paths() -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _NOTED.remove(paths)
+        _NOTED[:] = [x for x in _NOTED if x is not paths]
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """The tables that are staged inside are deleted at the end, but for those whose paths are put into the list."""
+    kept: list[str] = []
+    with staged_paths() as paths:
+        try:
+            yield kept
+        finally:
+            for path in paths:
+                if path not in kept:
+                    delete_path(spark, path)
+
+
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a statement that runs inside are deleted when it ends.
+
+    Otherwise they stay until the driver's garbage collector finds them, which a larger input does not hasten.
+    """
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
