@@ -13,6 +13,8 @@ Links are found in two steps, so that a group of near copies does not become all
 First each list links its members to one of them, its pivot; verified links give components.
 Then members of *different* components that a list still holds, and that could be
 similar by size and place, are compared pair by pair. So no link between components is lost.
+Pairs first meet with a bit per shingle (`marks`), which tells most that differ in too many; whole sets
+move only for the others, since each pair takes a copy of a set with it.
 
 Similarity is exact up to 64-bit hashes of shingles. The frequency of a shingle only
 decides the order: any order gives the same links. The most frequent shingles are
@@ -150,11 +152,28 @@ def signature(found: np.ndarray) -> tuple[int, int]:
     return int(a.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(b).view(np.int64)) if len(b) else 0
 
 
+def marks(found: np.ndarray) -> bytes:
+    """A bit for each remainder of hashes, set if an odd number of the shingles has it. There are one to two a shingle."""
+    width = 1 << max(6, (len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """How many shingles only one of two sets has, at least, by their marks: those of both cancel out."""
+    x, y = sorted((x, y), key=len)
+    few, many, width = int.from_bytes(x, "little"), int.from_bytes(y, "little"), 8 * len(y)
+    while width > 8 * len(x):
+        width //= 2
+        many = (many >> width) ^ (many & ((1 << width) - 1))
+    return (few ^ many).bit_count()
+
+
 _SET = {"size": pa.int32(), "sum": pa.int64(), "xor": pa.int64()}
 
 
 def set_rows(texts: DataFrame, kind: str, order) -> DataFrame:
-    """One row per text: row, id, size and signature of its set, and the first shingles in `order`."""
+    """One row per text: row, id, size, signature and marks of its set, and the first shingles in `order`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = order.value
@@ -167,12 +186,12 @@ def set_rows(texts: DataFrame, kind: str, order) -> DataFrame:
                     [
                         part.column("row"), part.column("id"), pa.array([len(s) for s in found], pa.int32()),
                         pa.array([s for s, _ in signs], pa.int64()), pa.array([x for _, x in signs], pa.int64()),
-                        pa.array(firsts, pa.binary()),
+                        pa.array(firsts, pa.binary()), pa.array([marks(s) for s in found], pa.binary()),
                     ],
-                    ["row", "id", "size", "sum", "xor", "first"],
+                    ["row", "id", "size", "sum", "xor", "first", "marks"],
                 )
 
-    return texts.mapInArrow(run, f"row bigint, id {kind}, size int, sum bigint, xor bigint, first binary")
+    return texts.mapInArrow(run, f"row bigint, id {kind}, size int, sum bigint, xor bigint, first binary, marks binary")
 
 
 def boundary(sizes: list[tuple[int, int]], mean: float) -> int:
@@ -281,6 +300,23 @@ def open_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return met.where(_could_link("a_", "b_")).select(F.col("a_class").alias("a"), F.col("b_class").alias("b")).distinct()
 
 
+def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that could link by their marks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, x, y, both = (batch.column(c) for c in ("a", "b", "x", "y", "both"))
+            # A link shares 4 / 9 of both sizes, so at most 1 / 9 of them is in one set only.
+            keep = [9 * least_difference(p, q) <= n for p, q, n in zip(x.to_pylist(), y.to_pylist(), both.to_pylist())]
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
+
+    x = classes.select(F.col("class").alias("a"), F.col("size").alias("x_size"), F.col("marks").alias("x"))
+    y = classes.select(F.col("class").alias("b"), F.col("size").alias("y_size"), F.col("marks").alias("y"))
+    met = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("x_size") + F.col("y_size")).alias("both"))
+    return met.mapInArrow(run, "a bigint, b bigint")
+
+
 def filter_bits(n: int) -> int:
     """The logarithm of the bits of a filter for n sets: 16 a set or more, so that few others pass; 2 ** 20 to 2 ** 27 bits."""
     return min(27, max(20, (16 * n).bit_length()))
@@ -344,6 +380,7 @@ def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
 def similar(texts: DataFrame, classes: DataFrame, pairs: DataFrame, label: str) -> tuple[DataFrame, str]:
     """The `verified` pairs, staged."""
     with passing_tables(texts.sparkSession) as lasting:
+        pairs, _ = stage(possible(pairs, classes), "possible")
         links = stage(verified(pairs, wanted_sets(texts, classes, pairs)), label)
         lasting.append(links[1])
     return links
@@ -352,16 +389,18 @@ def similar(texts: DataFrame, classes: DataFrame, pairs: DataFrame, label: str)
 def _classed(texts: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows with their sets, the classes of equal sets, and the component labels of those that link with another.
 
-    Tables that hold shingles or lists are the large ones. Each goes as soon as it has been read for the last time.
+    Tables that hold shingles or lists are the large ones; marks take a 64th to a 32nd of what shingles take. Each goes as soon as it has been read for the last time.
     """
     spark = texts.sparkSession
     with passing_tables(spark):
         shingles, levels, shift, mean = frequencies(texts.select("text"))
     order = spark.sparkContext.broadcast(Order(shingles, levels, shift))
     sets_of, sets_path = stage(set_rows(texts, kind, order), "sets")
-    classes = sets_of.where("size > 0").groupBy(*_SET).agg(F.min("id").alias("low_id"), F.min("row").alias("low_row"), F.first("first").alias("first"))
+    classes = sets_of.where("size > 0").groupBy(*_SET).agg(
+        F.min("id").alias("low_id"), F.min("row").alias("low_row"), *[F.first(c).alias(c) for c in ("first", "marks")]
+    )
     with kept_by_part(classes.withColumn("class", F.monotonically_increasing_id()), lasting=False) as (kept, plain):
-        rows, _ = stage(sets_of.drop("first"), "rows")
+        rows, _ = stage(sets_of.drop("first", "marks"), "rows")
         delete_path(spark, sets_path)
         classes, _ = stage(plain.drop("first", "part"), "classes")
         # Sizes in steps of a tenth: a few hundred rows at most.

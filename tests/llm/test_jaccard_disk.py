@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
-from framestore.llm.jaccard import filter_bits, jaccard_components
+from framestore.llm.jaccard import filter_bits, jaccard_components, least_difference, marks, possible
 from framestore.llm.parts import kept_by_part
 from framestore.session import passing_tables, path_exists, shuffles_dropped, stage, staged_paths
 
@@ -77,3 +78,35 @@ def test_the_setting_comes_back(spark):
         assert spark.conf.get(SETTING) == "true"
         raise ValueError
     assert spark.conf.get(SETTING) == before
+
+
+def sets_of_many_sizes():
+    """(x, y): y has some of the shingles of x, or none, and others of its own."""
+    r = np.random.default_rng(8)
+    for size in [1, 2, 5, 9, 30, 64, 65, 130, 500, 1023, 1025, 5000]:
+        x = r.integers(0, 2**63, size).astype(np.uint64)
+        for share in (0, 0.3, 0.6, 0.8, 0.88, 0.9, 0.95, 1):
+            for other in (0, size // 20, size // 9, size // 4):
+                yield np.unique(x), np.unique(np.concatenate([x[: int(share * size)], r.integers(0, 2**63, other + (share == 0)).astype(np.uint64)]))
+
+
+def test_marks_never_say_more_than_sets_differ():
+    told = 0
+    for x, y in sets_of_many_sizes():
+        d = least_difference(marks(x), marks(y))
+        assert d <= len(np.setxor1d(x, y)) and d == least_difference(marks(y), marks(x))
+        told += 9 * d > len(x) + len(y)
+        linked = 9 * len(np.intersect1d(x, y)) >= 4 * (len(x) + len(y))
+        assert not linked or 9 * d <= len(x) + len(y)
+    assert told > 100
+
+
+def test_pairs_of_a_common_passage_do_not_move_whole_sets(spark):
+    r = np.random.default_rng(9)
+    passage = r.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.unique(np.concatenate([passage, r.integers(0, 2**63, 90).astype(np.uint64)])) for _ in range(60)]
+    sets.append(sets[7][:-3])
+    rows = [(i, len(s), bytearray(marks(s))) for i, s in enumerate(sets)]
+    classes = spark.createDataFrame(rows, "class bigint, size int, marks binary")
+    pairs = spark.createDataFrame([(a, b) for a in range(61) for b in range(a + 1, 61)], "a bigint, b bigint")
+    assert [tuple(p) for p in possible(pairs, classes).collect()] == [(7, 60)]
